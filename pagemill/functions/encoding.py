@@ -8,6 +8,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagemill import constants as C
 
@@ -83,7 +84,7 @@ def is_gzip(data: Column) -> Column:
     return F.hex(F.substring(data, 1, 2)) == F.lit(C.GZIP_MAGIC_HEX)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def gunzip(data: pd.Series) -> pd.Series:
     """Decompress gzip values; leave others, and values that do not decompress, as they are."""
     magic = bytes.fromhex(C.GZIP_MAGIC_HEX)

@@ -1,28 +1,41 @@
-"""Page files: scanning, counting, staging."""
+"""Page files and page tables: scanning, counting, staging."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagemill import constants as C
 from pagemill import schemas
-from pagemill.functions import bodies, clock
+from pagemill.functions import bodies
 from pagemill.functions import keys as K
-from pagemill.operators import state
+from pagemill.operators import ordinals, state
+
+PAGE_TABLE = T.StructType(
+    [
+        T.StructField("page_no", T.LongType()),
+        T.StructField("page_bytes", T.BinaryType()),
+        T.StructField("s3_key", T.StringType()),
+    ]
+)
+
+PAGES_PER_FILE = 4096
 
 
 def key_under(root: str, path: Column) -> Column:
-    """A file's key: its path below the bucket folder."""
-    marker = "/" + root.split("://", 1)[-1].strip("/") + "/"
-    return F.substring_index(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), marker, -1)
+    """A file's key: its path below the bucket folder ``root``."""
+    folder = "/" + root.split("://", 1)[-1].removeprefix("file:").strip("/") + "/"
+    # File paths are percent-encoded URIs in which a plus sign stands for itself.
+    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.substring_index(plain, folder, -1)
 
 
 def scan_pages(spark: SparkSession, root: str, paths: list[str] | None = None) -> DataFrame:
     """``s3_key, page_no, page_bytes`` of the page files below ``root``, or of ``paths`` there.
 
-    The page number is the row's position in its file, which the Parquet reader gives
-    without a shuffle; other columns of the files are not read.
+    Every file is one key. The page number is the row's position in its file, which the
+    Parquet reader gives without a shuffle; other columns of the files are not read.
     """
     reader = spark.read.schema(schemas.PAGE_FILE).option("recursiveFileLookup", "true")
     pages = reader.parquet(*paths) if paths is not None else reader.parquet(root)
@@ -33,25 +46,65 @@ def scan_pages(spark: SparkSession, root: str, paths: list[str] | None = None) -
     )
 
 
+def scan_page_parts(spark: SparkSession, root: str) -> DataFrame:
+    """``page_no, page_bytes`` of a page file stored as a folder of part files.
+
+    Parts are numbered in name order. Only the row counts of the parts are sorted, and
+    those come from the footers.
+    """
+    parts = scan_pages(spark, root).withColumnRenamed("s3_key", "part")
+    return ordinals.file_positions(parts, [], "part", name="pos").select(
+        F.col("pos").alias("page_no"), "page_bytes"
+    )
+
+
+def write_page_files(pages: DataFrame, order: str, path: str) -> None:
+    """Store pages in ``order`` as a folder of part files, with nothing in one task."""
+    pages.repartitionByRange(order).sortWithinPartitions(order).select("page_bytes").write.mode(
+        "overwrite"
+    ).parquet(path)
+
+
+def write_page_table(pages: DataFrame, root: str) -> None:
+    """Store ``s3_key, page_no, page_bytes`` with one folder per key.
+
+    A key is cut into runs of pages, so a large key is written by many tasks, and a run
+    goes to one file.
+    """
+    run = F.floor(F.col("page_no") / F.lit(PAGES_PER_FILE))
+    (
+        pages.select(*PAGE_TABLE.names)
+        .repartition("s3_key", run)
+        .sortWithinPartitions("s3_key", "page_no")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("s3_key")
+        .parquet(root)
+    )
+
+
+def scan_page_table(spark: SparkSession, root: str) -> DataFrame:
+    """A page table; a filter on ``s3_key`` selects folders before any file is opened."""
+    return spark.read.schema(PAGE_TABLE).parquet(root).select("s3_key", "page_no", "page_bytes")
+
+
 def pages_per_file(pages: DataFrame) -> DataFrame:
     """Rows per file; on a scan no page data is read, only row counts from the footers."""
     return pages.groupBy("s3_key").agg(F.count("*").alias("total_pages"))
 
 
-def stage_pages(
-    pages: DataFrame, bucket: str, s3_key: str, log: DataFrame, at: Column
-) -> tuple[DataFrame, DataFrame]:
-    """Write a page file, then give the state events and the announcement that follow it.
+def stage_pages(pages: DataFrame, root: str, log: DataFrame, at: Column) -> tuple[DataFrame, DataFrame]:
+    """Write page files to the page table, then register and announce them.
 
-    A key that is already registered gets no second event; it is announced again, and
-    the skip check of the receiving stage decides.
+    Returns the state events and the messages to append, in that order. A key that is
+    registered already gets no second event; it is announced again, and the receiving
+    stage's skip check decides.
     """
-    spark = pages.sparkSession
-    pages.select("page_bytes").write.mode("overwrite").parquet(f"{bucket}/{s3_key}")
-    staged = spark.range(1).select(F.lit(s3_key).alias("s3_key"))
+    write_page_table(pages, root)
+    staged = pages.select("s3_key").distinct()
     events = state.register_absent(staged, log, C.STAGE_PAGES, at)
     messages = staged.select(
-        F.concat_ws("-", F.lit("staged"), F.sha2("s3_key", 256), clock.epoch_seconds(at)).alias("message_id"),
+        F.sha2("s3_key", 256).alias("message_id"),
         bodies.announcement(F.col("s3_key")).alias("body"),
         F.lit(None).cast("map<string,string>").alias("attributes"),
     )

@@ -6,54 +6,60 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagemill import constants as C
 from pagemill import schemas
 
+CORRUPT = "_corrupt_record"
+
 
 def write_batches(requests: DataFrame, root: str) -> None:
-    """Write ``custom_id, body`` lines under one folder per ``batch_key``, in page order.
+    """Write ``custom_id, body`` lines under one folder per ``batch_key``, in ``pos`` order.
 
-    Pages of a batch meet in one task, so a batch is one object; a batch is bounded by
-    the batch limits, so no task receives more for a larger input. Only the folders of
-    the batches at hand are replaced.
+    The pages of a batch meet in one task, so a batch is one object; the batch limits
+    bound it, so tasks do not grow with the input. Only the folders of the batches at
+    hand are replaced, and a batch's name is fixed by its content.
     """
+    # A nullable partition column would be rewritten by the writer, which then sorts by it
+    # again and loses the order within a batch.
+    key = F.coalesce("batch_key", F.lit("")).alias("batch_key")
     (
-        requests.select("batch_key", "page_order", "custom_id", "body")
+        requests.select(key, "pos", "custom_id", "body")
         .repartition("batch_key")
-        .sortWithinPartitions("batch_key", "page_order")
-        .drop("page_order")
+        .sortWithinPartitions("batch_key", "pos")
+        .drop("pos")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("ignoreNullFields", "false")
         .partitionBy("batch_key")
         .json(root)
     )
 
 
-def read_batches(spark: SparkSession, root: str, strict: bool = True) -> DataFrame:
-    """``batch_key, line_no, custom_id, body, _corrupt_record`` of stored batches.
+def read_batches(spark: SparkSession, root: str, paths: list[str] | None = None) -> DataFrame:
+    """``batch_key, line_no, custom_id, url, malformed`` of stored batches.
 
-    A malformed line fails the read, or with ``strict=False`` is kept for inspection.
-    Lines keep the order in which a batch was written: an object is written by one
-    task, and the row's place in its file gives the line number.
+    Objects are read whole, which their size limit allows, because only then is the
+    line number known. A malformed line is marked rather than failing the query: it
+    fails its own batch (see ``inference``), not all the others read with it.
     """
-    fields = [*schemas.REQUEST_LINE.fields]
-    if not strict:
-        fields.append(T.StructField("_corrupt_record", T.StringType()))
-    fields.append(T.StructField("batch_key", T.StringType()))
-    lines = (
-        spark.read.schema(T.StructType(fields))
-        .option("mode", "FAILFAST" if strict else "PERMISSIVE")
-        .option("basePath", root)
-        .json(root)
+    reader = spark.read.schema("value string, batch_key string").option("wholetext", "true")
+    objects = reader.option("basePath", root).text(paths if paths is not None else root)
+    lines = objects.filter(F.col("value") != "").select(
+        "batch_key",
+        F.posexplode(F.split(F.regexp_replace("value", r"\n\z", ""), "\n")).alias("_at", "_line"),
+    )
+    line_type = T.StructType([*schemas.REQUEST_LINE.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = lines.withColumn(
+        "_request", F.from_json("_line", line_type, {"columnNameOfCorruptRecord": CORRUPT})
+    )
+    url = F.col("_request.body.document.image_url")
+    return parsed.select(
+        "batch_key",
+        (F.col("_at") + 1).alias("line_no"),
+        "_request.custom_id",
+        url.alias("url"),
+        (F.col(f"_request.{CORRUPT}").isNotNull() | url.isNull()).alias("malformed"),
     )
-    # custom_id ends in the page number within its file.
-    return lines.withColumn("page_no", F.regexp_extract("custom_id", r"_(\d+)$", 1).cast("long"))
-
-
-def batch_object(batch_key: str, root: str) -> str:
-    return f"{root}/batch_key={batch_key.replace('/', '%2F')}"
 
 
-def batch_prefix() -> str:
-    return C.JSONL_PREFIX
+def batch_folder(root: str, key: str) -> str:
+    """Folder of one batch object below ``root``."""
+    return f"{root}/batch_key={key.replace('/', '%2F')}"
