@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagemill import constants as C
+from pagemill.functions.whole import quotient
 
 # Bytes of one request's JSON text apart from its id and its encoded page.
 REQUEST_FRAME_BYTES = len(
@@ -49,8 +50,7 @@ def request_body(data: Column) -> Column:
 
 def base64_length(n_bytes: Column) -> Column:
     """Length of the base64 text of ``n_bytes`` bytes, in whole numbers."""
-    groups = F.floor((n_bytes + F.lit(2)) / F.lit(3)).cast("long")
-    return groups * F.lit(4).cast("long")
+    return quotient(n_bytes + 2, 3) * 4
 
 
 def json_ascii_length(text: Column) -> Column:

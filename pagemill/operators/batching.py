@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from pagemill import constants as C
 from pagemill.functions import keys as K
+from pagemill.functions.whole import quotient
 
 DEFAULT_CHUNK = 1 << 17
 DEFAULT_SPAN = 256
@@ -106,7 +107,7 @@ def plan_batches(
     # The first pages of a chunk also go to the chunk before it, where the batches that
     # run over the border are finished.
     at = F.col(pos) - 1
-    own = F.floor(at / F.lit(chunk))
+    own = quotient(at, chunk)
     border = (own > 0) & (at % chunk < max_pages - 1)
     spread = pages.withColumn(
         "_chunk", F.explode(F.when(border, F.array(own, own - 1)).otherwise(F.array(own)))
@@ -215,7 +216,7 @@ def plan_batches(
 
 def plan_batches_by_count(pages: DataFrame, pos: str = "pos", max_pages: int = C.MAX_BATCH_PAGES) -> DataFrame:
     """The page limit alone needs no look back: every ``max_pages`` positions are a batch."""
-    return pages.withColumn("batch_no", F.floor((F.col(pos) - 1) / F.lit(max_pages)))
+    return pages.withColumn("batch_no", quotient(F.col(pos) - 1, max_pages))
 
 
 def summarise_batches(batched: DataFrame, shard: list[str], pos: str = "pos") -> DataFrame:

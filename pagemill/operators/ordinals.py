@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from pagemill.functions.whole import quotient
+
 DEFAULT_SPAN = 1 << 16
 
 
@@ -24,9 +26,11 @@ def with_ordinal(
     of the ranges before them. A range holds at most ``span`` rows, and the shuffle on
     ``keys`` + range is the only time the rows move. The counts are combined before
     they are shuffled: one row per range.
+
+    ``keys`` and ``order`` must not be NULL.
     """
     block = [*keys, "_block"]
-    cut = df.withColumn("_block", F.floor(F.col(order) / F.lit(span)))
+    cut = df.withColumn("_block", quotient(F.col(order), span))
     counts = cut.groupBy(*block).agg(F.count("*").alias("_rows"))
     before = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     shifts = counts.select(*block, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift"))

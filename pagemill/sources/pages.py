@@ -10,6 +10,7 @@ from pagemill import constants as C
 from pagemill import schemas
 from pagemill.functions import bodies
 from pagemill.functions import keys as K
+from pagemill.functions.whole import quotient
 from pagemill.operators import ordinals, state
 
 PAGE_TABLE = T.StructType(
@@ -71,7 +72,7 @@ def write_page_table(pages: DataFrame, root: str) -> None:
     A key is cut into runs of pages, so a large key is written by many tasks, and a run
     goes to one file.
     """
-    run = F.floor(F.col("page_no") / F.lit(PAGES_PER_FILE))
+    run = quotient(F.col("page_no"), PAGES_PER_FILE)
     (
         pages.select(*PAGE_TABLE.names)
         .repartition("s3_key", run)

@@ -40,8 +40,8 @@ def read_batches(spark: SparkSession, root: str, paths: list[str] | None = None)
     line number known. A malformed line is marked rather than failing the query: it
     fails its own batch (see ``inference``), not all the others read with it.
     """
-    reader = spark.read.schema("value string, batch_key string").option("wholetext", "true")
-    objects = reader.option("basePath", root).text(paths if paths is not None else root)
+    reader = spark.read.schema("value string, batch_key string").option("basePath", root)
+    objects = reader.text(paths if paths is not None else root, wholetext=True)
     lines = objects.filter(F.col("value") != "").select(
         "batch_key",
         F.posexplode(F.split(F.regexp_replace("value", r"\n\z", ""), "\n")).alias("_at", "_line"),

@@ -28,8 +28,7 @@ def read_responses(spark: SparkSession, root: str) -> DataFrame:
     """``response_key, response`` of stored documents."""
     return (
         spark.read.schema("response string, response_key string")
-        .option("wholetext", "true")
         .option("basePath", root)
-        .text(root)
+        .text(root, wholetext=True)
         .select("response_key", F.regexp_replace("response", r"\n\z", "").alias("response"))
     )
