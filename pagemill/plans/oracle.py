@@ -47,8 +47,15 @@ summary AS (
 
 NAMED = f"WITH RECURSIVE {PAGES}, {BY_FILE}, {SUMMARY}"
 
+# The same pages with the PDF header counted, which toxic ones lack.
+PDF_PAGES = PAGES.replace(
+    "octet_length(encode(text))",
+    "octet_length(encode(text)) + CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) THEN 0 ELSE 5 END",
+)
+PDF_NAMED = f"WITH RECURSIVE {PDF_PAGES}, {BY_FILE}, {SUMMARY}"
+
 # Pages as sent: toxic ones lack the header and are put aside.
-SENT = f"""{NAMED},
+PAYLOAD = """
 payload AS (
   SELECT g.*, s.batch_key, d.text, coalesce(l.toxic, 0) = 1 AS aside
   FROM greedy g JOIN summary s USING (shard, batch_no)
@@ -57,6 +64,7 @@ sent AS (
   SELECT batch_key, custom_id, '%PDF-' || text AS markdown,
          row_number() OVER (PARTITION BY batch_key ORDER BY pos) - 1 AS index
   FROM payload WHERE NOT aside)"""
+SENT = f"{NAMED}, {PAYLOAD}"
 
 KEY = "'parquets/' || user_id || '.parquet'"
 QUOTED = f"""'"' || {KEY} || '"'"""
@@ -336,6 +344,52 @@ ORACLE = {
           AND length(regexp_replace(text, '[^\p{{L}}]+', '', 'g')) / length(text) >= 0.7""",
     "entity_expansion": ENTITIES,
     "entity_expansion_salted": ENTITIES,
+    "stream_message_keys": f"""WITH {KEYED}
+        SELECT message_id, receive_count, CASE kind WHEN 'VARCHAR' THEN value END AS s3_key
+        FROM named WHERE kind <> 'ARRAY'
+        UNION ALL
+        SELECT message_id, receive_count, unnest(from_json(value, '["VARCHAR"]')) AS s3_key
+        FROM named WHERE kind = 'ARRAY'""",
+    "stream_state": STATE,
+    "stream_outcome_counts": f"""WITH {OUTCOMES}
+        SELECT queue, count(*) AS received, count(*) FILTER (WHERE outcome = 'processed') AS processed,
+               count(*) FILTER (WHERE outcome <> 'processed') AS failed,
+               count(*) FILTER (WHERE outcome = 'write_failed') AS write_failed
+        FROM outcomes GROUP BY queue""",
+    "stream_carried_batches": f"""WITH RECURSIVE page_rows AS (
+          SELECT 'parquets/' || source || '.parquet' AS s3_key, doc_id, doc_id AS page_no, text,
+                 row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rank
+          FROM documents),
+        sizes AS MATERIALIZED (
+          SELECT *, s3_key || '_' || doc_id AS custom_id,
+                 134 + length(s3_key || '_' || doc_id) + 4 * ((octet_length(encode(text)) + 2) // 3) AS size
+          FROM page_rows),
+        {_greedy("SELECT s3_key AS shard, rank AS pos, * FROM sizes")}
+        SELECT s3_key, doc_id, size, CAST(batch_no AS BIGINT) AS batch_no,
+               held >= {MAX_BYTES} OR n >= {MAX_PAGES} AS closes
+        FROM greedy""",
+    "stream_page_batches": f"""{PDF_NAMED}
+        SELECT batch_key, n_pages, n_bytes, first_id, last_id FROM summary""",
+    "stream_ocr_pages": f"""{PDF_NAMED}, {PAYLOAD}
+        SELECT batch_key, CAST(index AS INTEGER) AS index, custom_id, markdown FROM sent""",
+    "stream_job_state": """
+        SELECT 'parquets/' || source || '.parquet' AS s3_key, 'done' AS status, CAST(0 AS BIGINT) AS attempts,
+               count(*) AS pages_processed, count(*) AS total_pages, CAST(NULL AS VARCHAR) AS last_error
+        FROM documents GROUP BY source
+        UNION ALL
+        SELECT 'parquets/absent.parquet', 'failed', 1, 0, NULL, 'object not found'""",
+    "stream_dead_letters": f"""WITH {KEYED},
+        good AS (SELECT * FROM named WHERE receive_count < 3),
+        keyed AS (
+          SELECT value AS s3_key FROM good WHERE kind = 'VARCHAR'
+          UNION
+          SELECT unnest(from_json(value, '["VARCHAR"]')) FROM good WHERE kind = 'ARRAY')
+        SELECT body, CAST(NULL AS VARCHAR) AS reason, count(*) AS n
+        FROM named WHERE receive_count >= 3 OR kind NOT IN ('VARCHAR', 'ARRAY') GROUP BY body
+        UNION ALL
+        SELECT CAST(to_json({{'failed_keys': [s3_key], 'reason': 'worker_processing_failed'}}) AS VARCHAR),
+               'worker_processing_failed', 1
+        FROM keyed""",
     "doc_metadata": f"""
         SELECT doc_id, '{{"doc_id":' || doc_id || ',"lang":"' || lang || '","n_chars":' || length(text)
           || ',"n_tokens":' || len({_words('text')})

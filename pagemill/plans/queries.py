@@ -172,7 +172,7 @@ def retry_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- state ---
 
 
-def _state(now: DataFrame) -> DataFrame:
+def state_columns(now: DataFrame) -> DataFrame:
     return now.select(
         "s3_key",
         "status",
@@ -186,11 +186,11 @@ def _state(now: DataFrame) -> DataFrame:
 
 
 def latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _state(state.current_state(D.state_log(D.table(spark, sf_dir, "events"))))
+    return state_columns(state.current_state(D.state_log(D.table(spark, sf_dir, "events"))))
 
 
 def compacted_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _state(state.current_state(state.compact_log(D.state_log(D.table(spark, sf_dir, "events")))))
+    return state_columns(state.current_state(state.compact_log(D.state_log(D.table(spark, sf_dir, "events")))))
 
 
 def state_counters(spark: SparkSession, sf_dir: str) -> DataFrame:

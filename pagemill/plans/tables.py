@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill import constants as C
+from pagemill.functions import text as X
 from pagemill.operators import ordinals
 from pagemill.operators import requests as R
 
@@ -51,7 +52,6 @@ def members(spark: SparkSession, sf_dir: str, mixed: bool = False, **plan: int)
     return R.batch_members(sizes, mixed, MAX_BYTES, MAX_PAGES, **plan)
 
 
-# A gzip header means compressed; a page without the PDF header is put aside.
 def pdf_payload(toxic: Column) -> Column:
     """Pages marked toxic lack the PDF header."""
     text = F.encode("text", "UTF-8")
@@ -71,6 +71,10 @@ def pdf_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_messages(table(spark, sf_dir, "events"))
+
+
+def as_messages(events: DataFrame) -> DataFrame:
     """Events as queue messages with every shape of body a queue may hold."""
     key = F.concat(F.lit("parquets/"), F.col("user_id"), F.lit(".parquet"))
     quoted = F.concat(F.lit('"'), key, F.lit('"'))
@@ -93,7 +97,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type") != "signup",
         F.create_map(F.lit(C.RECEIVE_COUNT_ATTRIBUTE), (F.col("event_id") % 5 + 1).cast("string")),
     )
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.col("event_id").cast("string").alias("message_id"),
         body.alias("body"),
         count.alias("attributes"),
@@ -196,8 +200,6 @@ def document_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def benchmark_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of the benchmark items, each an alias of the first item that holds it."""
-    from pagemill.functions import text as X
-
     items = table(spark, sf_dir, "benchmark")
     words = items.select("item_id", F.explode(X.tokens(X.normalise(F.col("text")))).alias("alias"))
     return words.groupBy("alias").agg(F.min("item_id").alias("item_id")).select(
