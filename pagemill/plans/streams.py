@@ -103,7 +103,7 @@ def _pipeline(spark: SparkSession, sf_dir: str) -> Workspace:
     )
     again = announced.withColumn("message_id", F.concat("message_id", F.lit("-again")))
     every = announced.unionByName(again).unionByName(absent)
-    message_source.write_messages(every.repartition(3), f"{ws.path('messages')}/all")
+    message_source.write_messages(every.repartition(2), f"{ws.path('messages')}/all")
     limits = stages.Limits(max_bytes=D.MAX_BYTES, max_pages=D.MAX_PAGES, max_attempts=1)
     source = stages.PageTable(ws.path("pages"))
     stages.start_page_stage(spark, ws, source, limits, max_files=1).awaitTermination()
