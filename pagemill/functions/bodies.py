@@ -14,54 +14,68 @@ def receive_count(attributes: Column) -> Column:
     return F.coalesce(value, F.lit(C.DEFAULT_RECEIVE_COUNT)).cast("int")
 
 
-def json_kind(node: Column) -> Column:
-    """Outer JSON type of a variant: STRING, BIGINT, ARRAY, OBJECT, VOID …"""
-    return F.regexp_extract(F.schema_of_variant(node), "^([A-Z]+)", 1)
+def body_kind(body: Column) -> Column:
+    """OBJECT, OTHER for any other JSON, TEXT for what is not JSON."""
+    return (
+        F.when(F.json_object_keys(body).isNotNull(), "OBJECT")
+        .when(F.try_parse_json(body).isNotNull(), "OTHER")
+        .otherwise("TEXT")
+    )
+
 
+def parsed_fields(body: Column) -> Column:
+    """The key fields of a body as a struct of variants, all from one parse."""
+    return F.from_json(body, ", ".join(f"{name} variant" for name in C.MESSAGE_KEY_FIELDS))
 
-def nonempty_field(parsed: Column, name: str) -> Column:
-    """``struct(kind, value)`` of a field that is not empty, else NULL.
 
-    Empty means null, ``""``, ``0``, ``false``, ``[]`` and ``{}``. The text alone
-    cannot tell the number 0 from the string "0", so the JSON type is kept beside it.
+def key_fields(parsed: Column) -> Column:
+    """:func:`parsed_fields` in order of preference, as ``array<struct<kind, value>>``.
+
+    The text alone cannot tell the number 0 from the string "0", so the JSON type is
+    kept beside it.
     """
-    node = F.try_variant_get(parsed, f"$.{name}", "variant")
-    value = F.try_variant_get(parsed, f"$.{name}", "string")
-    kind = json_kind(node)
+    return F.array(
+        *[
+            F.struct(
+                F.schema_of_variant(parsed[name]).alias("kind"),
+                F.try_variant_get(parsed[name], "$", "string").alias("value"),
+            )
+            for name in C.MESSAGE_KEY_FIELDS
+        ]
+    )
+
+
+def is_named(field: Column) -> Column:
+    """A field that is there and not null, ``""``, ``0``, ``false``, ``[]`` or ``{}``."""
+    kind, value = field["kind"], field["value"]
     empty = (
         F.when(kind == "STRING", value == "")
         .when(kind == "VOID", F.lit(True))
         .when(kind == "BOOLEAN", value == "false")
-        .when(kind == "ARRAY", value == "[]")
-        .when(kind == "OBJECT", value == "{}")
+        .when(kind.startswith("ARRAY"), value == "[]")
+        .when(kind.startswith("OBJECT"), value == "{}")
         .otherwise(value.try_cast("double") == 0)
     )
-    return F.when(node.isNotNull() & ~empty, F.struct(kind.alias("kind"), value.alias("value")))
+    return kind.isNotNull() & ~empty
 
 
-def named_work(body: Column) -> Column:
+def named_work(body: Column, kind: Column, fields: Column) -> Column:
     """``struct(kind, value)`` of the work a message body names.
 
     A body that is not JSON is itself the key, and so is an object without any of the
-    key fields. JSON that is not an object names nothing: its kind is INVALID, as is
-    that of a number or an object in a key field.
+    key fields. JSON that is not an object names nothing, and neither does a number or
+    an object in a key field: their kind is neither STRING nor ARRAY.
     """
-    parsed = F.try_parse_json(body)
     whole = F.struct(F.lit("STRING").alias("kind"), body.alias("value"))
-    invalid = F.struct(F.lit("INVALID").alias("kind"), body.alias("value"))
-    chosen = F.coalesce(*[nonempty_field(parsed, f) for f in C.MESSAGE_KEY_FIELDS], whole)
-    return (
-        F.when(parsed.isNull(), whole)
-        .when(json_kind(parsed) != "OBJECT", invalid)
-        .when(~chosen["kind"].isin("STRING", "ARRAY"), invalid)
-        .otherwise(chosen)
-    )
+    nothing = F.struct(F.lit("OTHER").alias("kind"), body.alias("value"))
+    first = F.get(F.filter(fields, is_named), F.lit(0))
+    return F.when(kind == "TEXT", whole).when(kind == "OTHER", nothing).otherwise(F.coalesce(first, whole))
 
 
 def work_keys(work: Column) -> Column:
     """Keys named by :func:`named_work`; a list gives all of its items."""
     return F.when(work["kind"] == "STRING", F.array(work["value"])).when(
-        work["kind"] == "ARRAY", F.from_json(work["value"], "array<string>")
+        work["kind"].startswith("ARRAY"), F.from_json(work["value"], "array<string>")
     )
 
 

@@ -26,9 +26,13 @@ def split_poison(messages: DataFrame, limit: int = C.MAX_RECEIVE_COUNT) -> tuple
 
 def message_keys(messages: DataFrame) -> DataFrame:
     """One row per key a message names; ``s3_key`` is NULL where it names none."""
-    named = messages.withColumn("_work", bodies.named_work(F.col("body")))
-    keyed = named.withColumn("_key", F.explode_outer(bodies.work_keys(F.col("_work"))))
-    return keyed.select(*messages.columns, F.col("_key").alias("s3_key"))
+    body = F.col("body")
+    # One step per column: each is evaluated once, whichever branches use it.
+    parsed = messages.withColumns({"_kind": bodies.body_kind(body), "_json": bodies.parsed_fields(body)})
+    fields = parsed.withColumn("_fields", bodies.key_fields(F.col("_json")))
+    named = fields.withColumn("_work", bodies.named_work(body, F.col("_kind"), F.col("_fields")))
+    keys = named.withColumn("_keys", bodies.work_keys(F.col("_work")))
+    return keys.select(*messages.columns, F.explode_outer("_keys").alias("s3_key"))
 
 
 def raw_letters(messages: DataFrame, at: Column) -> DataFrame:

@@ -108,12 +108,17 @@ BODIES = [
     ('{"s3_key":5}', None),
     ('{"s3_key":{"a":1}}', None),
     ('{"s3_key": "cut', ['{"s3_key": "cut']),
+    ('{"s3_key":"x","s3_key":"y"}', ["y"]),
+    (' {"s3_key" : "k" , "other" : [1, {"s3_key": "z"}] } ', ["k"]),
+    ("", [""]),
+    ("{not json}", ["{not json}"]),
 ]
 
 
 def test_message_bodies(spark):
     df = spark.createDataFrame([(b,) for b, _ in BODIES], "body string")
-    found = df.select("body", bodies.work_keys(bodies.named_work(F.col("body"))).alias("keys")).collect()
+    work = bodies.named_work(F.col("body"), bodies.body_kind(F.col("body")), bodies.key_fields(bodies.parsed_fields(F.col("body"))))
+    found = df.select("body", bodies.work_keys(work).alias("keys")).collect()
     assert [(r["body"], r["keys"]) for r in found] == BODIES
 
 
