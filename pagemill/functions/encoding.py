@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import json
+import zlib
 
 import pandas as pd
 from pyspark.sql import Column
@@ -84,20 +85,19 @@ def is_gzip(data: Column) -> Column:
     return F.hex(F.substring(data, 1, 2)) == F.lit(C.GZIP_MAGIC_HEX)
 
 
-@F.pandas_udf(T.BinaryType())
-def gunzip(data: pd.Series) -> pd.Series:
-    """Decompress gzip values; leave others, and values that do not decompress, as they are."""
-    magic = bytes.fromhex(C.GZIP_MAGIC_HEX)
+def decompressed(data: bytes | None) -> bytes | None:
+    """Decompress a gzip value; leave others, and values that do not decompress, as they are."""
+    if data is None or data[:2] != bytes.fromhex(C.GZIP_MAGIC_HEX):
+        return data
+    try:
+        return gzip.decompress(data)
+    except (OSError, EOFError, zlib.error):
+        return data
 
-    def one(value):
-        if value is None or value[:2] != magic:
-            return value
-        try:
-            return gzip.decompress(value)
-        except (OSError, EOFError, ValueError):
-            return value
 
-    return data.map(one)
+@F.pandas_udf(T.BinaryType())
+def gunzip(data: pd.Series) -> pd.Series:
+    return data.map(decompressed)
 
 
 def decode_page(url: Column) -> Column:
@@ -105,6 +105,10 @@ def decode_page(url: Column) -> Column:
     return F.unbase64(strip_data_url(url))
 
 
+def starts_as_pdf(data: bytes | None) -> bool:
+    return data is not None and data.startswith(C.PDF_MARK.encode())
+
+
 def is_pdf(data: Column) -> Column:
     """Header test only: says that the bytes claim to be a PDF, not that they parse."""
     return F.coalesce(F.substring(data, 1, len(C.PDF_MARK)) == F.lit(C.PDF_MARK.encode()), F.lit(False))

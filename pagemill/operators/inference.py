@@ -13,7 +13,6 @@ from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pagemill import schemas
@@ -21,8 +20,11 @@ from pagemill.functions import encoding
 
 Provider = Callable[[list[bytes]], str]
 
-RESPONSES = "batch_key string, custom_ids array<string>, response string, error string"
+RESPONSES = (
+    "batch_key string, custom_ids array<string>, aside array<string>, response string, error string"
+)
 MALFORMED = "malformed request line"
+NO_VALID_PAGE = "no valid page"
 
 
 def text_provider(pages: list[bytes]) -> str:
@@ -49,7 +51,11 @@ def text_provider(pages: list[bytes]) -> str:
 
 
 def decode_pages(lines: DataFrame) -> DataFrame:
-    """Add ``raw``, the decoded and decompressed page, and ``is_pdf``."""
+    """Add ``raw``, the decoded and decompressed page, and ``is_pdf``.
+
+    For looking at pages; :func:`run_provider` does the same where it has the pages in
+    Python anyway.
+    """
     decoded = lines.withColumn("raw", encoding.gunzip(encoding.decode_page(F.col("url"))))
     return decoded.withColumn("is_pdf", encoding.is_pdf(F.col("raw"))).drop("url")
 
@@ -60,35 +66,55 @@ def split_valid(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pages.filter("is_pdf").drop("is_pdf"), aside
 
 
-def run_provider(pages: DataFrame, provider: Provider) -> DataFrame:
-    """One row per batch: ids of the pages sent, in order, and the response or the error.
+def run_provider(lines: DataFrame, provider: Provider, require_pdf: bool = True) -> DataFrame:
+    """One row per batch: the pages sent, the pages put aside, the response or the error.
 
-    The ids come back beside the response, so matching response pages to page ids needs
-    no second shuffle.
+    Pages travel as they are stored, compressed or not, and enter Python once: they are
+    decompressed and tested there, just before the call. The ids come back beside the
+    response, so matching response pages to page ids needs no second shuffle.
     """
 
     def call(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         ordered = pdf.sort_values("line_no")
-        response, error = None, None
+        sent, aside, response, error = [], [], None, None
         if ordered["malformed"].any():
             error = MALFORMED
         else:
+            pages = [(i, encoding.decompressed(raw)) for i, raw in zip(ordered["custom_id"], ordered["page"])]
+            valid = [encoding.starts_as_pdf(page) or not require_pdf for _, page in pages]
+            sent = [i for (i, _), ok in zip(pages, valid) if ok]
+            aside = [i for (i, _), ok in zip(pages, valid) if not ok]
             try:
-                response = provider(list(ordered["raw"]))
+                if not sent:
+                    raise LookupError(NO_VALID_PAGE)
+                response = provider([page for (_, page), ok in zip(pages, valid) if ok])
                 json.loads(response)
             except Exception as problem:  # the provider is foreign code
                 response, error = None, f"{type(problem).__name__}: {problem}"
         return pd.DataFrame(
             {
                 "batch_key": [key[0]],
-                "custom_ids": [list(ordered["custom_id"])],
+                "custom_ids": [sent],
+                "aside": [aside],
                 "response": [response],
                 "error": [error],
             }
         )
 
-    columns = ["batch_key", "line_no", "custom_id", "raw", "malformed"]
-    return pages.select(*columns).groupBy("batch_key").applyInPandas(call, RESPONSES)
+    encoded = lines.select(
+        "batch_key", "line_no", "custom_id", encoding.decode_page(F.col("url")).alias("page"), "malformed"
+    )
+    return encoded.groupBy("batch_key").applyInPandas(call, RESPONSES)
+
+
+def quarantined(responses: DataFrame) -> DataFrame:
+    """``batch_key, custom_id`` of the pages put aside."""
+    return responses.select("batch_key", F.explode("aside").alias("custom_id"))
+
+
+def sent_pages(responses: DataFrame) -> DataFrame:
+    """``batch_key, index, custom_id`` of the pages sent: the manifest of the call."""
+    return responses.select("batch_key", F.posexplode("custom_ids").alias("index", "custom_id"))
 
 
 def split_errors(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -124,14 +150,6 @@ def response_pages(responses: DataFrame) -> DataFrame:
     return flat.withColumn("custom_id", F.get("custom_ids", F.col("index"))).drop("custom_ids")
 
 
-def manifest(pages: DataFrame) -> DataFrame:
-    """``batch_key, index, custom_id`` of the pages sent; a batch is bounded."""
-    order = W.partitionBy("batch_key").orderBy("line_no")
-    return pages.select(
-        "batch_key", (F.row_number().over(order) - 1).alias("index"), "custom_id"
-    )
-
-
 def join_manifest(pages: DataFrame, sent: DataFrame) -> DataFrame:
     """Page ids for stored responses that carry only ``index``."""
     return pages.join(sent, ["batch_key", "index"], "left")

@@ -49,20 +49,28 @@ def file_positions(
     file: str,
     page_no: str = "page_no",
     name: str = "pos",
+    span: int = DEFAULT_SPAN,
 ) -> DataFrame:
     """Position of each page in the sequence of its shard: files in order, pages in order.
 
     ``page_no`` must already be dense within its file, so a page's position is its own
-    number plus the page counts of the files before it. Only file counts are sorted.
+    number plus the page counts of the files before it. Only file counts are sorted. The
+    pages meet them on runs of ``span`` page numbers, so that a file with a third of all
+    pages is not joined in one task. ``shard`` and ``file`` must not be NULL.
     """
-    counts = pages.groupBy(*shard, file).agg(F.count("*").alias("_pages"))
+    cut = pages.withColumn("_block", quotient(F.col(page_no), span))
+    blocks = cut.groupBy(*shard, file, "_block").agg(F.count("*").alias("_pages"))
+    files = blocks.groupBy(*shard, file).agg(
+        F.sum("_pages").alias("_pages"), F.collect_list("_block").alias("_blocks")
+    )
     window = W.partitionBy(*shard) if shard else W.partitionBy(F.lit(0))
     before = window.orderBy(file).rowsBetween(W.unboundedPreceding, -1)
-    shifts = counts.select(*shard, file, F.coalesce(F.sum("_pages").over(before), F.lit(0)).alias("_shift"))
+    shifted = files.withColumn("_shift", F.coalesce(F.sum("_pages").over(before), F.lit(0)))
+    shifts = shifted.select(*shard, file, "_shift", F.explode("_blocks").alias("_block"))
     return (
-        pages.join(shifts, [*shard, file])
+        cut.join(shifts, [*shard, file, "_block"])
         .withColumn(name, F.col("_shift") + F.col(page_no))
-        .drop("_shift")
+        .drop("_shift", "_block")
     )
 
 

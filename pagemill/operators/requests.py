@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from pagemill import constants as C
 from pagemill.functions import encoding, keys
+from pagemill.functions.whole import quotient
 from pagemill.operators import batching, ordinals
 
+STRETCH = 1024
+
 
 def page_requests(pages: DataFrame) -> DataFrame:
     """``custom_id, body`` of every page."""
@@ -39,35 +42,47 @@ def page_sizes(pages: DataFrame) -> DataFrame:
 def batch_members(
     sizes: DataFrame,
     mixed: bool = False,
+    shards: int = 1,
     max_bytes: int = C.MAX_BATCH_BYTES,
     max_pages: int = C.MAX_BATCH_PAGES,
     **plan: int,
 ) -> DataFrame:
     """Batch number of every page; ``pos`` is its place in its sequence.
 
-    By default each file is batched on its own. ``mixed`` uses one sequence over all
-    files in key order, so that a batch may hold pages of several files and at most one
-    batch in all falls short of the limits.
+    By default each file is batched on its own. ``mixed`` puts the files one after the
+    other in key order, so that a batch may hold pages of several files: one sequence
+    over everything, or with ``shards`` > 1 one for each share of the files. Only the
+    last batch of a sequence falls short of the limits.
     """
     if mixed:
-        placed = ordinals.file_positions(sizes, [], "s3_key")
-        return batching.plan_batches(placed, None, "pos", "size", max_bytes, max_pages, **plan)
+        shared = sizes.withColumn("shard", ordinals.shard_of(F.col("s3_key"), shards))
+        placed = ordinals.file_positions(shared, ["shard"], "s3_key")
+        return batching.plan_batches(placed, "shard", "pos", "size", max_bytes, max_pages, **plan)
     placed = sizes.withColumn("pos", F.col("page_no").cast("long"))
     return batching.plan_batches(placed, "s3_key", "pos", "size", max_bytes, max_pages, **plan)
 
 
 def name_batches(members: DataFrame, mixed: bool = False) -> DataFrame:
     """Add ``batch_key``, the same one in every run over the same pages."""
-    return batching.assign_batch_keys(members, [] if mixed else ["s3_key"])
+    return batching.assign_batch_keys(members, ["shard"] if mixed else ["s3_key"])
 
 
 def batched_requests(pages: DataFrame, named: DataFrame) -> DataFrame:
     """Requests with their ``batch_key`` and ``pos``, ready to be written.
 
-    ``named`` has no payload. Where it is small Spark sends it to the pages; otherwise
-    both sides meet on the page's identity, which no skew can concentrate.
+    The pages of a file in one batch are a run of page numbers, so the plan is reduced to
+    one row per run before it meets the pages: some hundred times smaller, it is usually
+    broadcast and the payload stays where it is. Otherwise both sides meet on stretches of
+    ``STRETCH`` page numbers, so a large file is spread over many tasks either way.
     """
-    plan = named.select("s3_key", "page_no", "batch_key", "pos")
-    return page_requests(pages).join(plan, ["s3_key", "page_no"]).select(
-        "batch_key", "pos", "custom_id", "body"
+    runs = named.groupBy("batch_key", "s3_key").agg(
+        F.min("page_no").alias("_first"), F.max("page_no").alias("_last"), F.min("pos").alias("_pos")
+    )
+    stretches = F.sequence(quotient(F.col("_first"), STRETCH), quotient(F.col("_last"), STRETCH))
+    plan = runs.withColumn("_stretch", F.explode(stretches))
+    requests = page_requests(pages).withColumn("_stretch", quotient(F.col("page_no"), STRETCH))
+    return (
+        requests.join(plan, ["s3_key", "_stretch"])
+        .filter(F.col("page_no").between(F.col("_first"), F.col("_last")))
+        .select("batch_key", (F.col("_pos") + F.col("page_no") - F.col("_first")).alias("pos"), "custom_id", "body")
     )

@@ -285,6 +285,7 @@ ORACLE = {
         SELECT doc_id, lang || '/docs/' || doc_id || '.parquet' AS path FROM documents""",
     "decode_round_trip": "SELECT doc_id, lang = 'fr' AS was_gzip, text FROM documents",
     "quarantined_pages": f"{SENT} SELECT custom_id, page_no FROM payload WHERE aside",
+    "ocr_quarantine": f"{SENT} SELECT batch_key, custom_id FROM payload WHERE aside",
     "ocr_pages": f"""{SENT}
         SELECT batch_key, CAST(index AS INTEGER) AS index, markdown, CAST(0 AS BIGINT) AS n_images,
                CAST(200 AS INTEGER) AS dpi, CAST(2339 AS INTEGER) AS height, CAST(1654 AS INTEGER) AS width,

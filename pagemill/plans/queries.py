@@ -72,7 +72,8 @@ def page_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_batches_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A small chunk makes the sequence cross chunk and span borders at any scale.
-    return batching.summarise_batches(D.members(spark, sf_dir, mixed=True, chunk=64, span=4), [])
+    mixed = D.members(spark, sf_dir, mixed=True, chunk=64, span=4)
+    return batching.summarise_batches(mixed, ["shard"]).drop("shard")
 
 
 def batch_members(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,9 +258,9 @@ def _request_lines(pages: DataFrame, named: DataFrame) -> DataFrame:
     )
 
 
-def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = R.name_batches(D.members(spark, sf_dir))
-    return inference.decode_pages(_request_lines(D.pdf_pages(spark, sf_dir), named))
+    return _request_lines(D.pdf_pages(spark, sf_dir), named)
 
 
 def decode_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,31 +279,36 @@ def decode_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarantined_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, aside = inference.split_valid(_decoded(spark, sf_dir))
+    _, aside = inference.split_valid(inference.decode_pages(_lines(spark, sf_dir)))
     return aside.select("custom_id", F.col("line_no").alias("page_no"))
 
 
 def ocr_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All valid pages through the text provider, matched to their ids."""
-    valid, _ = inference.split_valid(_decoded(spark, sf_dir))
-    return inference.response_pages(inference.run_provider(valid, inference.text_provider))
+    responses = inference.run_provider(_lines(spark, sf_dir), inference.text_provider)
+    return inference.response_pages(responses)
+
+
+def ocr_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages the provider's step puts aside."""
+    return inference.quarantined(inference.run_provider(_lines(spark, sf_dir), inference.text_provider))
 
 
 def ocr_pages_by_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from stored response documents and a stored manifest."""
     root = working_folder(spark, "responses")
-    valid, _ = inference.split_valid(_decoded(spark, sf_dir))
-    response_source.write_responses(inference.run_provider(valid, inference.text_provider), root)
-    stored = response_source.read_responses(spark, root).withColumnRenamed("response_key", "batch_key")
-    sent = inference.manifest(valid).withColumn("batch_key", K.response_key(F.col("batch_key")))
+    inference.run_provider(_lines(spark, sf_dir), inference.text_provider).write.parquet(f"{root}/calls")
+    calls = spark.read.schema(inference.RESPONSES).parquet(f"{root}/calls")
+    response_source.write_responses(calls, f"{root}/documents")
+    stored = response_source.read_responses(spark, f"{root}/documents").withColumnRenamed("response_key", "batch_key")
+    sent = inference.sent_pages(calls).withColumn("batch_key", K.response_key(F.col("batch_key")))
     return inference.join_manifest(inference.response_pages(stored), sent).select(
         F.col("batch_key").alias("response_key"), "index", "custom_id", "markdown"
     )
 
 
 def ocr_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid, _ = inference.split_valid(_decoded(spark, sf_dir))
-    return inference.usage(inference.run_provider(valid, inference.text_provider))
+    return inference.usage(inference.run_provider(_lines(spark, sf_dir), inference.text_provider))
 
 
 def limited_provider(pages: list[bytes]) -> str:
@@ -313,11 +319,7 @@ def limited_provider(pages: list[bytes]) -> str:
 
 
 def ocr_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid, _ = inference.split_valid(_decoded(spark, sf_dir))
-    done, failed = inference.split_errors(inference.run_provider(valid, limited_provider))
-    return done.select("batch_key", F.lit(None).cast("string").alias("error")).unionByName(
-        failed.select("batch_key", "error")
-    )
+    return inference.run_provider(_lines(spark, sf_dir), limited_provider).select("batch_key", "error")
 
 
 # --- metrics ---
@@ -449,6 +451,7 @@ QUERIES = {
         decode_round_trip,
         quarantined_pages,
         ocr_pages,
+        ocr_quarantine,
         ocr_pages_by_manifest,
         ocr_usage,
         ocr_errors,

@@ -49,7 +49,7 @@ def document_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def members(spark: SparkSession, sf_dir: str, mixed: bool = False, **plan: int) -> DataFrame:
     sizes = document_sizes(spark, sf_dir)
-    return R.batch_members(sizes, mixed, MAX_BYTES, MAX_PAGES, **plan)
+    return R.batch_members(sizes, mixed, max_bytes=MAX_BYTES, max_pages=MAX_PAGES, **plan)
 
 
 def pdf_payload(toxic: Column) -> Column:

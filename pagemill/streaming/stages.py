@@ -28,7 +28,6 @@ from pagemill.sources import responses as response_source
 from pagemill.streaming.workspace import Workspace
 
 NOT_FOUND = "object not found"
-NO_VALID_PAGE = "no valid page"
 RETRY = "retry"
 
 
@@ -55,6 +54,7 @@ class Limits:
     max_bytes: int = C.MAX_BATCH_BYTES
     max_pages: int = C.MAX_BATCH_PAGES
     mixed: bool = False
+    shards: int = 1
     max_receive_count: int = C.MAX_RECEIVE_COUNT
     max_attempts: int = C.MAX_ATTEMPTS
     max_listed: int = listing.MAX_LISTED
@@ -227,7 +227,9 @@ def page_handler(ws: Workspace, source: PageFiles | PageTable, limits: Limits) -
     """
 
     def plan(spark: SparkSession, pages: DataFrame, epoch: int) -> None:
-        members = R.batch_members(R.page_sizes(pages), limits.mixed, limits.max_bytes, limits.max_pages)
+        members = R.batch_members(
+            R.page_sizes(pages), limits.mixed, limits.shards, limits.max_bytes, limits.max_pages
+        )
         ws.append(R.name_batches(members, limits.mixed), "manifest", C.STAGE_PAGES, epoch)
 
     def handle(spark: SparkSession, todo: DataFrame, epoch: int) -> StageResult:
@@ -292,13 +294,9 @@ def ocr_handler(ws: Workspace, provider: inference.Provider, limits: Limits) ->
         if found is None:
             ws.append(spark.createDataFrame([], inference.RESPONSES), "responses", *me)
         else:
-            decoded = inference.decode_pages(found)
-            # A malformed line fails its batch even though it has no page to test.
-            usable = decoded.withColumn("is_pdf", F.col("is_pdf") | F.col("malformed"))
-            valid, aside = inference.split_valid(usable)
-            ws.append(inference.run_provider(valid, provider), "responses", *me)
-            ws.append(aside, "quarantine", *me)
+            ws.append(inference.run_provider(found, provider), "responses", *me)
         responses = ws.read(spark, "responses", only=me)
+        ws.append(inference.quarantined(responses), "quarantine", *me)
         answered, errors = inference.split_errors(responses)
         response_source.write_responses(answered, ws.path("documents"))
         ws.append(inference.response_pages(answered), "response_pages", *me)
@@ -306,9 +304,9 @@ def ocr_handler(ws: Workspace, provider: inference.Provider, limits: Limits) ->
         finished = answered.select(
             F.col("batch_key").alias("s3_key"), F.size("custom_ids").cast("long").alias("total_pages")
         )
-        silent = todo.join(responses.select(F.col("batch_key").alias("s3_key")), "s3_key", "left_anti")
+        absent = todo.join(responses.select(F.col("batch_key").alias("s3_key")), "s3_key", "left_anti")
         failed = errors.select(F.col("batch_key").alias("s3_key"), "error").unionByName(
-            silent.select("s3_key", F.lit(NO_VALID_PAGE).alias("error"))
+            absent.select("s3_key", F.lit(NOT_FOUND).alias("error"))
         )
         produced = answered.select(K.response_key(F.col("batch_key")).alias("s3_key"))
         return StageResult(finished, failed, produced, C.STAGE_RESPONSES)

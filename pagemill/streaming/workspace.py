@@ -37,6 +37,7 @@ RESPONSES = T.StructType(
     [
         T.StructField("batch_key", T.StringType()),
         T.StructField("custom_ids", T.ArrayType(T.StringType())),
+        T.StructField("aside", T.ArrayType(T.StringType())),
         T.StructField("response", T.StringType()),
         T.StructField("error", T.StringType()),
     ]
@@ -57,7 +58,6 @@ RESPONSE_PAGES = T.StructType(
 QUARANTINE = T.StructType(
     [
         T.StructField("batch_key", T.StringType()),
-        T.StructField("line_no", T.IntegerType()),
         T.StructField("custom_id", T.StringType()),
     ]
 )

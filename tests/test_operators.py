@@ -33,6 +33,29 @@ def test_file_positions(spark):
     ]
 
 
+def test_file_positions_do_not_depend_on_the_span(spark):
+    rows = [("s", "hot", i + 1) for i in range(200)] + [("s", "a", 1), ("s", "z", 1), ("t", "a", 1)]
+    df = spark.createDataFrame(rows, "shard string, s3_key string, page_no long").repartition(4)
+    wanted = {("s", "a", 1): 1, ("s", "z", 1): 202, ("t", "a", 1): 1} | {("s", "hot", i + 1): i + 2 for i in range(200)}
+    for span in (1, 13, 1 << 16):
+        found = ordinals.file_positions(df, ["shard"], "s3_key", span=span).collect()
+        assert {(r["shard"], r["s3_key"], r["page_no"]): r["pos"] for r in found} == wanted
+
+
+def test_sharded_mixed_batches(spark):
+    rows = [(f"f{i}", n + 1, b"x" * 30) for i in range(12) for n in range(i)]
+    pages = spark.createDataFrame(rows, "s3_key string, page_no long, page_bytes binary").repartition(3)
+    members = R.batch_members(R.page_sizes(pages), mixed=True, shards=3, max_pages=5)
+    named = R.name_batches(members, mixed=True)
+    requests = R.batched_requests(pages, named)
+    assert requests.select("custom_id").distinct().count() == requests.count() == len(rows)
+    assert sorted(map(tuple, requests.select("batch_key", "pos", "custom_id").collect())) == sorted(
+        map(tuple, named.select("batch_key", "pos", "custom_id").collect())
+    )
+    sizes = [r["count"] for r in named.groupBy("batch_key", "shard").count().collect()]
+    assert len([n for n in sizes if n < 5]) <= 3 and max(sizes) == 5
+
+
 def log_of(spark, events):
     rows = [
         ("pages", key, event, state.EVENT_STATUS[event], int(event == "page"), int(event == "failed"),
@@ -149,9 +172,15 @@ def test_writing_batches_again_changes_nothing(stored):
 
 def test_provider_sees_valid_pages_in_order(stored):
     spark, root, _ = stored
-    valid, aside = inference.split_valid(inference.decode_pages(request_source.read_batches(spark, root)))
-    assert [r["custom_id"] for r in aside.collect()] == ["f/b.parquet_1"]
-    responses = inference.run_provider(valid, inference.text_provider).persist()
+    lines = request_source.read_batches(spark, root)
+    valid, aside = inference.split_valid(inference.decode_pages(lines))
+    assert [r["custom_id"] for r in aside.collect()] == ["f/b.parquet_1"] and valid.count() == 11
+    responses = inference.run_provider(lines, inference.text_provider).persist()
+    assert [tuple(r)[1] for r in inference.quarantined(responses).collect()] == ["f/b.parquet_1"]
+    assert inference.sent_pages(responses).count() == 11
+    errors = responses.filter("error IS NOT NULL").collect()
+    assert [r["error"] for r in errors] == ["LookupError: no valid page"]
+    responses = responses.filter("error IS NULL")
     found = {r["custom_id"]: r["markdown"] for r in inference.response_pages(responses).collect()}
     assert found == {f"{k}_{n}": p.decode() for k, n, p in PAGES if p.startswith(b"%PDF-")}
 
@@ -161,7 +190,6 @@ def test_provider_sees_valid_pages_in_order(stored):
     assert read.count() == 3
     assert {json.loads(r["response"])["usage_info"]["pages_processed"] for r in read.collect()} == {4, 3}
     assert sum(r["pages_processed"] for r in inference.usage(responses).collect()) == 11
-    responses.unpersist()
 
 
 def test_provider_failures_stay_in_their_batch(stored):
@@ -174,11 +202,11 @@ def test_provider_failures_stay_in_their_batch(stored):
             return "not json"
         return inference.text_provider(pages[1:])
 
-    valid, _ = inference.split_valid(inference.decode_pages(request_source.read_batches(spark, root)))
-    done, failed = inference.split_errors(inference.run_provider(valid, picky))
+    lines = request_source.read_batches(spark, root)
+    done, failed = inference.split_errors(inference.run_provider(lines, picky))
     assert done.count() == 1
     errors = sorted(r["error"] for r in failed.collect())
-    assert errors[0].startswith("JSONDecodeError") and errors[1] == "RuntimeError: no"
+    assert errors[0].startswith("JSONDecodeError") and errors[2] == "RuntimeError: no"
     # A page without an answer has no row.
     assert inference.response_pages(done).count() == 3
 
@@ -191,14 +219,13 @@ def test_malformed_lines_fail_their_batch(spark, tmp_path):
     lines = request_source.read_batches(spark, str(tmp_path))
     found = [(r["batch_key"], r["line_no"], r["malformed"]) for r in lines.orderBy("line_no").collect()]
     assert found == [("jsonl/x.jsonl", 1, False), ("jsonl/x.jsonl", 2, True), ("jsonl/x.jsonl", 3, True)]
-    decoded = inference.decode_pages(lines).drop("is_pdf")
-    row = inference.run_provider(decoded, inference.text_provider).first()
+    row = inference.run_provider(lines, inference.text_provider).first()
     assert (row["response"], row["error"]) == (None, inference.MALFORMED)
 
 
 def test_response_fields_we_do_not_know_stay_in_the_document(spark):
     document = json.dumps({"pages": [{"index": 0, "markdown": "m", "images": [{"id": "i"}], "new": 1}], "more": 2})
-    df = spark.createDataFrame([("b", ["x_1"], document, None)], inference.RESPONSES)
+    df = spark.createDataFrame([("b", ["x_1"], [], document, None)], inference.RESPONSES)
     row = inference.response_pages(df).first()
     assert (row["custom_id"], row["markdown"], row["n_images"], row["dpi"]) == ("x_1", "m", 1, None)
 

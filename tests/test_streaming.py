@@ -176,7 +176,7 @@ def test_a_repeated_micro_batch_changes_nothing(spark, tmp_path, max_listed):
     assert len(answered) == 18
     assert [r["custom_id"] for r in ws.read(spark, "quarantine").collect()] == ["parquets/junk.parquet_1"]
     failed = [r for r in statuses(spark, ws, C.STAGE_OCR).values() if r["status"] == "failed"]
-    assert [r["last_error"] for r in failed] == [stages.NO_VALID_PAGE]
+    assert [r["last_error"] for r in failed] == ["LookupError: no valid page"]
 
 
 def test_mixed_batches_hold_pages_of_several_files(spark, tmp_path):
