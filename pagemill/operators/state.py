@@ -121,8 +121,17 @@ def compact_log(log: DataFrame) -> DataFrame:
     )
 
 
+def about(log: DataFrame, keys: DataFrame) -> DataFrame:
+    """The part of the log that speaks of ``keys``.
+
+    A micro-batch names few keys. Sent to the log they leave little of it to group, and
+    the log itself is not shuffled.
+    """
+    return log.join(keys.select("s3_key"), "s3_key", "left_semi").select(*schemas.STATE_EVENT.names)
+
+
 def done_keys(log: DataFrame, stage: str) -> DataFrame:
-    """Keys that are done. The stage filter reaches the log's partitions."""
+    """Keys of the stage that are done."""
     status = latest_status(log.filter(F.col("stage") == stage))
     return status.filter(F.col("status") == C.STATUS_DONE).select("s3_key")
 

@@ -85,21 +85,23 @@ def run_stage(
     good, poison = routing.split_poison(counted, limits.max_receive_count)
     keyed = routing.message_keys(good).persist()
     work = keyed.filter(F.col("s3_key").isNotNull()).select("s3_key").distinct()
-    todo = state.skip_done(work, log, stage).persist()
-    held = [counted, keyed, todo]
+    known = state.about(log.filter(F.col("stage") == stage), work).persist()
+    todo = state.skip_done(work, known, stage).persist()
+    held = [counted, keyed, known, todo]
     try:
         started = state.state_events(todo, stage, C.EVENT_STARTED, at, epoch * 10)
         ws.append(started, "state", stage, epoch, "start")
 
         result = handler(spark, todo, epoch)
 
-        past = state.counters(log.filter(F.col("stage") == stage)).select("s3_key", "attempts")
+        past = state.counters(known).select("s3_key", "attempts")
         tried = result.failed.join(past, "s3_key", "left").withColumn(
             "attempts", F.coalesce("attempts", F.lit(0)) + 1
         )
         held.append(tried.persist())
         again, given_up = routing.split_retry(tried, limits.max_attempts)
 
+        other = state.about(log.filter(F.col("stage") == result.next_stage), result.produced)
         ended = (
             state.state_events(
                 result.finished,
@@ -113,7 +115,7 @@ def run_stage(
             .unionByName(
                 state.state_events(tried, stage, C.EVENT_FAILED, at, epoch * 10 + 2, error=F.col("error"))
             )
-            .unionByName(state.register_absent(result.produced, log, result.next_stage, at))
+            .unionByName(state.register_absent(result.produced, other, result.next_stage, at))
         )
         ws.append(ended, "state", stage, epoch, "end")
         announced = result.produced.select("s3_key", bodies.announcement(F.col("s3_key")).alias("body"))

@@ -11,11 +11,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagemill import schemas
+from pagemill.operators import state
 
 WRITTEN_BY = [
     T.StructField("writer", T.StringType()),
@@ -62,6 +63,12 @@ QUARANTINE = T.StructType(
     ]
 )
 
+FOLD = [
+    T.StructField("writer", T.StringType()),
+    T.StructField("epoch", T.LongType()),
+    T.StructField("fold", T.LongType()),
+]
+
 TABLES = {
     "state": schemas.STATE_EVENT,
     "announcements": schemas.ANNOUNCEMENT,
@@ -99,16 +106,65 @@ class Workspace:
 
         The tests are on folder names, so other folders are not opened.
         """
-        full = T.StructType([*TABLES[table].fields, *WRITTEN_BY])
+        rows = self._stored(spark, table, [*TABLES[table].fields, *WRITTEN_BY])
+        if table == "state":
+            rows = self._with_folded(spark, rows)
+        if before is not None:
+            rows = rows.filter(~(_by(before[0]) & (F.col("epoch") >= before[1])))
+        if only is not None:
+            rows = rows.filter(_by(only[0]) & (F.col("epoch") == only[1]))
+        return rows.drop("writer", "epoch", "step")
+
+    def _stored(self, spark: SparkSession, name: str, fields: list[T.StructField]) -> DataFrame:
+        schema = T.StructType(fields)
         try:
-            rows = spark.read.schema(full).parquet(self.path(table))
+            return spark.read.schema(schema).parquet(self.path(name))
         except AnalysisException as problem:
             if "PATH_NOT_FOUND" not in str(problem):
                 raise
-            rows = spark.createDataFrame([], full)
-        if before is not None:
-            own = (F.col("writer") == before[0]) & (F.col("epoch") >= before[1])
-            rows = rows.filter(~own)
-        if only is not None:
-            rows = rows.filter((F.col("writer") == only[0]) & (F.col("epoch") == only[1]))
-        return rows.drop("writer", "epoch", "step")
+            return spark.createDataFrame([], schema)
+
+    def _folds(self, spark: SparkSession) -> tuple[int, dict[str, int]]:
+        """Number of the newest finished fold, and the last micro-batch of each writer in it."""
+        rows = self._stored(spark, "state_folds", FOLD)
+        newest = rows.agg(F.max("fold")).first()[0]
+        if newest is None:
+            return -1, {}
+        covered = rows.filter(F.col("fold") == newest).collect()  # one row per writing stage
+        return newest, {row["writer"]: row["epoch"] for row in covered}
+
+    def _with_folded(self, spark: SparkSession, rows: DataFrame) -> DataFrame:
+        """The newest fold of the state log and the log's rows that are not in it."""
+        newest, covered = self._folds(spark)
+        if newest < 0:
+            return rows
+        for writer, epoch in covered.items():
+            rows = rows.filter(~(_by(writer) & (F.col("epoch") <= epoch)))
+        folded = spark.read.schema(TABLES["state"]).parquet(f"{self.path('state_folded')}/fold={newest}")
+        return rows.unionByName(folded, allowMissingColumns=True)
+
+    def fold_state(self, spark: SparkSession) -> None:
+        """Replace the state log, for its readers, by at most two events per key.
+
+        To be run between runs of the stages. The last micro-batch of each stage is left
+        out, because it may have to be run again and must not see itself. What is folded
+        may then be deleted.
+        """
+        newest, covered = self._folds(spark)
+        log = self._stored(spark, "state", [*TABLES["state"].fields, *WRITTEN_BY])
+        last = {r["writer"]: r["epoch"] for r in log.groupBy("writer").agg(F.max("epoch").alias("epoch")).collect()}
+        rows = self._with_folded(spark, log)
+        for writer, epoch in last.items():
+            rows = rows.filter(~(_by(writer) & (F.col("epoch") >= epoch)))
+            covered[writer] = max(epoch - 1, covered.get(writer, -1))
+        fold = newest + 1
+        folded = state.compact_log(rows.select(*TABLES["state"].names))
+        folded.write.mode("overwrite").parquet(f"{self.path('state_folded')}/fold={fold}")
+        # Only this makes the fold count; a fold without it is never read.
+        spark.createDataFrame(list(covered.items()), "writer string, epoch long").coalesce(1).write.mode(
+            "overwrite"
+        ).parquet(f"{self.path('state_folds')}/fold={fold}")
+
+
+def _by(writer: str) -> Column:
+    return F.coalesce(F.col("writer") == writer, F.lit(False))

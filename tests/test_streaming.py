@@ -179,6 +179,63 @@ def test_a_repeated_micro_batch_changes_nothing(spark, tmp_path, max_listed):
     assert [r["last_error"] for r in failed] == ["LookupError: no valid page"]
 
 
+def test_folding_the_log_keeps_the_state_and_the_skips(spark, tmp_path):
+    ws = Workspace(str(tmp_path / "ws"))
+    pages = [(k, i + 1, p) for k, n in FILES.items() for i, p in enumerate(pages_of(k, n))]
+    page_source.write_page_table(
+        spark.createDataFrame(pages, "s3_key string, page_no long, page_bytes binary"), ws.path("pages")
+    )
+    limits = stages.Limits(max_pages=4, max_attempts=1, clock=lambda: FIXED)
+    process = stages.page_stage(ws, stages.PageTable(ws.path("pages")), limits)
+    batches = [message_rows(spark, [b]) for b in BODIES[:4]]
+    for epoch in (0, 1, 2):
+        process(batches[epoch], epoch)
+    before = statuses(spark, ws, C.STAGE_PAGES)
+    assert len(before) == 3
+    ws.fold_state(spark)
+    assert statuses(spark, ws, C.STAGE_PAGES) == before
+    ws.fold_state(spark)
+    assert statuses(spark, ws, C.STAGE_PAGES) == before
+    # Micro-batch 2 is not folded: run again it does the same once more.
+    manifest = sorted(map(str, ws.read(spark, "manifest").collect()))
+    process(batches[2], 2)
+    assert sorted(map(str, ws.read(spark, "manifest").collect())) == manifest
+    assert statuses(spark, ws, C.STAGE_PAGES) == before
+    # Later ones see what is folded.
+    process(batches[0], 3)
+    process(batches[3], 4)
+    assert sorted(map(str, ws.read(spark, "manifest").collect())) == manifest
+    ws.fold_state(spark)
+    now = statuses(spark, ws, C.STAGE_PAGES)
+    assert {k: now[k] for k in before} == before and now["parquets/absent.parquet"]["status"] == "failed"
+    assert ws.read(spark, "state").count() < spark.read.parquet(ws.path("state")).count()
+
+
+def test_waiting_batches_are_flushed(spark, tmp_path):
+    landing, out = tmp_path / "landing", str(tmp_path / "out")
+    landing.mkdir()
+    pd.DataFrame({"shard": ["a"] * 3, "n": [1, 2, 3], "size": [1, 1, 1]}).to_parquet(landing / "1.parquet")
+    stream = spark.readStream.schema("shard string, n long, size long").parquet(str(landing))
+    batched = carry.carry_batches(stream, "shard", "n", max_bytes=100, max_pages=2, flush_after_ms=1500)
+    query = (
+        batched.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "check"))
+        .trigger(processingTime="500 milliseconds").start(out)
+    )
+    try:
+        found = []
+        for _ in range(40):
+            query.awaitTermination(1)
+            found = [tuple(r) for r in spark.read.schema(batched.schema).parquet(out).orderBy("batch_no", "n").collect()] \
+                if os.path.isdir(os.path.join(out, "_spark_metadata")) else []
+            if len(found) == 4:
+                break
+    finally:
+        query.stop()
+    assert sorted(found, key=str) == sorted(
+        [("a", 1, 1, 0, False), ("a", 2, 1, 0, True), ("a", 3, 1, 1, False), ("a", None, None, 1, True)], key=str
+    )
+
+
 def test_mixed_batches_hold_pages_of_several_files(spark, tmp_path):
     ws = Workspace(str(tmp_path / "ws"))
     pages = [(k, i + 1, p) for k, n in FILES.items() for i, p in enumerate(pages_of(k, n))]
