@@ -55,15 +55,53 @@ def expand_entities(tokens: DataFrame, aliases: DataFrame, salts: int = 1) -> Da
     return salted.join(repeated, ["token", "_salt"], "left").drop("_salt")
 
 
-def document_metadata(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """One JSON object per document, computed in the scan's own stage."""
-    body = F.col(text)
+def metadata(id_column: str, text: Column, lang: Column) -> Column:
+    """What is known of a document, as a JSON object."""
     fields = F.struct(
         F.col(id_column),
-        F.col(lang).alias("lang"),
-        F.length(body).cast("long").alias("n_chars"),
-        X.token_count(body).alias("n_tokens"),
-        X.line_count(body).alias("n_lines"),
-        F.sha2(body, 256).alias("sha256"),
+        lang.alias("lang"),
+        F.length(text).cast("long").alias("n_chars"),
+        X.token_count(text).alias("n_tokens"),
+        X.line_count(text).alias("n_lines"),
+        F.sha2(text, 256).alias("sha256"),
+    )
+    return F.to_json(fields)
+
+
+def document_metadata(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """One JSON object per document, computed in the scan's own stage."""
+    return docs.select(id_column, metadata(id_column, F.col(text), F.col(lang)).alias("metadata"))
+
+
+def document_entities(docs: DataFrame, aliases: DataFrame, id_column: str, text: Column) -> DataFrame:
+    """The sorted entities of each document that has any.
+
+    A document's repeated tokens are merged before they meet the aliases, so a frequent
+    word costs one row per document and not one per occurrence.
+    """
+    words = docs.select(id_column, F.explode(F.array_distinct(X.tokens(text))).alias("token"))
+    found = expand_entities(words, aliases).filter(F.col("entity").isNotNull())
+    return found.groupBy(id_column).agg(F.array_sort(F.collect_set("entity")).alias("entities"))
+
+
+def enriched(
+    docs: DataFrame,
+    aliases: DataFrame | None = None,
+    id_column: str = "doc_id",
+    text: str = "text",
+    lang: str = "lang",
+    cleanup: bool = True,
+) -> DataFrame:
+    """Extracted text made ready for the next consumer: text, metadata, entities.
+
+    ``cleanup`` and ``aliases`` switch cleaning and entity expansion on.
+    """
+    body = X.clean(F.col(text)) if cleanup else F.col(text)
+    cleaned = docs.select(id_column, F.col(lang).alias("lang"), body.alias("text"))
+    result = cleaned.select(
+        id_column, "text", metadata(id_column, F.col("text"), F.col("lang")).alias("metadata")
     )
-    return docs.select(id_column, F.to_json(fields).alias("metadata"))
+    if aliases is None:
+        return result
+    entities = document_entities(cleaned, aliases, id_column, X.normalise(F.col("text")))
+    return result.join(entities, id_column, "left")

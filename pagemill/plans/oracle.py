@@ -345,6 +345,19 @@ ORACLE = {
           AND length(regexp_replace(text, '[^\p{{L}}]+', '', 'g')) / length(text) >= 0.7""",
     "entity_expansion": ENTITIES,
     "entity_expansion_salted": ENTITIES,
+    "enriched_docs": f"""WITH cleaned AS (SELECT doc_id, lang, {_clean('text')} AS text FROM documents),
+        words AS (SELECT DISTINCT doc_id, unnest({_words(NORMAL)}) AS token FROM cleaned),
+        aliases AS (
+          SELECT alias, 'item-' || min(item_id) AS canonical
+          FROM (SELECT item_id, unnest({_words(NORMAL)}) AS alias FROM benchmark) GROUP BY alias),
+        entities AS (
+          SELECT doc_id, string_agg(canonical, ',' ORDER BY canonical) AS entities
+          FROM (SELECT DISTINCT doc_id, canonical FROM words JOIN aliases ON token = alias) GROUP BY doc_id)
+        SELECT doc_id, text, '{{"doc_id":' || doc_id || ',"lang":"' || lang || '","n_chars":' || length(text)
+          || ',"n_tokens":' || len({_words('text')})
+          || ',"n_lines":' || (length(text) - length(replace(text, chr(10), '')) + 1)
+          || ',"sha256":"' || sha256(text) || '"}}' AS metadata, coalesce(entities, '') AS entities
+        FROM cleaned LEFT JOIN entities USING (doc_id)""",
     "stream_message_keys": f"""WITH {KEYED}
         SELECT message_id, receive_count, CASE kind WHEN 'VARCHAR' THEN value END AS s3_key
         FROM named WHERE kind <> 'ARRAY'

@@ -416,6 +416,12 @@ def doc_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TX.document_metadata(D.table(spark, sf_dir, "documents"))
 
 
+def enriched_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = D.table(spark, sf_dir, "documents")
+    found = TX.enriched(docs, D.benchmark_aliases(spark, sf_dir))
+    return found.withColumn("entities", F.concat_ws(",", "entities"))
+
+
 QUERIES = {
     query.__name__: query
     for query in [
@@ -470,5 +476,6 @@ QUERIES = {
         entity_expansion,
         entity_expansion_salted,
         doc_metadata,
+        enriched_docs,
     ]
 }

@@ -115,6 +115,15 @@ class Workspace:
             rows = rows.filter(_by(only[0]) & (F.col("epoch") == only[1]))
         return rows.drop("writer", "epoch", "step")
 
+    def next_epoch(self, spark: SparkSession, writer: str) -> int:
+        """Number after the last micro-batch that was completed: outcomes are written last.
+
+        A micro-batch that broke off has this number too, and is replaced.
+        """
+        rows = self._stored(spark, "outcomes", [*TABLES["outcomes"].fields, *WRITTEN_BY])
+        last = rows.filter(_by(writer)).agg(F.max("epoch")).first()[0]
+        return 0 if last is None else last + 1
+
     def _stored(self, spark: SparkSession, name: str, fields: list[T.StructField]) -> DataFrame:
         schema = T.StructType(fields)
         try:

@@ -13,6 +13,7 @@ from pagemill import constants as C
 from pagemill import schemas
 from pagemill.operators import inference, state
 from pagemill.operators import requests as R
+from pagemill.plans import bulk
 from pagemill.sources import messages as message_source
 from pagemill.sources import pages as page_source
 from pagemill.streaming import carry, stages
@@ -236,6 +237,24 @@ def test_waiting_batches_are_flushed(spark, tmp_path):
     )
 
 
+def test_bulk_run_equals_the_streams_and_can_be_repeated(spark, tmp_path, bucket):
+    ws = Workspace(str(tmp_path / "ws"))
+    limits = stages.Limits(max_pages=4, max_attempts=1, clock=lambda: FIXED)
+    keys = spark.createDataFrame([(k,) for k in FILES], "s3_key string")
+    bulk.run_pages(ws, stages.PageFiles(bucket), keys, limits, waves=2)
+    batches = bulk.announced(ws, keys)
+    assert batches.count() == 6
+    bulk.run_inference(ws, inference.text_provider, batches, limits)
+    pages = sorted(map(str, ws.read(spark, "response_pages").collect()))
+    assert len(pages) == sum(FILES.values())
+    bulk.run_pages(ws, stages.PageFiles(bucket), keys, limits, waves=2)
+    bulk.run_inference(ws, inference.text_provider, bulk.announced(ws, keys), limits)
+    assert sorted(map(str, ws.read(spark, "response_pages").collect())) == pages
+    # Three files and six batches, started once each.
+    assert ws.read(spark, "state").filter(F.col("event") == C.EVENT_STARTED).count() == 9
+    assert ws.next_epoch(spark, C.STAGE_PAGES) == 4
+
+
 def test_mixed_batches_hold_pages_of_several_files(spark, tmp_path):
     ws = Workspace(str(tmp_path / "ws"))
     pages = [(k, i + 1, p) for k, n in FILES.items() for i, p in enumerate(pages_of(k, n))]
