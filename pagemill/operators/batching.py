@@ -112,6 +112,9 @@ def plan_batches(
     spread = pages.withColumn(
         "_chunk", F.explode(F.when(border, F.array(own, own - 1)).otherwise(F.array(own)))
     )
+    # Said outright, because Spark would accept pages partitioned by shard alone. Both uses
+    # below share this one shuffle.
+    spread = spread.repartition(shard, "_chunk")
 
     shard_field = T.StructField(shard, pages.schema[shard].dataType)
     long = T.LongType()

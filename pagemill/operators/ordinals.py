@@ -30,8 +30,10 @@ def with_ordinal(
     ``keys`` and ``order`` must not be NULL.
     """
     block = [*keys, "_block"]
-    cut = df.withColumn("_block", quotient(F.col(order), span))
-    counts = cut.groupBy(*block).agg(F.count("*").alias("_rows"))
+    # Spark would accept a partitioning on ``keys`` alone, which a hot key makes useless.
+    cut = df.withColumn("_block", quotient(F.col(order), span)).repartition(*block)
+    counts = df.select(*keys, quotient(F.col(order), span).alias("_block"))
+    counts = counts.groupBy(*block).agg(F.count("*").alias("_rows"))
     before = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     shifts = counts.select(*block, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift"))
     inside = W.partitionBy(*block).orderBy(order)

@@ -11,6 +11,8 @@ from pagemill.functions.whole import quotient
 from pagemill.operators import batching, ordinals
 
 STRETCH = 1024
+# About 200 bytes each, so 100 MB: the plan of some ten terabytes of full batches.
+MAX_BROADCAST_RUNS = 500_000
 
 
 def page_requests(pages: DataFrame) -> DataFrame:
@@ -67,22 +69,37 @@ def name_batches(members: DataFrame, mixed: bool = False) -> DataFrame:
     return batching.assign_batch_keys(members, ["shard"] if mixed else ["s3_key"])
 
 
-def batched_requests(pages: DataFrame, named: DataFrame) -> DataFrame:
-    """Requests with their ``batch_key`` and ``pos``, ready to be written.
+def page_runs(named: DataFrame) -> DataFrame:
+    """``batch_key, s3_key, first_page, last_page, first_pos``: the plan, much shorter.
 
-    The pages of a file in one batch are a run of page numbers, so the plan is reduced to
-    one row per run before it meets the pages: some hundred times smaller, it is usually
-    broadcast and the payload stays where it is. Otherwise both sides meet on stretches of
-    ``STRETCH`` page numbers, so a large file is spread over many tasks either way.
+    The pages of a file in one batch are a run of page numbers, so one row stands for up
+    to ``max_pages`` pages.
     """
-    runs = named.groupBy("batch_key", "s3_key").agg(
-        F.min("page_no").alias("_first"), F.max("page_no").alias("_last"), F.min("pos").alias("_pos")
+    return named.groupBy("batch_key", "s3_key").agg(
+        F.min("page_no").alias("first_page"),
+        F.max("page_no").alias("last_page"),
+        F.min("pos").alias("first_pos"),
     )
-    stretches = F.sequence(quotient(F.col("_first"), STRETCH), quotient(F.col("_last"), STRETCH))
+
+
+def batched_requests(pages: DataFrame, runs: DataFrame, broadcast: bool = False) -> DataFrame:
+    """Requests with their ``batch_key`` and ``pos``, ready to be written.
+
+    With ``broadcast`` (see :func:`fits_broadcast`) the pages stay where they are until
+    they are brought together by batch. Otherwise both sides meet on stretches of
+    ``STRETCH`` page numbers, so that a large file is spread over many tasks.
+    """
+    first, last = F.col("first_page"), F.col("last_page")
+    stretches = F.sequence(quotient(first, STRETCH), quotient(last, STRETCH))
     plan = runs.withColumn("_stretch", F.explode(stretches))
     requests = page_requests(pages).withColumn("_stretch", quotient(F.col("page_no"), STRETCH))
     return (
-        requests.join(plan, ["s3_key", "_stretch"])
-        .filter(F.col("page_no").between(F.col("_first"), F.col("_last")))
-        .select("batch_key", (F.col("_pos") + F.col("page_no") - F.col("_first")).alias("pos"), "custom_id", "body")
+        requests.join(F.broadcast(plan) if broadcast else plan, ["s3_key", "_stretch"])
+        .filter(F.col("page_no").between(first, last))
+        .select("batch_key", (F.col("first_pos") + F.col("page_no") - first).alias("pos"), "custom_id", "body")
     )
+
+
+def fits_broadcast(runs: DataFrame, limit: int = MAX_BROADCAST_RUNS) -> bool:
+    """Whether there are at most ``limit`` runs; ask this of stored runs only."""
+    return runs.limit(limit + 1).count() <= limit

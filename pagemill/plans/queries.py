@@ -94,8 +94,9 @@ def batch_announcements(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all batches as JSON lines, read them back, and decode the pages."""
     root = working_folder(spark, "batches")
-    named = R.name_batches(D.members(spark, sf_dir))
-    request_source.write_batches(R.batched_requests(D.document_pages(spark, sf_dir), named), root)
+    runs = D.stored_runs(spark, sf_dir)
+    requests = R.batched_requests(D.document_pages(spark, sf_dir), runs, R.fits_broadcast(runs))
+    request_source.write_batches(requests, root)
     lines = request_source.read_batches(spark, root)
     return lines.select(
         "batch_key",
@@ -247,8 +248,9 @@ def _compressed(data: pd.Series) -> pd.Series:
     return data.map(lambda value: gzip.compress(value, mtime=0))
 
 
-def _request_lines(pages: DataFrame, named: DataFrame) -> DataFrame:
-    requests = R.batched_requests(pages, named)
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = D.stored_runs(spark, sf_dir)
+    requests = R.batched_requests(D.pdf_pages(spark, sf_dir), runs, R.fits_broadcast(runs))
     return requests.select(
         "batch_key",
         F.col("pos").alias("line_no"),
@@ -258,11 +260,6 @@ def _request_lines(pages: DataFrame, named: DataFrame) -> DataFrame:
     )
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    named = R.name_batches(D.members(spark, sf_dir))
-    return _request_lines(D.pdf_pages(spark, sf_dir), named)
-
-
 def decode_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every text, French ones compressed, and decode it again."""
     raw = F.encode("text", "UTF-8")

@@ -13,6 +13,7 @@ from pagemill import constants as C
 from pagemill.functions import text as X
 from pagemill.operators import ordinals
 from pagemill.operators import requests as R
+from pagemill.session import working_folder
 
 # Small enough for both limits and short tails to occur on the given data.
 MAX_BYTES = 40_000
@@ -52,6 +53,13 @@ def members(spark: SparkSession, sf_dir: str, mixed: bool = False, **plan: int)
     return R.batch_members(sizes, mixed, max_bytes=MAX_BYTES, max_pages=MAX_PAGES, **plan)
 
 
+def stored_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch plan as runs of pages, planned once and stored."""
+    root = working_folder(spark, "runs")
+    R.page_runs(R.name_batches(members(spark, sf_dir))).write.parquet(root)
+    return spark.read.parquet(root)
+
+
 def pdf_payload(toxic: Column) -> Column:
     """Pages marked toxic lack the PDF header."""
     text = F.encode("text", "UTF-8")

@@ -249,7 +249,10 @@ def page_handler(ws: Workspace, source: PageFiles | PageTable, limits: Limits) -
             plan(spark, source.pages(spark, todo, names), epoch)
         planned = ws.read(spark, "manifest", only=(C.STAGE_PAGES, epoch))
         pages = source.pages(spark, todo, names)
-        request_source.write_batches(R.batched_requests(pages, planned), ws.path("batches"))
+        ws.append(R.page_runs(planned), "runs", C.STAGE_PAGES, epoch)
+        runs = ws.read(spark, "runs", only=(C.STAGE_PAGES, epoch))
+        requests = R.batched_requests(pages, runs, R.fits_broadcast(runs))
+        request_source.write_batches(requests, ws.path("batches"))
 
         broken = spark.createDataFrame(list(bad.items()), "s3_key string, error string")
         present = source.present(spark, todo, names).join(broken, "s3_key", "left_anti")
@@ -262,7 +265,7 @@ def page_handler(ws: Workspace, source: PageFiles | PageTable, limits: Limits) -
             .join(broken, "s3_key", "left")
             .select("s3_key", F.coalesce("error", F.lit(NOT_FOUND)).alias("error"))
         )
-        produced = planned.select(F.col("batch_key").alias("s3_key")).distinct()
+        produced = runs.select(F.col("batch_key").alias("s3_key")).distinct()
         return StageResult(finished, missing, produced, C.STAGE_OCR)
 
     return handle

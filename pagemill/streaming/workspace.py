@@ -34,6 +34,15 @@ MANIFEST = T.StructType(
         T.StructField("size", T.LongType()),
     ]
 )
+RUNS = T.StructType(
+    [
+        T.StructField("batch_key", T.StringType()),
+        T.StructField("s3_key", T.StringType()),
+        T.StructField("first_page", T.LongType()),
+        T.StructField("last_page", T.LongType()),
+        T.StructField("first_pos", T.LongType()),
+    ]
+)
 RESPONSES = T.StructType(
     [
         T.StructField("batch_key", T.StringType()),
@@ -75,6 +84,7 @@ TABLES = {
     "dead_letters": schemas.DEAD_LETTER,
     "outcomes": schemas.OUTCOME,
     "manifest": MANIFEST,
+    "runs": RUNS,
     "responses": RESPONSES,
     "response_pages": RESPONSE_PAGES,
     "quarantine": QUARANTINE,

@@ -47,7 +47,10 @@ def test_sharded_mixed_batches(spark):
     pages = spark.createDataFrame(rows, "s3_key string, page_no long, page_bytes binary").repartition(3)
     members = R.batch_members(R.page_sizes(pages), mixed=True, shards=3, max_pages=5)
     named = R.name_batches(members, mixed=True)
-    requests = R.batched_requests(pages, named)
+    requests = R.batched_requests(pages, R.page_runs(named))
+    sent = R.batched_requests(pages, R.page_runs(named), broadcast=True)
+    assert sorted(map(str, requests.collect())) == sorted(map(str, sent.collect()))
+    assert R.fits_broadcast(R.page_runs(named)) and not R.fits_broadcast(R.page_runs(named), 3)
     assert requests.select("custom_id").distinct().count() == requests.count() == len(rows)
     assert sorted(map(tuple, requests.select("batch_key", "pos", "custom_id").collect())) == sorted(
         map(tuple, named.select("batch_key", "pos", "custom_id").collect())
@@ -143,7 +146,7 @@ def stored(spark):
     pages = spark.createDataFrame(PAGES, "s3_key string, page_no long, page_bytes binary").repartition(3)
     named = R.name_batches(R.batch_members(R.page_sizes(pages), max_pages=4))
     root = working_folder(spark, "stored")
-    request_source.write_batches(R.batched_requests(pages, named), root)
+    request_source.write_batches(R.batched_requests(pages, R.page_runs(named)), root)
     return spark, root, named
 
 
@@ -166,7 +169,7 @@ def test_writing_batches_again_changes_nothing(stored):
     spark, root, named = stored
     before = sorted(map(tuple, request_source.read_batches(spark, root).collect()))
     pages = spark.createDataFrame(PAGES, "s3_key string, page_no long, page_bytes binary").repartition(7)
-    request_source.write_batches(R.batched_requests(pages, named), root)
+    request_source.write_batches(R.batched_requests(pages, R.page_runs(named)), root)
     assert sorted(map(tuple, request_source.read_batches(spark, root).collect())) == before
 
 
