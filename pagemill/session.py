@@ -18,17 +18,33 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Pages are large binaries: keep Arrow batches small so a worker holds few of them.
+    # Pages are large binaries: keep batches small so that a task holds few of them.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+    "spark.sql.parquet.columnarReaderBatchSize": "1024",
 }
 
 
-def build_session(app: str = "pagemill", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with :data:`SETTINGS`; ``extra`` uses ``__`` for dots."""
+# Shuffled bytes per partition, and the most partitions a shuffle should have.
+PARTITION_BYTES = 256 * 1024 * 1024
+MAX_PARTITIONS = 100_000
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """Partitions that keep a shuffle of ``input_bytes`` in the memory of its tasks."""
+    return max(200, min(MAX_PARTITIONS, -(-input_bytes // PARTITION_BYTES)))
+
+
+def build_session(
+    app: str = "pagemill", master: str | None = None, input_bytes: int | None = None, **extra: str
+) -> SparkSession:
+    """A session with :data:`SETTINGS`, sized for ``input_bytes``; ``extra`` uses ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for name, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in extra.items()}}.items():
+    settings = dict(SETTINGS)
+    if input_bytes is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))
+    for name, value in {**settings, **{k.replace("__", "."): v for k, v in extra.items()}}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 
