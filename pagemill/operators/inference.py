@@ -156,8 +156,9 @@ def join_manifest(pages: DataFrame, sent: DataFrame) -> DataFrame:
 
 
 def usage(responses: DataFrame) -> DataFrame:
-    """Pages and bytes each response says it covered."""
-    parsed = responses.withColumn("_doc", F.from_json("response", schemas.RESPONSE))
+    """Pages and bytes each response says it covered; failed calls have none."""
+    answered, _ = split_errors(responses)
+    parsed = answered.withColumn("_doc", F.from_json("response", schemas.RESPONSE))
     return parsed.select(
         "batch_key",
         "_doc.model",

@@ -301,9 +301,11 @@ ORACLE = {
                CAST(sum(octet_length(encode(markdown))) AS BIGINT) AS doc_size_bytes
         FROM sent GROUP BY batch_key""",
     "ocr_errors": f"""{SENT}
-        SELECT batch_key, CASE WHEN sum(octet_length(encode(markdown))) > {PROVIDER_LIMIT}
-                               THEN 'ValueError: document too large' END AS error
-        FROM sent GROUP BY batch_key""",
+        SELECT batch_key,
+               CASE WHEN count(markdown) = 0 THEN 'LookupError: no valid page'
+                    WHEN sum(octet_length(encode(markdown))) > {PROVIDER_LIMIT}
+                    THEN 'ValueError: document too large' END AS error
+        FROM summary LEFT JOIN sent USING (batch_key) GROUP BY batch_key""",
     "outcome_counts": f"""WITH {OUTCOMES}
         SELECT queue, count(*) AS received, count(*) FILTER (WHERE outcome = 'processed') AS processed,
                count(*) FILTER (WHERE outcome <> 'processed') AS failed,

@@ -296,7 +296,8 @@ def ocr_pages_by_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = working_folder(spark, "responses")
     inference.run_provider(_lines(spark, sf_dir), inference.text_provider).write.parquet(f"{root}/calls")
     calls = spark.read.schema(inference.RESPONSES).parquet(f"{root}/calls")
-    response_source.write_responses(calls, f"{root}/documents")
+    answered, _ = inference.split_errors(calls)
+    response_source.write_responses(answered, f"{root}/documents")
     stored = response_source.read_responses(spark, f"{root}/documents").withColumnRenamed("response_key", "batch_key")
     sent = inference.sent_pages(calls).withColumn("batch_key", K.response_key(F.col("batch_key")))
     return inference.join_manifest(inference.response_pages(stored), sent).select(
