@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A micro-batch names a bounded number of objects (messages per poll, keys per message),
@@ -20,18 +20,63 @@ def listed(keys: DataFrame, limit: int = MAX_LISTED) -> list[str] | None:
     return None if len(rows) > limit else sorted(row["s3_key"] for row in rows)
 
 
-def any_of(root: str, names: list[str]) -> str:
-    """A path pattern for ``names`` below ``root``; names that do not exist do no harm."""
-    escaped = [re.sub(r"([\\{}\[\]*?,])", r"\\\1", name) for name in names]
-    return f"{root.rstrip('/')}/{{{','.join(escaped)}}}"
+SPECIAL = r"[\\{}\[\]*?,^]"
 
 
-def existing_files(spark: SparkSession, root: str, pattern: str) -> DataFrame | None:
-    """``path`` (as a URI) of the files a pattern finds, None without any; contents are not read."""
+def as_pattern(name: str) -> str:
+    """A path pattern that finds ``name``: any character stands for those patterns use.
+
+    It may find similar names as well; callers compare keys afterwards.
+    """
+    return re.sub(SPECIAL, "?", name)
+
+
+def has_patterns(names: list[str]) -> bool:
+    return any(re.search(SPECIAL, name) for name in names)
+
+
+def paths_of(root: str, names: list[str]) -> list[str]:
+    """Patterns for the paths of ``names`` below ``root``."""
+    return [f"{root.rstrip('/')}/{as_pattern(name)}" for name in names]
+
+
+# Scheme and authority of a URI: ``s3a://bucket``, ``hdfs://host:port``, ``file:``.
+AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
+def key_under(root: str, path: Column) -> Column:
+    """The part of a file's URI below the absolute folder ``root``, in plain text."""
+    folder = re.sub(AUTHORITY, "", root).rstrip("/")
+    local = F.regexp_replace(path, AUTHORITY, "")
+    # URIs are percent-encoded, and a plus sign in them stands for itself.
+    plain = F.url_decode(F.replace(local, F.lit("+"), F.lit("%2B")))
+    return F.substr(plain, F.lit(len(folder) + 2))
+
+
+def file_keys(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame | None:
+    """``s3_key`` of all files below ``root``, or of those a pattern finds; None without any.
+
+    Contents are not read.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(pattern)
+        files = reader.load(root if pattern is None else pattern)
     except AnalysisException as problem:
         if "PATH_NOT_FOUND" not in str(problem):
             raise
         return None
-    return files.select(F.col("_metadata.file_path").alias("path"))
+    return files.select(key_under(root, F.col("_metadata.file_path")).alias("s3_key"))
+
+
+def existing(spark: SparkSession, root: str, names: list[str], folders: bool = False) -> list[str]:
+    """Those of a bounded list of names that are files, or folders with files, below ``root``."""
+    if not names:
+        return []
+    pattern = f"{root.rstrip('/')}/{{{','.join(as_pattern(name) for name in names)}}}"
+    found = file_keys(spark, root, pattern)
+    if found is None:
+        return []
+    keys = {row["s3_key"] for row in found.collect()}
+    if folders:
+        keys = {key.rpartition("/")[0] for key in keys}
+    return [name for name in names if name in keys]

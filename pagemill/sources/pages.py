@@ -12,6 +12,7 @@ from pagemill.functions import bodies
 from pagemill.functions import keys as K
 from pagemill.functions.whole import quotient
 from pagemill.operators import ordinals, state
+from pagemill.sources.listing import key_under
 
 PAGE_TABLE = T.StructType(
     [
@@ -24,14 +25,6 @@ PAGE_TABLE = T.StructType(
 PAGES_PER_FILE = 4096
 
 
-def key_under(root: str, path: Column) -> Column:
-    """A file's key: its path below the bucket folder ``root``."""
-    folder = "/" + root.split("://", 1)[-1].removeprefix("file:").strip("/") + "/"
-    # File paths are percent-encoded URIs in which a plus sign stands for itself.
-    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    return F.substring_index(plain, folder, -1)
-
-
 def scan_pages(spark: SparkSession, root: str, paths: list[str] | None = None) -> DataFrame:
     """``s3_key, page_no, page_bytes`` of the page files below ``root``, or of ``paths`` there.
 

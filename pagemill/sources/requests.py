@@ -60,6 +60,6 @@ def read_batches(spark: SparkSession, root: str, paths: list[str] | None = None)
     )
 
 
-def batch_folder(root: str, key: str) -> str:
-    """Folder of one batch object below ``root``."""
-    return f"{root}/batch_key={key.replace('/', '%2F')}"
+def batch_folder(key: str) -> str:
+    """Name of the folder that holds one batch object."""
+    return f"batch_key={key.replace('/', '%2F')}"

@@ -173,14 +173,16 @@ class PageTable:
 
     root: str
 
-    def pages(self, spark: SparkSession, todo: DataFrame, names: list[str] | None) -> DataFrame:
-        table = page_source.scan_page_table(spark, self.root)
-        if names is None:
-            return table.join(todo, "s3_key", "left_semi")
-        return table.filter(F.col("s3_key").isin(names))
+    def existing(self, spark: SparkSession, names: list[str]) -> list[str]:
+        folders = page_source.scan_page_table(spark, self.root).filter(F.col("s3_key").isin(names))
+        return sorted(row["s3_key"] for row in folders.select("s3_key").distinct().collect())
 
-    def present(self, spark: SparkSession, todo: DataFrame, names: list[str] | None) -> DataFrame:
-        return self.pages(spark, todo, names).select("s3_key").distinct()
+    def keys(self, spark: SparkSession) -> DataFrame:
+        return page_source.scan_page_table(spark, self.root).select("s3_key").distinct()
+
+    def pages(self, spark: SparkSession, names: list[str] | None) -> DataFrame:
+        table = page_source.scan_page_table(spark, self.root)
+        return table if names is None else table.filter(F.col("s3_key").isin(names))
 
 
 @dataclass(frozen=True)
@@ -189,29 +191,26 @@ class PageFiles:
 
     root: str
 
-    def _found(self, spark: SparkSession, names: list[str] | None) -> DataFrame:
-        pattern = self.root if names is None else listing.any_of(self.root, names)
-        files = listing.existing_files(spark, self.root, pattern) if names != [] else None
-        if files is None:
-            return spark.createDataFrame([], "s3_key string")
-        return files.select(page_source.key_under(self.root, F.col("path")).alias("s3_key"))
+    def existing(self, spark: SparkSession, names: list[str]) -> list[str]:
+        return listing.existing(spark, self.root, names)
+
+    def keys(self, spark: SparkSession) -> DataFrame:
+        found = listing.file_keys(spark, self.root)
+        return spark.createDataFrame([], "s3_key string") if found is None else found
 
-    def pages(self, spark: SparkSession, todo: DataFrame, names: list[str] | None) -> DataFrame:
+    def pages(self, spark: SparkSession, names: list[str] | None) -> DataFrame:
         if names is None:
-            return page_source.scan_pages(spark, self.root).join(todo, "s3_key", "left_semi")
-        if not names or listing.existing_files(spark, self.root, listing.any_of(self.root, names)) is None:
+            return page_source.scan_pages(spark, self.root)
+        if not names:
             return spark.createDataFrame([], "s3_key string, page_no long, page_bytes binary")
-        return page_source.scan_pages(spark, self.root, [listing.any_of(self.root, names)])
-
-    def present(self, spark: SparkSession, todo: DataFrame, names: list[str] | None) -> DataFrame:
-        return todo.join(self._found(spark, names), "s3_key", "left_semi")
+        pages = page_source.scan_pages(spark, self.root, listing.paths_of(self.root, names))
+        return pages.filter(F.col("s3_key").isin(names)) if listing.has_patterns(names) else pages
 
 
 def unreadable(spark: SparkSession, source: PageFiles | PageTable, names: list[str]) -> dict[str, str]:
     """Files that cannot be read, found by halving the list; only runs after a failure."""
     try:
-        todo = spark.createDataFrame([(n,) for n in names], "s3_key string")
-        source.pages(spark, todo, names).write.format("noop").mode("overwrite").save()
+        source.pages(spark, names).write.format("noop").mode("overwrite").save()
         return {}
     except Exception as problem:
         if len(names) == 1:
@@ -235,38 +234,42 @@ def page_handler(ws: Workspace, source: PageFiles | PageTable, limits: Limits) -
         ws.append(R.name_batches(members, limits.mixed), "manifest", C.STAGE_PAGES, epoch)
 
     def handle(spark: SparkSession, todo: DataFrame, epoch: int) -> StageResult:
-        names = listing.listed(todo, limits.max_listed)
         bad: dict[str, str] = {}
-        try:
-            plan(spark, source.pages(spark, todo, names), epoch)
-        except Exception:
-            if not names:
-                raise
-            bad = unreadable(spark, source, names)
-            if not bad:
-                raise
-            names = [n for n in names if n not in bad]
-            plan(spark, source.pages(spark, todo, names), epoch)
+        names = listing.listed(todo, limits.max_listed)
+        if names is None:
+            present = todo.join(source.keys(spark), "s3_key", "left_semi")
+            pages = source.pages(spark, None).join(todo, "s3_key", "left_semi")
+            plan(spark, pages, epoch)
+        else:
+            names = source.existing(spark, names)
+            try:
+                plan(spark, source.pages(spark, names), epoch)
+            except Exception:
+                bad = unreadable(spark, source, names)
+                if not bad:
+                    raise
+                names = [name for name in names if name not in bad]
+                plan(spark, source.pages(spark, names), epoch)
+            present = spark.createDataFrame([(name,) for name in names], "s3_key string")
+            pages = source.pages(spark, names)
         planned = ws.read(spark, "manifest", only=(C.STAGE_PAGES, epoch))
-        pages = source.pages(spark, todo, names)
         ws.append(R.page_runs(planned), "runs", C.STAGE_PAGES, epoch)
         runs = ws.read(spark, "runs", only=(C.STAGE_PAGES, epoch))
         requests = R.batched_requests(pages, runs, R.fits_broadcast(runs))
         request_source.write_batches(requests, ws.path("batches"))
 
         broken = spark.createDataFrame(list(bad.items()), "s3_key string, error string")
-        present = source.present(spark, todo, names).join(broken, "s3_key", "left_anti")
         counts = page_source.pages_per_file(planned)
         finished = present.join(counts, "s3_key", "left").select(
             "s3_key", F.coalesce("total_pages", F.lit(0)).alias("total_pages")
         )
-        missing = (
+        failed = (
             todo.join(present, "s3_key", "left_anti")
             .join(broken, "s3_key", "left")
             .select("s3_key", F.coalesce("error", F.lit(NOT_FOUND)).alias("error"))
         )
         produced = runs.select(F.col("batch_key").alias("s3_key")).distinct()
-        return StageResult(finished, missing, produced, C.STAGE_OCR)
+        return StageResult(finished, failed, produced, C.STAGE_OCR)
 
     return handle
 
@@ -287,11 +290,9 @@ def ocr_handler(ws: Workspace, provider: inference.Provider, limits: Limits) ->
         if names is None:
             batches = request_source.read_batches(spark, root)
             return batches.join(todo.withColumnRenamed("s3_key", "batch_key"), "batch_key", "left_semi")
-        folders = [request_source.batch_folder("", name).lstrip("/") for name in names]
-        pattern = listing.any_of(root, folders)
-        if not names or listing.existing_files(spark, root, pattern) is None:
-            return None
-        return request_source.read_batches(spark, root, [pattern])
+        folders = [request_source.batch_folder(name) for name in names]
+        folders = listing.existing(spark, root, folders, folders=True)
+        return request_source.read_batches(spark, root, listing.paths_of(root, folders)) if folders else None
 
     def handle(spark: SparkSession, todo: DataFrame, epoch: int) -> StageResult:
         me = (C.STAGE_OCR, epoch)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pagemill import constants as C
 from pagemill.functions import bodies, clock, encoding, keys, text, whole
+from pagemill.sources import listing
 
 PAGES = [b"", b"a", b"ab", b"abc", b"x" * 57, b"x" * 58, bytes(range(256)) * 3, "é漢😀".encode()]
 
@@ -87,6 +88,20 @@ def test_object_path(spark):
     assert [r[0] for r in df.select(keys.object_path(F.col("b"), F.col("k"))).collect()] == ["b/k/x"] * 2
 
 
+@pytest.mark.parametrize(
+    "root,uri,key",
+    [
+        ("/tmp/b", "file:///tmp/b/x/b/y%20z.parquet", "x/b/y z.parquet"),
+        ("file:///tmp/b/", "file:/tmp/b/a+b.parquet", "a+b.parquet"),
+        ("s3a://bucket", "s3a://bucket/p/q%25.parquet", "p/q%.parquet"),
+        ("hdfs:///data", "hdfs://host:8020/data/data/k", "data/k"),
+    ],
+)
+def test_key_below_a_folder(spark, root, uri, key):
+    df = spark.createDataFrame([(uri,)], "u string")
+    assert df.select(listing.key_under(root, F.col("u"))).first()[0] == key
+
+
 BODIES = [
     ('{"s3_key":"parquets/a.parquet"}', ["parquets/a.parquet"]),
     ("parquets/a.parquet", ["parquets/a.parquet"]),

@@ -31,7 +31,7 @@ def pages_of(name, count):
     return [f"%PDF- {name} {i}".encode() for i in range(count)]
 
 
-FILES = {"parquets/a.parquet": 10, "parquets/b c.parquet": 3, "deep/er/d.parquet": 5}
+FILES = {"parquets/a.parquet": 10, "parquets/b c.parquet": 3, "deep/bucket/d+{1,2}%20.parquet": 5}
 
 
 @pytest.fixture
@@ -40,6 +40,7 @@ def bucket(tmp_path):
     for key, count in FILES.items():
         write_file(root, key, pages_of(key, count))
     write_file(root, "parquets/empty.parquet", [])
+    write_file(root, "deep/bucket/d+_1_2_%20.parquet", pages_of("not asked for", 2))
     with open(os.path.join(root, "parquets/broken.parquet"), "wb") as f:
         f.write(b"PAR1 this is not parquet")
     return root
@@ -48,7 +49,7 @@ def bucket(tmp_path):
 BODIES = [
     ("1", '{"s3_key":"parquets/a.parquet"}', None),
     ("2", "parquets/b c.parquet", "2"),
-    ("3", '{"s3_keys":["deep/er/d.parquet","parquets/a.parquet"]}', None),
+    ("3", '{"s3_keys":["deep/bucket/d+{1,2}%20.parquet","parquets/a.parquet"]}', None),
     ("4", "parquets/absent.parquet", None),
     ("5", "parquets/broken.parquet", None),
     ("6", "parquets/a.parquet", "3"),
@@ -102,7 +103,7 @@ def test_both_stages_over_page_files(spark, tmp_path, bucket):
     ]
 
     # The plan equals the one made in batch over the same files.
-    pages = page_source.scan_pages(spark, bucket, [f"{bucket}/{k}" for k in FILES])
+    pages = stages.PageFiles(bucket).pages(spark, list(FILES))
     named = R.name_batches(R.batch_members(R.page_sizes(pages), max_pages=4))
     columns = ["custom_id", "batch_key", "pos"]
     planned = ws.read(spark, "manifest").select(*columns)
