@@ -146,7 +146,7 @@ def poison_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, poison = routing.split_poison(routing.with_receive_count(D.messages(spark, sf_dir)))
-    letters = routing.raw_letters(poison, F.lit("2024-02-01").cast("timestamp"))
+    letters = routing.raw_letters(poison, clock.from_utc_text(F.lit("2024-02-01")))
     return letters.groupBy("body").agg(F.count("*").alias("n"))
 
 
@@ -154,7 +154,7 @@ def failed_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dead letters of the keys whose status is failed."""
     log = D.state_log(D.table(spark, sf_dir, "events"))
     failed = state.latest_status(log).filter(F.col("status") == C.STATUS_FAILED)
-    at = F.lit("2024-02-01 03:04:05.678901").cast("timestamp")
+    at = clock.from_utc_text(F.lit("2024-02-01 03:04:05.678901"))
     letters = routing.failed_key_letters(failed, at).unionByName(routing.failed_page_letters(failed, at))
     return letters.select(
         "body", "reason", F.concat_ws(",", "keys").alias("keys"), clock.iso_utc(F.col("at")).alias("at")
@@ -211,7 +211,7 @@ def skipped_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def register_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = D.registered_log(spark, sf_dir)
-    at = F.lit("2024-02-01").cast("timestamp")
+    at = clock.from_utc_text(F.lit("2024-02-01"))
     events = state.register_absent(D.document_keys(spark, sf_dir), log, C.STAGE_PAGES, at)
     return events.select("stage", "s3_key", "event", "status", clock.epoch_seconds(F.col("event_ts")).alias("at"))
 
@@ -338,7 +338,7 @@ def proc_time_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def in_flight(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = F.lit(IN_FLIGHT_AT).cast("timestamp")
+    at = clock.from_utc_text(F.lit(IN_FLIGHT_AT))
     return metrics.in_flight(D.outcomes(D.table(spark, sf_dir, "events")), at)
 
 

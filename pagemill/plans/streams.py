@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill import constants as C
-from pagemill.functions import bodies, encoding
+from pagemill.functions import bodies, clock, encoding
 from pagemill.functions import keys as K
 from pagemill.operators import inference, metrics, routing, state
 from pagemill.plans import queries as Q
@@ -92,7 +92,7 @@ def _pipeline(spark: SparkSession, sf_dir: str) -> Workspace:
     ws = Workspace(working_folder(spark, "pipeline"))
     pages = D.pdf_pages(spark, sf_dir)
     events, announced = page_source.stage_pages(
-        pages, ws.path("pages"), ws.read(spark, "state"), F.lit("2024-01-01").cast("timestamp")
+        pages, ws.path("pages"), ws.read(spark, "state"), clock.from_utc_text(F.lit("2024-01-01"))
     )
     ws.append(events, "state", "staging", 0)
     # Every file is announced twice, and one key that does not exist is asked for.

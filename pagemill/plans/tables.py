@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill import constants as C
+from pagemill.functions import clock
 from pagemill.functions import text as X
 from pagemill.operators import ordinals
 from pagemill.operators import requests as R
@@ -144,14 +145,14 @@ def state_log(events: DataFrame) -> DataFrame:
         F.when(kind == "error", 1).otherwise(0).cast("long").alias("attempt_inc"),
         F.when(kind == "purchase", F.get_json_object("props", "$.k").cast("long")).alias("total_pages"),
         F.when(kind == "error", F.substring(F.repeat("props", 120), 1, C.LAST_ERROR_CHARS)).alias("last_error"),
-        F.col("ts").cast("timestamp").alias("event_ts"),
+        clock.from_utc_text(F.col("ts")).alias("event_ts"),
         F.col("event_id").alias("seq"),
     )
 
 
 def outcomes(events: DataFrame) -> DataFrame:
     """Events as message outcomes: the type is the queue, the value its seconds."""
-    started = F.col("ts").cast("timestamp")
+    started = clock.from_utc_text(F.col("ts"))
     outcome = (
         F.when(F.col("event_id") % 7 == 0, C.OUTCOME_DEAD_LETTER)
         .when(F.col("event_id") % 11 == 0, C.OUTCOME_FAILED)

@@ -161,9 +161,14 @@ def test_letters_and_errors(spark):
 
 
 def test_clock(spark):
-    at = F.lit("2024-01-01 00:00:07.179575").cast("timestamp")
-    row = spark.range(1).select(clock.iso_utc(at).alias("i"), clock.epoch_seconds(at).alias("e")).first()
-    assert (row["i"], row["e"]) == ("2024-01-01T00:00:07.179575Z", 1704067207)
+    try:
+        for zone in ("America/New_York", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            at = clock.from_utc_text(F.lit("2024-01-01 00:00:07.179575"))
+            row = spark.range(1).select(clock.iso_utc(at).alias("i"), clock.epoch_seconds(at).alias("e")).first()
+            assert (row["i"], row["e"]) == ("2024-01-01T00:00:07.179575Z", 1704067207)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_whole_division_keeps_large_ids(spark):
