@@ -56,6 +56,8 @@ def main() -> None:
         spark__sql__shuffle__partitions=cpus if cpus.isdigit() else "8",
         spark__ui__enabled="false",
         spark__driver__memory="8g",
+        # One machine: many tiny listing tasks only cost time.
+        spark__sql__sources__parallelPartitionDiscovery__parallelism="32",
     )
     spark.sparkContext.setLogLevel("ERROR")
     every = {**QUERIES, **STREAMS}

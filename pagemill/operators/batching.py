@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -237,6 +238,16 @@ def summarise_batches(batched: DataFrame, shard: list[str], pos: str = "pos") ->
 
 
 def assign_batch_keys(batched: DataFrame, shard: list[str], pos: str = "pos") -> DataFrame:
-    """Add each page's ``batch_key``."""
-    names = summarise_batches(batched, shard, pos).select(*shard, "batch_no", "batch_key")
-    return batched.join(names, [*shard, "batch_no"])
+    """Add each page's ``batch_key``.
+
+    A window over the batch, which is bounded, so that the plan is not computed once for
+    its summary and again to be joined with it.
+    """
+    batch = W.partitionBy(*shard, "batch_no")
+    ends = {
+        "_pages": F.count("*").over(batch),
+        "_first": F.min_by("custom_id", pos).over(batch),
+        "_last": F.max_by("custom_id", pos).over(batch),
+    }
+    name = K.batch_key(F.col("_first"), F.col("_last"), F.col("_pages"))
+    return batched.withColumns(ends).withColumn("batch_key", name).drop(*ends)

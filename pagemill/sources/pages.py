@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from pagemill import constants as C
 from pagemill import schemas
 from pagemill.functions import bodies
-from pagemill.functions import keys as K
 from pagemill.functions.whole import quotient
 from pagemill.operators import ordinals, state
 from pagemill.sources.listing import key_under
@@ -103,8 +102,3 @@ def stage_pages(pages: DataFrame, root: str, log: DataFrame, at: Column) -> tupl
         F.lit(None).cast("map<string,string>").alias("attributes"),
     )
     return events, messages
-
-
-def object_paths(keys: DataFrame, bucket: str) -> DataFrame:
-    """Add the full path of each key."""
-    return keys.withColumn("path", K.object_path(F.lit(bucket), F.col("s3_key")))
