@@ -95,9 +95,13 @@ def decompressed(data: bytes | None) -> bytes | None:
         return data
 
 
-@F.pandas_udf(T.BinaryType())
-def gunzip(data: pd.Series) -> pd.Series:
-    return data.map(decompressed)
+def gunzip(data: Column) -> Column:
+    """:func:`decompressed` on a column."""
+
+    def unpack(values: pd.Series) -> pd.Series:
+        return values.map(decompressed)
+
+    return F.pandas_udf(unpack, T.BinaryType())(data)
 
 
 def decode_page(url: Column) -> Column:

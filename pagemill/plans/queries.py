@@ -5,7 +5,7 @@ from __future__ import annotations
 import gzip
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -243,9 +243,11 @@ def object_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- decoding and inference ---
 
 
-@F.pandas_udf(T.BinaryType())
-def _compressed(data: pd.Series) -> pd.Series:
-    return data.map(lambda value: gzip.compress(value, mtime=0))
+def _compressed(data: Column) -> Column:
+    def pack(values: pd.Series) -> pd.Series:
+        return values.map(lambda value: gzip.compress(value, mtime=0))
+
+    return F.pandas_udf(pack, T.BinaryType())(data)
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,7 +266,7 @@ def decode_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every text, French ones compressed, and decode it again."""
     raw = F.encode("text", "UTF-8")
     docs = D.table(spark, sf_dir, "documents").select("doc_id", "lang", raw.alias("raw"))
-    packed = docs.filter(F.col("lang") == "fr").withColumn("raw", _compressed("raw"))
+    packed = docs.filter(F.col("lang") == "fr").withColumn("raw", _compressed(F.col("raw")))
     both = packed.unionByName(docs.filter(F.col("lang") != "fr"))
     urls = both.select("doc_id", encoding.data_url(F.col("raw")).alias("url"))
     sent = encoding.decode_page(F.col("url"))

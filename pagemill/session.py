@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
+ARCHIVE = "pagemill.zip"
+
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 # Settings that hold at any size: the optimizer re-plans from observed sizes, splits
@@ -46,7 +50,29 @@ def build_session(
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))
     for name, value in {**settings, **{k.replace("__", "."): v for k, v in extra.items()}}.items():
         builder = builder.config(name, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, whose Python workers import it.
+
+    Needed once per application, unless it is installed there or given to spark-submit
+    with ``--py-files``.
+    """
+    context = spark.sparkContext
+    if any(os.path.basename(path) == ARCHIVE for path in context._python_includes):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="pagemill-"), ARCHIVE)
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
 
 
 def working_folder(spark: SparkSession, name: str) -> str:
