@@ -9,9 +9,9 @@ from pagemill import constants as C
 
 
 def receive_count(attributes: Column) -> Column:
-    """Delivery count from message attributes, 1 when absent."""
+    """Delivery count from message attributes, 1 when absent, NULL when it is not a number."""
     value = attributes[C.RECEIVE_COUNT_ATTRIBUTE]
-    return F.coalesce(value, F.lit(C.DEFAULT_RECEIVE_COUNT)).cast("int")
+    return F.coalesce(value, F.lit(C.DEFAULT_RECEIVE_COUNT)).try_cast("int")
 
 
 def body_kind(body: Column) -> Column:

@@ -76,8 +76,8 @@ def request_size(custom_id: Column, n_bytes: Column) -> Column:
 
 
 def strip_data_url(url: Column) -> Column:
-    """The encoded part of a data URL; any other text is returned as it is."""
-    payload = F.element_at(F.split(url, ","), 2)
+    """The encoded part of a data URL, NULL if it has none; any other text is returned as it is."""
+    payload = F.try_element_at(F.split(url, ","), F.lit(2))
     return F.when(url.startswith(C.DATA_URL_MARK), payload).otherwise(url)
 
 
@@ -105,8 +105,8 @@ def gunzip(data: Column) -> Column:
 
 
 def decode_page(url: Column) -> Column:
-    """Raw bytes of a request's page, before decompression."""
-    return F.unbase64(strip_data_url(url))
+    """Raw bytes of a request's page, before decompression; NULL if they are not base64."""
+    return F.try_to_binary(strip_data_url(url), F.lit("base64"))
 
 
 def starts_as_pdf(data: bytes | None) -> bool:

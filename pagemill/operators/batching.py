@@ -226,14 +226,18 @@ def plan_batches_by_count(pages: DataFrame, pos: str = "pos", max_pages: int = C
 def summarise_batches(batched: DataFrame, shard: list[str], pos: str = "pos") -> DataFrame:
     """One row per batch with its size, its ends and its object name."""
     return (
-        batched.groupBy(*shard, "batch_no")
+        batched.withColumn("_page", K.page_digest(F.col("custom_id"), F.col("size")))
+        .groupBy(*shard, "batch_no")
         .agg(
             F.count("*").alias("n_pages"),
             F.sum("size").alias("n_bytes"),
             F.min_by("custom_id", pos).alias("first_id"),
             F.max_by("custom_id", pos).alias("last_id"),
+            F.sum("_page.a").alias("_a"),
+            F.sum("_page.b").alias("_b"),
         )
-        .withColumn("batch_key", K.batch_key(F.col("first_id"), F.col("last_id"), F.col("n_pages")))
+        .withColumn("batch_key", K.batch_key((F.col("_a"), F.col("_b")), F.col("n_pages")))
+        .drop("_a", "_b")
     )
 
 
@@ -244,10 +248,11 @@ def assign_batch_keys(batched: DataFrame, shard: list[str], pos: str = "pos") ->
     its summary and again to be joined with it.
     """
     batch = W.partitionBy(*shard, "batch_no")
-    ends = {
+    paged = batched.withColumn("_page", K.page_digest(F.col("custom_id"), F.col("size")))
+    sums = {
         "_pages": F.count("*").over(batch),
-        "_first": F.min_by("custom_id", pos).over(batch),
-        "_last": F.max_by("custom_id", pos).over(batch),
+        "_a": F.sum("_page.a").over(batch),
+        "_b": F.sum("_page.b").over(batch),
     }
-    name = K.batch_key(F.col("_first"), F.col("_last"), F.col("_pages"))
-    return batched.withColumns(ends).withColumn("batch_key", name).drop(*ends)
+    name = K.batch_key((F.col("_a"), F.col("_b")), F.col("_pages"))
+    return paged.withColumns(sums).withColumn("batch_key", name).drop("_page", *sums)

@@ -9,22 +9,32 @@ business; a call that raises becomes an ``error`` value and leaves other batches
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagemill import schemas
 from pagemill.functions import encoding
 
 Provider = Callable[[list[bytes]], str]
 
-RESPONSES = (
-    "batch_key string, custom_ids array<string>, aside array<string>, response string, error string"
+RESPONSES = T.StructType(
+    [
+        T.StructField("batch_key", T.StringType()),
+        T.StructField("custom_ids", T.ArrayType(T.StringType())),
+        T.StructField("aside", T.ArrayType(T.StringType())),
+        T.StructField("response", T.StringType()),
+        T.StructField("error", T.StringType()),
+        T.StructField("seconds", T.DoubleType()),
+    ]
 )
 MALFORMED = "malformed request line"
 NO_VALID_PAGE = "no valid page"
+WRONG_SHAPE = "response without a list of pages"
 
 
 def text_provider(pages: list[bytes]) -> str:
@@ -50,6 +60,18 @@ def text_provider(pages: list[bytes]) -> str:
     )
 
 
+def check_response(response: str) -> None:
+    """Raise unless a response is a JSON object with a list of pages that carry an index and a text."""
+    parsed = json.loads(response)
+    pages = parsed.get("pages") if isinstance(parsed, dict) else None
+    if not isinstance(pages, list):
+        raise ValueError(WRONG_SHAPE)
+    for page in pages:
+        whole = isinstance(page, dict) and type(page.get("index")) is int
+        if not whole or not isinstance(page.get("markdown"), str | None):
+            raise ValueError(WRONG_SHAPE)
+
+
 def decode_pages(lines: DataFrame) -> DataFrame:
     """Add ``raw``, the decoded and decompressed page, and ``is_pdf``.
 
@@ -67,7 +89,7 @@ def split_valid(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def run_provider(lines: DataFrame, provider: Provider, require_pdf: bool = True) -> DataFrame:
-    """One row per batch: the pages sent, the pages put aside, the response or the error.
+    """One row per batch: the pages sent, the pages put aside, the response or the error, the time taken.
 
     Pages travel as they are stored, compressed or not, and enter Python once: they are
     decompressed and tested there, just before the call. The ids come back beside the
@@ -75,9 +97,10 @@ def run_provider(lines: DataFrame, provider: Provider, require_pdf: bool = True)
     """
 
     def call(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        began = time.monotonic()
         ordered = pdf.sort_values("line_no")
         sent, aside, response, error = [], [], None, None
-        if ordered["malformed"].any():
+        if ordered["malformed"].any() or ordered["page"].isna().any():
             error = MALFORMED
         else:
             pages = [(i, encoding.decompressed(raw)) for i, raw in zip(ordered["custom_id"], ordered["page"])]
@@ -88,7 +111,7 @@ def run_provider(lines: DataFrame, provider: Provider, require_pdf: bool = True)
                 if not sent:
                     raise LookupError(NO_VALID_PAGE)
                 response = provider([page for (_, page), ok in zip(pages, valid) if ok])
-                json.loads(response)
+                check_response(response)
             except Exception as problem:  # the provider is foreign code
                 response, error = None, f"{type(problem).__name__}: {problem}"
         return pd.DataFrame(
@@ -98,6 +121,7 @@ def run_provider(lines: DataFrame, provider: Provider, require_pdf: bool = True)
                 "aside": [aside],
                 "response": [response],
                 "error": [error],
+                "seconds": [time.monotonic() - began],
             }
         )
 

@@ -11,8 +11,6 @@ from pagemill.functions.whole import quotient
 from pagemill.operators import batching, ordinals
 
 STRETCH = 1024
-# About 200 bytes each, so 100 MB: the plan of some ten terabytes of full batches.
-MAX_BROADCAST_RUNS = 500_000
 
 
 def page_requests(pages: DataFrame) -> DataFrame:
@@ -82,24 +80,29 @@ def page_runs(named: DataFrame) -> DataFrame:
     )
 
 
-def batched_requests(pages: DataFrame, runs: DataFrame, broadcast: bool = False) -> DataFrame:
-    """Requests with their ``batch_key`` and ``pos``, ready to be written.
+def batched_pages(pages: DataFrame, runs: DataFrame) -> DataFrame:
+    """``batch_key, pos, custom_id, page_bytes``: raw pages with the batch they go to.
 
-    With ``broadcast`` (see :func:`fits_broadcast`) the pages stay where they are until
-    they are brought together by batch. Otherwise both sides meet on stretches of
-    ``STRETCH`` page numbers, so that a large file is spread over many tasks.
+    Both sides meet on stretches of ``STRETCH`` page numbers, so that a large file is spread
+    over many tasks. The plan is one row for many pages; where its measured size allows, Spark
+    sends it to the pages and they stay where they are.
     """
     first, last = F.col("first_page"), F.col("last_page")
     stretches = F.sequence(quotient(first, STRETCH), quotient(last, STRETCH))
     plan = runs.withColumn("_stretch", F.explode(stretches))
-    requests = page_requests(pages).withColumn("_stretch", quotient(F.col("page_no"), STRETCH))
+    narrow = pages.select("s3_key", "page_no", "page_bytes", quotient(F.col("page_no"), STRETCH).alias("_stretch"))
     return (
-        requests.join(F.broadcast(plan) if broadcast else plan, ["s3_key", "_stretch"])
+        narrow.join(plan, ["s3_key", "_stretch"])
         .filter(F.col("page_no").between(first, last))
-        .select("batch_key", (F.col("first_pos") + F.col("page_no") - first).alias("pos"), "custom_id", "body")
+        .select(
+            "batch_key",
+            (F.col("first_pos") + F.col("page_no") - first).alias("pos"),
+            keys.page_id(F.col("s3_key"), F.col("page_no")).alias("custom_id"),
+            "page_bytes",
+        )
     )
 
 
-def fits_broadcast(runs: DataFrame, limit: int = MAX_BROADCAST_RUNS) -> bool:
-    """Whether there are at most ``limit`` runs; ask this of stored runs only."""
-    return runs.limit(limit + 1).count() <= limit
+def encoded(batched: DataFrame) -> DataFrame:
+    """``batch_key, pos, custom_id, body`` from raw pages; encode after the last shuffle."""
+    return batched.select("batch_key", "pos", "custom_id", encoding.request_body(F.col("page_bytes")).alias("body"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pagemill import constants as C
 from pagemill.functions import bodies
+from pagemill.functions import keys as K
 
 
 def with_receive_count(messages: DataFrame) -> DataFrame:
@@ -14,8 +15,8 @@ def with_receive_count(messages: DataFrame) -> DataFrame:
 
 
 def is_poison(receive_count: Column, limit: int = C.MAX_RECEIVE_COUNT) -> Column:
-    """Delivered too often: not processed again."""
-    return receive_count >= limit
+    """Delivered too often, or nobody can tell how often: not processed again."""
+    return F.coalesce(receive_count >= limit, F.lit(True))
 
 
 def split_poison(messages: DataFrame, limit: int = C.MAX_RECEIVE_COUNT) -> tuple[DataFrame, DataFrame]:
@@ -25,14 +26,18 @@ def split_poison(messages: DataFrame, limit: int = C.MAX_RECEIVE_COUNT) -> tuple
 
 
 def message_keys(messages: DataFrame) -> DataFrame:
-    """One row per key a message names; ``s3_key`` is NULL where it names none."""
+    """One row per key a message names; ``s3_key`` is NULL where it names none.
+
+    A key given as the URI of an object stands for the object's key in its bucket.
+    """
     body = F.col("body")
     # One step per column: each is evaluated once, whichever branches use it.
     parsed = messages.withColumns({"_kind": bodies.body_kind(body), "_json": bodies.parsed_fields(body)})
     fields = parsed.withColumn("_fields", bodies.key_fields(F.col("_json")))
     named = fields.withColumn("_work", bodies.named_work(body, F.col("_kind"), F.col("_fields")))
     keys = named.withColumn("_keys", bodies.work_keys(F.col("_work")))
-    return keys.select(*messages.columns, F.explode_outer("_keys").alias("s3_key"))
+    named = keys.select(*messages.columns, F.explode_outer("_keys").alias("s3_key"))
+    return named.withColumn("s3_key", K.object_key(F.col("s3_key")))
 
 
 def raw_letters(messages: DataFrame, at: Column) -> DataFrame:

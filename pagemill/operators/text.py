@@ -55,6 +55,16 @@ def expand_entities(tokens: DataFrame, aliases: DataFrame, salts: int = 1) -> Da
     return salted.join(repeated, ["token", "_salt"], "left").drop("_salt")
 
 
+def merged_tokens(docs: DataFrame, id_column: str, text: Column) -> DataFrame:
+    """``token, n, pos_sum`` by document: each distinct token with its number and the sum of its places.
+
+    Merged before it is shuffled, so that a frequent word costs one row per document.
+    """
+    placed = F.transform(X.tokens(text), lambda token, at: F.struct(token.alias("token"), at.cast("long").alias("pos")))
+    rows = docs.select(id_column, F.inline(placed))
+    return rows.groupBy(id_column, "token").agg(F.count("*").alias("n"), F.sum("pos").alias("pos_sum"))
+
+
 def metadata(id_column: str, text: Column, lang: Column) -> Column:
     """What is known of a document, as a JSON object."""
     fields = F.struct(

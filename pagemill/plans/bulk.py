@@ -11,6 +11,9 @@ from pagemill.operators import inference, ordinals
 from pagemill.streaming import stages
 from pagemill.streaming.workspace import Workspace
 
+# Where a bulk run keeps the keys it tries again: not where streams look for messages.
+BULK = "bulk-retries"
+
 
 def key_messages(keys: DataFrame) -> DataFrame:
     """One message per key."""
@@ -41,7 +44,7 @@ def run_pages(
     of some thousand batches each, and do not feed the same stage of the workspace by a
     stream, which numbers micro-batches itself.
     """
-    _in_waves(ws, C.STAGE_PAGES, stages.page_stage(ws, source, limits), keys, waves)
+    _in_waves(ws, C.STAGE_PAGES, stages.page_stage(ws, source, limits, BULK), keys, waves)
 
 
 def run_inference(
@@ -52,11 +55,17 @@ def run_inference(
     waves: int = 1,
 ) -> None:
     """Run the provider over the batches named by ``keys`` (see :func:`announced`)."""
-    _in_waves(ws, C.STAGE_OCR, stages.ocr_stage(ws, provider, limits), keys, waves)
+    _in_waves(ws, C.STAGE_OCR, stages.ocr_stage(ws, provider, limits, BULK), keys, waves)
 
 
-def _in_waves(ws: Workspace, stage: str, process, keys: DataFrame, waves: int) -> None:
-    first = ws.next_epoch(keys.sparkSession, stage)
+def _in_waves(ws: Workspace, name: str, stage: stages.Stage, keys: DataFrame, waves: int) -> None:
+    """All waves, then failed keys again until each is done or a dead letter."""
+    spark = keys.sparkSession
+    epoch = ws.next_epoch(spark, name)
     for wave in range(waves):
-        mine = keys.filter(ordinals.shard_of(F.col("s3_key"), waves) == wave)
-        process(key_messages(mine), first + wave)
+        stage(key_messages(keys.filter(ordinals.shard_of(F.col("s3_key"), waves) == wave)), epoch)
+        epoch += 1
+    while retries := stage.take_retries():
+        for failed in retries:
+            stage(stage.redelivered(spark, failed), epoch)
+            epoch += 1

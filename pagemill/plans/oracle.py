@@ -40,9 +40,11 @@ MIXED = _greedy("SELECT 0 AS shard, row_number() OVER (ORDER BY s3_key, page_no)
 
 SUMMARY = """
 summary AS (
-  SELECT *, 'jsonl/' || sha256(first_id || ',' || last_id || ',' || n_pages) || '.jsonl' AS batch_key
+  SELECT * EXCLUDE (a, b), 'jsonl/' || sha256(a || ',' || b || ',' || n_pages) || '.jsonl' AS batch_key
   FROM (SELECT shard, batch_no, count(*) AS n_pages, CAST(sum(size) AS BIGINT) AS n_bytes,
-               arg_min(custom_id, pos) AS first_id, arg_max(custom_id, pos) AS last_id
+               arg_min(custom_id, pos) AS first_id, arg_max(custom_id, pos) AS last_id,
+               sum(CAST('0x' || substr(md5(custom_id || ':' || size), 1, 15) AS HUGEINT)) AS a,
+               sum(CAST('0x' || substr(md5(custom_id || ':' || size), 17, 15) AS HUGEINT)) AS b
         FROM greedy GROUP BY shard, batch_no))"""
 
 NAMED = f"WITH RECURSIVE {PAGES}, {BY_FILE}, {SUMMARY}"
@@ -64,7 +66,7 @@ sent AS (
   SELECT batch_key, custom_id, '%PDF-' || text AS markdown,
          row_number() OVER (PARTITION BY batch_key ORDER BY pos) - 1 AS index
   FROM payload WHERE NOT aside)"""
-SENT = f"{NAMED}, {PAYLOAD}"
+SENT = f"{PDF_NAMED}, {PAYLOAD}"
 
 KEY = "'parquets/' || user_id || '.parquet'"
 QUOTED = f"""'"' || {KEY} || '"'"""
@@ -81,7 +83,7 @@ messages AS (
       WHEN 5 THEN '{{}}'
       WHEN 6 THEN {QUOTED}
       WHEN 7 THEN CAST(user_id AS VARCHAR)
-      WHEN 8 THEN '{{"s3_key": 0, "s3Uri": ' || {QUOTED} || '}}'
+      WHEN 8 THEN '{{"s3_key": 0, "s3Uri": "s3://store/' || {KEY} || '"}}'
       WHEN 9 THEN '{{"s3_keys": [], "key": false, "s3_uri": ' || {QUOTED} || '}}'
       WHEN 10 THEN '{{"s3_key": ' || (user_id + 1) || '}}'
       ELSE props END AS body
@@ -236,7 +238,7 @@ ORACLE = {
     "page_table_round_trip": f"WITH {PAGES} SELECT s3_key, page_no, text FROM page_rows",
     "page_file_scan": "SELECT row_number() OVER (ORDER BY doc_id) AS page_no, text FROM documents",
     "message_keys": f"""WITH {KEYED}
-        SELECT message_id, receive_count, CASE kind WHEN 'VARCHAR' THEN value END AS s3_key
+        SELECT message_id, receive_count, CASE kind WHEN 'VARCHAR' THEN regexp_replace(value, '^s3://[^/]*/', '') END AS s3_key
         FROM named WHERE kind <> 'ARRAY'
         UNION ALL
         SELECT message_id, receive_count, unnest(from_json(value, '["VARCHAR"]')) AS s3_key
@@ -361,7 +363,7 @@ ORACLE = {
           || ',"sha256":"' || sha256(text) || '"}}' AS metadata, coalesce(entities, '') AS entities
         FROM cleaned LEFT JOIN entities USING (doc_id)""",
     "stream_message_keys": f"""WITH {KEYED}
-        SELECT message_id, receive_count, CASE kind WHEN 'VARCHAR' THEN value END AS s3_key
+        SELECT message_id, receive_count, CASE kind WHEN 'VARCHAR' THEN regexp_replace(value, '^s3://[^/]*/', '') END AS s3_key
         FROM named WHERE kind <> 'ARRAY'
         UNION ALL
         SELECT message_id, receive_count, unnest(from_json(value, '["VARCHAR"]')) AS s3_key
@@ -393,11 +395,11 @@ ORACLE = {
                count(*) AS pages_processed, count(*) AS total_pages, CAST(NULL AS VARCHAR) AS last_error
         FROM documents GROUP BY source
         UNION ALL
-        SELECT 'parquets/absent.parquet', 'failed', 1, 0, NULL, 'object not found'""",
+        SELECT 'parquets/absent.parquet', 'failed', 4, 0, NULL, 'object not found'""",
     "stream_dead_letters": f"""WITH {KEYED},
         good AS (SELECT * FROM named WHERE receive_count < 3),
         keyed AS (
-          SELECT value AS s3_key FROM good WHERE kind = 'VARCHAR'
+          SELECT regexp_replace(value, '^s3://[^/]*/', '') AS s3_key FROM good WHERE kind = 'VARCHAR'
           UNION
           SELECT unnest(from_json(value, '["VARCHAR"]')) FROM good WHERE kind = 'ARRAY')
         SELECT body, CAST(NULL AS VARCHAR) AS reason, count(*) AS n

@@ -95,8 +95,7 @@ def batch_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all batches as JSON lines, read them back, and decode the pages."""
     root = working_folder(spark, "batches")
     runs = D.stored_runs(spark, sf_dir)
-    requests = R.batched_requests(D.document_pages(spark, sf_dir), runs, R.fits_broadcast(runs))
-    request_source.write_batches(requests, root)
+    request_source.write_batches(R.batched_pages(D.document_pages(spark, sf_dir), runs), root)
     lines = request_source.read_batches(spark, root)
     return lines.select(
         "batch_key",
@@ -251,9 +250,9 @@ def _compressed(data: Column) -> Column:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = D.stored_runs(spark, sf_dir)
-    requests = R.batched_requests(D.pdf_pages(spark, sf_dir), runs, R.fits_broadcast(runs))
-    return requests.select(
+    """Request lines of all pages as sent, planned by the sizes they are sent with."""
+    runs = D.stored_runs(spark, sf_dir, pdf=True)
+    return R.encoded(R.batched_pages(D.pdf_pages(spark, sf_dir), runs)).select(
         "batch_key",
         F.col("pos").alias("line_no"),
         "custom_id",
@@ -394,13 +393,16 @@ def kept_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _entities(spark: SparkSession, sf_dir: str, salts: int) -> DataFrame:
-    found = TX.expand_entities(_tokens(spark, sf_dir), D.benchmark_aliases(spark, sf_dir), salts)
+    docs = D.table(spark, sf_dir, "documents")
+    merged = TX.merged_tokens(docs, "doc_id", X.normalise(F.col("text")))
+    found = TX.expand_entities(merged, D.benchmark_aliases(spark, sf_dir), salts)
+    known = F.col("entity").isNotNull()
     return found.groupBy("doc_id").agg(
-        F.count("*").alias("n_tokens"),
-        F.count("entity").alias("n_entities"),
+        F.sum("n").alias("n_tokens"),
+        F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("n_entities"),
         F.count_distinct("entity").alias("n_distinct"),
         F.min("entity").alias("first_entity"),
-        F.sum(F.when(F.col("entity").isNotNull(), F.col("pos"))).alias("pos_sum"),
+        F.sum(F.when(known, F.col("pos_sum"))).alias("pos_sum"),
     )
 
 

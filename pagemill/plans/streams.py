@@ -17,11 +17,16 @@ from pagemill.sources import pages as page_source
 from pagemill.streaming import carry, stages
 from pagemill.streaming.workspace import Workspace
 
+# Files of a table in one micro-batch.
+MAX_FILES = 64
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table as a stream."""
+
+def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int = MAX_FILES) -> DataFrame:
+    """A given table, one file or a folder of files, as a stream of ``max_files`` files at a time."""
     schema = D.table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    # A stream's path must be a folder; a pattern may find a file as well.
+    return reader.parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def _to_table(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
@@ -95,18 +100,20 @@ def _pipeline(spark: SparkSession, sf_dir: str) -> Workspace:
         pages, ws.path("pages"), ws.read(spark, "state"), clock.from_utc_text(F.lit("2024-01-01"))
     )
     ws.append(events, "state", "staging", 0)
-    # Every file is announced twice, and one key that does not exist is asked for.
+    # Every file is announced twice, by its key and by a URI, and one key that does not exist is asked for.
     absent = announced.limit(1).select(
         F.lit("absent").alias("message_id"),
         bodies.announcement(F.lit("parquets/absent.parquet")).alias("body"),
         "attributes",
     )
-    again = announced.withColumn("message_id", F.concat("message_id", F.lit("-again")))
+    again = announced.withColumn("message_id", F.concat("message_id", F.lit("-again"))).withColumn(
+        "body", F.replace("body", F.lit('{"s3_key":"'), F.lit('{"s3Uri":"s3://store/'))
+    )
     every = announced.unionByName(again).unionByName(absent)
-    message_source.write_messages(every.repartition(2), f"{ws.path('messages')}/all")
-    limits = stages.Limits(max_bytes=D.MAX_BYTES, max_pages=D.MAX_PAGES, max_attempts=1)
+    message_source.write_messages(every, f"{ws.path('messages')}/all")
+    limits = stages.Limits(max_bytes=D.MAX_BYTES, max_pages=D.MAX_PAGES)
     source = stages.PageTable(ws.path("pages"))
-    stages.start_page_stage(spark, ws, source, limits, max_files=1).awaitTermination()
+    stages.run_page_stage(spark, ws, source, limits, max_files=1)
     return ws
 
 
@@ -125,7 +132,7 @@ def stream_page_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_ocr_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both stages chained: pages of the responses, matched to their page ids."""
     ws = _pipeline(spark, sf_dir)
-    stages.start_ocr_stage(spark, ws, inference.text_provider).awaitTermination()
+    stages.run_ocr_stage(spark, ws, inference.text_provider)
     return ws.read(spark, "response_pages").select("batch_key", "index", "custom_id", "markdown")
 
 

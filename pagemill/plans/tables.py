@@ -41,23 +41,34 @@ def document_pages(spark: SparkSession, sf_dir: str, payload: Column | None = No
     return numbered(docs).select("doc_id", "s3_key", "page_no", "page_bytes")
 
 
-def document_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Request sizes; the text is measured in the scan and never shuffled."""
+def document_sizes(spark: SparkSession, sf_dir: str, pdf: bool = False) -> DataFrame:
+    """Request sizes; the text is measured in the scan and never shuffled.
+
+    With ``pdf`` those of :func:`pdf_pages`.
+    """
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "source", F.octet_length("text").cast("long").alias("n_bytes")
     )
+    if pdf:
+        toxic = toxic_ids(spark, sf_dir).withColumn("_toxic", F.lit(1))
+        header = F.when(F.col("_toxic").isNull(), len(C.PDF_MARK)).otherwise(0)
+        docs = docs.join(toxic, "doc_id", "left").withColumn("n_bytes", F.col("n_bytes") + header).drop("_toxic")
     return R.page_sizes(numbered(docs))
 
 
-def members(spark: SparkSession, sf_dir: str, mixed: bool = False, **plan: int) -> DataFrame:
-    sizes = document_sizes(spark, sf_dir)
+def toxic_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id")
+
+
+def members(spark: SparkSession, sf_dir: str, mixed: bool = False, pdf: bool = False, **plan: int) -> DataFrame:
+    sizes = document_sizes(spark, sf_dir, pdf)
     return R.batch_members(sizes, mixed, max_bytes=MAX_BYTES, max_pages=MAX_PAGES, **plan)
 
 
-def stored_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stored_runs(spark: SparkSession, sf_dir: str, pdf: bool = False) -> DataFrame:
     """The batch plan as runs of pages, planned once and stored."""
     root = working_folder(spark, "runs")
-    R.page_runs(R.name_batches(members(spark, sf_dir))).write.parquet(root)
+    R.page_runs(R.name_batches(members(spark, sf_dir, pdf=pdf))).write.parquet(root)
     return spark.read.parquet(root)
 
 
@@ -97,7 +108,7 @@ def as_messages(events: DataFrame) -> DataFrame:
         .when(shape == 5, F.lit("{}"))
         .when(shape == 6, quoted)
         .when(shape == 7, F.col("user_id").cast("string"))
-        .when(shape == 8, F.concat(F.lit('{"s3_key": 0, "s3Uri": '), quoted, F.lit("}")))
+        .when(shape == 8, F.concat(F.lit('{"s3_key": 0, "s3Uri": "s3://store/'), key, F.lit('"}')))
         .when(shape == 9, F.concat(F.lit('{"s3_keys": [], "key": false, "s3_uri": '), quoted, F.lit("}")))
         .when(shape == 10, F.concat(F.lit('{"s3_key": '), F.col("user_id") + 1, F.lit("}")))
         .otherwise(F.col("props"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -28,14 +29,13 @@ SETTINGS = {
 }
 
 
-# Shuffled bytes per partition, and the most partitions a shuffle should have.
+# Shuffled bytes per partition.
 PARTITION_BYTES = 256 * 1024 * 1024
-MAX_PARTITIONS = 100_000
 
 
 def shuffle_partitions(input_bytes: int) -> int:
     """Partitions that keep a shuffle of ``input_bytes`` in the memory of its tasks."""
-    return max(200, min(MAX_PARTITIONS, -(-input_bytes // PARTITION_BYTES)))
+    return max(200, -(-input_bytes // PARTITION_BYTES))
 
 
 def build_session(
@@ -84,7 +84,7 @@ def working_folder(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError(f"{CHECKPOINT_SETTING} must name a shared folder on a cluster")
         base = tempfile.mkdtemp(prefix="pagemill-")
         spark.sparkContext.setCheckpointDir(base)

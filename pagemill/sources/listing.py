@@ -8,19 +8,31 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A micro-batch names a bounded number of objects (messages per poll, keys per message),
-# and naming them lets Spark open only those. Above this number the stages scan the
-# folder and join instead.
-MAX_LISTED = 10_000
+from pagemill.operators.ordinals import shard_of
 
+# Keys that are named on the driver at a time. However many keys a micro-batch has, it works
+# through slices of about this size, every one in the same way.
+SLICE_KEYS = 10_000
 
-def listed(keys: DataFrame, limit: int = MAX_LISTED) -> list[str] | None:
-    """The keys, or None when there are more than ``limit``."""
-    rows = keys.select("s3_key").limit(limit + 1).collect()
-    return None if len(rows) > limit else sorted(row["s3_key"] for row in rows)
 
+def slices(keys: DataFrame, size: int = SLICE_KEYS) -> int:
+    """Number of slices for ``keys``, at least one."""
+    return max(1, -(-keys.count() // size))
 
-SPECIAL = r"[\\{}\[\]*?,^]"
+
+def names_of(keys: DataFrame, slice_no: int, n: int) -> list[str]:
+    """The keys of one of ``n`` slices, which are cut by a hash."""
+    mine = keys.filter(shard_of(F.col("s3_key"), n) == slice_no)
+    return sorted(row["s3_key"] for row in mine.select("s3_key").collect())
+
+
+# What patterns or paths take for something else, control characters included.
+SPECIAL = r"[\\{}\[\]*?,^:\x00-\x1f]"
+
+
+def is_listable(name: str) -> bool:
+    """Whether a key can be the path of an object below a folder."""
+    return bool(name) and not any(part in ("", ".", "..") for part in name.split("/"))
 
 
 def as_pattern(name: str) -> str:
@@ -69,14 +81,19 @@ def file_keys(spark: SparkSession, root: str, pattern: str | None = None) -> Dat
 
 
 def existing(spark: SparkSession, root: str, names: list[str], folders: bool = False) -> list[str]:
-    """Those of a bounded list of names that are files, or folders with files, below ``root``."""
+    """Those of a bounded list of names that are files, or folders with files, below ``root``.
+
+    A name that is a folder is no file, whatever lies below it.
+    """
+    names = [name for name in names if is_listable(name)]
     if not names:
         return []
     pattern = f"{root.rstrip('/')}/{{{','.join(as_pattern(name) for name in names)}}}"
     found = file_keys(spark, root, pattern)
     if found is None:
         return []
-    keys = {row["s3_key"] for row in found.collect()}
     if folders:
-        keys = {key.rpartition("/")[0] for key in keys}
+        found = found.select(F.regexp_replace("s3_key", "/[^/]*$", "").alias("s3_key"))
+    # No more rows come back than there are names.
+    keys = {row["s3_key"] for row in found.filter(F.col("s3_key").isin(names)).distinct().collect()}
     return [name for name in names if name in keys]

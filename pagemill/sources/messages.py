@@ -4,21 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagemill import constants as C
 from pagemill import schemas
 
+CORRUPT = "_corrupt_record"
+NOT_A_MESSAGE = "not a message"
+
 
 def message_stream(spark: SparkSession, path: str, max_files: int = C.MAX_MESSAGES_PER_POLL) -> DataFrame:
     """Messages from a landing folder, at most ``max_files`` files per micro-batch.
 
-    A file holds one message or many, so files are what is limited, not messages.
+    A file holds one message or many, so files are what is limited, not messages. A line that
+    is not a message is one all the same: its id is a digest of the line, its body the line's
+    text, and its delivery count is not a number, so that it is put aside as it is.
     """
-    return (
-        spark.readStream.schema(schemas.MESSAGE)
-        .option("maxFilesPerTrigger", max_files)
+    lines = (
+        spark.readStream.option("maxFilesPerTrigger", max_files)
         .option("recursiveFileLookup", "true")
-        .json(path)
+        .text(path)
+    )
+    return parsed_messages(lines.filter(F.trim("value") != ""))
+
+
+def parsed_messages(lines: DataFrame) -> DataFrame:
+    """Messages from JSON lines in ``value``."""
+    kind = T.StructType([*schemas.MESSAGE.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_json("value", kind, {"columnNameOfCorruptRecord": CORRUPT})
+    rows = lines.withColumn("_message", parsed)
+    broken = F.col(f"_message.{CORRUPT}").isNotNull()
+    unknown = F.create_map(F.lit(C.RECEIVE_COUNT_ATTRIBUTE), F.lit(NOT_A_MESSAGE))
+    return rows.select(
+        F.when(broken, F.sha2("value", 256)).otherwise(F.col("_message.message_id")).alias("message_id"),
+        F.when(broken, F.col("value")).otherwise(F.col("_message.body")).alias("body"),
+        F.when(broken, unknown).otherwise(F.col("_message.attributes")).alias("attributes"),
     )
 
 
@@ -29,11 +49,26 @@ def kafka_stream(
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
     for name, value in options.items():
         reader = reader.option(name, value)
+    reader = reader.option("includeHeaders", "true")
     rows = reader.option("subscribe", topic).option("maxOffsetsPerTrigger", max_messages).load()
+    return kafka_messages(rows)
+
+
+def kafka_messages(rows: DataFrame) -> DataFrame:
+    """Messages from a topic's rows; a record's headers are the message's attributes.
+
+    Of headers with one name the last counts.
+    """
+    named = F.transform("headers", lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value")))
+    last = F.aggregate(
+        named,
+        F.expr("CAST(map() AS map<string,string>)"),
+        lambda found, h: F.map_concat(F.map_filter(found, lambda k, _: k != h["key"]), F.create_map(h["key"], h["value"])),
+    )
     return rows.select(
         F.concat_ws("-", "topic", "partition", "offset").alias("message_id"),
         F.col("value").cast("string").alias("body"),
-        F.lit(None).cast("map<string,string>").alias("attributes"),
+        last.alias("attributes"),
     )
 
 

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import io
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +28,7 @@ PAGE_TABLE = T.StructType(
 )
 
 PAGES_PER_FILE = 4096
+PAGE_COLUMN = schemas.PAGE_FILE.names[0]
 
 
 def scan_pages(spark: SparkSession, root: str, paths: list[str] | None = None) -> DataFrame:
@@ -39,6 +46,34 @@ def scan_pages(spark: SparkSession, root: str, paths: list[str] | None = None) -
     )
 
 
+def broken_files(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
+    """``s3_key, error`` of the files among ``paths`` that cannot be read as page files.
+
+    One job tests every file on its own, where it is read: its footer, its column, and its
+    pages by row groups.
+    """
+
+    def problem(content: bytes) -> str | None:
+        try:
+            file = pq.ParquetFile(io.BytesIO(content))
+            kind = file.schema_arrow.field(PAGE_COLUMN).type
+            if not (pa.types.is_binary(kind) or pa.types.is_large_binary(kind) or pa.types.is_string(kind)):
+                return f"column {PAGE_COLUMN} is {kind}"
+            for group in range(file.num_row_groups):
+                file.read_row_group(group, columns=[PAGE_COLUMN])
+        except (pa.ArrowException, OSError, KeyError, ValueError) as found:
+            return f"{type(found).__name__}: {found}"
+        return None
+
+    def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"s3_key": batch["s3_key"], "error": [problem(c) for c in batch["content"]]})
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    named = files.select(key_under(root, F.col("_metadata.file_path")).alias("s3_key"), "content")
+    return named.mapInPandas(test, "s3_key string, error string").filter("error IS NOT NULL")
+
+
 def scan_page_parts(spark: SparkSession, root: str) -> DataFrame:
     """``page_no, page_bytes`` of a page file stored as a folder of part files.
 
@@ -86,15 +121,21 @@ def pages_per_file(pages: DataFrame) -> DataFrame:
     return pages.groupBy("s3_key").agg(F.count("*").alias("total_pages"))
 
 
-def stage_pages(pages: DataFrame, root: str, log: DataFrame, at: Column) -> tuple[DataFrame, DataFrame]:
+def stage_pages(
+    pages: DataFrame, root: str, log: DataFrame, at: Column, keys: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Write page files to the page table, then register and announce them.
 
+    All files of the table are announced, or those of ``keys`` if the table holds others.
+
     Returns the state events and the messages to append, in that order. A key that is
     registered already gets no second event; it is announced again, and the receiving
     stage's skip check decides.
     """
     write_page_table(pages, root)
-    staged = pages.select("s3_key").distinct()
+    # Keys come from what was written: folder names, for which no page is computed again.
+    asked = pages.sparkSession.read.schema(PAGE_TABLE).parquet(root).select("s3_key").distinct()
+    staged = asked if keys is None else asked.join(keys, "s3_key", "left_semi")
     events = state.register_absent(staged, log, C.STAGE_PAGES, at)
     messages = staged.select(
         F.sha2("s3_key", 256).alias("message_id"),

@@ -7,24 +7,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagemill import schemas
+from pagemill.operators.requests import encoded
 
 CORRUPT = "_corrupt_record"
+# Characters that names of partition folders do not hold as they are.
+ESCAPED = "\"#%'*/:=?\\\x7f{[]^"
 
 
-def write_batches(requests: DataFrame, root: str) -> None:
+def write_batches(batched: DataFrame, root: str) -> None:
     """Write ``custom_id, body`` lines under one folder per ``batch_key``, in ``pos`` order.
 
-    The pages of a batch meet in one task, so a batch is one object; the batch limits
-    bound it, so tasks do not grow with the input. Only the folders of the batches at
-    hand are replaced, and a batch's name is fixed by its content.
+    Raw pages meet by batch in one task, so a batch is one object; the batch limits bound it,
+    so tasks do not grow with the input. Pages are encoded there, after they have moved. Only
+    the folders of the batches at hand are replaced, and a batch's name is fixed by its content.
     """
     # A nullable partition column would be rewritten by the writer, which then sorts by it
     # again and loses the order within a batch.
     key = F.coalesce("batch_key", F.lit("")).alias("batch_key")
-    (
-        requests.select(key, "pos", "custom_id", "body")
+    placed = (
+        batched.select(key, "pos", "custom_id", "page_bytes")
         .repartition("batch_key")
         .sortWithinPartitions("batch_key", "pos")
+    )
+    (
+        encoded(placed)
         .drop("pos")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -61,5 +67,5 @@ def read_batches(spark: SparkSession, root: str, paths: list[str] | None = None)
 
 
 def batch_folder(key: str) -> str:
-    """Name of the folder that holds one batch object."""
-    return f"batch_key={key.replace('/', '%2F')}"
+    """Name of the folder that holds one batch object, escaped as Spark's writers do."""
+    return "batch_key=" + "".join(f"%{ord(c):02X}" if c in ESCAPED or ord(c) < 32 else c for c in key)

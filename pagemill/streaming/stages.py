@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pagemill import constants as C
+from pagemill import schemas
 from pagemill.functions import bodies
 from pagemill.functions import keys as K
 from pagemill.operators import inference, routing, state
@@ -25,21 +26,26 @@ from pagemill.sources import listing, messages
 from pagemill.sources import pages as page_source
 from pagemill.sources import requests as request_source
 from pagemill.sources import responses as response_source
-from pagemill.streaming.workspace import Workspace
+from pagemill.streaming.workspace import CHECKS, Workspace
 
 NOT_FOUND = "object not found"
 RETRY = "retry"
+EVERY = "20 seconds"
 
 
 @dataclass(frozen=True)
 class StageResult:
     """Outcome of a handler: ``finished`` (s3_key, total_pages), ``failed`` (s3_key, error),
-    and ``produced`` (s3_key), the objects written for ``next_stage``."""
+    and ``produced`` (s3_key), the objects written for ``next_stage``.
+
+    ``timing`` (s3_key, seconds) says how long single keys took, where that is known.
+    """
 
     finished: DataFrame
     failed: DataFrame
     produced: DataFrame
     next_stage: str
+    timing: DataFrame | None = None
 
 
 Handler = Callable[[SparkSession, DataFrame, int], StageResult]
@@ -57,7 +63,7 @@ class Limits:
     shards: int = 1
     max_receive_count: int = C.MAX_RECEIVE_COUNT
     max_attempts: int = C.MAX_ATTEMPTS
-    max_listed: int = listing.MAX_LISTED
+    slice_keys: int = listing.SLICE_KEYS
     clock: Callable[[], datetime] = field(default=utc_now)
 
 
@@ -71,8 +77,8 @@ def run_stage(
     letters: Callable[[DataFrame, Column], DataFrame],
     redeliver: Callable[[DataFrame, int], None],
     limits: Limits,
-) -> None:
-    """Process one micro-batch of messages.
+) -> bool:
+    """Process one micro-batch of messages; says whether failed keys were delivered again.
 
     The order of writes carries the guarantees: objects first, then state, announcements
     and dead letters that speak of them, outcomes last.
@@ -128,29 +134,42 @@ def run_stage(
         )
         ws.append(dead, "dead_letters", stage, epoch)
         # Nothing is written without failures: an empty file would start a micro-batch.
-        if not again.isEmpty():
+        retried = not again.isEmpty()
+        if retried:
             redeliver(again, epoch)
         ended_at = limits.clock()
-        outcomes = message_outcomes(poison, keyed, again, given_up).select(
+        # A message took as long as its keys did; where that is not known, its share of the whole.
+        seconds = (ended_at - began).total_seconds() / max(1, counted.count())
+        outcomes = message_outcomes(poison, keyed, again, given_up, result.timing).select(
             F.lit(queue).alias("queue"),
             "message_id",
             "outcome",
             at.alias("started_at"),
             F.lit(ended_at).alias("finished_at"),
-            F.lit((ended_at - began).total_seconds()).alias("seconds"),
+            F.coalesce("seconds", F.lit(seconds)).alias("seconds"),
         )
         ws.append(outcomes, "outcomes", stage, epoch)
+        return retried
     finally:
         for cached in held:
             cached.unpersist()
 
 
-def message_outcomes(poison: DataFrame, keyed: DataFrame, again: DataFrame, given_up: DataFrame) -> DataFrame:
-    """``message_id, outcome``: the worst of what happened to the message's keys."""
+def message_outcomes(
+    poison: DataFrame,
+    keyed: DataFrame,
+    again: DataFrame,
+    given_up: DataFrame,
+    timing: DataFrame | None = None,
+) -> DataFrame:
+    """``message_id, outcome, seconds``: the worst of what happened to the message's keys, and their time."""
     routed = again.select("s3_key", F.lit(1).alias("_rank")).unionByName(
         given_up.select("s3_key", F.lit(2).alias("_rank"))
     )
-    ranked = keyed.join(routed, "s3_key", "left").withColumn(
+    timed = keyed.withColumn("seconds", F.lit(None).cast("double"))
+    if timing is not None:
+        timed = keyed.join(timing, "s3_key", "left")
+    ranked = timed.join(routed, "s3_key", "left").withColumn(
         "_rank", F.when(F.col("s3_key").isNull(), 2).otherwise(F.coalesce("_rank", F.lit(0)))
     )
     outcome = (
@@ -158,9 +177,9 @@ def message_outcomes(poison: DataFrame, keyed: DataFrame, again: DataFrame, give
         .when(F.col("_rank") == 1, C.OUTCOME_FAILED)
         .otherwise(C.OUTCOME_PROCESSED)
     )
-    handled = ranked.groupBy("message_id").agg(F.max("_rank").alias("_rank"))
-    return handled.select("message_id", outcome.alias("outcome")).unionByName(
-        poison.select("message_id", F.lit(C.OUTCOME_DEAD_LETTER).alias("outcome"))
+    handled = ranked.groupBy("message_id").agg(F.max("_rank").alias("_rank"), F.sum("seconds").alias("seconds"))
+    return handled.select("message_id", outcome.alias("outcome"), "seconds").unionByName(
+        poison.select("message_id", F.lit(C.OUTCOME_DEAD_LETTER).alias("outcome"), F.lit(0.0).alias("seconds"))
     )
 
 
@@ -177,12 +196,12 @@ class PageTable:
         folders = page_source.scan_page_table(spark, self.root).filter(F.col("s3_key").isin(names))
         return sorted(row["s3_key"] for row in folders.select("s3_key").distinct().collect())
 
-    def keys(self, spark: SparkSession) -> DataFrame:
-        return page_source.scan_page_table(spark, self.root).select("s3_key").distinct()
+    def pages(self, spark: SparkSession, names: list[str]) -> DataFrame:
+        return page_source.scan_page_table(spark, self.root).filter(F.col("s3_key").isin(names))
 
-    def pages(self, spark: SparkSession, names: list[str] | None) -> DataFrame:
-        table = page_source.scan_page_table(spark, self.root)
-        return table if names is None else table.filter(F.col("s3_key").isin(names))
+    def broken(self, spark: SparkSession, names: list[str]) -> dict[str, str]:
+        """Nothing: the table is written by Spark, and one that cannot be read is nobody's file."""
+        return {}
 
 
 @dataclass(frozen=True)
@@ -194,81 +213,71 @@ class PageFiles:
     def existing(self, spark: SparkSession, names: list[str]) -> list[str]:
         return listing.existing(spark, self.root, names)
 
-    def keys(self, spark: SparkSession) -> DataFrame:
-        found = listing.file_keys(spark, self.root)
-        return spark.createDataFrame([], "s3_key string") if found is None else found
-
-    def pages(self, spark: SparkSession, names: list[str] | None) -> DataFrame:
-        if names is None:
-            return page_source.scan_pages(spark, self.root)
+    def pages(self, spark: SparkSession, names: list[str]) -> DataFrame:
         if not names:
             return spark.createDataFrame([], "s3_key string, page_no long, page_bytes binary")
         pages = page_source.scan_pages(spark, self.root, listing.paths_of(self.root, names))
         return pages.filter(F.col("s3_key").isin(names)) if listing.has_patterns(names) else pages
 
+    def broken(self, spark: SparkSession, names: list[str]) -> dict[str, str]:
+        """Files of a slice that cannot be read; only asked for after a read failed."""
+        found = page_source.broken_files(spark, self.root, listing.paths_of(self.root, names))
+        return {row["s3_key"]: row["error"] for row in found.collect() if row["s3_key"] in names}
+
+
+# What Spark says when a file, and not the cluster, is to blame.
+FILE_PROBLEMS = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "PARQUET_")
 
-def unreadable(spark: SparkSession, source: PageFiles | PageTable, names: list[str]) -> dict[str, str]:
-    """Files that cannot be read, found by halving the list; only runs after a failure."""
-    try:
-        source.pages(spark, names).write.format("noop").mode("overwrite").save()
-        return {}
-    except Exception as problem:
-        if len(names) == 1:
-            return {names[0]: str(problem)}
-    middle = len(names) // 2
-    return {**unreadable(spark, source, names[:middle]), **unreadable(spark, source, names[middle:])}
+
+def is_file_problem(problem: Exception) -> bool:
+    return any(mark in str(problem) for mark in FILE_PROBLEMS)
 
 
 def page_handler(ws: Workspace, source: PageFiles | PageTable, limits: Limits) -> Handler:
     """Page files to request batches.
 
-    The plan (which page goes into which batch) is written first and read back, so that
-    the batches, the state and the announcements all follow the same plan and nothing is
-    planned twice.
+    Keys are worked through in slices of bounded size, all in the same way: those without an
+    object and those whose file cannot be read are told apart, the others are planned and
+    written. The plan (which page goes into which batch) is written first and read back, so that
+    the batches, the state and the announcements all follow the same plan and nothing is planned
+    twice. Mixed batches do not reach across slices.
     """
 
-    def plan(spark: SparkSession, pages: DataFrame, epoch: int) -> None:
-        members = R.batch_members(
-            R.page_sizes(pages), limits.mixed, limits.shards, limits.max_bytes, limits.max_pages
-        )
-        ws.append(R.name_batches(members, limits.mixed), "manifest", C.STAGE_PAGES, epoch)
+    def plan(spark: SparkSession, names: list[str], epoch: int, step: str) -> None:
+        sizes = R.page_sizes(source.pages(spark, names))
+        members = R.batch_members(sizes, limits.mixed, limits.shards, limits.max_bytes, limits.max_pages)
+        ws.append(R.name_batches(members, limits.mixed), "manifest", C.STAGE_PAGES, epoch, step)
+
+    def one_slice(spark: SparkSession, asked: list[str], epoch: int, step: str) -> None:
+        names = source.existing(spark, asked)
+        checks = {name: NOT_FOUND for name in asked} | dict.fromkeys(names)
+        try:
+            plan(spark, names, epoch, step)
+        except Exception as problem:
+            bad = source.broken(spark, names) if is_file_problem(problem) else {}
+            if not bad:
+                raise
+            checks |= bad
+            names = [name for name in names if name not in bad]
+            plan(spark, names, epoch, step)
+        ws.append(spark.createDataFrame(list(checks.items()), CHECKS), "checks", C.STAGE_PAGES, epoch, step)
+        planned = ws.read(spark, "manifest", only=(C.STAGE_PAGES, epoch), step=step)
+        ws.append(R.page_runs(planned), "runs", C.STAGE_PAGES, epoch, step)
+        runs = ws.read(spark, "runs", only=(C.STAGE_PAGES, epoch), step=step)
+        request_source.write_batches(R.batched_pages(source.pages(spark, names), runs), ws.path("batches"))
 
     def handle(spark: SparkSession, todo: DataFrame, epoch: int) -> StageResult:
-        bad: dict[str, str] = {}
-        names = listing.listed(todo, limits.max_listed)
-        if names is None:
-            present = todo.join(source.keys(spark), "s3_key", "left_semi")
-            pages = source.pages(spark, None).join(todo, "s3_key", "left_semi")
-            plan(spark, pages, epoch)
-        else:
-            names = source.existing(spark, names)
-            try:
-                plan(spark, source.pages(spark, names), epoch)
-            except Exception:
-                bad = unreadable(spark, source, names)
-                if not bad:
-                    raise
-                names = [name for name in names if name not in bad]
-                plan(spark, source.pages(spark, names), epoch)
-            present = spark.createDataFrame([(name,) for name in names], "s3_key string")
-            pages = source.pages(spark, names)
-        planned = ws.read(spark, "manifest", only=(C.STAGE_PAGES, epoch))
-        ws.append(R.page_runs(planned), "runs", C.STAGE_PAGES, epoch)
-        runs = ws.read(spark, "runs", only=(C.STAGE_PAGES, epoch))
-        requests = R.batched_requests(pages, runs, R.fits_broadcast(runs))
-        request_source.write_batches(requests, ws.path("batches"))
-
-        broken = spark.createDataFrame(list(bad.items()), "s3_key string, error string")
-        counts = page_source.pages_per_file(planned)
-        finished = present.join(counts, "s3_key", "left").select(
+        n = listing.slices(todo, limits.slice_keys)
+        for i in range(n):
+            one_slice(spark, listing.names_of(todo, i, n), epoch, f"slice-{i}")
+        me = (C.STAGE_PAGES, epoch)
+        checks = ws.read(spark, "checks", only=me)
+        counts = page_source.pages_per_file(ws.read(spark, "manifest", only=me))
+        finished = checks.filter("error IS NULL").join(counts, "s3_key", "left").select(
             "s3_key", F.coalesce("total_pages", F.lit(0)).alias("total_pages")
         )
-        failed = (
-            todo.join(present, "s3_key", "left_anti")
-            .join(broken, "s3_key", "left")
-            .select("s3_key", F.coalesce("error", F.lit(NOT_FOUND)).alias("error"))
-        )
-        produced = runs.select(F.col("batch_key").alias("s3_key")).distinct()
+        failed = checks.filter("error IS NOT NULL")
+        produced = ws.read(spark, "runs", only=me).select(F.col("batch_key").alias("s3_key")).distinct()
         return StageResult(finished, failed, produced, C.STAGE_OCR)
 
     return handle
@@ -278,29 +287,27 @@ def page_handler(ws: Workspace, source: PageFiles | PageTable, limits: Limits) -
 
 
 def ocr_handler(ws: Workspace, provider: inference.Provider, limits: Limits) -> Handler:
-    """Request batches to responses.
+    """Request batches to responses, in slices of bounded size.
 
     Responses are written before anything is derived from them: the provider is called
     once per batch and micro-batch, not once per output.
     """
     root = ws.path("batches")
 
-    def lines(spark: SparkSession, todo: DataFrame) -> DataFrame | None:
-        names = listing.listed(todo, limits.max_listed)
-        if names is None:
-            batches = request_source.read_batches(spark, root)
-            return batches.join(todo.withColumnRenamed("s3_key", "batch_key"), "batch_key", "left_semi")
-        folders = [request_source.batch_folder(name) for name in names]
+    def one_slice(spark: SparkSession, asked: list[str], epoch: int, step: str) -> None:
+        folders = [request_source.batch_folder(name) for name in asked]
         folders = listing.existing(spark, root, folders, folders=True)
-        return request_source.read_batches(spark, root, listing.paths_of(root, folders)) if folders else None
+        called = spark.createDataFrame([], inference.RESPONSES)
+        if folders:
+            lines = request_source.read_batches(spark, root, listing.paths_of(root, folders))
+            called = inference.run_provider(lines.filter(F.col("batch_key").isin(asked)), provider)
+        ws.append(called, "responses", C.STAGE_OCR, epoch, step)
 
     def handle(spark: SparkSession, todo: DataFrame, epoch: int) -> StageResult:
         me = (C.STAGE_OCR, epoch)
-        found = lines(spark, todo)
-        if found is None:
-            ws.append(spark.createDataFrame([], inference.RESPONSES), "responses", *me)
-        else:
-            ws.append(inference.run_provider(found, provider), "responses", *me)
+        n = listing.slices(todo, limits.slice_keys)
+        for i in range(n):
+            one_slice(spark, listing.names_of(todo, i, n), epoch, f"slice-{i}")
         responses = ws.read(spark, "responses", only=me)
         ws.append(inference.quarantined(responses), "quarantine", *me)
         answered, errors = inference.split_errors(responses)
@@ -315,7 +322,8 @@ def ocr_handler(ws: Workspace, provider: inference.Provider, limits: Limits) ->
             absent.select("s3_key", F.lit(NOT_FOUND).alias("error"))
         )
         produced = answered.select(K.response_key(F.col("batch_key")).alias("s3_key"))
-        return StageResult(finished, failed, produced, C.STAGE_RESPONSES)
+        timing = responses.select(F.col("batch_key").alias("s3_key"), "seconds")
+        return StageResult(finished, failed, produced, C.STAGE_RESPONSES, timing)
 
     return handle
 
@@ -323,6 +331,27 @@ def ocr_handler(ws: Workspace, provider: inference.Provider, limits: Limits) ->
 # --- running them ---
 
 
+@dataclass
+class Stage:
+    """A stage as a ``foreachBatch`` function.
+
+    ``retries`` are the micro-batches since it was last asked whose failed keys were delivered
+    again, and ``redelivered`` gives the messages of one of them.
+    """
+
+    process: Callable[[DataFrame, int], bool]
+    redelivered: Callable[[SparkSession, int], DataFrame]
+    retries: list[int] = field(default_factory=list)
+
+    def __call__(self, rows: DataFrame, epoch: int) -> None:
+        if self.process(rows, epoch):
+            self.retries.append(epoch)
+
+    def take_retries(self) -> list[int]:
+        taken, self.retries = self.retries, []
+        return taken
+
+
 def start(
     stream: DataFrame,
     process: Callable[[DataFrame, int], None],
@@ -330,46 +359,67 @@ def start(
     name: str,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Start a stage: until stopped, or with ``every=None`` until the input is used up."""
+    """Start a stage: until stopped, or with ``every=None`` until the input that is there is used up."""
     writer = stream.writeStream.queryName(name).foreachBatch(process).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.trigger(**trigger).start()
 
 
-def page_stage(ws: Workspace, source: PageFiles | PageTable, limits: Limits = Limits()):
-    """The page stage as a ``foreachBatch`` function."""
+def page_stage(
+    ws: Workspace, source: PageFiles | PageTable, limits: Limits = Limits(), retries: str = "messages"
+) -> Stage:
+    """The page stage. Failed keys come back as messages in the folder ``retries`` of the workspace."""
     handler = page_handler(ws, source, limits)
 
+    def folder(epoch: int) -> str:
+        return f"{ws.path(retries)}/retry-{epoch}"
+
     def redeliver(failed: DataFrame, epoch: int) -> None:
         again = failed.select(
             F.concat_ws("-", F.lit("retry"), F.lit(epoch), F.sha2("s3_key", 256)).alias("message_id"),
             bodies.announcement(F.col("s3_key")).alias("body"),
             F.lit(None).cast("map<string,string>").alias("attributes"),
         )
-        messages.write_messages(again, f"{ws.path('messages')}/retry-{epoch}")
+        messages.write_messages(again, folder(epoch))
 
-    def process(rows: DataFrame, epoch: int) -> None:
-        run_stage(
+    def process(rows: DataFrame, epoch: int) -> bool:
+        return run_stage(
             rows, epoch, ws, C.STAGE_PAGES, "pages", handler, routing.failed_key_letters, redeliver, limits
         )
 
-    return process
+    return Stage(process, lambda spark, epoch: spark.read.schema(schemas.MESSAGE).json(folder(epoch)))
 
 
-def ocr_stage(ws: Workspace, provider: inference.Provider, limits: Limits = Limits()):
-    """The inference stage as a ``foreachBatch`` function."""
+def ocr_stage(
+    ws: Workspace, provider: inference.Provider, limits: Limits = Limits(), retries: str = RETRY
+) -> Stage:
+    """The inference stage. Failed keys are announced again by the writer ``retries``."""
     handler = ocr_handler(ws, provider, limits)
 
     def redeliver(failed: DataFrame, epoch: int) -> None:
         again = failed.select("s3_key", bodies.announcement(F.col("s3_key")).alias("body"))
-        ws.append(again, "announcements", RETRY, epoch)
+        ws.append(again, "announcements", retries, epoch)
 
-    def process(rows: DataFrame, epoch: int) -> None:
-        run_stage(
+    def process(rows: DataFrame, epoch: int) -> bool:
+        return run_stage(
             rows, epoch, ws, C.STAGE_OCR, "batches", handler, routing.failed_page_letters, redeliver, limits
         )
 
-    return process
+    def redelivered(spark: SparkSession, epoch: int) -> DataFrame:
+        rows = ws.read(spark, "announcements", only=(retries, epoch))
+        nothing = F.lit(None).cast("map<string,string>").alias("attributes")
+        return rows.select(F.sha2(F.concat_ws("-", F.lit(epoch), "s3_key"), 256).alias("message_id"), "body", nothing)
+
+    return Stage(process, redelivered)
+
+
+def _page_stream(spark: SparkSession, ws: Workspace, max_files: int) -> DataFrame:
+    return messages.message_stream(spark, ws.path("messages"), max_files)
+
+
+def _batch_stream(spark: SparkSession, ws: Workspace, max_files: int) -> DataFrame:
+    folders = f"{ws.path('announcements')}/{{writer={C.STAGE_PAGES},writer={RETRY}}}"
+    return messages.announcement_stream(spark, folders, max_files)
 
 
 def start_page_stage(
@@ -377,11 +427,11 @@ def start_page_stage(
     ws: Workspace,
     source: PageFiles | PageTable,
     limits: Limits = Limits(),
-    every: str | None = None,
+    every: str = EVERY,
     max_files: int = C.MAX_MESSAGES_PER_POLL,
 ) -> StreamingQuery:
-    """Read messages from the workspace's landing folder and batch the pages they name."""
-    stream = messages.message_stream(spark, ws.path("messages"), max_files)
+    """Read messages from the workspace's landing folder and batch the pages they name, until stopped."""
+    stream = _page_stream(spark, ws, max_files)
     return start(stream, page_stage(ws, source, limits), ws.path("checkpoints/pages"), "pages", every)
 
 
@@ -390,11 +440,43 @@ def start_ocr_stage(
     ws: Workspace,
     provider: inference.Provider,
     limits: Limits = Limits(),
-    every: str | None = None,
+    every: str = EVERY,
     max_files: int = C.MAX_MESSAGES_PER_POLL,
 ) -> StreamingQuery:
-    """Read the page stage's announcements and run the provider over the batches."""
-    folders = f"{ws.path('announcements')}/{{writer={C.STAGE_PAGES},writer={RETRY}}}"
-    announced = messages.announcement_stream(spark, folders, max_files)
-    return start(announced, ocr_stage(ws, provider, limits), ws.path("checkpoints/ocr"), "ocr", every)
+    """Read the page stage's announcements and run the provider over the batches, until stopped."""
+    stream = _batch_stream(spark, ws, max_files)
+    return start(stream, ocr_stage(ws, provider, limits), ws.path("checkpoints/ocr"), "ocr", every)
+
+
+def run_page_stage(
+    spark: SparkSession,
+    ws: Workspace,
+    source: PageFiles | PageTable,
+    limits: Limits = Limits(),
+    max_files: int = C.MAX_MESSAGES_PER_POLL,
+) -> None:
+    """The page stage until its messages are used up, those of failed keys included.
+
+    Each pass ends with the messages that were there when it began; keys that failed in it are
+    in the next. So every key is done, or a dead letter, when this returns.
+    """
+    stage = page_stage(ws, source, limits)
+    _until_settled(stage, lambda: start(_page_stream(spark, ws, max_files), stage, ws.path("checkpoints/pages"), "pages"))
+
+
+def run_ocr_stage(
+    spark: SparkSession,
+    ws: Workspace,
+    provider: inference.Provider,
+    limits: Limits = Limits(),
+    max_files: int = C.MAX_MESSAGES_PER_POLL,
+) -> None:
+    """The inference stage until its announcements are used up, those of failed batches included."""
+    stage = ocr_stage(ws, provider, limits)
+    _until_settled(stage, lambda: start(_batch_stream(spark, ws, max_files), stage, ws.path("checkpoints/ocr"), "ocr"))
+
 
+def _until_settled(stage: Stage, one_pass: Callable[[], StreamingQuery]) -> None:
+    one_pass().awaitTermination()
+    while stage.take_retries():
+        one_pass().awaitTermination()

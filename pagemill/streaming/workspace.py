@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagemill import schemas
-from pagemill.operators import state
+from pagemill.operators import inference, state
 
 WRITTEN_BY = [
     T.StructField("writer", T.StringType()),
@@ -43,12 +43,9 @@ RUNS = T.StructType(
         T.StructField("first_pos", T.LongType()),
     ]
 )
-RESPONSES = T.StructType(
+CHECKS = T.StructType(
     [
-        T.StructField("batch_key", T.StringType()),
-        T.StructField("custom_ids", T.ArrayType(T.StringType())),
-        T.StructField("aside", T.ArrayType(T.StringType())),
-        T.StructField("response", T.StringType()),
+        T.StructField("s3_key", T.StringType()),
         T.StructField("error", T.StringType()),
     ]
 )
@@ -83,9 +80,10 @@ TABLES = {
     "announcements": schemas.ANNOUNCEMENT,
     "dead_letters": schemas.DEAD_LETTER,
     "outcomes": schemas.OUTCOME,
+    "checks": CHECKS,
     "manifest": MANIFEST,
     "runs": RUNS,
-    "responses": RESPONSES,
+    "responses": inference.RESPONSES,
     "response_pages": RESPONSE_PAGES,
     "quarantine": QUARANTINE,
 }
@@ -111,18 +109,22 @@ class Workspace:
         table: str,
         before: tuple[str, int] | None = None,
         only: tuple[str, int] | None = None,
+        step: str | None = None,
     ) -> DataFrame:
         """A table's rows: all, those from before a micro-batch ran, or only that one's.
 
-        The tests are on folder names, so other folders are not opened.
+        ``only`` (with ``step``, one step of it) reads just its folder; the other tests are on
+        folder names, so folders that fail them are listed but not opened.
         """
+        if only is not None:
+            folder = f"{self.path(table)}/writer={only[0]}/epoch={only[1]}"
+            folder = folder if step is None else f"{folder}/step={step}"
+            return self._folder(spark, folder, TABLES[table])
         rows = self._stored(spark, table, [*TABLES[table].fields, *WRITTEN_BY])
         if table == "state":
             rows = self._with_folded(spark, rows)
         if before is not None:
             rows = rows.filter(~(_by(before[0]) & (F.col("epoch") >= before[1])))
-        if only is not None:
-            rows = rows.filter(_by(only[0]) & (F.col("epoch") == only[1]))
         return rows.drop("writer", "epoch", "step")
 
     def next_epoch(self, spark: SparkSession, writer: str) -> int:
@@ -135,9 +137,11 @@ class Workspace:
         return 0 if last is None else last + 1
 
     def _stored(self, spark: SparkSession, name: str, fields: list[T.StructField]) -> DataFrame:
-        schema = T.StructType(fields)
+        return self._folder(spark, self.path(name), T.StructType(fields))
+
+    def _folder(self, spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
         try:
-            return spark.read.schema(schema).parquet(self.path(name))
+            return spark.read.schema(schema).parquet(folder).select(*schema.names)
         except AnalysisException as problem:
             if "PATH_NOT_FOUND" not in str(problem):
                 raise

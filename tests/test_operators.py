@@ -47,10 +47,7 @@ def test_sharded_mixed_batches(spark):
     pages = spark.createDataFrame(rows, "s3_key string, page_no long, page_bytes binary").repartition(3)
     members = R.batch_members(R.page_sizes(pages), mixed=True, shards=3, max_pages=5)
     named = R.name_batches(members, mixed=True)
-    requests = R.batched_requests(pages, R.page_runs(named))
-    sent = R.batched_requests(pages, R.page_runs(named), broadcast=True)
-    assert sorted(map(str, requests.collect())) == sorted(map(str, sent.collect()))
-    assert R.fits_broadcast(R.page_runs(named)) and not R.fits_broadcast(R.page_runs(named), 3)
+    requests = R.batched_pages(pages, R.page_runs(named))
     assert requests.select("custom_id").distinct().count() == requests.count() == len(rows)
     assert sorted(map(tuple, requests.select("batch_key", "pos", "custom_id").collect())) == sorted(
         map(tuple, named.select("batch_key", "pos", "custom_id").collect())
@@ -146,7 +143,7 @@ def stored(spark):
     pages = spark.createDataFrame(PAGES, "s3_key string, page_no long, page_bytes binary").repartition(3)
     named = R.name_batches(R.batch_members(R.page_sizes(pages), max_pages=4))
     root = working_folder(spark, "stored")
-    request_source.write_batches(R.batched_requests(pages, R.page_runs(named)), root)
+    request_source.write_batches(R.batched_pages(pages, R.page_runs(named)), root)
     return spark, root, named
 
 
@@ -169,7 +166,7 @@ def test_writing_batches_again_changes_nothing(stored):
     spark, root, named = stored
     before = sorted(map(tuple, request_source.read_batches(spark, root).collect()))
     pages = spark.createDataFrame(PAGES, "s3_key string, page_no long, page_bytes binary").repartition(7)
-    request_source.write_batches(R.batched_requests(pages, R.page_runs(named)), root)
+    request_source.write_batches(R.batched_pages(pages, R.page_runs(named)), root)
     assert sorted(map(tuple, request_source.read_batches(spark, root).collect())) == before
 
 
@@ -226,9 +223,61 @@ def test_malformed_lines_fail_their_batch(spark, tmp_path):
     assert (row["response"], row["error"]) == (None, inference.MALFORMED)
 
 
+def test_pages_that_are_not_base64_fail_their_own_batch(spark, tmp_path):
+    def line(number, url):
+        return json.dumps({"custom_id": f"a_{number}", "body": {"document": {"type": "image_url", "image_url": url}, "include_image_base64": True}})
+
+    good = "data:image/jpeg;base64,JVBERi0="
+    for name, second in {"good": good, "tail": good + "=x", "comma": "data:image/jpeg;base64", "length": "data:x,JVBER"}.items():
+        folder = tmp_path / f"batch_key={name}"
+        folder.mkdir()
+        (folder / "x.json").write_text(line(1, good) + "\n" + line(2, second) + "\n")
+    rows = inference.run_provider(request_source.read_batches(spark, str(tmp_path)), inference.text_provider).collect()
+    assert {r["batch_key"]: r["error"] for r in rows} == {
+        "good": None, "tail": inference.MALFORMED, "comma": inference.MALFORMED, "length": inference.MALFORMED,
+    }
+
+
+@pytest.mark.parametrize(
+    "response", ["[]", "{}", '{"pages": 3}', '{"pages": [1]}', '{"pages": [{"markdown": "m"}]}', '{"pages": [{"index": "0"}]}', '{"pages": [{"index": 0, "markdown": {}}]}']
+)
+def test_a_response_of_another_shape_is_an_error(stored, response):
+    spark, root, _ = stored
+    rows = inference.run_provider(request_source.read_batches(spark, root), lambda pages: response).collect()
+    assert all(r["response"] is None and r["error"] for r in rows)
+
+
+def test_batch_names_follow_all_pages_and_their_sizes(spark):
+    def name(rows):
+        df = spark.createDataFrame(rows, "s3_key string, page_no long, page_bytes binary")
+        members = R.batch_members(R.page_sizes(df), mixed=True, max_pages=10)
+        return {r["batch_key"] for r in R.name_batches(members, mixed=True).collect()}
+
+    first = name([("a", 1, b"x"), ("b1", 1, b"x"), ("c", 1, b"x")])
+    assert first == name([("a", 1, b"x"), ("b1", 1, b"x"), ("c", 1, b"x")])
+    assert not first & name([("a", 1, b"x"), ("b2", 1, b"x"), ("c", 1, b"x")])
+    assert not first & name([("a", 1, b"x"), ("b1", 1, b"x" * 9), ("c", 1, b"x")])
+
+
+def test_a_batch_moves_its_pages_once(stored):
+    spark, root, named = stored
+    pages = spark.createDataFrame(PAGES, "s3_key string, page_no long, page_bytes binary")
+    runs = R.page_runs(named)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        placed = R.encoded(R.batched_pages(pages, F.broadcast(runs)).repartition("batch_key"))
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(batch_key" in line and "REPARTITION" in line]
+    assert len(moved) == 1
+    # Encoding stands above the exchange.
+    assert plan.index("base64") < plan.index(moved[0])
+
+
 def test_response_fields_we_do_not_know_stay_in_the_document(spark):
     document = json.dumps({"pages": [{"index": 0, "markdown": "m", "images": [{"id": "i"}], "new": 1}], "more": 2})
-    df = spark.createDataFrame([("b", ["x_1"], [], document, None)], inference.RESPONSES)
+    df = spark.createDataFrame([("b", ["x_1"], [], document, None, 0.5)], inference.RESPONSES)
     row = inference.response_pages(df).first()
     assert (row["custom_id"], row["markdown"], row["n_images"], row["dpi"]) == ("x_1", "m", 1, None)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pagemill import constants as C
 from pagemill import schemas
-from pagemill.operators import inference, state
+from pagemill.operators import inference, routing, state
 from pagemill.operators import requests as R
 from pagemill.plans import bulk
 from pagemill.sources import messages as message_source
@@ -87,20 +87,24 @@ def test_both_stages_over_page_files(spark, tmp_path, bucket):
     ws = Workspace(str(tmp_path / "ws"))
     source = stages.PageFiles(bucket)
     message_source.write_messages(message_rows(spark, BODIES), ws.path("messages/first"))
-    stages.start_page_stage(spark, ws, source, LIMITS).awaitTermination()
+    stages.run_page_stage(spark, ws, source, LIMITS)
 
     now = statuses(spark, ws, C.STAGE_PAGES)
     for key, count in FILES.items():
         assert (now[key]["status"], now[key]["total_pages"], now[key]["pages_processed"]) == ("done", count, count)
     assert (now["parquets/empty.parquet"]["status"], now["parquets/empty.parquet"]["total_pages"]) == ("done", 0)
-    assert (now["parquets/absent.parquet"]["status"], now["parquets/absent.parquet"]["attempts"]) == ("failed", 1)
-    assert now["parquets/broken.parquet"]["status"] == "failed"
+    # Failed keys come back within the run until they are given up.
+    for key in ("parquets/absent.parquet", "parquets/broken.parquet"):
+        assert (now[key]["status"], now[key]["attempts"]) == ("failed", 2)
     assert 0 < len(now["parquets/broken.parquet"]["last_error"]) <= 1024
-    assert letters(spark, ws) == ["123", "parquets/a.parquet"]
-    assert outcomes(spark, ws) == [
+    gone = [f'{{"failed_keys":["parquets/{name}.parquet"],"reason":"worker_processing_failed"}}' for name in ("absent", "broken")]
+    assert letters(spark, ws) == sorted(["123", "parquets/a.parquet", *gone])
+    first = [o for o in outcomes(spark, ws) if not o[0].startswith("retry")]
+    assert first == [
         ("1", "processed"), ("2", "processed"), ("3", "processed"), ("4", "failed"), ("5", "failed"),
         ("6", "forwarded_to_dlq"), ("7", "forwarded_to_dlq"), ("8", "processed"),
     ]
+    assert [o for i, o in outcomes(spark, ws) if i.startswith("retry")] == ["forwarded_to_dlq"] * 2
 
     # The plan equals the one made in batch over the same files.
     pages = stages.PageFiles(bucket).pages(spark, list(FILES))
@@ -111,18 +115,15 @@ def test_both_stages_over_page_files(spark, tmp_path, bucket):
     enqueued = statuses(spark, ws, C.STAGE_OCR)
     assert {r["status"] for r in enqueued.values()} == {"enqueued"} and len(enqueued) == 6
 
-    # Failed keys come back on their own; one is there by now, the other is given up.
+    # A file that is there by now is asked for again.
     write_file(bucket, "parquets/absent.parquet", pages_of("late", 1))
-    stages.start_page_stage(spark, ws, source, LIMITS).awaitTermination()
-    now = statuses(spark, ws, C.STAGE_PAGES)
-    assert (now["parquets/absent.parquet"]["status"], now["parquets/absent.parquet"]["attempts"]) == ("done", 1)
-    assert (now["parquets/broken.parquet"]["status"], now["parquets/broken.parquet"]["attempts"]) == ("failed", 2)
-    assert '{"failed_keys":["parquets/broken.parquet"],"reason":"worker_processing_failed"}' in letters(spark, ws)
-    assert len(letters(spark, ws)) == 3
+    message_source.write_messages(message_rows(spark, [("9", "s3://bucket/parquets/absent.parquet", None)]), ws.path("messages/second"))
+    stages.run_page_stage(spark, ws, source, LIMITS)
+    assert statuses(spark, ws, C.STAGE_PAGES)["parquets/absent.parquet"]["status"] == "done"
 
     # Nothing new: nothing happens.
     before = everything(spark, ws)
-    stages.start_page_stage(spark, ws, source, LIMITS).awaitTermination()
+    stages.run_page_stage(spark, ws, source, LIMITS)
     assert everything(spark, ws) == before
 
     calls = []
@@ -132,12 +133,11 @@ def test_both_stages_over_page_files(spark, tmp_path, bucket):
             raise RuntimeError("model is away")
         return inference.text_provider(sent)
 
-    stages.start_ocr_stage(spark, ws, provider, LIMITS).awaitTermination()
+    stages.run_ocr_stage(spark, ws, provider, LIMITS)
     found = {r["custom_id"]: r["markdown"] for r in ws.read(spark, "response_pages").collect()}
     assert found == {f"{k}_{i + 1}": p.decode() for k, n in FILES.items() for i, p in enumerate(pages_of(k, n))}
     ocr = statuses(spark, ws, C.STAGE_OCR)
     assert sorted(r["status"] for r in ocr.values()) == ["done"] * 6 + ["failed"]
-    stages.start_ocr_stage(spark, ws, provider, LIMITS).awaitTermination()
     late = [r for r in statuses(spark, ws, C.STAGE_OCR).values() if r["status"] == "failed"]
     assert (late[0]["attempts"], late[0]["last_error"]) == (2, "RuntimeError: model is away")
     gone = [json.loads(b) for b in letters(spark, ws) if "failed_pages" in b]
@@ -146,15 +146,15 @@ def test_both_stages_over_page_files(spark, tmp_path, bucket):
     assert not calls
 
 
-@pytest.mark.parametrize("max_listed", [100, 0])
-def test_a_repeated_micro_batch_changes_nothing(spark, tmp_path, max_listed):
+@pytest.mark.parametrize("slice_keys", [100, 1])
+def test_a_repeated_micro_batch_changes_nothing(spark, tmp_path, slice_keys):
     ws = Workspace(str(tmp_path / "ws"))
     pages = [(k, i + 1, p) for k, n in FILES.items() for i, p in enumerate(pages_of(k, n))]
     pages.append(("parquets/junk.parquet", 1, b"not a pdf"))
     page_source.write_page_table(
         spark.createDataFrame(pages, "s3_key string, page_no long, page_bytes binary"), ws.path("pages")
     )
-    limits = stages.Limits(max_pages=4, max_attempts=1, max_listed=max_listed, clock=lambda: FIXED)
+    limits = stages.Limits(max_pages=4, max_attempts=1, slice_keys=slice_keys, clock=lambda: FIXED)
     rows = message_rows(spark, [(i, b, n) for i, b, n in BODIES if "broken" not in b] + [("9", "parquets/junk.parquet", None)])
     process = stages.page_stage(ws, stages.PageTable(ws.path("pages")), limits)
     process(rows, 0)
@@ -314,3 +314,78 @@ def test_continue_batches_equals_one_pass():
                 batch, h, p = batch + 1, 0, 0
         offset, closes, h2, p2 = carry.continue_batches(sizes, held, pages, max_bytes, max_pages)
         assert list(zip(offset, closes)) == wanted and (h2, p2) == (h, p)
+
+
+ODD_KEYS = ["", "..", "../x", "a//b", "http://host:9/x", "s3://b", "{", "parquets", "p:q", "a\x01b", "*"]
+
+
+@pytest.mark.parametrize("slice_keys", [1000, 2])
+def test_keys_of_any_kind_end_the_same_in_slices_of_any_size(spark, tmp_path, bucket, slice_keys):
+    ws = Workspace(str(tmp_path / "ws"))
+    limits = stages.Limits(max_pages=4, max_attempts=1, slice_keys=slice_keys, clock=lambda: FIXED)
+    keys = [*FILES, "parquets/broken.parquet", "parquets/absent.parquet", *ODD_KEYS]
+    rows = message_rows(spark, [(str(i), json.dumps({"s3_keys": [k]}), None) for i, k in enumerate(keys)])
+    stages.page_stage(ws, stages.PageFiles(bucket), limits)(rows, 0)
+    now = statuses(spark, ws, C.STAGE_PAGES)
+    assert {k for k, r in now.items() if r["status"] == "done"} == set(FILES)
+    assert {k for k, r in now.items() if r["status"] == "failed"} == set(keys) - set(FILES)
+    assert all(r["last_error"] == stages.NOT_FOUND for k, r in now.items() if r["status"] == "failed" and "broken" not in k)
+
+
+def test_a_problem_that_is_no_file_fails_the_micro_batch(spark, tmp_path, bucket, monkeypatch):
+    ws = Workspace(str(tmp_path / "ws"))
+    monkeypatch.setattr(stages.PageFiles, "pages", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        stages.page_stage(ws, stages.PageFiles(bucket), LIMITS)(message_rows(spark, BODIES[:1]), 0)
+
+
+def test_bulk_runs_end_failed_keys(spark, tmp_path, bucket):
+    ws = Workspace(str(tmp_path / "ws"))
+    keys = spark.createDataFrame([("parquets/a.parquet",), ("parquets/absent.parquet",)], "s3_key string")
+    bulk.run_pages(ws, stages.PageFiles(bucket), keys, stages.Limits(max_pages=4, max_attempts=3))
+    now = statuses(spark, ws, C.STAGE_PAGES)
+    assert (now["parquets/absent.parquet"]["status"], now["parquets/absent.parquet"]["attempts"]) == ("failed", 3)
+    assert len(letters(spark, ws)) == 1 and not os.path.exists(ws.path("messages"))
+
+
+def test_lines_that_are_no_messages_keep_their_text(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    good = '{"message_id":"1","body":"k","attributes":{"ApproximateReceiveCount":"2"}}'
+    odd = '{"message_id":"2","body":"k2","attributes":{"ApproximateReceiveCount":"x"}}'
+    (landing / "m.json").write_text(good + "\nnot json {\n\n" + odd + "\n")
+    out = str(tmp_path / "out")
+    query = (
+        message_source.message_stream(spark, str(landing)).writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start(out)
+    )
+    query.awaitTermination()
+    rows = spark.read.schema(schemas.MESSAGE).parquet(out)
+    good_rows, poison = routing.split_poison(routing.with_receive_count(rows))
+    assert [(r["message_id"], r["body"]) for r in good_rows.collect()] == [("1", "k")]
+    assert sorted(r["body"] for r in poison.collect()) == ["k2", "not json {"]
+    assert all(r["message_id"] for r in poison.collect())
+
+
+def test_kafka_headers_are_attributes(spark):
+    schema = "topic string, partition int, offset long, value binary, headers array<struct<key:string,value:binary>>"
+    rows = spark.createDataFrame(
+        [("t", 0, 5, b"k", [(C.RECEIVE_COUNT_ATTRIBUTE, b"3"), ("x", b"1"), ("x", b"2")]), ("t", 0, 6, b"k", None)], schema
+    )
+    found = message_source.kafka_messages(rows)
+    counted = routing.with_receive_count(found).orderBy("message_id").collect()
+    assert [(r["message_id"], r["receive_count"]) for r in counted] == [("t-0-5", 3), ("t-0-6", 1)]
+    assert counted[0]["attributes"]["x"] == "2"
+
+
+def test_streams_read_tables_of_many_files(spark, tmp_path):
+    from pagemill.plans import streams
+
+    whole = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    whole.repartition(5).write.parquet(str(tmp_path / "events.parquet"))
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
+    for query in (streams.stream_message_keys, streams.stream_outcome_counts, streams.stream_state):
+        one = sorted(map(str, query(spark, "/root/testdata/sf0.001").collect()))
+        many = sorted(map(str, query(spark, str(tmp_path)).collect()))
+        assert one and one == many
