@@ -67,8 +67,8 @@ def _order(span: tuple[int, int, str]) -> tuple[int, int, int]:
 def transitions(text: str) -> np.ndarray:
     """Counts of character pairs in the text's strings, as one row of ``SYMBOLS * SYMBOLS``."""
     codes = _CODES[np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)]
-    before = np.concatenate(([0], codes[:-1])) if len(codes) else codes
-    pairs = before.astype(np.int64) * SYMBOLS + codes
+    before = np.concatenate((codes[:0], np.zeros(1, np.uint16), codes[:-1])) if len(codes) else codes
+    pairs = before * np.uint16(SYMBOLS) + codes
     return np.bincount(pairs[codes > 0], minlength=SYMBOLS * SYMBOLS)
 
 
@@ -97,19 +97,19 @@ def _count_samples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _count_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     counts = _zero()
     for batch in batches:
-        ordinary, random = [], []
         for text in batch["text"]:
             if not text:
                 continue
-            at = 0
+            ordinary, random, at = [], [], 0
             for start, end, kind in base_spans(text):
                 value = text[start:end]
                 random.append(re.split(r"[:=\"' ]", value)[-1] if kind == "assign" else value)
                 ordinary.append(text[at : max(at, start)])
                 at = max(at, end)
             ordinary.append(text[at:])
-        counts[False] += transitions("\n".join(ordinary))
-        counts[True] += transitions("\n".join(random))
+            counts[False] += transitions("\n".join(ordinary))
+            if random:
+                counts[True] += transitions("\n".join(random))
     yield _rows(counts)
 
 
