@@ -164,4 +164,5 @@ def named(found: DataFrame, stored: DataFrame) -> DataFrame:
     """``found`` with the ``doc_id`` of each document of files that :func:`store` wrote."""
     names = stored.select("file", "first", F.posexplode("doc_ids").alias("i", "doc_id"))
     names = names.select("file", (F.col("first") + F.col("i")).alias("ordinal"), "doc_id")
-    return found.join(names, ["file", "ordinal"])
+    # Both sides grow with the documents; the small file that ``found`` comes from must not mislead the join.
+    return found.hint("merge").join(names, ["file", "ordinal"])
