@@ -28,11 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Distinct runs of text whose ids a worker keeps at a time, and the longest run it keeps.
-CACHE = 400_000
+CACHE = 700_000
 CACHED_LENGTH = 64
 # Pairs of tokens that are known to follow each other or not.
 PAIRS = 500_000
 _NEVER = 1 << 62
+_SHORT = (2, 1)
 
 # A blank with the characters after it, or white space that the pattern takes by itself.
 _RUN = re.compile(r" ?\S+|\s+(?!\S)|\s")
@@ -50,10 +51,12 @@ class Vocabulary:
         self.tokens = {i: token for token, i in ranks.items()}
         self.lengths = {i: len(token) for token, i in ranks.items()}
         self.longest = max(map(len, ranks))
-        # The longest token by its last three bytes, and by its last two or one if it has no more.
-        self.reach: dict[bytes, int] = {}
+        # Sizes of the tokens that end in three given bytes, from the longest down; others have at most two bytes.
+        sizes: dict[bytes, set[int]] = {}
         for token in ranks:
-            self.reach[token[-3:]] = max(self.reach.get(token[-3:], 0), len(token))
+            if len(token) > 2:
+                sizes.setdefault(token[-3:], set()).add(len(token))
+        self.sizes = {tail: (*sorted(found, reverse=True), 2, 1) for tail, found in sizes.items()}
         self._follow: dict[int, bool] = {}
         self._whole: dict[int, bool] = {}
         self._edges: dict[int, tuple[list, list]] = {}
@@ -151,25 +154,24 @@ class Vocabulary:
 
     def fill(self, data: bytes, last: list[int], stop: int) -> None:
         """Appends the valid last tokens of ``data``'s prefixes to ``last``, up to the prefix of ``stop`` bytes."""
-        rank_of, follow, reach = self.ranks.get, self._follow, self.reach.get
+        rank_of, follow, sizes = self.ranks.get, self._follow, self.sizes.get
         for end in range(len(last) + 1, stop + 1):
-            begin = end - reach(data[end - 3 : end], 2) if end > 2 else 0
-            if begin <= 0:
-                # The whole prefix may be a token.
-                token = rank_of(data[:end])
-                if token is not None and self.whole(token):
-                    last.append(token)
+            for size in sizes(data[end - 3 : end], _SHORT) if end > 2 else _SHORT:
+                begin = end - size
+                if begin < 0:
                     continue
-                begin = 1
-            while begin < end:
                 token = rank_of(data[begin:end])
-                if token is not None:
+                if token is None:
+                    continue
+                if begin:
                     before = last[begin - 1]
                     fits = follow.get(before << 32 | token)
                     if fits or fits is None and self.follows(before, token):
                         last.append(token)
                         break
-                begin += 1
+                elif self.whole(token):
+                    last.append(token)
+                    break
             else:
                 raise ValueError("a byte of the text has no token")
 
