@@ -7,10 +7,12 @@ falls with their edit distance, moved passages included. Texts that share a sket
 linked if its words align with at most ``1 - SIMILARITY`` edits per word of the longer text. Classes are the
 connected components of links.
 
-Equal texts are one vertex from the start. Within the texts of one sketch, each is compared with the smallest
-id; those that do not align with it are compared with the smallest of themselves, and so on until none is left:
-no pairs are listed within a group, and none of its texts is left out. A link between two texts that both align
-with a third need not be measured, as it would change no class.
+Equal texts are one vertex from the start. Within the texts of one sketch, each is compared with the one that
+shares most sketches with others. After that, texts that share two neighbouring sketches and are not known to be
+of one class yet are compared with a few of themselves, chosen in the same way, and those that do not align with
+them with the next ones, until none is left: copies are not paired with each other, no text of a group is left
+out, and a passage that many texts share does not make all of them candidates. A link between two texts that both
+align with a third need not be measured, as it would change no class.
 
 A text of fewer than ``K`` words is one k-mer of all its words; texts without words are equal if their
 characters are. Null counts as empty. A row without an id takes the class of the texts equal to its own, or
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.llm.common import words, written
@@ -39,13 +41,16 @@ LENGTH = 4
 SIMILARITY = 0.8
 # Hash buckets that say which texts may be needed for alignment; their number bounds what is broadcast.
 BUCKETS = 1 << 20
+# Texts of one sketch that its others are compared with at a time: one at first, eight times as many each time
+# after, so that a sketch which many dissimilar texts share is done with in a few rounds.
+LEADERS = 512
 # Elements of the matrix of hashes that is held at a time.
 _MATRIX = 1 << 19
 
 _SEEDS = np.random.default_rng(20240607).integers(1, 1 << 63, size=256, dtype=np.uint64)
 _POWERS = np.asarray([pow(0x9E3779B97F4A7C15, i, 1 << 64) for i in range(1, 257)], dtype=np.uint64)
 
-SKETCHED = "doc_id long, node binary, sketches array<long>"
+SKETCHED = "doc_id long, node binary, n_words int, sketches array<long>"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -184,8 +189,8 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             # Texts without words differ by their characters.
             content = b" ".join(tokens) if tokens else b"\n" + (text or "").encode("utf-8", "surrogatepass")
             node = hashlib.blake2b(content, digest_size=16).digest()
-            rows.append((node, sketches(word_codes(tokens)) if tokens else none))
-        out = pd.DataFrame(rows, columns=["node", "sketches"])
+            rows.append((node, len(tokens), sketches(word_codes(tokens)) if tokens else none))
+        out = pd.DataFrame(rows, columns=["node", "n_words", "sketches"])
         out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
         yield out
 
@@ -207,46 +212,98 @@ def _bucket(column: str) -> Column:
     return F.pmod(F.xxhash64(F.col(column)), F.lit(BUCKETS)).cast("int")
 
 
+def _open(rows: DataFrame) -> DataFrame:
+    """``rows`` whose sketch texts have that are not known to be of one class."""
+    mixed = rows.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b").select("key")
+    return rows.join(mixed, "key")
+
+
+def _with_weight(rows: DataFrame) -> DataFrame:
+    """``rows`` with the number of texts that a text shares sketches with, each as often as it shares one.
+
+    Of many copies of a text with a few edits each, the text itself and those with the fewest edits have the
+    largest weights: most of the others align with them.
+    """
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n"))
+    weights = rows.select("key", "rep").join(sizes, "key").groupBy("rep").agg(F.sum("n").alias("weight"))
+    return rows.join(weights, "rep")
+
+
+def _labels(found: DataFrame) -> DataFrame:
+    """``rep, label``: the smallest text that a text is linked to, or that one's smallest in turn."""
+    first = found.groupBy(F.col("v").alias("rep")).agg(F.min("u").alias("label"))
+    again = first.select(F.col("rep").alias("label"), F.col("label").alias("further"))
+    return first.join(again, "label", "left").select("rep", F.coalesce("further", "label").alias("label"))
+
+
 def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """``u, v``: aligned pairs of ``rep`` ids, enough of them to connect all that align with a common text."""
-    members = nodes.where(F.col("rep").isNotNull()).select("rep", F.explode("sketches").alias("key"))
-    shared = members.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("leader")).where("n > 1")
-    # Rows of ``key, leader, rep``; a hot sketch is split by the join, as its leader is one row.
-    pairs = written(members.join(shared.select("key", "leader"), "key").where("rep != leader"), "pairs")
-    involved = pairs.select("rep").union(pairs.select("leader")).distinct()
-    codes = F.pandas_udf(_codes, "binary")
-    few = involved.select(_bucket("rep").alias("bucket")).distinct()
-    texts = docs.select("doc_id", "text").withColumn("bucket", _bucket("doc_id")).join(F.broadcast(few), "bucket", "left_semi")
-    texts = texts.select(F.col("doc_id").alias("rep"), codes("text").alias("codes"))
-    texts = texts.join(involved, "rep", "left_semi").groupBy("rep").agg(F.min("codes").alias("codes"))
-    texts = written(texts, "codes")
-    found = None
-    while not pairs.isEmpty():
+    members = nodes.where(F.col("rep").isNotNull())
+    members = members.select("rep", "n_words", F.explode("sketches").alias("key"), F.col("rep").alias("label"))
+    rows = written(_with_weight(_open(members)), "open")
+    texts = _codes_of(docs, rows.select("rep").distinct())
+    found, leaders = None, 1
+    while not rows.isEmpty():
+        # Only as many rows of a sketch as there are leaders pass on to be ranked.
+        rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("weight"), "rep"))
+        first = rows.withColumn("rank", rank).where(F.col("rank") <= leaders)
+        first = first.select("key", *(F.col(c).alias(f"leader_{c}") for c in ("rep", "n_words", "weight", "label")))
+        # A hot sketch is split by the join: it has few leaders and many rows.
+        longer, shorter = F.greatest("n_words", "leader_n_words"), F.least("n_words", "leader_n_words")
+        behind = (F.col("weight") < F.col("leader_weight")) | (
+            (F.col("weight") == F.col("leader_weight")) & (F.col("rep") > F.col("leader_rep"))
+        )
+        pairs = rows.join(first, "key").where(
+            behind & (F.col("label") != F.col("leader_label")) & (shorter >= longer * SIMILARITY - 1e-9)
+        )
+        pairs = written(pairs.select("key", F.col("leader_rep").alias("leader"), "rep"), "pairs")
         compared = (
             pairs.select("leader", "rep").distinct()
             .join(texts.select(F.col("rep").alias("leader"), F.col("codes").alias("a")), "leader")
             .join(texts.select("rep", F.col("codes").alias("b")), "rep")
         )
-        verdicts = written(compared.mapInPandas(_aligned, "leader long, rep long, near boolean"), "verdicts")
-        near = verdicts.where("near").select(F.col("leader").alias("u"), F.col("rep").alias("v"))
-        found = near if found is None else found.unionByName(near)
-        # What does not align with the leader of its sketch tries the next one.
-        rest = pairs.join(verdicts.where("not near").select("leader", "rep"), ["leader", "rep"]).select("key", "rep")
-        rest = written(rest, "rest")
-        shared = rest.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("leader")).where("n > 1")
-        pairs = written(rest.join(shared.select("key", "leader"), "key").where("rep != leader"), "pairs")
+        near = compared.mapInPandas(_aligned, "leader long, rep long, near boolean").where("near")
+        near = written(near.select("leader", "rep"), "near")
+        link = near.select(F.col("leader").alias("u"), F.col("rep").alias("v"))
+        found = link if found is None else found.unionByName(link)
+        if leaders == 1:
+            # From here on texts must share two neighbouring sketches.
+            weights = rows.select("rep", "n_words", "weight").distinct()
+            twice = F.expr("transform(sketches, (s, i) -> xxhash64(s, sketches[(i + 1) % size(sketches)]))")
+            rest = nodes.select("rep", F.explode(twice).alias("key")).join(weights, "rep")
+        else:
+            # What aligns with no leader there goes on to the next ones, of which there are more.
+            settled = pairs.join(near, ["leader", "rep"]).select("key", "rep")
+            settled = settled.unionByName(first.select("key", F.col("leader_rep").alias("rep"))).distinct()
+            rest = rows.join(settled, ["key", "rep"], "left_anti").drop("label")
+        # Texts that are known by now to be of one class need no further comparison.
+        known = rest.join(written(_labels(found), "labels"), "rep", "left")
+        rows = written(_open(known.withColumn("label", F.coalesce("label", "rep"))), "open")
+        leaders = min(8 * leaders, LEADERS)
     if found is None:
-        found = pairs.select(F.col("leader").alias("u"), F.col("rep").alias("v"))
+        found = rows.select(F.col("rep").alias("u"), F.col("rep").alias("v"))
     return found
 
 
+def _codes_of(docs: DataFrame, involved: DataFrame) -> DataFrame:
+    """``rep, codes`` of the texts in ``involved``; others are dropped before their texts are shuffled."""
+    few = involved.select(_bucket("rep").alias("bucket")).distinct()
+    texts = docs.select("doc_id", "text").withColumn("bucket", _bucket("doc_id"))
+    texts = texts.join(F.broadcast(few), "bucket", "left_semi")
+    texts = texts.select(F.col("doc_id").alias("rep"), F.pandas_udf(_codes, "binary")("text").alias("codes"))
+    texts = texts.join(involved, "rep", "left_semi")
+    return written(texts.groupBy("rep").agg(F.min("codes").alias("codes")), "codes")
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """``doc_id, class_id, copy_of, kept``: ``copy_of`` is the smallest id with the same words.
 
     ``kept`` marks the documents whose id is the class id, one per class.
     """
     sketched = written(docs.select("doc_id", "text").mapInPandas(_sketch, SKETCHED), "sketches")
-    nodes = sketched.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("sketches").alias("sketches"))
+    nodes = sketched.groupBy("node").agg(
+        F.min("doc_id").alias("rep"), F.first("n_words").alias("n_words"), F.first("sketches").alias("sketches")
+    )
     nodes = written(nodes, "nodes")
     roots = components(links(docs, nodes))
     again = sketched.select("doc_id", "node").join(nodes.select("node", "rep"), "node")
