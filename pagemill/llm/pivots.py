@@ -38,6 +38,7 @@ GROUP = 1024
 
 INDEX = "vec_ids binary, vectors binary, pivot_starts binary, posted binary, positions binary"
 FOUND = "query_id long, vec_id long, score double"
+RESULT = "query_id long, rank int, vec_id long, score double"
 
 
 def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -143,10 +144,14 @@ def nearest(
     found = None
     for g in range(max(1, groups)):
         rows = asked.where(F.col("g") == g).orderBy("vec_id").collect()  # about ``group`` of them
+        if not rows:
+            continue
         ids = np.asarray([r["vec_id"] for r in rows], dtype=np.int64)
-        x = np.asarray([r["v"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+        x = np.asarray([r["v"] for r in rows], dtype=np.float64)
         part = index.mapInPandas(_search(spark.sparkContext.broadcast((ids, x, pivots)), k, prefix, share, least), FOUND)
         found = part if found is None else found.unionByName(part)
+    if found is None:
+        return spark.createDataFrame([], RESULT)
     by = Window.partitionBy("query_id").orderBy("score", "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
@@ -155,8 +160,6 @@ def nearest(
 def _search(shared, k: int, prefix: int, share: float, least: int):
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         query_ids, q, pivots = shared.value
-        if not len(query_ids):
-            return
         near = permutations(q, pivots, prefix)
         best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0))] * len(query_ids)
         for batch in batches:
@@ -197,7 +200,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 10, name: str = "pivot-
     rows = usable(vectors)
     pivots = draw_pivots(rows)
     if not len(pivots):
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return rows.sparkSession.createDataFrame([], RESULT)
     prefix = min(PREFIX, len(pivots))
     index = written(build(rows, pivots, prefix), name)
     return nearest(index, rows.where(queries), pivots, k, prefix)
