@@ -7,12 +7,11 @@ falls with their edit distance, moved passages included. Texts that share a sket
 linked if its words align with at most ``1 - SIMILARITY`` edits per word of the longer text. Classes are the
 connected components of links.
 
-Equal texts are one vertex from the start. Within the texts of one sketch, each is compared with the one that
-shares most sketches with others. After that, texts that share two neighbouring sketches and are not known to be
-of one class yet are compared with a few of themselves, chosen in the same way, and those that do not align with
-them with the next ones, until none is left: copies are not paired with each other, no text of a group is left
-out, and a passage that many texts share does not make all of them candidates. A link between two texts that both
-align with a third need not be measured, as it would change no class.
+Equal texts are one vertex from the start. The texts of one sketch are compared in rounds: first one of them with all
+others, then the next eight with those that are left, and so on, until each has been compared with every other text
+of the sketch, or all that are left are known to be of one class. Each pair is compared once, in the first sketch
+that it shares. Left out are only pairs that are of one class by the links found so far, which change no class, and
+pairs whose numbers of words, in all or by classes of words, differ by more than the edits allow.
 
 A text of fewer than ``K`` words is one k-mer of all its words; texts without words are equal if their
 characters are. Null counts as empty. A row without an id takes the class of the texts equal to its own, or
@@ -44,13 +43,15 @@ BUCKETS = 1 << 20
 # Texts of one sketch that its others are compared with at a time: one at first, eight times as many each time
 # after, so that a sketch which many dissimilar texts share is done with in a few rounds.
 LEADERS = 512
+# Classes of words whose numbers are compared before an alignment: an edit changes those of two classes by one at most.
+WORD_CLASSES = 128
 # Elements of the matrix of hashes that is held at a time.
 _MATRIX = 1 << 19
 
 _SEEDS = np.random.default_rng(20240607).integers(1, 1 << 63, size=256, dtype=np.uint64)
 _POWERS = np.asarray([pow(0x9E3779B97F4A7C15, i, 1 << 64) for i in range(1, 257)], dtype=np.uint64)
 
-SKETCHED = "doc_id long, node binary, n_words int, sketches array<long>"
+SKETCHED = "doc_id long, node binary, n_words int, sketches array<long>, counts array<short>"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -64,6 +65,11 @@ def word_codes(tokens: list[bytes]) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, tokens), dtype=np.uint32, count=len(tokens))
 
 
+def class_counts(codes: np.ndarray) -> np.ndarray:
+    """Number of words of each class; cut off where it does not fit, which brings no two texts further apart."""
+    return np.minimum(np.bincount(codes % WORD_CLASSES, minlength=WORD_CLASSES), 32_767).astype(np.int16)
+
+
 def kmers(codes: np.ndarray, k: int = K) -> np.ndarray:
     """Hashes of the k-mers in the order of the text."""
     n = len(codes) - k + 1
@@ -189,8 +195,9 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             # Texts without words differ by their characters.
             content = b" ".join(tokens) if tokens else b"\n" + (text or "").encode("utf-8", "surrogatepass")
             node = hashlib.blake2b(content, digest_size=16).digest()
-            rows.append((node, len(tokens), sketches(word_codes(tokens)) if tokens else none))
-        out = pd.DataFrame(rows, columns=["node", "n_words", "sketches"])
+            codes = word_codes(tokens)
+            rows.append((node, len(tokens), sketches(codes) if tokens else none, class_counts(codes)))
+        out = pd.DataFrame(rows, columns=["node", "n_words", "sketches", "counts"])
         out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
         yield out
 
@@ -229,60 +236,52 @@ def _with_weight(rows: DataFrame) -> DataFrame:
     return rows.join(weights, "rep")
 
 
-def _labels(found: DataFrame) -> DataFrame:
-    """``rep, label``: the smallest text that a text is linked to, or that one's smallest in turn."""
-    first = found.groupBy(F.col("v").alias("rep")).agg(F.min("u").alias("label"))
-    again = first.select(F.col("rep").alias("label"), F.col("label").alias("further"))
-    return first.join(again, "label", "left").select("rep", F.coalesce("further", "label").alias("label"))
+def _may_align() -> Column:
+    """Whether the edits between a text and a leader can be few enough, by their numbers of words and those of each class."""
+    longer, shorter = F.greatest("n_words", "leader_n_words"), F.least("n_words", "leader_n_words")
+    apart = F.expr("aggregate(zip_with(counts, leader_counts, (a, b) -> abs(int(a) - int(b))), 0, (s, x) -> s + x)")
+    return (shorter >= longer * SIMILARITY - 1e-9) & (apart <= 2 * F.floor(longer * (1 - SIMILARITY) + 1e-9))
 
 
-def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``u, v``: aligned pairs of ``rep`` ids, enough of them to connect all that align with a common text."""
-    members = nodes.where(F.col("rep").isNotNull())
-    members = members.select("rep", "n_words", F.explode("sketches").alias("key"), F.col("rep").alias("label"))
+def class_roots(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``id, root``: the ``rep`` ids that are not the smallest of their class, with the smallest."""
+    reps = nodes.where(F.col("rep").isNotNull())
+    members = reps.select("rep", F.explode("sketches").alias("key"), F.col("rep").alias("label"))
     rows = written(_with_weight(_open(members)), "open")
+    # Carried along only by texts that share a sketch.
+    traits = reps.select("rep", "n_words", "sketches", "counts")
     texts = _codes_of(docs, rows.select("rep").distinct())
-    found, leaders = None, 1
+    roots, leaders = rows.select(F.col("rep").alias("id"), F.col("rep").alias("root")).limit(0), 1
+    rows = written(rows.join(traits, "rep"), "open")
     while not rows.isEmpty():
         # Only as many rows of a sketch as there are leaders pass on to be ranked.
         rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("weight"), "rep"))
         first = rows.withColumn("rank", rank).where(F.col("rank") <= leaders)
-        first = first.select("key", *(F.col(c).alias(f"leader_{c}") for c in ("rep", "n_words", "weight", "label")))
+        first = written(first.select("key", *(F.col(c).alias(f"leader_{c}") for c in rows.columns if c != "key")), "leaders")
         # A hot sketch is split by the join: it has few leaders and many rows.
-        longer, shorter = F.greatest("n_words", "leader_n_words"), F.least("n_words", "leader_n_words")
         behind = (F.col("weight") < F.col("leader_weight")) | (
             (F.col("weight") == F.col("leader_weight")) & (F.col("rep") > F.col("leader_rep"))
         )
+        here = F.expr("get(filter(sketches, (s, i) -> s = leader_sketches[i]), 0) = key")
         pairs = rows.join(first, "key").where(
-            behind & (F.col("label") != F.col("leader_label")) & (shorter >= longer * SIMILARITY - 1e-9)
+            behind & (F.col("label") != F.col("leader_label")) & _may_align() & here
         )
-        pairs = written(pairs.select("key", F.col("leader_rep").alias("leader"), "rep"), "pairs")
         compared = (
-            pairs.select("leader", "rep").distinct()
+            written(pairs.select(F.col("leader_rep").alias("leader"), "rep"), "pairs")
             .join(texts.select(F.col("rep").alias("leader"), F.col("codes").alias("a")), "leader")
             .join(texts.select("rep", F.col("codes").alias("b")), "rep")
         )
         near = compared.mapInPandas(_aligned, "leader long, rep long, near boolean").where("near")
-        near = written(near.select("leader", "rep"), "near")
-        link = near.select(F.col("leader").alias("u"), F.col("rep").alias("v"))
-        found = link if found is None else found.unionByName(link)
-        if leaders == 1:
-            # From here on texts must share two neighbouring sketches.
-            weights = rows.select("rep", "n_words", "weight").distinct()
-            twice = F.expr("transform(sketches, (s, i) -> xxhash64(s, sketches[(i + 1) % size(sketches)]))")
-            rest = nodes.select("rep", F.explode(twice).alias("key")).join(weights, "rep")
-        else:
-            # What aligns with no leader there goes on to the next ones, of which there are more.
-            settled = pairs.join(near, ["leader", "rep"]).select("key", "rep")
-            settled = settled.unionByName(first.select("key", F.col("leader_rep").alias("rep"))).distinct()
-            rest = rows.join(settled, ["key", "rep"], "left_anti").drop("label")
-        # Texts that are known by now to be of one class need no further comparison.
-        known = rest.join(written(_labels(found), "labels"), "rep", "left")
-        rows = written(_open(known.withColumn("label", F.coalesce("label", "rep"))), "open")
+        near = written(near.select(F.col("leader").alias("u"), F.col("rep").alias("v")), "near")
+        rest = rows.join(first.select("key", F.col("leader_rep").alias("rep")), ["key", "rep"], "left_anti")
+        if not near.isEmpty():
+            roots = components(near.unionByName(roots.select(F.col("root").alias("u"), F.col("id").alias("v"))))
+            rest = rest.join(roots.withColumnRenamed("id", "rep"), "rep", "left")
+            rest = rest.withColumn("label", F.coalesce("root", "rep")).drop("root")
+        # Texts of one class need no further comparison.
+        rows = written(_open(rest), "open")
         leaders = min(8 * leaders, LEADERS)
-    if found is None:
-        found = rows.select(F.col("rep").alias("u"), F.col("rep").alias("v"))
-    return found
+    return roots
 
 
 def _codes_of(docs: DataFrame, involved: DataFrame) -> DataFrame:
@@ -302,10 +301,10 @@ def classes(docs: DataFrame) -> DataFrame:
     """
     sketched = written(docs.select("doc_id", "text").mapInPandas(_sketch, SKETCHED), "sketches")
     nodes = sketched.groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.first("n_words").alias("n_words"), F.first("sketches").alias("sketches")
+        F.min("doc_id").alias("rep"), F.first("n_words").alias("n_words"), F.first("sketches").alias("sketches"), F.first("counts").alias("counts")
     )
     nodes = written(nodes, "nodes")
-    roots = components(links(docs, nodes))
+    roots = class_roots(docs, nodes)
     again = sketched.select("doc_id", "node").join(nodes.select("node", "rep"), "node")
     placed = again.join(roots.withColumnRenamed("id", "rep"), "rep", "left")
     return placed.select(

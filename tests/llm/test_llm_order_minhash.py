@@ -124,6 +124,48 @@ def test_groups_of_copies(spark, base):
     assert all(result[d] == d for d in result if d >= 2000)
 
 
+def crowded(seed):
+    """Two texts that align and share one sketch, and three of another length that share it too and lead it."""
+    rng = np.random.default_rng(seed)
+    while True:
+        a = [f"a{seed}x{n}".encode() for n in rng.integers(0, 1 << 30, 210)]
+        c = list(a)
+        for at in rng.choice(210, 20, replace=False):
+            c[at] = f"c{seed}x{at}".encode()
+        codes = M.word_codes(a)
+        own = M.sketches(codes)
+        shared = np.flatnonzero(own == M.sketches(M.word_codes(c)))
+        if len(shared) != 1:
+            continue
+        i = shared[0]
+        at = np.sort(np.argsort(M._mix(M.with_occurrence(M.kmers(codes)) ^ M._SEEDS[i]))[: M.LENGTH])
+        passage = [w for x in at for w in a[x : x + M.K]]
+        leaders = [[*passage, f"d{seed}x{j}".encode()] for j in range(3)]
+        if all(M.sketches(M.word_codes(d))[i] == own[i] for d in leaders):
+            return [b" ".join(w).decode() for w in (a, c, *leaders)]
+
+
+def test_every_pair_of_a_crowded_sketch(spark):
+    texts = [t for seed in range(4) for t in crowded(seed)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["class_id"] for r in M.classes(docs).collect()}
+    codes = [M.word_codes(words(t)) for t in texts]
+    near = [(a, b) for b in range(len(texts)) for a in range(b) if M.similar(codes[a], codes[b])]
+    assert {(0, 1), (5, 6), (10, 11), (15, 16)} <= set(near)
+    least = {d: min([d, *(a for a, b in near if b == d)]) for d in found}
+    assert found == least
+
+
+def test_word_classes_leave_out_no_pair_that_aligns():
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        a = rng.integers(0, 1 << 32, rng.integers(1, 60), dtype=np.uint32)
+        b = np.delete(a, rng.integers(0, len(a), rng.integers(0, 4)))
+        b[rng.random(len(b)) < 0.15] = 7
+        apart = int(np.abs(M.class_counts(a).astype(int) - M.class_counts(b)).sum())
+        assert apart <= 2 * edits(a.tolist(), b.tolist())
+
+
 def test_odd_rows(spark, base):
     text = " ".join(base)
     docs = spark.createDataFrame(
