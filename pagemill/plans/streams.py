@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill import constants as C
@@ -19,6 +19,9 @@ from pagemill.streaming.workspace import Workspace
 
 # Files of a table in one micro-batch.
 MAX_FILES = 64
+# Rows that arrive at a time where a stream has an order, and how often rows arrive at least.
+ARRIVING_ROWS = 1 << 20
+LEAST_ARRIVALS = 3
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int = MAX_FILES) -> DataFrame:
@@ -30,7 +33,11 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int = M
 
 
 def _to_table(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
-    root = working_folder(spark, name)
+    return _take(spark, stream, working_folder(spark, name))
+
+
+def _take(spark: SparkSession, stream: DataFrame, root: str) -> DataFrame:
+    """What the stream gives for all that has arrived, after what it gave before."""
     query = (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", f"{root}/checkpoint")
@@ -41,6 +48,19 @@ def _to_table(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{root}/rows")
 
 
+def _ranges(rows: DataFrame, order: str) -> list[Column]:
+    """Tests that cut ``rows`` by ``order`` into ranges of about ``ARRIVING_ROWS``, in order; nulls are last."""
+    count = max(LEAST_ARRIVALS, -(-rows.count() // ARRIVING_ROWS))
+    shares = [i / count for i in range(1, count)]
+    bounds = rows.agg(F.percentile_approx(order, shares, 100 * count)).first()[0] or []
+    at, ranges = None, []
+    for bound in sorted(set(bounds)):
+        ranges.append(F.col(order) <= bound if at is None else (F.col(order) > at) & (F.col(order) <= bound))
+        at = bound
+    rest = F.col(order).isNull()
+    return [*ranges, F.lit(True) if at is None else rest | (F.col(order) > at)]
+
+
 def stream_message_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages parsed as they arrive, written by an exactly-once file sink."""
     counted = routing.with_receive_count(D.as_messages(stream_table(spark, sf_dir, "events")))
@@ -80,16 +100,28 @@ def stream_outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_carried_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Document pages batched as they arrive, with the open batch kept as state."""
-    docs = stream_table(spark, sf_dir, "documents")
+    """Document pages batched as they arrive, in the order of their ids, with the open batch kept as state.
+
+    The files of a table have no order, so ranges of ids are appended one after another to a table of sizes, and
+    each is one micro-batch, however many files the documents or the range are.
+    """
+    docs = D.table(spark, sf_dir, "documents")
     custom_id = K.page_id(D.page_key(), F.col("doc_id"))
     sizes = docs.select(
         D.page_key().alias("s3_key"),
         "doc_id",
         encoding.request_size(custom_id, F.octet_length("text").cast("long")).alias("size"),
     )
-    batched = carry.carry_batches(sizes, "s3_key", "doc_id", "size", D.MAX_BYTES, D.MAX_PAGES)
-    return _to_table(spark, batched, "stream-carry")
+    root = working_folder(spark, "stream-carry")
+    sizes.write.parquet(f"{root}/sizes")
+    sizes = spark.read.schema(sizes.schema).parquet(f"{root}/sizes")
+    # Without a limit on files, a micro-batch takes all that has arrived.
+    stream = spark.readStream.schema(sizes.schema).parquet(f"{root}/arrive[d]")
+    batched = carry.carry_batches(stream, "s3_key", "doc_id", "size", D.MAX_BYTES, D.MAX_PAGES)
+    for within in _ranges(sizes, "doc_id"):
+        sizes.where(within).write.mode("append").parquet(f"{root}/arrived")
+        found = _take(spark, batched, root)
+    return found
 
 
 def _pipeline(spark: SparkSession, sf_dir: str) -> Workspace:

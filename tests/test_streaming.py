@@ -13,7 +13,7 @@ from pagemill import constants as C
 from pagemill import schemas
 from pagemill.operators import inference, routing, state
 from pagemill.operators import requests as R
-from pagemill.plans import bulk
+from pagemill.plans import bulk, streams, tables
 from pagemill.sources import messages as message_source
 from pagemill.sources import pages as page_source
 from pagemill.streaming import carry, stages
@@ -299,6 +299,30 @@ def test_carried_batches_cross_micro_batches(spark, tmp_path):
         assert [(r["n"], r["batch_no"], r["closes"]) for r in found if r["shard"] == shard] == wanted
 
 
+def test_carried_batches_of_more_files_than_one_trigger_takes(spark, tmp_path):
+    """Files in no order of ids: the batches are those of the ids in order."""
+    rng = np.random.default_rng(6)
+    count = 3 * (streams.MAX_FILES + 6)
+    ids = rng.permutation(count)
+    folder = tmp_path / "documents.parquet"
+    folder.mkdir()
+    texts = {int(i): "x" * int(n) for i, n in enumerate(rng.integers(0, 9000, count))}
+    for n, own in enumerate(np.split(ids, count // 3)):
+        rows = [(int(i), texts[int(i)], "ab"[int(i % 3 == 0)]) for i in own]
+        pd.DataFrame(rows, columns=["doc_id", "text", "source"]).to_parquet(folder / f"{n}.parquet")
+        os.utime(folder / f"{n}.parquet", (1_700_000_000 + n, 1_700_000_000 + n))
+    found = streams.stream_carried_batches(spark, str(tmp_path)).orderBy("s3_key", "doc_id").collect()
+    assert len(found) == count
+    state = {}
+    for r in found:
+        batch, held, pages = state.get(r["s3_key"], (0, 0, 0))
+        held, pages = held + r["size"], pages + 1
+        full = held >= tables.MAX_BYTES or pages >= tables.MAX_PAGES
+        assert (r["batch_no"], r["closes"]) == (batch, full)
+        state[r["s3_key"]] = (batch + 1, 0, 0) if full else (batch, held, pages)
+    assert all(batch > 0 for batch, _, _ in state.values())
+
+
 def test_continue_batches_equals_one_pass():
     rng = np.random.default_rng(5)
     for _ in range(300):
