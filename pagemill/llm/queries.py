@@ -13,11 +13,14 @@ from pagemill.llm import (
     huffman,
     nbsvm,
     order_minhash,
+    piece_chunks,
     pivots,
     prefix_bpe,
+    prefix_trie,
     secrets,
     sharding,
     token_files,
+    whitening,
     zstd_toxicity,
 )
 from pagemill.llm.common import row_bucket, table
@@ -26,6 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_END, WORD_END = 50_256, 2
 SHARDS = 24
 
@@ -99,6 +103,21 @@ def op10_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.checksums(blocks, book)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First components of every vector, whitened over the distinct vectors."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_piece_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of what they decode to."""
+    return piece_chunks.digest(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all conversations, rebuilt on the first one of their hundred."""
+    return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.turns(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -112,6 +131,9 @@ QUERIES: dict[str, Query] = {
         op8_decontamination,
         op9_toxicity,
         op10_huffman,
+        op11_whitening,
+        op12_piece_chunks,
+        op13_prefix_trie,
     )
 }
 
@@ -149,4 +171,58 @@ ORACLE = {
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM lowered LEFT JOIN hit USING (row) LEFT JOIN named USING (row)
     """,
+    "op13_prefix_trie": r"""
+        WITH t AS (
+            SELECT conv_id, r, x,
+                   row_number() OVER (PARTITION BY conv_id
+                                      ORDER BY turn NULLS FIRST, substr(sha256(length(r) || ':' || r || x), 1, 32)) AS p
+            FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations)
+            WHERE conv_id IS NOT NULL
+        ), c AS (
+            SELECT conv_id, conv_id - conv_id % 100 AS base, CAST(xor(crc, 4294967295) % 6 AS BIGINT) AS h
+            FROM (
+                SELECT conv_id, list_reduce(
+                    list_concat([CAST(4294967295 AS UBIGINT)],
+                                list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS UBIGINT))),
+                    lambda a, b: list_reduce(
+                        list_concat([xor(a, b)], list_transform(range(8), lambda i: CAST(i AS UBIGINT))),
+                        lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v // 2, CAST(3988292384 AS UBIGINT)) ELSE v // 2 END)) AS crc
+                FROM (SELECT DISTINCT conv_id FROM t)
+            )
+        ), head AS (
+            SELECT c.conv_id, t.p, t.r, t.x FROM c JOIN t ON t.conv_id = c.base AND t.p <= c.h
+        ), heads AS (
+            SELECT conv_id, count(*) AS k FROM head GROUP BY conv_id
+        ), s AS (
+            SELECT * FROM head
+            UNION ALL
+            SELECT c.conv_id, t.p - c.h + coalesce(k, 0), t.r, t.x
+            FROM c JOIN t ON t.conv_id = c.conv_id AND t.p > c.h LEFT JOIN heads ON heads.conv_id = c.conv_id
+        ), l AS (
+            SELECT c.conv_id, coalesce(list({'r': r, 'x': x} ORDER BY p) FILTER (WHERE p IS NOT NULL), []) AS q
+            FROM c LEFT JOIN s ON s.conv_id = c.conv_id GROUP BY c.conv_id
+        ), pre AS (
+            SELECT conv_id, d, q[1:d] AS node, CASE WHEN d > 0 THEN length(q[d].x) ELSE 0 END AS chars, d = len(q) AS ends
+            FROM (SELECT conv_id, q, unnest(range(0, len(q) + 1)) AS d FROM l)
+        ), places AS (
+            SELECT conv_id, d, chars, ends, min(conv_id) OVER (PARTITION BY d, node) AS m FROM pre
+        ), n AS (
+            SELECT m, d, count(*) AS n_convs, any_value(chars) AS chars,
+                   string_agg(CASE WHEN ends THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id) AS e
+            FROM places GROUP BY m, d
+        ), up AS (
+            SELECT n.*, a.m AS parent FROM n LEFT JOIN places a ON a.conv_id = n.m AND a.d = n.d - 1
+        ), kids AS (
+            SELECT parent AS m, d - 1 AS d, count(*) AS k FROM up WHERE d > 0 GROUP BY ALL
+        ), sums AS (
+            SELECT a.m, a.d, count(*) FILTER (WHERE kids.k IS NULL) AS n_leaves,
+                   sum((up.n_convs - 1) * up.chars) AS saved
+            FROM up LEFT JOIN kids ON kids.m = up.m AND kids.d = up.d JOIN places a ON a.conv_id = up.m AND a.d <= up.d
+            GROUP BY a.m, a.d
+        )
+        SELECT up.m AS conv_id, up.d AS depth, up.parent AS parent_conv_id, up.n_convs,
+               CAST(coalesce(kids.k, 0) AS BIGINT) AS n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+               sha256(coalesce(e, '')) AS ends_sha256
+        FROM up LEFT JOIN kids ON kids.m = up.m AND kids.d = up.d JOIN sums ON sums.m = up.m AND sums.d = up.d
+    """,
 }
