@@ -6,9 +6,10 @@ independently of each other. Words repeat: a block of documents is stored as its
 word in the text; each distinct word of the whole table is segmented once; its ids go back to the blocks that hold
 it, and every document reads its ids by position.
 
-``store`` writes the blocks. They are the cut of lineage: a lost task begins at them again. Words are spread by
-themselves, one row per block that holds them, and are read in order, so that a frequent word needs no memory.
-A block has at most ``BLOCK_CHARS`` characters, or one document.
+``store`` writes the blocks. They are the cut of lineage: a lost task begins at them again. A block has at most
+``BLOCK_CHARS`` characters, or one document. Its words travel in ``BUCKETS`` packs by their hash, each at most once
+per block, however frequent it is. A task reads the packs of one bucket after another and holds the distinct words of
+one: some million where the whole table has some thousand million.
 
 Null texts are empty; empty texts have the begin and end ids only. Rows are kept as they are, repeated and null ids
 too; an empty table gives no rows. Columns other than ``doc_id`` and ``text`` take no part.
@@ -18,7 +19,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
+from itertools import chain, groupby
 
 import numpy as np
 import pandas as pd
@@ -36,10 +39,12 @@ MARK = "▁"
 BLOCK_CHARS = 12_000_000
 
 _WORD = re.compile(f"{MARK}+[^{MARK}]*")
+# Packs that the distinct words of a block are dealt to.
+BUCKETS = 2048
 # The part of a block that comes before its words.
 _HEAD = -1
 
-BLOCKS = "block long, words array<string>, head binary"
+BLOCKS = "block long, bucket int, words binary, head binary"
 DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 IDS = "doc_id long, ids array<int>"
 
@@ -60,7 +65,6 @@ class Model:
         self._words = sentencepiece.SentencePieceProcessor(model_proto=spec.SerializeToString())
         size = whole.vocab_size()
         self.begin, self.end = whole.bos_id(), whole.eos_id()
-        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self._control = {i for i in range(size) if whole.is_control(i)}
         self._surface = [self._bytes(i, whole.id_to_piece(i)) for i in range(size)]
 
@@ -93,7 +97,7 @@ class Model:
 
     def segment(self, words: list[str]) -> list[np.ndarray]:
         """Ids of every marked word."""
-        return [np.asarray(ids, dtype=self.dtype) for ids in self._words.encode(words, num_threads=1)]
+        return [np.array(ids, dtype=np.int32) for ids in self._words.encode(words, num_threads=1)]
 
     def decode(self, ids: list[int]) -> bytes:
         """UTF-8 of the text that the ids stand for; bytes that are not UTF-8 become replacement characters."""
@@ -117,36 +121,61 @@ def marked_words(text: str | None) -> list[str]:
     return _WORD.findall(MARK + text.replace(" ", MARK)) if text else []
 
 
-def _pack(doc_ids: list, counts: list[int], codes: np.ndarray) -> bytes:
-    known = np.array([not pd.isna(i) for i in doc_ids], dtype=np.uint8)
-    ids = np.array([0 if pd.isna(i) else int(i) for i in doc_ids], dtype="<i8")
-    parts = (np.array([len(doc_ids)], dtype="<i8"), ids, known, np.array(counts, dtype="<i8"), codes.astype("<i4"))
-    return zstandard.ZstdCompressor(level=3).compress(b"".join(p.tobytes() for p in parts))
+def _packed(parts: list[np.ndarray], rest: bytes = b"") -> bytes:
+    """Whole numbers and bytes, compressed. Bytes of equal weight stand together, as they are alike."""
+    planes = [p.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes() for p in parts]
+    sizes = np.array([len(p) for p in parts], dtype="<i8").tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(b"".join([sizes, *planes, rest]))
 
 
-def _unpack(data: bytes) -> tuple[list, np.ndarray, np.ndarray]:
+def _unpacked(data: bytes, n: int) -> tuple[list[np.ndarray], bytes]:
     raw = zstandard.ZstdDecompressor().decompress(data)
-    n = int(np.frombuffer(raw, "<i8", 1)[0])
-    ids = np.frombuffer(raw, "<i8", n, 8)
-    known = np.frombuffer(raw, np.uint8, n, 8 + 8 * n)
-    counts = np.frombuffer(raw, "<i8", n, 8 + 9 * n)
-    codes = np.frombuffer(raw, "<i4", -1, 8 + 17 * n)
-    return [int(i) if k else None for i, k in zip(ids, known)], counts, codes
+    at, parts = 8 * n, []
+    for size in np.frombuffer(raw, "<i8", n).tolist():
+        planes = np.frombuffer(raw, np.uint8, 4 * size, at).reshape(4, size)
+        parts.append(np.ascontiguousarray(planes.T).view("<i4").reshape(size))
+        at += 4 * size
+    return parts, raw[at:]
+
+
+def _pack_words(words: list[bytes]) -> bytes:
+    return _packed([np.fromiter(map(len, words), np.int64, len(words))], b"".join(words))
+
+
+def _unpack_words(data: bytes) -> list[str]:
+    (lengths,), rest = _unpacked(data, 1)
+    ends = np.cumsum(lengths).tolist()
+    return [rest[a:b].decode() for a, b in zip([0, *ends], ends)]
+
+
+def _pack_head(doc_ids: list, counts: list[int], codes: np.ndarray) -> bytes:
+    known = np.array([not pd.isna(i) for i in doc_ids])
+    ids = np.array([0 if pd.isna(i) else int(i) for i in doc_ids], dtype="<i8")
+    return _packed([codes, np.array(counts, dtype=np.int64), known], ids.tobytes())
+
+
+def _unpack_head(data: bytes) -> tuple[list, np.ndarray, np.ndarray]:
+    (codes, counts, known), ids = _unpacked(data, 3)
+    return [i if k else None for i, k in zip(np.frombuffer(ids, "<i8").tolist(), known)], counts, codes
 
 
-def _blocks(batches: Iterator[pd.DataFrame], limit: int) -> Iterator[pd.DataFrame]:
+def _blocks(batches: Iterator[pd.DataFrame], limit: int, buckets: int) -> Iterator[pd.DataFrame]:
     task = TaskContext.get().partitionId() << 32
     number, size = 0, 0
     doc_ids, counts, codes, index = [], [], [], {}
 
     def close() -> pd.DataFrame:
-        # Words in order: neighbours share their beginnings, which compresses well.
-        words = sorted(index)
-        rank = np.empty(len(words), dtype=np.int32)
-        rank[[index[w] for w in words]] = np.arange(len(words), dtype=np.int32)
-        every = np.concatenate(codes) if codes else np.empty(0, dtype=np.int32)
-        head = _pack(doc_ids, counts, rank[every] if len(every) else every)
-        return pd.DataFrame({"block": [task + number], "words": [words], "head": [head]})
+        # Words in the order of their buckets, sorted in each: neighbours that begin alike compress well.
+        order = sorted((zlib.crc32(raw) % buckets, raw, i) for raw, i in ((w.encode(), i) for w, i in index.items()))
+        rank = np.empty(len(order), dtype=np.int32)
+        rank[[i for _, _, i in order]] = np.arange(len(order), dtype=np.int32)
+        every = np.concatenate(codes)
+        rows = [(_HEAD, None, _pack_head(doc_ids, counts, rank[every] if len(every) else every))]
+        for bucket, part in groupby(order, key=lambda entry: entry[0]):
+            rows.append((bucket, _pack_words([raw for _, raw, _ in part]), None))
+        frame = pd.DataFrame(rows, columns=["bucket", "words", "head"])
+        frame.insert(0, "block", task + number)
+        return frame
 
     for batch in batches:
         for doc_id, text in zip(batch["doc_id"], batch["text"]):
@@ -164,31 +193,34 @@ def _blocks(batches: Iterator[pd.DataFrame], limit: int) -> Iterator[pd.DataFram
         yield close()
 
 
-def store(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def store(docs: DataFrame, block_chars: int = BLOCK_CHARS, buckets: int = BUCKETS) -> DataFrame:
     """Blocks of documents, each as its distinct marked words and the numbers of the words in its texts."""
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return written(rows.mapInPandas(lambda batches: _blocks(batches, block_chars), BLOCKS), "piece-blocks")
+    return written(rows.mapInPandas(lambda batches: _blocks(batches, block_chars, buckets), BLOCKS), "piece-blocks")
 
 
 def _segmented(batches: Iterator[pd.DataFrame], path: str) -> Iterator[pd.DataFrame]:
     model = Model.load(path)
-    last, last_ids = None, b""
+    current, ids = None, {}
     for batch in batches:
-        words = batch["word"].tolist()
-        fresh = [w for w in dict.fromkeys(words) if w != last]
-        ids = {w: i.tobytes() for w, i in zip(fresh, model.segment(fresh))}
-        if last is not None:
-            ids.setdefault(last, last_ids)
-        yield pd.DataFrame({"block": batch["block"], "place": batch["place"], "data": [ids[w] for w in words]})
-        if words:
-            last, last_ids = words[-1], ids[words[-1]]
+        packs = []
+        for bucket, part in batch.groupby("bucket", sort=False):
+            if bucket != current:
+                current, ids = bucket, {}
+            every = [_unpack_words(data) for data in part["words"]]
+            fresh = [w for w in dict.fromkeys(chain.from_iterable(every)) if w not in ids]
+            ids.update(zip(fresh, model.segment(fresh)))
+            for words in every:
+                found = [ids[w] for w in words]
+                packs.append(_packed([np.fromiter(map(len, found), np.int64, len(found)), np.concatenate(found)]))
+        yield pd.DataFrame({"block": batch["block"], "bucket": batch["bucket"], "data": packs})
 
 
 def segmented(blocks: DataFrame, path: str) -> DataFrame:
-    """``block, place, data``: the ids of every word of every block, each distinct word segmented once."""
-    words = blocks.select("block", F.posexplode("words").alias("place", "word"))
-    ordered = words.repartition("word").sortWithinPartitions("word")
-    return ordered.mapInPandas(lambda batches: _segmented(batches, path), "block long, place int, data binary")
+    """``block, bucket, data``: the ids of a block's words in their order, each distinct word segmented once."""
+    words = blocks.where("words is not null").select("block", "bucket", "words")
+    ordered = words.repartition("bucket").sortWithinPartitions("bucket")
+    return ordered.mapInPandas(lambda batches: _segmented(batches, path), "block long, bucket int, data binary")
 
 
 def _by_position(codes: np.ndarray, starts: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -201,10 +233,11 @@ def _by_position(codes: np.ndarray, starts: np.ndarray, ids: np.ndarray) -> tupl
 
 def _documents(head: bytes, table: list[bytes], model: Model) -> Iterator[tuple]:
     """``doc_id, ids`` of every document of a block, the begin and end ids included."""
-    doc_ids, counts, codes = _unpack(head)
-    sizes = np.fromiter(map(len, table), np.int64, len(table)) // model.dtype.itemsize
-    starts = np.concatenate([[0], np.cumsum(sizes)])
-    every = np.frombuffer(b"".join(table), model.dtype)
+    doc_ids, counts, codes = _unpack_head(head)
+    parts = [_unpacked(data, 2)[0] for data in table]
+    empty = [np.empty(0, dtype=np.int32)]
+    starts = np.concatenate([[0], np.cumsum(np.concatenate([p[0] for p in parts] or empty))])
+    every = np.concatenate([p[1] for p in parts] or empty)
     at = 0
     for doc_id, count in zip(doc_ids, counts):
         ids, _ = _by_position(codes[at : at + count], starts, every)
@@ -236,8 +269,8 @@ def _joined(batches: Iterator[pd.DataFrame], path: str, columns: list[str], row)
             yield _frame(rows, columns)
 
     for batch in batches:
-        for of, place, data in zip(batch["block"], batch["place"], batch["data"]):
-            if place == _HEAD:
+        for of, bucket, data in zip(batch["block"], batch["bucket"], batch["data"]):
+            if bucket == _HEAD:
                 if block is not None:
                     yield from close()
                 block, head, table = of, data, []
@@ -255,9 +288,9 @@ def _frame(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
 
 def _read(blocks: DataFrame, path: str, schema: str, row) -> DataFrame:
     columns = [part.split()[0] for part in schema.split(", ")]
-    heads = blocks.select("block", F.lit(_HEAD).alias("place"), F.col("head").alias("data"))
+    heads = blocks.where("head is not null").select("block", "bucket", F.col("head").alias("data"))
     parts = heads.unionByName(segmented(blocks, path))
-    ordered = parts.repartition("block").sortWithinPartitions("block", "place")
+    ordered = parts.repartition("block").sortWithinPartitions("block", "bucket")
     return ordered.mapInPandas(lambda batches: _joined(batches, path, columns, row), schema)
 
 

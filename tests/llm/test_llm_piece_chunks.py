@@ -41,7 +41,7 @@ def test_query_equals_the_library(spark):
 
 @pytest.mark.parametrize("block_chars", [1, 200, P.BLOCK_CHARS])
 def test_odd_texts_in_blocks_of_any_size(spark, monkeypatch, block_chars):
-    monkeypatch.setattr(P, "store", lambda docs, store=P.store: store(docs, block_chars))
+    monkeypatch.setattr(P, "store", lambda docs, store=P.store: store(docs, block_chars, 5))
     sp = library()
     rows = [(i, t, "x", "y") for i, t in enumerate(ODD)] + [(None, "null id", "x", "y"), (3, "again", "x", "y"), (3, "again", "x", "y")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, block string, ids string").repartition(3)
@@ -75,8 +75,9 @@ def test_decoding_any_ids_equals_the_library():
 
 def test_each_distinct_word_is_segmented_once(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "one two one " + "three " * 50) for i in range(200)], "doc_id long, text string")
-    words = P.store(docs, 5_000).select(F.explode("words").alias("w"))
-    assert words.distinct().count() == 4 and words.count() < 200
+    packs = [P._unpack_words(r["words"]) for r in P.store(docs, 5_000, 3).where("words is not null").collect()]
+    assert {w for words in packs for w in words} == {"▁one", "▁two", "▁three", "▁"}
+    assert sum(map(len, packs)) < 200
 
     real, asked = P.Model.load(PATH), []
 
@@ -86,13 +87,16 @@ def test_each_distinct_word_is_segmented_once(spark, monkeypatch):
             return real.segment(words)
 
     monkeypatch.setattr(P.Model, "load", classmethod(lambda cls, path: Counting()))
+    packs = [P._pack_words([w.encode() for w in words]) for words in (["▁a", "▁b"], ["▁b", "▁c"], ["▁d"])]
     batches = [
-        pd.DataFrame({"block": [1, 2], "place": [0, 0], "word": ["▁a", "▁b"]}),
-        pd.DataFrame({"block": [3, 4], "place": [0, 0], "word": ["▁b", "▁c"]}),
+        pd.DataFrame({"block": [1], "bucket": [0], "words": packs[:1]}),
+        pd.DataFrame({"block": [3, 4], "bucket": [0, 1], "words": packs[1:]}),
     ]
     out = pd.concat(P._segmented(iter(batches), PATH))
-    assert asked == ["▁a", "▁b", "▁c"]
-    assert out["data"].tolist()[1] == out["data"].tolist()[2]
+    assert asked == ["▁a", "▁b", "▁c", "▁d"]
+    assert out["block"].tolist() == [1, 3, 4]
+    ids = [P._unpacked(data, 2)[0][1].tolist() for data in out["data"]]
+    assert ids == [sum(map(list, real.segment(words)), []) for words in (["▁a", "▁b"], ["▁b", "▁c"], ["▁d"])]
 
 
 def test_models_that_change_texts_are_refused(tmp_path):
