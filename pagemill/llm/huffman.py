@@ -15,6 +15,7 @@ each other in the order of their ids, null ``doc_id`` come first. Empty tables g
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -32,8 +33,9 @@ from pagemill.llm.common import written
 LIMIT = 16
 STEP = 256
 BLOCK = 131_072
-# Distinct runs of text whose ids a worker keeps at a time, and how many it encodes in one call.
+# Distinct runs of text whose ids a worker keeps at a time, their characters, and how many it encodes in one call.
 CACHE = 600_000
+CACHE_CHARS = 8_000_000
 TOGETHER = 512
 # Texts whose runs are looked up together.
 TEXTS = 256
@@ -42,6 +44,12 @@ IDS = StructType([StructField("doc_id", LongType()), StructField("ids", BinaryTy
 BLOCKS = "part int, block int, first long, n_tokens long, doc_ids array<long>, lengths array<int>, offsets binary, bits binary"
 
 _ODD = re.compile("[\x1c-\x1f\x85]")
+# Runs on which Python's and the tokenizer's idea of letters and lower case are the same.
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+# How the vocabulary cuts a normalised text, and the same for plain runs.
+_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 _tokenizers: dict = {}
 
 
@@ -59,6 +67,8 @@ class WordEncoder:
     other characters; runs that come again are not encoded again. New runs go through the library many at a
     time, with a mark between them by whose id they are told apart; a run that holds the mark goes alone.
     Control characters on which Python and the library may differ send the text through the library whole.
+    Plain runs are cut into the tokenizer's pieces here, and only its merging is asked for each new piece. Special
+    tokens in a text are special tokens, as the library has it.
     """
 
     MARK = "|"
@@ -67,10 +77,18 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.dtype = dtype
         self.now: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
+        self.chars = 0
+        self.pieces: dict[str, bytes] = {}
+        self.piece_chars = 0
+        rules = json.loads(self.tokenizer.to_str())
+        normal = [n["type"] for n in (rules["normalizer"] or {}).get("normalizers", [])]
+        cut = [p.get("pattern", {}).get("Regex") for p in (rules["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.cuts_as_known = normal == _NORMALIZERS and cut == [_CUT, None]
+        self.special = [t["content"] for t in rules["added_tokens"]]
+        self.letters = _byte_letters()
         mark = self._ids(self.MARK)
         self.mark = mark[0] if len(mark) == 1 else None
 
@@ -80,7 +98,29 @@ class WordEncoder:
     def _bytes(self, ids) -> bytes:
         return np.asarray(ids, dtype=self.dtype).tobytes()
 
+    def _plain(self, run: str) -> bool:
+        return self.cuts_as_known and _PLAIN.fullmatch(run) is not None and not any(t in run for t in self.special)
+
+    def _piece(self, piece: str) -> bytes:
+        known = self.pieces.get(piece)
+        if known is None:
+            mapped = piece.encode().decode("latin-1").translate(self.letters)
+            known = self._bytes([token.id for token in self.tokenizer.model.tokenize(mapped)])
+            self.piece_chars += len(piece)
+            if self.piece_chars > CACHE_CHARS:
+                self.pieces.clear()
+                self.piece_chars = len(piece)
+            self.pieces[piece] = known
+        return known
+
     def _learn(self, runs: list[str]) -> None:
+        others = []
+        for run in runs:
+            if self._plain(run):
+                self.now[run] = b"".join([self._piece(p) for p in _PIECE.findall(run.lower())])
+            else:
+                others.append(run)
+        runs = others
         alone = [r for r in runs if self.mark is None or self.MARK in r]
         for run in alone:
             self.now[run] = self._bytes(self._ids(run))
@@ -99,10 +139,11 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if _ODD.search(t) else t.split() for t in texts]
         fresh = set().union(*(s for s in split if s)) - self.now.keys()
-        if len(self.now) + len(fresh) > CACHE:
+        if len(self.now) + len(fresh) > CACHE or self.chars > CACHE_CHARS:
             # Frequent runs come back from the generation before.
-            self.before, self.now = self.now, {}
+            self.before, self.now, self.chars = self.now, {}, 0
             fresh = set().union(*(s for s in split if s))
+        self.chars += sum(map(len, fresh))
         known = fresh & self.before.keys()
         self.now.update((run, self.before[run]) for run in known)
         self._learn(list(fresh - known))
@@ -110,6 +151,13 @@ class WordEncoder:
         return [self._bytes(self._ids(t)) if s is None else b"".join(map(at, s)) for t, s in zip(texts, split)]
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself where it can be seen."""
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [byte for byte in range(256) if byte not in seen]
+    return {byte: 256 + i for i, byte in enumerate(hidden)}
+
+
 def word_encoder(path: str, dtype: str) -> WordEncoder:
     """One per worker process; its cache serves all tasks that run there."""
     if path not in _tokenizers:

@@ -84,11 +84,24 @@ def test_codes_are_canonical():
 def test_words_equal_the_library(texts):
     library = H.word_encoder(WORD_VOCABULARY, "<u2")
     whole = Tokenizer.from_file(WORD_VOCABULARY)
-    whole.encode_special_tokens = True
     for text, ids in zip(texts, library.encode(texts), strict=True):
         assert np.frombuffer(ids, dtype="<u2").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_special_tokens_are_those_of_the_library():
+    own = H.word_encoder(WORD_VOCABULARY, "<u2")
+    texts = ["a <|endoftext|> b", "x<|endoftext|>y", "<|ENDOFTEXT|>", "<|startoftext|>|", "é<|endoftext|>É", "|<|endoftext", "don'T it'Sx 'LL"]
+    for text, ids in zip(texts, own.encode(texts), strict=True):
+        assert np.frombuffer(ids, dtype="<u2").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet=[chr(c) for c in (*range(33, 127), *range(0xA0, 0x180), 0x301, 0x345, 0x2019)], max_size=30))
+def test_plain_runs_equal_the_library(text):
+    own = H.word_encoder(WORD_VOCABULARY, "<u2")
+    assert np.frombuffer(own.encode([text])[0], dtype="<u2").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
 def test_runs_stay_known_when_the_cache_turns(monkeypatch):
     monkeypatch.setattr(H, "CACHE", 3)
     own = H.WordEncoder(WORD_VOCABULARY, "<u2")
