@@ -2,10 +2,12 @@
 
 The ordinary dictionary is trained on windows of ordinary text. The toxic one is trained on those stretches of
 toxic texts whose character n-grams set them apart, and stands behind the ordinary content, so that a window
-that holds nothing toxic compresses alike under both. Windows of ``WINDOW`` words whose lengths differ at a fast
-level are measured again at a slow one, whole and in parts of ``PART`` words. How many windows gain how many
-bytes goes into a logistic regression that is fitted on labelled rows kept from the dictionaries: it sets the
-thresholds.
+that holds nothing toxic compresses alike under both. Windows of ``WINDOW`` words are measured whole and in parts of
+``PART`` words. How many windows gain how many bytes goes into a logistic regression that is fitted on labelled rows
+kept from the dictionaries: it sets the thresholds.
+
+The toxic dictionary is not trained on whole toxic texts: toxic words are a few among hundreds there, and with
+dictionaries of all windows the lengths hardly tell the classes apart (README has figures).
 
 Dictionaries and thresholds are fitted on a bounded sample, ``PER_CLASS`` rows of either label and ``MAX_CHARS``
 characters each; every window of every text is scored. Null and empty texts have no windows. Rows are kept as
@@ -39,12 +41,14 @@ PART = 4
 MAX_WINDOW_BYTES = 512
 ORDINARY_BYTES = 65_536
 TOXIC_BYTES = 4_096
-GRAM = 5
+GRAM = 8
 LEAST_DOCS = 5
-LEAST_RATIO = 30.0
+LEAST_RATIO = 8.0
 
-FAST, SLOW, PARTS = 3, 6, 19
-SUSPECT = 2
+# Levels at which windows and their parts are measured.
+WHOLE, PARTS = 6, 13
+# Windows whose gains a worker keeps: copies and common passages are not measured again.
+KNOWN = 100_000
 WINDOW_GAINS = range(1, 10)
 PART_GAINS = range(1, 7)
 
@@ -110,8 +114,9 @@ class Compressors:
     def __init__(self, ordinary: bytes, toxic: bytes) -> None:
         self.pairs = {
             level: (self._compressor(ordinary, level), self._compressor(ordinary + toxic, level))
-            for level in (FAST, SLOW, PARTS)
+            for level in (WHOLE, PARTS)
         }
+        self._known: dict[bytes, tuple[int, list[int]]] = {}
 
     @staticmethod
     def _compressor(content: bytes, level: int) -> zstandard.ZstdCompressor:
@@ -133,17 +138,26 @@ class Compressors:
         ordinary, toxic = self.pairs[level]
         return len(ordinary.compress(window)) - len(toxic.compress(window))
 
+    def gains(self, window: bytes) -> tuple[int, list[int]]:
+        """Bytes that the toxic dictionary saves on the window, and on each of its parts."""
+        known = self._known.get(window)
+        if known is None:
+            if len(self._known) >= KNOWN:
+                self._known.clear()
+            parts = windows(window.decode("utf-8", "replace"), PART)
+            known = self._known[window] = self.gain(window, WHOLE), [self.gain(part, PARTS) for part in parts]
+        return known
+
     def figures(self, text: str | None) -> np.ndarray:
         """Logarithms of the numbers of windows and parts that gain so much, and of all windows."""
         whole = np.zeros(len(WINDOW_GAINS) + 1)
         parts = np.zeros(len(PART_GAINS) + 1)
         all_windows = windows(text)
         for window in all_windows:
-            if self.gain(window, FAST) < SUSPECT:
-                continue
-            whole[max(0, min(self.gain(window, SLOW), len(WINDOW_GAINS)))] += 1
-            for part in windows(window.decode("utf-8", "replace"), PART):
-                parts[max(0, min(self.gain(part, PARTS), len(PART_GAINS)))] += 1
+            gain, part_gains = self.gains(window)
+            whole[max(0, min(gain, len(WINDOW_GAINS)))] += 1
+            for gain in part_gains:
+                parts[max(0, min(gain, len(PART_GAINS)))] += 1
         at_least = np.concatenate([np.cumsum(x[::-1])[::-1][1:] for x in (whole, parts)])
         return np.log1p(np.append(at_least, len(all_windows)))
 

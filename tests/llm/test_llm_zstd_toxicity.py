@@ -39,8 +39,34 @@ def test_gain_of_known_stretches():
     syllables = ["ka", "lo", "mi", "ter", "un", "sa"]
     ordinary = " ".join("".join(rng.choice(syllables, 3)) for _ in range(3000)).encode()
     compressors = Z.Compressors(ordinary, b" horribleword nastything " * 4)
-    assert compressors.gain(b" kalomi nastything untersa", Z.SLOW) >= 4
-    assert abs(compressors.gain(b" kalomi lomisa untersa", Z.SLOW)) <= 1
+    assert compressors.gain(b" kalomi nastything untersa", Z.WHOLE) >= 4
+    assert abs(compressors.gain(b" kalomi lomisa untersa", Z.WHOLE)) <= 1
+
+
+def test_figures_by_definition():
+    """Figures of a text against lengths that the library gives without prepared dictionaries."""
+    import zstandard
+
+    ordinary, toxic = b" one two three four five six seven eight nine ten " * 3, b" nastything horribleword "
+    compressors = Z.Compressors(ordinary, toxic)
+    text = "one two nastything four five six seven horribleword nine ten eleven twelve thirteen " * 5
+
+    def length(window, content, level):
+        known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        settings = zstandard.ZstdCompressionParameters.from_level(
+            level, source_size=64, dict_size=len(content), format=zstandard.FORMAT_ZSTD1_MAGICLESS,
+            write_checksum=0, write_content_size=0, write_dict_id=0,
+        )
+        return len(zstandard.ZstdCompressor(dict_data=known, compression_params=settings).compress(window))
+
+    def gains(size, level):
+        return [length(w, ordinary, level) - length(w, ordinary + toxic, level) for w in Z.windows(text, size)]
+
+    counts = [sum(g >= t for g in gains(Z.WINDOW, Z.WHOLE)) for t in Z.WINDOW_GAINS]
+    parts = [length(p, ordinary, Z.PARTS) - length(p, ordinary + toxic, Z.PARTS) for w in Z.windows(text) for p in Z.windows(w.decode(), Z.PART)]
+    counts += [sum(g >= t for g in parts) for t in Z.PART_GAINS]
+    assert np.expm1(compressors.figures(text)).round().astype(int).tolist() == [*counts, len(Z.windows(text))]
+    assert max(counts) > 0
 
 
 def test_odd_rows(spark):
