@@ -2,14 +2,13 @@
 
 A SentencePiece model writes blanks as a marker. Where none of its pieces has a marker after another character, no
 merge crosses from a word to the marker of the next, so the words, each with the markers before it, are encoded
-independently of each other. Words repeat: a block of documents is stored as its distinct words and one number per
-word in the text; each distinct word of the whole table is segmented once; its ids go back to the blocks that hold
-it, and every document reads its ids by position.
+independently of each other. Words repeat: a task takes its documents in blocks, lists the distinct words of a block
+in a table, segments each of them once, and reads the ids of every document from the table by the positions of its
+words. A block has at most ``BLOCK_CHARS`` characters, or one document, so the table is bounded.
 
-``store`` writes the blocks. They are the cut of lineage: a lost task begins at them again. A block has at most
-``BLOCK_CHARS`` characters, or one document. Its words travel in ``BUCKETS`` packs by their hash, each at most once
-per block, however frequent it is. A task reads the packs of one bucket after another and holds the distinct words of
-one: some million where the whole table has some thousand million.
+Blocks do not share their tables: one table for all documents sends every block's words, positions and ids through
+shuffles, which takes more disk than the texts (README has figures), and saves little, as blocks are large. So there
+is no shuffle, nothing is written, and a lost task is one block of texts again.
 
 Null texts are empty; empty texts have the begin and end ids only. Rows are kept as they are, repeated and null ids
 too; an empty table gives no rows. Columns other than ``doc_id`` and ``text`` take no part.
@@ -19,32 +18,22 @@ from __future__ import annotations
 
 import hashlib
 import re
-import zlib
 from collections.abc import Iterator
-from itertools import chain, groupby
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
 import sentencepiece
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-from pagemill.llm.common import written
-
 MARK = "▁"
-# Characters of the documents that share a block.
+# Characters of the documents that share a table.
 BLOCK_CHARS = 12_000_000
 
 _WORD = re.compile(f"{MARK}+[^{MARK}]*")
-# Packs that the distinct words of a block are dealt to.
-BUCKETS = 2048
-# The part of a block that comes before its words.
-_HEAD = -1
 
-BLOCKS = "block long, bucket int, words binary, head binary"
 DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 IDS = "doc_id long, ids array<int>"
 
@@ -95,9 +84,11 @@ class Model:
             _models[path] = cls(path)
         return _models[path]
 
-    def segment(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of every marked word."""
-        return [np.array(ids, dtype=np.int32) for ids in self._words.encode(words, num_threads=1)]
+    def segment(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all marked words, one after another, and how many each has."""
+        every = self._words.encode(words, num_threads=1)
+        lengths = np.fromiter(map(len, every), np.int64, len(every))
+        return np.fromiter(chain.from_iterable(every), np.int32, int(lengths.sum())), lengths
 
     def decode(self, ids: list[int]) -> bytes:
         """UTF-8 of the text that the ids stand for; bytes that are not UTF-8 become replacement characters."""
@@ -121,187 +112,70 @@ def marked_words(text: str | None) -> list[str]:
     return _WORD.findall(MARK + text.replace(" ", MARK)) if text else []
 
 
-def _packed(parts: list[np.ndarray], rest: bytes = b"") -> bytes:
-    """Whole numbers and bytes, compressed. Bytes of equal weight stand together, as they are alike."""
-    planes = [p.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes() for p in parts]
-    sizes = np.array([len(p) for p in parts], dtype="<i8").tobytes()
-    return zstandard.ZstdCompressor(level=3).compress(b"".join([sizes, *planes, rest]))
-
-
-def _unpacked(data: bytes, n: int) -> tuple[list[np.ndarray], bytes]:
-    raw = zstandard.ZstdDecompressor().decompress(data)
-    at, parts = 8 * n, []
-    for size in np.frombuffer(raw, "<i8", n).tolist():
-        planes = np.frombuffer(raw, np.uint8, 4 * size, at).reshape(4, size)
-        parts.append(np.ascontiguousarray(planes.T).view("<i4").reshape(size))
-        at += 4 * size
-    return parts, raw[at:]
-
-
-def _pack_words(words: list[bytes]) -> bytes:
-    return _packed([np.fromiter(map(len, words), np.int64, len(words))], b"".join(words))
-
-
-def _unpack_words(data: bytes) -> list[str]:
-    (lengths,), rest = _unpacked(data, 1)
-    ends = np.cumsum(lengths).tolist()
-    return [rest[a:b].decode() for a, b in zip([0, *ends], ends)]
-
-
-def _pack_head(doc_ids: list, counts: list[int], codes: np.ndarray) -> bytes:
-    known = np.array([not pd.isna(i) for i in doc_ids])
-    ids = np.array([0 if pd.isna(i) else int(i) for i in doc_ids], dtype="<i8")
-    return _packed([codes, np.array(counts, dtype=np.int64), known], ids.tobytes())
-
-
-def _unpack_head(data: bytes) -> tuple[list, np.ndarray, np.ndarray]:
-    (codes, counts, known), ids = _unpacked(data, 3)
-    return [i if k else None for i, k in zip(np.frombuffer(ids, "<i8").tolist(), known)], counts, codes
+class Block:
+    """Documents, the table of their distinct words, and the places in it of the words of every document."""
 
+    def __init__(self) -> None:
+        self.doc_ids: list = []
+        self.places: list[np.ndarray] = []
+        self.table: dict[str, int] = {}
+        self.chars = 0
 
-def _blocks(batches: Iterator[pd.DataFrame], limit: int, buckets: int) -> Iterator[pd.DataFrame]:
-    task = TaskContext.get().partitionId() << 32
-    number, size = 0, 0
-    doc_ids, counts, codes, index = [], [], [], {}
+    def add(self, doc_id, text: str | None) -> None:
+        words, place = marked_words(text), self.table.setdefault
+        self.places.append(np.fromiter((place(w, len(self.table)) for w in words), np.int32, len(words)))
+        self.doc_ids.append(doc_id)
+        self.chars += len(text or "")
 
-    def close() -> pd.DataFrame:
-        # Words in the order of their buckets, sorted in each: neighbours that begin alike compress well.
-        order = sorted((zlib.crc32(raw) % buckets, raw, i) for raw, i in ((w.encode(), i) for w, i in index.items()))
-        rank = np.empty(len(order), dtype=np.int32)
-        rank[[i for _, _, i in order]] = np.arange(len(order), dtype=np.int32)
-        every = np.concatenate(codes)
-        rows = [(_HEAD, None, _pack_head(doc_ids, counts, rank[every] if len(every) else every))]
-        for bucket, part in groupby(order, key=lambda entry: entry[0]):
-            rows.append((bucket, _pack_words([raw for _, raw, _ in part]), None))
-        frame = pd.DataFrame(rows, columns=["bucket", "words", "head"])
-        frame.insert(0, "block", task + number)
-        return frame
-
-    for batch in batches:
-        for doc_id, text in zip(batch["doc_id"], batch["text"]):
-            found = marked_words(text)
-            if doc_ids and size + len(text or "") > limit:
-                yield close()
-                number, size = number + 1, 0
-                doc_ids, counts, codes, index = [], [], [], {}
-            number_of = index.setdefault
-            codes.append(np.fromiter((number_of(w, len(index)) for w in found), np.int32, len(found)))
-            doc_ids.append(doc_id)
-            counts.append(len(found))
-            size += len(text or "")
-    if doc_ids:
-        yield close()
-
-
-def store(docs: DataFrame, block_chars: int = BLOCK_CHARS, buckets: int = BUCKETS) -> DataFrame:
-    """Blocks of documents, each as its distinct marked words and the numbers of the words in its texts."""
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return written(rows.mapInPandas(lambda batches: _blocks(batches, block_chars, buckets), BLOCKS), "piece-blocks")
+    def encoded(self, model: Model) -> Iterator[tuple]:
+        """``doc_id, ids`` of every document, the begin and end ids included."""
+        ids, lengths = model.segment(list(self.table))
+        starts = np.cumsum(lengths) - lengths
+        for doc_id, places in zip(self.doc_ids, self.places):
+            sizes = lengths[places]
+            # The place of each id in the table's ids: the start of its word, and how far it is into the word.
+            into = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            yield doc_id, np.concatenate([[model.begin], ids[np.repeat(starts[places], sizes) + into], [model.end]]).astype("<u4")
 
 
-def _segmented(batches: Iterator[pd.DataFrame], path: str) -> Iterator[pd.DataFrame]:
-    model = Model.load(path)
-    current, ids = None, {}
-    for batch in batches:
-        packs = []
-        for bucket, part in batch.groupby("bucket", sort=False):
-            if bucket != current:
-                current, ids = bucket, {}
-            every = [_unpack_words(data) for data in part["words"]]
-            fresh = [w for w in dict.fromkeys(chain.from_iterable(every)) if w not in ids]
-            ids.update(zip(fresh, model.segment(fresh)))
-            for words in every:
-                found = [ids[w] for w in words]
-                packs.append(_packed([np.fromiter(map(len, found), np.int64, len(found)), np.concatenate(found)]))
-        yield pd.DataFrame({"block": batch["block"], "bucket": batch["bucket"], "data": packs})
-
-
-def segmented(blocks: DataFrame, path: str) -> DataFrame:
-    """``block, bucket, data``: the ids of a block's words in their order, each distinct word segmented once."""
-    words = blocks.where("words is not null").select("block", "bucket", "words")
-    ordered = words.repartition("bucket").sortWithinPartitions("bucket")
-    return ordered.mapInPandas(lambda batches: _segmented(batches, path), "block long, bucket int, data binary")
-
-
-def _by_position(codes: np.ndarray, starts: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the words in the text, and how many each word has."""
-    lengths = np.diff(starts)[codes]
-    ends = np.cumsum(lengths)
-    places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[:-1][codes] - (ends - lengths), lengths)
-    return ids[places], lengths
-
-
-def _documents(head: bytes, table: list[bytes], model: Model) -> Iterator[tuple]:
-    """``doc_id, ids`` of every document of a block, the begin and end ids included."""
-    doc_ids, counts, codes = _unpack_head(head)
-    parts = [_unpacked(data, 2)[0] for data in table]
-    empty = [np.empty(0, dtype=np.int32)]
-    starts = np.concatenate([[0], np.cumsum(np.concatenate([p[0] for p in parts] or empty))])
-    every = np.concatenate([p[1] for p in parts] or empty)
-    at = 0
-    for doc_id, count in zip(doc_ids, counts):
-        ids, _ = _by_position(codes[at : at + count], starts, every)
-        at += count
-        yield doc_id, np.concatenate([[model.begin], ids, [model.end]]).astype("<u4")
-
-
-def _digest_row(doc_id, ids: np.ndarray, model: Model) -> tuple:
-    return (
-        doc_id,
-        len(ids),
-        hashlib.sha256(ids.tobytes()).hexdigest(),
-        hashlib.sha256(model.decode(ids.tolist())).hexdigest(),
-    )
-
-
-def _joined(batches: Iterator[pd.DataFrame], path: str, columns: list[str], row) -> Iterator[pd.DataFrame]:
-    model = Model.load(path)
-    block, head, table = None, b"", []
+def _encoded(batches: Iterator[pd.DataFrame], path: str, limit: int, columns: list[str], row) -> Iterator[pd.DataFrame]:
+    model, block = Model.load(path), Block()
 
     def close() -> Iterator[pd.DataFrame]:
-        rows = []
-        for doc_id, ids in _documents(head, table, model):
-            rows.append(row(doc_id, ids, model))
-            if len(rows) == 1000:
-                yield _frame(rows, columns)
-                rows = []
-        if rows:
-            yield _frame(rows, columns)
+        rows = (row(doc_id, ids, model) for doc_id, ids in block.encoded(model))
+        while part := list(islice(rows, 1000)):
+            frame = pd.DataFrame(part, columns=columns)
+            frame["doc_id"] = pd.array([r[0] for r in part], dtype="Int64")
+            yield frame
 
     for batch in batches:
-        for of, bucket, data in zip(batch["block"], batch["bucket"], batch["data"]):
-            if bucket == _HEAD:
-                if block is not None:
-                    yield from close()
-                block, head, table = of, data, []
-            else:
-                table.append(data)
-    if block is not None:
-        yield from close()
+        for doc_id, text in zip(batch["doc_id"].astype("Int64"), batch["text"]):
+            if block.doc_ids and block.chars + len(text or "") > limit:
+                yield from close()
+                block = Block()
+            block.add(doc_id, text)
+    yield from close()
 
 
-def _frame(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=columns)
-    frame["doc_id"] = pd.array([r[0] for r in rows], dtype="Int64")
-    return frame
+def _digest_row(doc_id, ids: np.ndarray, model: Model) -> tuple:
+    decoded = model.decode(ids.tolist())
+    return doc_id, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
 
-def _read(blocks: DataFrame, path: str, schema: str, row) -> DataFrame:
+def _read(docs: DataFrame, path: str, block_chars: int, schema: str, row) -> DataFrame:
     columns = [part.split()[0] for part in schema.split(", ")]
-    heads = blocks.where("head is not null").select("block", "bucket", F.col("head").alias("data"))
-    parts = heads.unionByName(segmented(blocks, path))
-    ordered = parts.repartition("block").sortWithinPartitions("block", "bucket")
-    return ordered.mapInPandas(lambda batches: _joined(batches, path, columns, row), schema)
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    return rows.mapInPandas(lambda batches: _encoded(batches, path, block_chars, columns, row), schema)
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
+def encode(docs: DataFrame, path: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``doc_id, ids`` of every document, with begin and end ids."""
-    return _read(store(docs), path, IDS, lambda doc_id, ids, _: (doc_id, ids.astype(np.int32)))
+    return _read(docs, path, block_chars, IDS, lambda doc_id, ids, _: (doc_id, ids.astype(np.int32)))
 
 
-def digest(docs: DataFrame, path: str) -> DataFrame:
+def digest(docs: DataFrame, path: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document."""
-    return _read(store(docs), path, DIGEST, _digest_row)
+    return _read(docs, path, block_chars, DIGEST, _digest_row)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

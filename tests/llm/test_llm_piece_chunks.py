@@ -40,12 +40,11 @@ def test_query_equals_the_library(spark):
 
 
 @pytest.mark.parametrize("block_chars", [1, 200, P.BLOCK_CHARS])
-def test_odd_texts_in_blocks_of_any_size(spark, monkeypatch, block_chars):
-    monkeypatch.setattr(P, "store", lambda docs, store=P.store: store(docs, block_chars, 5))
+def test_odd_texts_in_blocks_of_any_size(spark, block_chars):
     sp = library()
     rows = [(i, t, "x", "y") for i, t in enumerate(ODD)] + [(None, "null id", "x", "y"), (3, "again", "x", "y"), (3, "again", "x", "y")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, block string, ids string").repartition(3)
-    found = sorted(map(tuple, P.digest(docs, PATH).collect()), key=str)
+    found = sorted(map(tuple, P.digest(docs, PATH, block_chars).collect()), key=str)
     assert found == sorted(((i, *expected(sp, t)) for i, t, _, _ in rows), key=str)
     assert P.digest(docs.where(F.lit(False)), PATH).count() == 0
 
@@ -73,30 +72,25 @@ def test_decoding_any_ids_equals_the_library():
         assert model.decode(ids).decode() == sp.decode(ids), ids
 
 
-def test_each_distinct_word_is_segmented_once(spark, monkeypatch):
-    docs = spark.createDataFrame([(i, "one two one " + "three " * 50) for i in range(200)], "doc_id long, text string")
-    packs = [P._unpack_words(r["words"]) for r in P.store(docs, 5_000, 3).where("words is not null").collect()]
-    assert {w for words in packs for w in words} == {"▁one", "▁two", "▁three", "▁"}
-    assert sum(map(len, packs)) < 200
-
+def test_each_distinct_word_is_segmented_once(monkeypatch):
     real, asked = P.Model.load(PATH), []
 
     class Counting:
+        begin, end, decode = real.begin, real.end, real.decode
+
         def segment(self, words):
-            asked.extend(words)
+            asked.append(words)
             return real.segment(words)
 
     monkeypatch.setattr(P.Model, "load", classmethod(lambda cls, path: Counting()))
-    packs = [P._pack_words([w.encode() for w in words]) for words in (["▁a", "▁b"], ["▁b", "▁c"], ["▁d"])]
     batches = [
-        pd.DataFrame({"block": [1], "bucket": [0], "words": packs[:1]}),
-        pd.DataFrame({"block": [3, 4], "bucket": [0, 1], "words": packs[1:]}),
+        pd.DataFrame({"doc_id": [1, 2], "text": ["one two one", "two three "]}),
+        pd.DataFrame({"doc_id": [3], "text": ["one two"]}),
     ]
-    out = pd.concat(P._segmented(iter(batches), PATH))
-    assert asked == ["▁a", "▁b", "▁c", "▁d"]
-    assert out["block"].tolist() == [1, 3, 4]
-    ids = [P._unpacked(data, 2)[0][1].tolist() for data in out["data"]]
-    assert ids == [sum(map(list, real.segment(words)), []) for words in (["▁a", "▁b"], ["▁b", "▁c"], ["▁d"])]
+    columns = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    out = pd.concat(P._encoded(iter(batches), PATH, 21, columns, P._digest_row))
+    assert asked == [["▁one", "▁two", "▁three", "▁"], ["▁one", "▁two"]]
+    assert out["doc_id"].tolist() == [1, 2, 3]
 
 
 def test_models_that_change_texts_are_refused(tmp_path):
