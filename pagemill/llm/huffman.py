@@ -19,6 +19,7 @@ import json
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -45,10 +46,10 @@ BLOCKS = "part int, block int, first long, n_tokens long, doc_ids array<long>, l
 
 _ODD = re.compile("[\x1c-\x1f\x85]")
 # Runs on which Python's and the tokenizer's idea of letters and lower case are the same.
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_PLAIN = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*")
 # How the vocabulary cuts a normalised text, and the same for plain runs.
 _CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
 _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 _tokenizers: dict = {}
 
@@ -63,12 +64,12 @@ def id_type(path: str) -> str:
 class WordEncoder:
     """Encodes texts by the tokenizers library, as little-endian unsigned ids.
 
-    The tokenizer drops white space and splits there before all else, so a text's ids are those of its runs of
-    other characters; runs that come again are not encoded again. New runs go through the library many at a
-    time, with a mark between them by whose id they are told apart; a run that holds the mark goes alone.
-    Control characters on which Python and the library may differ send the text through the library whole.
-    Plain runs are cut into the tokenizer's pieces here, and only its merging is asked for each new piece. Special
-    tokens in a text are special tokens, as the library has it.
+    A text's ids are those of its parts; parts that come again are not encoded again. Plain texts are cut into the
+    tokenizer's pieces here, and the library merges each new piece. Other texts are cut at white space, which the
+    tokenizer drops and splits at before all else; new runs go through the library many at a time, with a mark
+    between them by whose id they are told apart; a run that holds the mark goes alone. Control characters on which
+    Python and the library may differ send the text through the library whole. Special tokens in a text are special
+    tokens, as the library has it.
     """
 
     MARK = "|"
@@ -81,14 +82,14 @@ class WordEncoder:
         self.now: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
         self.chars = 0
-        self.pieces: dict[str, bytes] = {}
-        self.piece_chars = 0
         rules = json.loads(self.tokenizer.to_str())
         normal = [n["type"] for n in (rules["normalizer"] or {}).get("normalizers", [])]
         cut = [p.get("pattern", {}).get("Regex") for p in (rules["pre_tokenizer"] or {}).get("pretokenizers", [])]
         self.cuts_as_known = normal == _NORMALIZERS and cut == [_CUT, None]
         self.special = [t["content"] for t in rules["added_tokens"]]
         self.letters = _byte_letters()
+        # Two or four bytes, in the order of the machine, which is that of the ids.
+        self.code = "H" if np.dtype(dtype).itemsize == 2 else "I"
         mark = self._ids(self.MARK)
         self.mark = mark[0] if len(mark) == 1 else None
 
@@ -98,29 +99,18 @@ class WordEncoder:
     def _bytes(self, ids) -> bytes:
         return np.asarray(ids, dtype=self.dtype).tobytes()
 
-    def _plain(self, run: str) -> bool:
-        return self.cuts_as_known and _PLAIN.fullmatch(run) is not None and not any(t in run for t in self.special)
-
-    def _piece(self, piece: str) -> bytes:
-        known = self.pieces.get(piece)
-        if known is None:
-            mapped = piece.encode().decode("latin-1").translate(self.letters)
-            known = self._bytes([token.id for token in self.tokenizer.model.tokenize(mapped)])
-            self.piece_chars += len(piece)
-            if self.piece_chars > CACHE_CHARS:
-                self.pieces.clear()
-                self.piece_chars = len(piece)
-            self.pieces[piece] = known
-        return known
-
-    def _learn(self, runs: list[str]) -> None:
-        others = []
-        for run in runs:
-            if self._plain(run):
-                self.now[run] = b"".join([self._piece(p) for p in _PIECE.findall(run.lower())])
-            else:
-                others.append(run)
-        runs = others
+    def _plain(self, text: str) -> bool:
+        return self.cuts_as_known and _PLAIN.fullmatch(text) is not None and not any(t in text for t in self.special)
+
+    def _merged(self, piece: str) -> list[int]:
+        mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        return [token.id for token in self.tokenizer.model.tokenize(mapped)]
+
+    def _learn_pieces(self, pieces: list[str]) -> None:
+        for piece in pieces:
+            self.now[piece] = array(self.code, self._merged(piece)).tobytes()
+
+    def _learn_runs(self, runs: list[str]) -> None:
         alone = [r for r in runs if self.mark is None or self.MARK in r]
         for run in alone:
             self.now[run] = self._bytes(self._ids(run))
@@ -137,16 +127,20 @@ class WordEncoder:
                 start = end + width
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if _ODD.search(t) else t.split() for t in texts]
-        fresh = set().union(*(s for s in split if s)) - self.now.keys()
-        if len(self.now) + len(fresh) > CACHE or self.chars > CACHE_CHARS:
-            # Frequent runs come back from the generation before.
+        plain = [self._plain(t) for t in texts]
+        split = [_PIECE.findall(t.lower()) if p else None if _ODD.search(t) else t.split() for t, p in zip(texts, plain)]
+        pieces = set().union(*(s for s, p in zip(split, plain) if p))
+        runs = set().union(*(s for s, p in zip(split, plain) if s and not p)) - pieces
+        fresh = len((pieces | runs) - self.now.keys())
+        if len(self.now) + fresh > CACHE or self.chars > CACHE_CHARS:
+            # Frequent parts come back from the generation before.
             self.before, self.now, self.chars = self.now, {}, 0
-            fresh = set().union(*(s for s in split if s))
-        self.chars += sum(map(len, fresh))
-        known = fresh & self.before.keys()
-        self.now.update((run, self.before[run]) for run in known)
-        self._learn(list(fresh - known))
+        for kind, learn in ((pieces, self._learn_pieces), (runs, self._learn_runs)):
+            new = kind - self.now.keys()
+            self.chars += sum(map(len, new))
+            known = new & self.before.keys()
+            self.now.update((part, self.before[part]) for part in known)
+            learn(list(new - known))
         at = self.now.__getitem__
         return [self._bytes(self._ids(t)) if s is None else b"".join(map(at, s)) for t, s in zip(texts, split)]
 
