@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pagemill import constants as C
@@ -62,6 +63,31 @@ def batch_members(
     return batching.plan_batches(placed, "s3_key", "pos", "size", max_bytes, max_pages, **plan)
 
 
+def continued_members(
+    sizes: DataFrame,
+    waiting: DataFrame,
+    shards: int = 1,
+    max_bytes: int = C.MAX_BATCH_BYTES,
+    max_pages: int = C.MAX_BATCH_PAGES,
+) -> DataFrame:
+    """Mixed batches that begin with the pages that wait in the open batch of their shard.
+
+    ``waiting`` has the columns ``shard, pos, s3_key, page_no, custom_id, size`` of at most one batch per shard,
+    ``pos`` counted from 1. A batch that starts at a page always ends at the same page, so the sequence goes on
+    as if it had never been cut. ``full`` tells batches that reached a limit; one per shard may not have.
+    """
+    columns = ["shard", "pos", "s3_key", "page_no", "custom_id", "size"]
+    shared = sizes.withColumn("shard", ordinals.shard_of(F.col("s3_key"), shards))
+    placed = ordinals.file_positions(shared, ["shard"], "s3_key")
+    before = waiting.groupBy("shard").agg(F.count("*").alias("_before"))
+    placed = placed.join(before, "shard", "left").withColumn("pos", F.col("pos") + F.coalesce("_before", F.lit(0)))
+    both = waiting.select(*columns).unionByName(placed.select(*columns))
+    members = batching.plan_batches(both, "shard", "pos", "size", max_bytes, max_pages)
+    batch = W.partitionBy("shard", "batch_no")
+    full = (F.sum("size").over(batch) >= max_bytes) | (F.count("*").over(batch) >= max_pages)
+    return members.withColumn("full", full)
+
+
 def name_batches(members: DataFrame, mixed: bool = False) -> DataFrame:
     """Add ``batch_key``, the same one in every run over the same pages."""
     return batching.assign_batch_keys(members, ["shard"] if mixed else ["s3_key"])

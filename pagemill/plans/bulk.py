@@ -45,6 +45,7 @@ def run_pages(
     stream, which numbers micro-batches itself.
     """
     _in_waves(ws, C.STAGE_PAGES, stages.page_stage(ws, source, limits, BULK), keys, waves)
+    stages.flush_waiting(keys.sparkSession, ws, source, limits)
 
 
 def run_inference(

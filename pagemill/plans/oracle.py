@@ -223,6 +223,8 @@ ORACLE = {
     "page_batches_mixed": f"""WITH RECURSIVE {PAGES}, {MIXED}, {SUMMARY}
         SELECT CAST(batch_no AS BIGINT) AS batch_no, n_pages, n_bytes, first_id, last_id, batch_key
         FROM summary""",
+    "stream_mixed_batches": f"""WITH RECURSIVE {PAGES}, {MIXED}, {SUMMARY}
+        SELECT batch_key, n_pages, n_bytes, first_id, last_id FROM summary""",
     "batch_members": f"""WITH RECURSIVE {PAGES}, {BY_FILE}
         SELECT custom_id, CAST(batch_no AS BIGINT) AS batch_no, CAST(held AS BIGINT) AS running_bytes,
                CAST(n AS BIGINT) AS running_pages

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pagemill import constants as C
 from pagemill.functions import bodies, clock, encoding
 from pagemill.functions import keys as K
 from pagemill.operators import inference, metrics, routing, state
+from pagemill.plans import bulk
 from pagemill.plans import queries as Q
 from pagemill.plans import tables as D
 from pagemill.session import working_folder
@@ -124,6 +126,33 @@ def stream_carried_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found
 
 
+def stream_mixed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of the page stage that hold pages of several files and wait across micro-batches until they are full.
+
+    Files arrive in the order of their keys, a share at a time, and are worked through in slices.
+    """
+    ws = Workspace(working_folder(spark, "stream-mixed"))
+    page_source.write_page_table(D.document_pages(spark, sf_dir), ws.path("pages"))
+    source = stages.PageTable(ws.path("pages"))
+    limits = stages.Limits(max_bytes=D.MAX_BYTES, max_pages=D.MAX_PAGES, mixed=True, carry=True, slice_keys=10)
+    keys = page_source.scan_page_table(spark, ws.path("pages")).select("s3_key").distinct()
+    share = F.ntile(LEAST_ARRIVALS).over(W.orderBy("s3_key"))
+    listed = ws.path("keys")
+    keys.withColumn("share", share).write.parquet(listed)
+    arriving = spark.read.parquet(listed)
+    for i in range(1, LEAST_ARRIVALS + 1):
+        message_source.write_messages(bulk.key_messages(arriving.filter(F.col("share") == i)), f"{ws.path('messages')}/share-{i}")
+        # One micro-batch, whatever the number of files the messages are written to.
+        stages.run_page_stage(spark, ws, source, limits, max_files=1 << 30, flush=i == LEAST_ARRIVALS)
+    manifest = ws.read(spark, "manifest")
+    return manifest.groupBy("batch_key").agg(
+        F.count("*").alias("n_pages"),
+        F.sum("size").alias("n_bytes"),
+        F.min_by("custom_id", "pos").alias("first_id"),
+        F.max_by("custom_id", "pos").alias("last_id"),
+    )
+
+
 def _pipeline(spark: SparkSession, sf_dir: str) -> Workspace:
     """Page files and their messages from the documents, then the page stage over them."""
     ws = Workspace(working_folder(spark, "pipeline"))
@@ -194,6 +223,7 @@ STREAMS = {
         stream_state,
         stream_outcome_counts,
         stream_carried_batches,
+        stream_mixed_batches,
         stream_page_batches,
         stream_ocr_pages,
         stream_job_state,

@@ -26,6 +26,16 @@ def names_of(keys: DataFrame, slice_no: int, n: int) -> list[str]:
     return sorted(row["s3_key"] for row in mine.select("s3_key").collect())
 
 
+def ranged_slices(keys: DataFrame, size: int = SLICE_KEYS) -> DataFrame:
+    """``s3_key, slice``: ranges of keys in order, of about ``size`` keys each.
+
+    To be written and read back: the bounds come from a sample. Wherever they are, the slices one after the other
+    are the keys in order.
+    """
+    ranged = keys.select("s3_key").repartitionByRange(slices(keys, size), "s3_key")
+    return ranged.withColumn("slice", F.spark_partition_id())
+
+
 # What patterns or paths take for something else, control characters included.
 SPECIAL = r"[\\{}\[\]*?,^:\x00-\x1f]"
 

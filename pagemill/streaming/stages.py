@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -59,7 +60,11 @@ def utc_now() -> datetime:
 class Limits:
     max_bytes: int = C.MAX_BATCH_BYTES
     max_pages: int = C.MAX_BATCH_PAGES
+    # Batches may hold pages of several files. With ``carry`` one that is not full at the end of a micro-batch
+    # waits for the next, at most ``flush_after`` if that is given; without, it is written as it is.
     mixed: bool = False
+    carry: bool = False
+    flush_after: timedelta | None = None
     shards: int = 1
     max_receive_count: int = C.MAX_RECEIVE_COUNT
     max_attempts: int = C.MAX_ATTEMPTS
@@ -233,56 +238,171 @@ def is_file_problem(problem: Exception) -> bool:
     return any(mark in str(problem) for mark in FILE_PROBLEMS)
 
 
+ENDED = "end"
+FLUSHED = "flushed"
+
+
+def write_planned(
+    spark: SparkSession, ws: Workspace, source: PageFiles | PageTable, names: list[str], epoch: int, step: str
+) -> None:
+    """Write the batches of a step's manifest, whose pages are in the files ``names``."""
+    planned = ws.read(spark, "manifest", only=(C.STAGE_PAGES, epoch), step=step)
+    ws.append(R.page_runs(planned), "runs", C.STAGE_PAGES, epoch, step)
+    runs = ws.read(spark, "runs", only=(C.STAGE_PAGES, epoch), step=step)
+    request_source.write_batches(R.batched_pages(source.pages(spark, names), runs), ws.path("batches"))
+
+
+def close_waiting(
+    spark: SparkSession, ws: Workspace, source: PageFiles | PageTable, rows: DataFrame, epoch: int, step: str
+) -> None:
+    """Write waiting batches as they are. They are at most one per shard, so their files can be named."""
+    named = R.name_batches(rows.withColumn("batch_no", F.lit(0)), mixed=True)
+    ws.append(named, "manifest", C.STAGE_PAGES, epoch, step)
+    write_planned(spark, ws, source, keys_of(rows), epoch, step)
+
+
+def keys_of(rows: DataFrame) -> list[str]:
+    return sorted(row["s3_key"] for row in rows.select("s3_key").distinct().collect())
+
+
+def waiting_pages(spark: SparkSession, ws: Workspace, epoch: int) -> DataFrame:
+    """Pages that waited when micro-batch ``epoch`` had ended and were not flushed afterwards."""
+    me = (C.STAGE_PAGES, epoch)
+    flushed = ws.read(spark, "manifest", only=me, step=FLUSHED).select("custom_id")
+    return ws.read(spark, "waiting", only=me, step=ENDED).join(flushed, "custom_id", "left_anti")
+
+
+def completed_files(written: DataFrame, files: DataFrame, before: DataFrame, waiting: DataFrame) -> DataFrame:
+    """``s3_key, total_pages`` of files that have no page waiting any more.
+
+    ``written`` are pages written now, ``files`` those read now, ``before`` and ``waiting`` pages that waited before
+    and wait still.
+    """
+    earlier = before.groupBy("s3_key").agg(F.max("written").alias("_earlier"))
+    now = page_source.pages_per_file(written)
+    ended = files.select("s3_key").unionByName(earlier.select("s3_key")).distinct()
+    ended = ended.join(waiting.select("s3_key"), "s3_key", "left_anti")
+    total = F.coalesce("total_pages", F.lit(0)) + F.coalesce("_earlier", F.lit(0))
+    return ended.join(now, "s3_key", "left").join(earlier, "s3_key", "left").select("s3_key", total.alias("total_pages"))
+
+
 def page_handler(ws: Workspace, source: PageFiles | PageTable, limits: Limits) -> Handler:
     """Page files to request batches.
 
-    Keys are worked through in slices of bounded size, all in the same way: those without an
-    object and those whose file cannot be read are told apart, the others are planned and
-    written. The plan (which page goes into which batch) is written first and read back, so that
-    the batches, the state and the announcements all follow the same plan and nothing is planned
-    twice. Mixed batches do not reach across slices.
+    Keys are worked through in order, in slices of bounded size, all in the same way: those without an object and
+    those whose file cannot be read are told apart, the others are planned and written. The plan (which page goes
+    into which batch) is written first and read back, so that the batches, the state and the announcements all
+    follow the same plan and nothing is planned twice.
+
+    The pages of mixed batches that a slice leaves open go first in the next one, so slices do not show in the
+    batches. What the last slice leaves waits for the next micro-batch or is written (see :class:`Limits`). A file
+    with waiting pages is neither done nor started again, and a micro-batch that is run again finds what waited
+    before it.
     """
 
-    def plan(spark: SparkSession, names: list[str], epoch: int, step: str) -> None:
+    def plan(spark: SparkSession, names: list[str], epoch: int, step: str, waiting: DataFrame) -> None:
         sizes = R.page_sizes(source.pages(spark, names))
-        members = R.batch_members(sizes, limits.mixed, limits.shards, limits.max_bytes, limits.max_pages)
-        ws.append(R.name_batches(members, limits.mixed), "manifest", C.STAGE_PAGES, epoch, step)
-
-    def one_slice(spark: SparkSession, asked: list[str], epoch: int, step: str) -> None:
+        if not limits.mixed:
+            members = R.batch_members(sizes, max_bytes=limits.max_bytes, max_pages=limits.max_pages)
+            ws.append(R.name_batches(members), "manifest", C.STAGE_PAGES, epoch, step)
+            return
+        members = R.continued_members(sizes, waiting, limits.shards, limits.max_bytes, limits.max_pages)
+        known = waiting.select("custom_id", "since", "written")
+        members = members.join(known, "custom_id", "left").withColumns(
+            {
+                "since": F.coalesce("since", F.lit(limits.clock())),
+                "written": F.coalesce("written", F.lit(0).cast("long")),
+            }
+        )
+        ws.append(members, "planned", C.STAGE_PAGES, epoch, step)
+        planned = ws.read(spark, "planned", only=(C.STAGE_PAGES, epoch), step=step)
+        ws.append(R.name_batches(planned.filter("full"), mixed=True), "manifest", C.STAGE_PAGES, epoch, step)
+        # At most one batch per shard; its pages are counted from 1 again.
+        first = F.min("pos").over(W.partitionBy("shard"))
+        rest = planned.filter("NOT full").withColumn("pos", F.col("pos") - first + 1)
+        ws.append(rest, "waiting", C.STAGE_PAGES, epoch, step)
+
+    def one_slice(spark: SparkSession, asked: list[str], epoch: int, step: str, waiting: DataFrame) -> DataFrame:
         names = source.existing(spark, asked)
         checks = {name: NOT_FOUND for name in asked} | dict.fromkeys(names)
         try:
-            plan(spark, names, epoch, step)
+            plan(spark, names, epoch, step, waiting)
         except Exception as problem:
             bad = source.broken(spark, names) if is_file_problem(problem) else {}
             if not bad:
                 raise
             checks |= bad
             names = [name for name in names if name not in bad]
-            plan(spark, names, epoch, step)
+            plan(spark, names, epoch, step, waiting)
         ws.append(spark.createDataFrame(list(checks.items()), CHECKS), "checks", C.STAGE_PAGES, epoch, step)
-        planned = ws.read(spark, "manifest", only=(C.STAGE_PAGES, epoch), step=step)
-        ws.append(R.page_runs(planned), "runs", C.STAGE_PAGES, epoch, step)
-        runs = ws.read(spark, "runs", only=(C.STAGE_PAGES, epoch), step=step)
-        request_source.write_batches(R.batched_pages(source.pages(spark, names), runs), ws.path("batches"))
+        write_planned(spark, ws, source, sorted({*names, *keys_of(waiting)}), epoch, step)
+        return ws.read(spark, "waiting", only=(C.STAGE_PAGES, epoch), step=step)
 
     def handle(spark: SparkSession, todo: DataFrame, epoch: int) -> StageResult:
-        n = listing.slices(todo, limits.slice_keys)
-        for i in range(n):
-            one_slice(spark, listing.names_of(todo, i, n), epoch, f"slice-{i}")
         me = (C.STAGE_PAGES, epoch)
-        checks = ws.read(spark, "checks", only=me)
-        counts = page_source.pages_per_file(ws.read(spark, "manifest", only=me))
-        finished = checks.filter("error IS NULL").join(counts, "s3_key", "left").select(
-            "s3_key", F.coalesce("total_pages", F.lit(0)).alias("total_pages")
-        )
+        before = waiting_pages(spark, ws, epoch - 1)
+        fresh = todo.join(before.select("s3_key"), "s3_key", "left_anti")
+        ws.append(listing.ranged_slices(fresh, limits.slice_keys), "slices", *me)
+        cut = ws.read(spark, "slices", only=me)
+        waiting, steps = before, []
+        for (i,) in sorted(cut.select("slice").distinct().collect()):
+            asked = keys_of(cut.filter(F.col("slice") == i))
+            steps.append(f"slice-{i}")
+            waiting = one_slice(spark, asked, epoch, steps[-1], waiting)
+        due = F.lit(not limits.carry)
+        if limits.flush_after is not None:
+            due = due | (F.col("since") <= F.lit(limits.clock() - limits.flush_after))
+        # A batch waits since its first page was planned.
+        opened = waiting.withColumn("since", F.min("since").over(W.partitionBy("shard")))
+        late = opened.filter(due)
+        steps.append("late")
+        if not late.isEmpty():
+            close_waiting(spark, ws, source, late, epoch, steps[-1])
+        # Bounds of slices may differ from those of a run that broke off: nothing of it may stay.
+        for table in ("manifest", "runs", "checks"):
+            for step in ws.steps(spark, table, me) - {*steps, FLUSHED}:
+                ws.append(ws.empty(spark, table), table, *me, step)
+        written = ws.read_steps(spark, "manifest", me, steps)
+        now = page_source.pages_per_file(written).withColumnRenamed("total_pages", "_now")
+        still = opened.filter(~due).join(now, "s3_key", "left")
+        still = still.withColumn("written", F.col("written") + F.coalesce("_now", F.lit(0)))
+        ws.append(still, "waiting", *me, ENDED)
+
+        checks = ws.read_steps(spark, "checks", me, steps)
+        left = ws.read(spark, "waiting", only=me, step=ENDED)
+        finished = completed_files(written, checks.filter("error IS NULL"), before, left)
         failed = checks.filter("error IS NOT NULL")
-        produced = ws.read(spark, "runs", only=me).select(F.col("batch_key").alias("s3_key")).distinct()
+        produced = ws.read_steps(spark, "runs", me, steps).select(F.col("batch_key").alias("s3_key")).distinct()
         return StageResult(finished, failed, produced, C.STAGE_OCR)
 
     return handle
 
 
+def flush_waiting(spark: SparkSession, ws: Workspace, source: PageFiles | PageTable, limits: Limits = Limits()) -> None:
+    """Write the mixed batches that still wait, announce them, and end the files they complete.
+
+    To be run between runs of the page stage: it adds to its last micro-batch. Run again, it replaces what it wrote.
+    """
+    epoch = ws.next_epoch(spark, C.STAGE_PAGES) - 1
+    me = (C.STAGE_PAGES, epoch)
+    waiting = ws.read(spark, "waiting", only=me, step=ENDED)
+    if waiting.isEmpty():
+        return
+    at = F.lit(limits.clock())
+    close_waiting(spark, ws, source, waiting, epoch, FLUSHED)
+    written = ws.read(spark, "manifest", only=me, step=FLUSHED)
+    ended = completed_files(written, waiting, waiting, waiting.limit(0))
+    total = F.col("total_pages")
+    finished = state.state_events(ended, C.STAGE_PAGES, C.EVENT_FINISHED, at, epoch * 10 + 5, pages=total, total_pages=total)
+    produced = ws.read(spark, "runs", only=me, step=FLUSHED).select(F.col("batch_key").alias("s3_key")).distinct()
+    log = ws.read(spark, "state").filter(F.col("stage") == C.STAGE_OCR)
+    # Not absent because of an earlier run of this: the same event again counts as one.
+    registered = state.register_absent(produced, state.about(log, produced).filter(F.col("event") != C.EVENT_REGISTERED), C.STAGE_OCR, at)
+    ws.append(finished.unionByName(registered), "state", C.STAGE_PAGES, epoch, FLUSHED)
+    announced = produced.select("s3_key", bodies.announcement(F.col("s3_key")).alias("body"))
+    ws.append(announced, "announcements", C.STAGE_PAGES, epoch, FLUSHED)
+
+
 # --- inference stage ---
 
 
@@ -454,14 +574,18 @@ def run_page_stage(
     source: PageFiles | PageTable,
     limits: Limits = Limits(),
     max_files: int = C.MAX_MESSAGES_PER_POLL,
+    flush: bool = True,
 ) -> None:
     """The page stage until its messages are used up, those of failed keys included.
 
     Each pass ends with the messages that were there when it began; keys that failed in it are
-    in the next. So every key is done, or a dead letter, when this returns.
+    in the next. So every key is done, or a dead letter, when this returns. Without ``flush``
+    carried batches wait for a later run.
     """
     stage = page_stage(ws, source, limits)
     _until_settled(stage, lambda: start(_page_stream(spark, ws, max_files), stage, ws.path("checkpoints/pages"), "pages"))
+    if flush:
+        flush_waiting(spark, ws, source, limits)
 
 
 def run_ocr_stage(

@@ -69,6 +69,35 @@ QUARANTINE = T.StructType(
     ]
 )
 
+# Keys of a micro-batch in the order they are worked through.
+SLICES = T.StructType(
+    [
+        T.StructField("s3_key", T.StringType()),
+        T.StructField("slice", T.IntegerType()),
+    ]
+)
+# Pages of a mixed batch that is not full yet: where they are, not what they hold. ``since`` is when they were
+# planned, ``written`` how many pages of the same file are in batches written before this micro-batch.
+WAITING = T.StructType(
+    [
+        T.StructField("shard", T.IntegerType()),
+        T.StructField("pos", T.LongType()),
+        T.StructField("s3_key", T.StringType()),
+        T.StructField("page_no", T.LongType()),
+        T.StructField("custom_id", T.StringType()),
+        T.StructField("size", T.LongType()),
+        T.StructField("since", T.TimestampType()),
+        T.StructField("written", T.LongType()),
+    ]
+)
+PLANNED = T.StructType(
+    [
+        *WAITING.fields,
+        T.StructField("batch_no", T.LongType()),
+        T.StructField("full", T.BooleanType()),
+    ]
+)
+
 FOLD = [
     T.StructField("writer", T.StringType()),
     T.StructField("epoch", T.LongType()),
@@ -81,6 +110,9 @@ TABLES = {
     "dead_letters": schemas.DEAD_LETTER,
     "outcomes": schemas.OUTCOME,
     "checks": CHECKS,
+    "slices": SLICES,
+    "planned": PLANNED,
+    "waiting": WAITING,
     "manifest": MANIFEST,
     "runs": RUNS,
     "responses": inference.RESPONSES,
@@ -127,6 +159,21 @@ class Workspace:
             rows = rows.filter(~(_by(before[0]) & (F.col("epoch") >= before[1])))
         return rows.drop("writer", "epoch", "step")
 
+    def read_steps(self, spark: SparkSession, table: str, only: tuple[str, int], steps: list[str]) -> DataFrame:
+        """Rows that the named steps of a micro-batch wrote; steps that wrote nothing have none."""
+        return self._by_step(spark, table, only).filter(F.col("step").isin(steps)).drop("step")
+
+    def steps(self, spark: SparkSession, table: str, only: tuple[str, int]) -> set[str]:
+        """Names of the steps of a micro-batch that have rows."""
+        return {row["step"] for row in self._by_step(spark, table, only).select("step").distinct().collect()}
+
+    def empty(self, spark: SparkSession, table: str) -> DataFrame:
+        return spark.createDataFrame([], TABLES[table])
+
+    def _by_step(self, spark: SparkSession, table: str, only: tuple[str, int]) -> DataFrame:
+        folder = f"{self.path(table)}/writer={only[0]}/epoch={only[1]}"
+        return self._folder(spark, folder, T.StructType([*TABLES[table].fields, WRITTEN_BY[2]]))
+
     def next_epoch(self, spark: SparkSession, writer: str) -> int:
         """Number after the last micro-batch that was completed: outcomes are written last.
 

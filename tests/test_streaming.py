@@ -1,6 +1,7 @@
+import dataclasses
 import json
 import os
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import numpy as np
 import pandas as pd
@@ -16,6 +17,7 @@ from pagemill.operators import requests as R
 from pagemill.plans import bulk, streams, tables
 from pagemill.sources import messages as message_source
 from pagemill.sources import pages as page_source
+from pagemill.sources import requests as request_source
 from pagemill.streaming import carry, stages
 from pagemill.streaming.workspace import Workspace
 
@@ -268,6 +270,94 @@ def test_mixed_batches_hold_pages_of_several_files(spark, tmp_path):
     assert sizes == [2, 4, 4, 4, 4]
 
 
+MIXED_FILES = {"parquets/a.parquet": 3, "parquets/b.parquet": 23, "parquets/c.parquet": 1, "parquets/d.parquet": 4}
+
+
+def mixed_source(spark, ws):
+    pages = [(k, i + 1, p) for k, n in MIXED_FILES.items() for i, p in enumerate(pages_of(k, n))]
+    rows = spark.createDataFrame(pages, "s3_key string, page_no long, page_bytes binary")
+    page_source.write_page_table(rows, ws.path("pages"))
+    return stages.PageTable(ws.path("pages"))
+
+
+def batches_of(spark, ws):
+    """Ids of every batch in order, by the plan and as stored."""
+    planned: dict = {}
+    for r in ws.read(spark, "manifest").orderBy("pos").collect():
+        planned.setdefault(r["batch_key"], []).append(r["custom_id"])
+    stored: dict = {}
+    if not planned:
+        return []
+    for r in request_source.read_batches(spark, ws.path("batches")).orderBy("line_no").collect():
+        stored.setdefault(r["batch_key"], []).append(r["custom_id"])
+    assert stored == planned
+    return sorted(planned.values())
+
+
+def in_fours(files):
+    ids = [f"{k}_{i + 1}" for k, n in sorted(files.items()) for i in range(n)]
+    return sorted(ids[i : i + 4] for i in range(0, len(ids), 4))
+
+
+def key_rows(spark, keys):
+    return message_rows(spark, [(f"m-{k}", k, None) for k in keys])
+
+
+@pytest.mark.parametrize("slice_keys", [1, 10_000])
+def test_slices_do_not_show_in_mixed_batches(spark, tmp_path, slice_keys):
+    ws = Workspace(str(tmp_path / "ws"))
+    limits = stages.Limits(max_pages=4, mixed=True, slice_keys=slice_keys, clock=lambda: FIXED)
+    stages.page_stage(ws, mixed_source(spark, ws), limits)(key_rows(spark, [*MIXED_FILES, "parquets/none.parquet"]), 0)
+    assert batches_of(spark, ws) == in_fours(MIXED_FILES)
+    now = statuses(spark, ws, C.STAGE_PAGES)
+    assert {k: r["total_pages"] for k, r in now.items() if r["status"] == "done"} == MIXED_FILES
+
+
+def test_open_batches_wait_for_the_next_micro_batch(spark, tmp_path):
+    ws = Workspace(str(tmp_path / "ws"))
+    source = mixed_source(spark, ws)
+    limits = stages.Limits(max_pages=4, mixed=True, carry=True, clock=lambda: FIXED)
+    process = stages.page_stage(ws, source, limits)
+    first, later = list(MIXED_FILES)[:2], list(MIXED_FILES)[2:]
+    process(key_rows(spark, first), 0)
+    # 26 pages: six batches, and two pages of the second file wait.
+    full = [ids for ids in in_fours({k: MIXED_FILES[k] for k in first}) if len(ids) == 4]
+    assert len(full) == 6 and batches_of(spark, ws) == full
+    now = statuses(spark, ws, C.STAGE_PAGES)
+    assert [now[k]["status"] for k in first] == ["done", "processing"]
+
+    # The second file is asked for again while it waits; the micro-batch runs twice.
+    for _ in range(2):
+        process(key_rows(spark, [first[1], *later]), 1)
+        now = statuses(spark, ws, C.STAGE_PAGES)
+        assert (now[first[1]]["status"], now[first[1]]["total_pages"]) == ("done", 23)
+        assert [now[k]["status"] for k in later] == ["done", "processing"]
+    for _ in range(2):
+        stages.flush_waiting(spark, ws, source, limits)
+        assert batches_of(spark, ws) == in_fours(MIXED_FILES)
+        now = statuses(spark, ws, C.STAGE_PAGES)
+        assert {k: (r["status"], r["total_pages"], r["pages_processed"]) for k, r in now.items()} == {
+            k: ("done", n, n) for k, n in MIXED_FILES.items()
+        }
+    announced = sorted(r["s3_key"] for r in ws.read(spark, "announcements").collect())
+    assert announced == sorted({r["batch_key"] for r in ws.read(spark, "manifest").collect()})
+    assert len(statuses(spark, ws, C.STAGE_OCR)) == len(announced) == 8
+    assert stages.waiting_pages(spark, ws, 1).isEmpty()
+
+
+def test_batches_that_wait_too_long_are_written(spark, tmp_path):
+    ws = Workspace(str(tmp_path / "ws"))
+    hour = timedelta(hours=1)
+    limits = stages.Limits(max_pages=4, mixed=True, carry=True, flush_after=hour, clock=lambda: FIXED)
+    source = mixed_source(spark, ws)
+    stages.page_stage(ws, source, limits)(key_rows(spark, ["parquets/a.parquet"]), 0)
+    assert batches_of(spark, ws) == []
+    late = dataclasses.replace(limits, clock=lambda: FIXED + hour)
+    stages.page_stage(ws, source, late)(key_rows(spark, ["parquets/none.parquet"]), 1)
+    assert [len(b) for b in batches_of(spark, ws)] == [3]
+    assert statuses(spark, ws, C.STAGE_PAGES)["parquets/a.parquet"]["status"] == "done"
+
+
 def test_carried_batches_cross_micro_batches(spark, tmp_path):
     rng = np.random.default_rng(3)
     sizes = {"hot": rng.integers(1, 60, 90), "cold": rng.integers(1, 60, 7)}
