@@ -47,8 +47,8 @@ LEAST_RATIO = 8.0
 
 # Levels at which windows and their parts are measured.
 WHOLE, PARTS = 6, 13
-# Windows whose gains a worker keeps: copies and common passages are not measured again.
-KNOWN = 100_000
+# Gains that a worker keeps for each level: copies and common passages are not measured again.
+KNOWN = 400_000
 WINDOW_GAINS = range(1, 10)
 PART_GAINS = range(1, 7)
 
@@ -66,6 +66,12 @@ def windows(text: str | None, size: int = WINDOW) -> list[bytes]:
     return out
 
 
+def parts_of(window: bytes) -> list[bytes]:
+    """A window in parts of ``PART`` words, each with a blank before every word."""
+    words = window.split(b" ")[1:] if window.startswith(b" ") else window.split(b" ")
+    return [b" " + b" ".join(words[i : i + PART]) for i in range(0, len(words), PART)]
+
+
 def _grams(word: str) -> list[str]:
     word = " " + word
     return [word[i : i + GRAM] for i in range(max(1, len(word) - GRAM + 1))]
@@ -116,7 +122,7 @@ class Compressors:
             level: (self._compressor(ordinary, level), self._compressor(ordinary + toxic, level))
             for level in (WHOLE, PARTS)
         }
-        self._known: dict[bytes, tuple[int, list[int]]] = {}
+        self._known: dict[int, dict[bytes, int]] = {WHOLE: {}, PARTS: {}}
 
     @staticmethod
     def _compressor(content: bytes, level: int) -> zstandard.ZstdCompressor:
@@ -138,15 +144,15 @@ class Compressors:
         ordinary, toxic = self.pairs[level]
         return len(ordinary.compress(window)) - len(toxic.compress(window))
 
-    def gains(self, window: bytes) -> tuple[int, list[int]]:
-        """Bytes that the toxic dictionary saves on the window, and on each of its parts."""
-        known = self._known.get(window)
-        if known is None:
-            if len(self._known) >= KNOWN:
-                self._known.clear()
-            parts = windows(window.decode("utf-8", "replace"), PART)
-            known = self._known[window] = self.gain(window, WHOLE), [self.gain(part, PARTS) for part in parts]
-        return known
+    def known_gain(self, piece: bytes, level: int) -> int:
+        """:meth:`gain`, measured once for what comes again."""
+        known = self._known[level]
+        gain = known.get(piece)
+        if gain is None:
+            if len(known) >= KNOWN:
+                known.clear()
+            gain = known[piece] = self.gain(piece, level)
+        return gain
 
     def figures(self, text: str | None) -> np.ndarray:
         """Logarithms of the numbers of windows and parts that gain so much, and of all windows."""
@@ -154,14 +160,25 @@ class Compressors:
         parts = np.zeros(len(PART_GAINS) + 1)
         all_windows = windows(text)
         for window in all_windows:
-            gain, part_gains = self.gains(window)
-            whole[max(0, min(gain, len(WINDOW_GAINS)))] += 1
-            for gain in part_gains:
-                parts[max(0, min(gain, len(PART_GAINS)))] += 1
+            whole[max(0, min(self.known_gain(window, WHOLE), len(WINDOW_GAINS)))] += 1
+            for part in parts_of(window):
+                parts[max(0, min(self.known_gain(part, PARTS), len(PART_GAINS)))] += 1
         at_least = np.concatenate([np.cumsum(x[::-1])[::-1][1:] for x in (whole, parts)])
         return np.log1p(np.append(at_least, len(all_windows)))
 
 
+_compressors: dict[tuple[bytes, bytes], Compressors] = {}
+
+
+def shared_compressors(model: Model) -> Compressors:
+    """Those of the model that the worker uses; one at a time, for all its tasks."""
+    key = model.ordinary, model.toxic
+    if key not in _compressors:
+        _compressors.clear()
+        _compressors[key] = Compressors(*key)
+    return _compressors[key]
+
+
 @dataclass
 class Model:
     ordinary: bytes
@@ -226,7 +243,7 @@ def with_score(docs: DataFrame, model: Model, column: str = "score") -> DataFram
             for texts in parts:
                 yield pd.Series(np.full(len(texts), float(one.probability(np.zeros((1, _FIGURES)))[0])))
             return
-        compressors = Compressors(one.ordinary, one.toxic)
+        compressors = shared_compressors(one)
         for texts in parts:
             yield pd.Series(one.scores(list(texts), compressors))
 

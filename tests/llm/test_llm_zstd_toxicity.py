@@ -34,6 +34,13 @@ def test_windows_hold_the_whole_text():
     assert Z.windows(None) == Z.windows("") == []
 
 
+def test_parts_hold_the_whole_window():
+    text = "one two three four\u00a0five six seven eight nine ten é " * 9 + "y" * 1200
+    for window in Z.windows(text):
+        assert b"".join(Z.parts_of(window)) in (window, b" " + window)
+        assert all(part.count(b" ") <= Z.PART for part in Z.parts_of(window))
+
+
 def test_gain_of_known_stretches():
     rng = np.random.default_rng(0)
     syllables = ["ka", "lo", "mi", "ter", "un", "sa"]
@@ -63,7 +70,7 @@ def test_figures_by_definition():
         return [length(w, ordinary, level) - length(w, ordinary + toxic, level) for w in Z.windows(text, size)]
 
     counts = [sum(g >= t for g in gains(Z.WINDOW, Z.WHOLE)) for t in Z.WINDOW_GAINS]
-    parts = [length(p, ordinary, Z.PARTS) - length(p, ordinary + toxic, Z.PARTS) for w in Z.windows(text) for p in Z.windows(w.decode(), Z.PART)]
+    parts = [length(p, ordinary, Z.PARTS) - length(p, ordinary + toxic, Z.PARTS) for w in Z.windows(text) for p in Z.parts_of(w)]
     counts += [sum(g >= t for g in parts) for t in Z.PART_GAINS]
     assert np.expm1(compressors.figures(text)).round().astype(int).tolist() == [*counts, len(Z.windows(text))]
     assert max(counts) > 0
