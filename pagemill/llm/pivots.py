@@ -12,8 +12,8 @@ indexed. Queries come in groups of bounded size, each against all blocks. Betwee
 
 Vectors that are null or zero, that hold null or non-finite components, that have no id, or whose length is not
 the table's most frequent one (the smaller of equally frequent ones) take no part. Equal distances go to the
-smaller id. A row is never its own neighbour, nor are rows that repeat its id. A query id that repeats is asked
-once. An empty table gives an empty result. Columns other than id and vector take no part.
+smaller id. A row is never its own neighbour; other rows with its id are candidates like any. A query id that repeats
+is asked once, with the smallest of its vectors. An empty table gives an empty result. Columns other than id and vector take no part.
 """
 
 from __future__ import annotations
@@ -141,6 +141,7 @@ def nearest(
     asked = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
     groups = -(-asked.count() // group)
     asked = asked.withColumn("g", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, groups))))
+    # The row that asks is found like the others and taken out at the end: so one more is looked for.
     found = None
     for g in range(max(1, groups)):
         rows = asked.where(F.col("g") == g).orderBy("vec_id").collect()  # about ``group`` of them
@@ -148,10 +149,14 @@ def nearest(
             continue
         ids = np.asarray([r["vec_id"] for r in rows], dtype=np.int64)
         x = np.asarray([r["v"] for r in rows], dtype=np.float64)
-        part = index.mapInPandas(_search(spark.sparkContext.broadcast((ids, x, pivots)), k, prefix, share, least), FOUND)
+        part = index.mapInPandas(_search(spark.sparkContext.broadcast((ids, x, pivots)), k + 1, prefix, share, least), FOUND)
         found = part if found is None else found.unionByName(part)
     if found is None:
         return spark.createDataFrame([], RESULT)
+    # At most ``k + 1`` rows per query and task. Rows of the query's id at no distance are all alike: any one is its own.
+    alike = Window.partitionBy("query_id", "vec_id", "score").orderBy("vec_id")
+    own = (F.col("vec_id") == F.col("query_id")) & (F.col("score") == 0) & (F.col("copy") == 1)
+    found = found.withColumn("copy", F.row_number().over(alike)).where(~own)
     by = Window.partitionBy("query_id").orderBy("score", "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
@@ -173,13 +178,14 @@ def _search(shared, k: int, prefix: int, share: float, least: int):
                 )
                 keep = max(least, int(len(ids) * share))
                 for i, query in enumerate(query_ids):
-                    own = ids == query
+                    same = np.flatnonzero(ids == query)
+                    own = same[(x[same] == q[i]).all(axis=1)][:1]
                     far = footrules(near[i], *lists, len(ids))
                     # Ids ascend within a block, so that equal ranks go to the smaller id.
                     order = far * len(ids) + np.arange(len(ids))
-                    order[own] = np.iinfo(np.int64).max
-                    room = len(ids) - int(own.sum())
-                    rows = np.argpartition(order, keep)[:keep] if keep < room else np.flatnonzero(~own)
+                    order[own] = -1
+                    measured = keep + len(own)
+                    rows = np.argpartition(order, measured)[:measured] if measured < len(ids) else np.arange(len(ids))
                     score = np.sqrt(((x[rows] - q[i]) ** 2).sum(axis=1))
                     score, names = np.concatenate((best[i][1], score)), np.concatenate((best[i][0], ids[rows]))
                     top = np.lexsort((names, score))[:k]

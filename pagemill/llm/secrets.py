@@ -2,8 +2,10 @@
 
 Two first-order Markov chains over characters, one of random strings and one of ordinary text, are counted
 from labelled samples. A string is reported if the log of the ratio of its likelihoods under the two is high
-enough. Without samples at hand, :func:`train` labels them itself: what the fixed patterns find is random,
-the rest of every text is ordinary.
+enough. Strings are runs of at least :data:`MIN_STRING` characters of :data:`ALPHABET`. In a string that fixed
+patterns cover in part, only what they leave is judged, and the whole string is reported. Without samples at hand,
+:func:`train` labels them itself: the values that the fixed patterns find are random, the rest of every text is
+ordinary.
 
 Null and empty texts have no spans. Rows are kept as they are, repeated ones too; columns other than
 ``doc_id`` and ``text`` take no part. An empty table gives an empty result, and a model of no samples knows
@@ -37,7 +39,9 @@ SYMBOLS = len(ALPHABET) + 1  # 0 stands before the first character
 _CODES = np.zeros(256, dtype=np.uint16)
 for _i, _c in enumerate(ALPHABET):
     _CODES[ord(_c)] = _i + 1
-_STRING = re.compile(r"[A-Za-z0-9+/_=\-]{20,}")
+# Shorter strings are not judged by the model.
+MIN_STRING = 20
+_STRING = re.compile(r"[A-Za-z0-9+/_=\-]{%d,}" % MIN_STRING)
 
 MODEL_SCHEMA = "random boolean, before int, after int, n long"
 
@@ -102,8 +106,9 @@ def _count_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 continue
             ordinary, random, at = [], [], 0
             for start, end, kind in base_spans(text):
-                value = text[start:end]
-                random.append(re.split(r"[:=\"' ]", value)[-1] if kind == "assign" else value)
+                # The same match again: nothing before its start takes part in it.
+                first = _ASSIGN.match(text, start).start(1) if kind == "assign" else start
+                random.append(text[first:end])
                 ordinary.append(text[at : max(at, start)])
                 at = max(at, end)
             ordinary.append(text[at:])
@@ -143,19 +148,37 @@ def log_ratios(model: DataFrame) -> np.ndarray:
 
 
 def random_spans(text: str, taken: list[tuple[int, int, str]], ratios: np.ndarray, least: float) -> list[tuple[int, int, str]]:
-    """Strings that touch no span of ``taken`` and look random."""
-    found = []
+    """Strings whose characters outside the spans of ``taken``, which are in order of their starts, look random."""
+    found, covers, at = [], merged(taken), 0
     for m in _STRING.finditer(text):
         start, end = m.span()
-        if any(start < e and s < end for s, e, _ in taken):
-            continue
+        while at < len(covers) and covers[at][1] <= start:
+            at += 1
         codes = _CODES[np.frombuffer(m.group().encode(), dtype=np.uint8)].astype(np.int64)
         pairs = np.concatenate(([0], codes[:-1])) * SYMBOLS + codes
-        if ratios[pairs].sum() >= least:
+        score = ratios[pairs]
+        # A span may reach into the next string, so ``at`` stays on the last one that begins here.
+        while at < len(covers) and covers[at][0] < end:
+            score[max(0, covers[at][0] - start) : covers[at][1] - start] = 0
+            if covers[at][1] > end:
+                break
+            at += 1
+        if score.sum() >= least:
             found.append((start, end, "random"))
     return found
 
 
+def merged(spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """Stretches that spans, in order of their starts, cover together."""
+    out: list[tuple[int, int]] = []
+    for start, end, _ in spans:
+        if out and start <= out[-1][1]:
+            out[-1] = out[-1][0], max(end, out[-1][1])
+        else:
+            out.append((start, end))
+    return out
+
+
 def all_spans(text: str | None, ratios: np.ndarray, least: float = MIN_LOG_RATIO) -> list[tuple[int, int, str]]:
     if not text:
         return []

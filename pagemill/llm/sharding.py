@@ -13,6 +13,7 @@ result. Columns other than ``doc_id`` and ``text`` take no part.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,11 +35,23 @@ class Shard:
 Tree = tuple[Shard, ...]
 
 
-def balanced(shards: int, racks: int = 2, per_rack: int = 4) -> Tree:
-    """Equal shards, ``per_rack`` to a rack and ``racks`` to a region."""
-    return tuple(
-        Shard(i, f"region-{i // (racks * per_rack)}", f"rack-{i // per_rack}") for i in range(shards)
+# Shards that share regions and racks; those added later stand in regions of their own.
+FOUNDING = 24
+
+
+def balanced(shards: int, racks: int = 2, per_rack: int = 4, founding: int = FOUNDING) -> Tree:
+    """Equal shards, ``per_rack`` to a rack and ``racks`` to a region; beyond ``founding`` a region each.
+
+    With ``founding`` shards or more, ``balanced(n + 1)`` is ``grown(balanced(n))``: the number of shards alone says
+    where a row belongs, and one more shard takes rows only into itself. A smaller number of shards is a cluster that
+    was founded with so many.
+    """
+    tree = tuple(
+        Shard(i, f"region-{i // (racks * per_rack)}", f"rack-{i // per_rack}") for i in range(min(shards, founding))
     )
+    for _ in range(founding, shards):
+        tree = grown(tree)
+    return tree
 
 
 def grown(tree: Tree, weight: float = 1.0) -> Tree:
@@ -47,19 +60,6 @@ def grown(tree: Tree, weight: float = 1.0) -> Tree:
     return (*tree, Shard(number, f"added-{number}", f"added-{number}", weight))
 
 
-def _race(key: Column, level: str, weights: dict[str, float]) -> Column:
-    """The name of the child with the smallest draw."""
-    draws = []
-    for name, weight in weights.items():
-        if weight <= 0:
-            continue
-        bits = F.shiftrightunsigned(F.xxhash64(key, F.lit(f"{level}:{name}")), 11).cast("double")
-        draws.append(F.struct((-F.log((bits + 0.5) / _UNIT) / F.lit(weight)).alias("draw"), F.lit(name).alias("name")))
-    if not draws:
-        return F.lit(None).cast("string")
-    return draws[0]["name"] if len(draws) == 1 else F.least(*draws)["name"]
-
-
 def _grouped(tree: Tree, attribute: str) -> dict[str, Tree]:
     groups: dict[str, list[Shard]] = {}
     for shard in tree:
@@ -67,29 +67,46 @@ def _grouped(tree: Tree, attribute: str) -> dict[str, Tree]:
     return {name: tuple(members) for name, members in groups.items()}
 
 
-def _weights(groups: dict[str, Tree]) -> dict[str, float]:
-    return {name: sum(s.weight for s in members) for name, members in groups.items()}
+def _child(label: str, to: int, members: Tree) -> dict:
+    return {"label": label, "to": to, "weight": sum(s.weight for s in members)}
+
+
+def levels(tree: Tree) -> tuple[list[list[dict]], list[list[dict]], list[list[dict]]]:
+    """The children of the root, of every region and of every rack, which a child names by its place (a shard by its number).
+
+    Children without weight are left out: they get nothing.
+    """
+    regions, racks, leaves = [], [], []
+    for region, members in _grouped(tree, "region").items():
+        inside = []
+        for rack, shards in _grouped(members, "rack").items():
+            inside.append(_child(f"rack:{region}:{rack}", len(leaves), shards))
+            leaves.append([_child(f"shard:{region}:{rack}:{s.number}", s.number, (s,)) for s in shards])
+        regions.append(_child(f"region:{region}", len(racks), members))
+        racks.append(inside)
+    return tuple([[c for c in children if c["weight"] > 0] for children in nodes] for nodes in ([regions], racks, leaves))
+
+
+def _descend(key: Column, nodes: list[list[dict]], at: Column) -> Column:
+    """The place of the child with the smallest draw, of the children of node ``at``; null if there are none."""
+    # One constant for all nodes of a level: the expression does not grow with the tree.
+    known = F.from_json(F.lit(json.dumps(nodes)), "array<array<struct<label:string,to:int,weight:double>>>")
+
+    def draw(child: Column) -> Column:
+        bits = F.shiftrightunsigned(F.xxhash64(key, child["label"]), 11).cast("double")
+        return F.struct((-F.log((bits + 0.5) / _UNIT) / child["weight"]).alias("draw"), child["to"].alias("to"))
+
+    return F.array_min(F.transform(F.get(known, at), draw))["to"]
 
 
 def with_shard(df: DataFrame, key: str, tree: Tree, to: str) -> DataFrame:
     """``df`` with the number of the shard that ``key`` descends to."""
     if len({s.number for s in tree}) < len(tree):
         raise ValueError("shard numbers must differ")
-    region, rack, shard = f"_{to}_region", f"_{to}_rack", f"_{to}_shard"
-    regions = _grouped(tree, "region")
-    df = df.withColumn(region, _race(F.col(key), "region", _weights(regions)))
-    racks, leaves = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for name, members in regions.items():
-        inside = _grouped(members, "rack")
-        racks = F.when(F.col(region) == name, _race(F.col(key), f"rack:{name}", _weights(inside))).otherwise(racks)
-    df = df.withColumn(rack, racks)
-    for name, members in regions.items():
-        for rack_name, shards in _grouped(members, "rack").items():
-            here = (F.col(region) == name) & (F.col(rack) == rack_name)
-            draw = _race(F.col(key), f"shard:{name}:{rack_name}", {str(s.number): s.weight for s in shards})
-            leaves = F.when(here, draw).otherwise(leaves)
-    df = df.withColumn(shard, leaves)
-    return df.withColumn(to, F.col(shard).cast("int")).drop(region, rack, shard)
+    place = F.lit(0)
+    for nodes in levels(tree):
+        place = _descend(F.col(key), nodes, place)
+    return df.withColumn(to, place)
 
 
 def assign(docs: DataFrame, tree: Tree, buckets: int = SLOT_BUCKETS) -> DataFrame:

@@ -62,8 +62,9 @@ def test_odd_rows(spark):
         (0, same, 1), (9, [5.0, 2.0], 1),
     ]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank int")
-    found = P.search(vectors, F.col("vec_id") % 100 == 0, k=3).orderBy("rank").collect()
-    assert [tuple(r) for r in found] == [(0, 1, 1, 0.0), (0, 2, 2, 0.0), (0, 3, 9, 4.0)]
+    found = P.search(vectors, F.col("vec_id") % 100 == 0, k=4).orderBy("rank").collect()
+    # The other row of the same id is a candidate; the one that asks is not.
+    assert [tuple(r) for r in found] == [(0, 1, 0, 0.0), (0, 2, 1, 0.0), (0, 3, 2, 0.0), (0, 4, 9, 4.0)]
     assert P.search(vectors.where(F.lit(False)), F.col("vec_id") % 100 == 0).count() == 0
     assert P.search(vectors, F.col("vec_id") == 77).count() == 0
 
@@ -74,3 +75,34 @@ def test_copies_beyond_what_is_measured_go_by_id(spark):
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(2)
     found = P.search(vectors, F.col("vec_id") == 500, k=5).orderBy("rank").collect()
     assert [r["vec_id"] for r in found] == [0, 1, 2, 3, 4]
+
+
+def test_only_the_row_that_asks_is_left_out(spark):
+    rows = [(100, [1.0, 1.0]), (100, [1.0, 2.0]), (7, [1.0, 1.0]), (8, [4.0, 1.0]), (200, [9.0, 9.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = P.search(vectors, F.col("vec_id") % 100 == 0, k=2).orderBy("query_id", "rank").collect()
+    assert [tuple(r) for r in found] == [
+        (100, 1, 7, 0.0), (100, 2, 100, 1.0),
+        (200, 1, 8, math.sqrt(89)), (200, 2, 100, math.sqrt(113)),
+    ]
+
+
+def test_an_id_with_very_many_rows(spark):
+    rows = [(100, [1.0, 1.0, 0.0]) for _ in range(700)] + [(3, [1.0, 1.0, 0.0])] + [(i, [float(i), 1.0, 2.0]) for i in range(200, 300)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(2)
+    found = P.search(vectors, F.col("vec_id") == 100, k=5).orderBy("rank").collect()
+    assert [(r["vec_id"], r["score"]) for r in found] == [(3, 0.0)] + [(100, 0.0)] * 4
+
+
+def test_recall_of_the_bare_share(spark):
+    """Without a least number of measured vectors, on the largest table."""
+    rows = P.usable(table(spark, "/root/testdata/sf0.1", "embeddings"))
+    pivots = P.draw_pivots(rows)
+    asked = F.col("vec_id") % 100 == 0
+    found = P.nearest(P.build(rows, pivots), rows.where(asked), pivots, least=0).collect()
+    local = sorted((r["vec_id"], r["v"]) for r in rows.collect())
+    ids, x = np.array([i for i, _ in local]), np.array([v for _, v in local])
+    queries = [int(i) for i in ids if i % 100 == 0]
+    near = {q: {v for _, v in exact(ids, x, q, 10)} for q in queries}
+    hits = sum(r["vec_id"] in near[r["query_id"]] for r in found)
+    assert len(found) == 10 * len(queries) and hits >= 0.9 * len(found)
