@@ -92,7 +92,8 @@ def run_provider(lines: DataFrame, provider: Provider, require_pdf: bool = True)
     """One row per batch: the pages sent, the pages put aside, the response or the error, the time taken.
 
     Pages travel as they are stored, compressed or not, and enter Python once: they are
-    decompressed and tested there, just before the call. The ids come back beside the
+    decompressed and tested there, just before the call. Lines have pages as they are (``page``) or
+    as a data URL (``url``). The ids come back beside the
     response, so matching response pages to page ids needs no second shuffle.
     """
 
@@ -125,10 +126,9 @@ def run_provider(lines: DataFrame, provider: Provider, require_pdf: bool = True)
             }
         )
 
-    encoded = lines.select(
-        "batch_key", "line_no", "custom_id", encoding.decode_page(F.col("url")).alias("page"), "malformed"
-    )
-    return encoded.groupBy("batch_key").applyInPandas(call, RESPONSES)
+    page = F.col("page") if "page" in lines.columns else encoding.decode_page(F.col("url")).alias("page")
+    raw = lines.select("batch_key", "line_no", "custom_id", page, "malformed")
+    return raw.groupBy("batch_key").applyInPandas(call, RESPONSES)
 
 
 def quarantined(responses: DataFrame) -> DataFrame:

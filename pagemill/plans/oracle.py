@@ -237,6 +237,10 @@ ORACLE = {
         SELECT s.batch_key, row_number() OVER (PARTITION BY s.batch_key ORDER BY g.pos) AS line_no,
                g.custom_id, d.text, false AS malformed
         FROM greedy g JOIN summary s USING (shard, batch_no) JOIN documents d ON d.doc_id = g.doc_id""",
+    "container_round_trip": f"""{NAMED}
+        SELECT s.batch_key, row_number() OVER (PARTITION BY s.batch_key ORDER BY g.pos) AS line_no,
+               g.custom_id, d.text, false AS malformed
+        FROM greedy g JOIN summary s USING (shard, batch_no) JOIN documents d ON d.doc_id = g.doc_id""",
     "page_table_round_trip": f"WITH {PAGES} SELECT s3_key, page_no, text FROM page_rows",
     "page_file_scan": "SELECT row_number() OVER (ORDER BY doc_id) AS page_no, text FROM documents",
     "message_keys": f"""WITH {KEYED}

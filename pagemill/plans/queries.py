@@ -18,6 +18,7 @@ from pagemill.operators import requests as R
 from pagemill.operators import text as TX
 from pagemill.plans import tables as D
 from pagemill.session import working_folder
+from pagemill.sources import containers
 from pagemill.sources import pages as page_source
 from pagemill.sources import requests as request_source
 from pagemill.sources import responses as response_source
@@ -106,6 +107,15 @@ def batch_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def container_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all batches into containers, many to an object, and read them back."""
+    folder = working_folder(spark, "containers")
+    containers.write(R.batched_pages(D.document_pages(spark, sf_dir), D.stored_runs(spark, sf_dir)), folder)
+    lines = containers.as_lines(containers.read_all(spark, folder))
+    text = F.decode("page", "UTF-8").alias("text")
+    return lines.select("batch_key", F.col("line_no").cast("long").alias("line_no"), "custom_id", text, "malformed")
+
+
 def page_table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all pages as a page table by file, scan it back, one row per page."""
     root = working_folder(spark, "pages")
@@ -439,6 +449,7 @@ QUERIES = {
         page_batches_by_count,
         batch_announcements,
         batch_round_trip,
+        container_round_trip,
         page_table_round_trip,
         page_file_scan,
         message_keys,

@@ -90,8 +90,8 @@ def file_keys(spark: SparkSession, root: str, pattern: str | None = None) -> Dat
     return files.select(key_under(root, F.col("_metadata.file_path")).alias("s3_key"))
 
 
-def existing(spark: SparkSession, root: str, names: list[str], folders: bool = False) -> list[str]:
-    """Those of a bounded list of names that are files, or folders with files, below ``root``.
+def existing(spark: SparkSession, root: str, names: list[str]) -> list[str]:
+    """Those of a bounded list of names that are files below ``root``.
 
     A name that is a folder is no file, whatever lies below it.
     """
@@ -102,8 +102,6 @@ def existing(spark: SparkSession, root: str, names: list[str], folders: bool = F
     found = file_keys(spark, root, pattern)
     if found is None:
         return []
-    if folders:
-        found = found.select(F.regexp_replace("s3_key", "/[^/]*$", "").alias("s3_key"))
     # No more rows come back than there are names.
     keys = {row["s3_key"] for row in found.filter(F.col("s3_key").isin(names)).distinct().collect()}
     return [name for name in names if name in keys]

@@ -10,8 +10,6 @@ from pagemill import schemas
 from pagemill.operators.requests import encoded
 
 CORRUPT = "_corrupt_record"
-# Characters that names of partition folders do not hold as they are.
-ESCAPED = "\"#%'*/:=?\\\x7f{[]^"
 
 
 def write_batches(batched: DataFrame, root: str) -> None:
@@ -64,8 +62,3 @@ def read_batches(spark: SparkSession, root: str, paths: list[str] | None = None)
         url.alias("url"),
         (F.col(f"_request.{CORRUPT}").isNotNull() | url.isNull()).alias("malformed"),
     )
-
-
-def batch_folder(key: str) -> str:
-    """Name of the folder that holds one batch object, escaped as Spark's writers do."""
-    return "batch_key=" + "".join(f"%{ord(c):02X}" if c in ESCAPED or ord(c) < 32 else c for c in key)

@@ -23,9 +23,8 @@ from pagemill.functions import bodies
 from pagemill.functions import keys as K
 from pagemill.operators import inference, routing, state
 from pagemill.operators import requests as R
-from pagemill.sources import listing, messages
+from pagemill.sources import containers, listing, messages
 from pagemill.sources import pages as page_source
-from pagemill.sources import requests as request_source
 from pagemill.sources import responses as response_source
 from pagemill.streaming.workspace import CHECKS, Workspace
 
@@ -249,7 +248,9 @@ def write_planned(
     planned = ws.read(spark, "manifest", only=(C.STAGE_PAGES, epoch), step=step)
     ws.append(R.page_runs(planned), "runs", C.STAGE_PAGES, epoch, step)
     runs = ws.read(spark, "runs", only=(C.STAGE_PAGES, epoch), step=step)
-    request_source.write_batches(R.batched_pages(source.pages(spark, names), runs), ws.path("batches"))
+    folder = ws.part("batches", C.STAGE_PAGES, epoch, step)
+    containers.write(R.batched_pages(source.pages(spark, names), runs), folder)
+    ws.append(containers.index(spark, ws.path("batches"), folder), "containers", C.STAGE_PAGES, epoch, step)
 
 
 def close_waiting(
@@ -359,7 +360,7 @@ def page_handler(ws: Workspace, source: PageFiles | PageTable, limits: Limits) -
         if not late.isEmpty():
             close_waiting(spark, ws, source, late, epoch, steps[-1])
         # Bounds of slices may differ from those of a run that broke off: nothing of it may stay.
-        for table in ("manifest", "runs", "checks"):
+        for table in ("manifest", "runs", "containers", "checks"):
             for step in ws.steps(spark, table, me) - {*steps, FLUSHED}:
                 ws.append(ws.empty(spark, table), table, *me, step)
         written = ws.read_steps(spark, "manifest", me, steps)
@@ -414,20 +415,20 @@ def ocr_handler(ws: Workspace, provider: inference.Provider, limits: Limits) ->
     """
     root = ws.path("batches")
 
-    def one_slice(spark: SparkSession, asked: list[str], epoch: int, step: str) -> None:
-        folders = [request_source.batch_folder(name) for name in asked]
-        folders = listing.existing(spark, root, folders, folders=True)
-        called = spark.createDataFrame([], inference.RESPONSES)
-        if folders:
-            lines = request_source.read_batches(spark, root, listing.paths_of(root, folders))
-            called = inference.run_provider(lines.filter(F.col("batch_key").isin(asked)), provider)
+    def one_slice(spark: SparkSession, asked: list[str], located: DataFrame, epoch: int, step: str) -> None:
+        pages = containers.read(spark, root, located.filter(F.col("batch_key").isin(asked)))
+        called = inference.run_provider(containers.as_lines(pages), provider)
         ws.append(called, "responses", C.STAGE_OCR, epoch, step)
 
     def handle(spark: SparkSession, todo: DataFrame, epoch: int) -> StageResult:
         me = (C.STAGE_OCR, epoch)
+        # The index is read once for all slices.
+        wanted = todo.select(F.col("s3_key").alias("batch_key"))
+        ws.append(ws.read(spark, "containers").join(wanted, "batch_key", "left_semi"), "located", *me)
+        located = ws.read(spark, "located", only=me)
         n = listing.slices(todo, limits.slice_keys)
         for i in range(n):
-            one_slice(spark, listing.names_of(todo, i, n), epoch, f"slice-{i}")
+            one_slice(spark, listing.names_of(todo, i, n), located, epoch, f"slice-{i}")
         responses = ws.read(spark, "responses", only=me)
         ws.append(inference.quarantined(responses), "quarantine", *me)
         answered, errors = inference.split_errors(responses)

@@ -49,6 +49,13 @@ CHECKS = T.StructType(
         T.StructField("error", T.StringType()),
     ]
 )
+CONTAINERS = T.StructType(
+    [
+        T.StructField("batch_key", T.StringType()),
+        T.StructField("object", T.StringType()),
+        T.StructField("pages", T.LongType()),
+    ]
+)
 RESPONSE_PAGES = T.StructType(
     [
         T.StructField("batch_key", T.StringType()),
@@ -115,6 +122,8 @@ TABLES = {
     "waiting": WAITING,
     "manifest": MANIFEST,
     "runs": RUNS,
+    "containers": CONTAINERS,
+    "located": CONTAINERS,
     "responses": inference.RESPONSES,
     "response_pages": RESPONSE_PAGES,
     "quarantine": QUARANTINE,
@@ -130,9 +139,13 @@ class Workspace:
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    def part(self, name: str, writer: str, epoch: int, step: str) -> str:
+        """Folder of what one step of a micro-batch writes."""
+        return f"{self.path(name)}/writer={writer}/epoch={epoch}/step={step}"
+
     def append(self, df: DataFrame, table: str, writer: str, epoch: int, step: str = "end") -> None:
         """Write a micro-batch's rows; the same micro-batch again replaces them."""
-        folder = f"{self.path(table)}/writer={writer}/epoch={epoch}/step={step}"
+        folder = self.part(table, writer, epoch, step)
         df.select(*TABLES[table].names).write.mode("overwrite").parquet(folder)
 
     def read(

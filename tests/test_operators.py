@@ -1,4 +1,6 @@
+import hashlib
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -10,6 +12,7 @@ from pagemill.operators import inference, metrics, ordinals, routing, state
 from pagemill.operators import requests as R
 from pagemill.operators import text as TX
 from pagemill.session import working_folder
+from pagemill.sources import containers
 from pagemill.sources import pages as page_source
 from pagemill.sources import requests as request_source
 from pagemill.sources import responses as response_source
@@ -170,6 +173,63 @@ def test_writing_batches_again_changes_nothing(stored):
     assert sorted(map(tuple, request_source.read_batches(spark, root).collect())) == before
 
 
+def test_containers_hold_what_single_objects_hold(stored, tmp_path):
+    spark, root, named = stored
+    pages = spark.createDataFrame(PAGES, "s3_key string, page_no long, page_bytes binary").repartition(5)
+    for part in ("a", "b"):  # the second one holds every batch again
+        containers.write(R.batched_pages(pages, R.page_runs(named)), f"{tmp_path}/part={part}")
+    parts = [containers.index(spark, str(tmp_path), f"{tmp_path}/part={part}") for part in ("a", "b")]
+    located = parts[0].unionByName(parts[1])
+    assert located.count() == 8 and located.agg(F.sum("pages")).first()[0] == 2 * len(PAGES)
+    rows = containers.read(spark, str(tmp_path), located)
+    lines = containers.as_lines(rows)
+    expected = inference.run_provider(request_source.read_batches(spark, root), inference.text_provider).drop("seconds")
+    found = inference.run_provider(lines, inference.text_provider).drop("seconds")
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
+    # As JSON lines they are the same objects.
+    target = working_folder(spark, "exported")
+    request_source.write_batches(rows, target)
+    assert sorted(map(tuple, request_source.read_batches(spark, target).collect())) == sorted(
+        map(tuple, request_source.read_batches(spark, root).collect())
+    )
+    # One batch, and an index that names an object which is gone.
+    key = located.orderBy("batch_key").first()["batch_key"]
+    gone = spark.createDataFrame([(key, "part=z/gone.parquet", 1)], located.schema)
+    some = containers.read(spark, str(tmp_path), located.filter(F.col("batch_key") == key).unionByName(gone))
+    assert {r["batch_key"] for r in some.collect()} == {key}
+    assert [r["pos"] for r in some.orderBy("pos").collect()] == list(range(1, some.count() + 1))
+    assert containers.read(spark, str(tmp_path), gone).count() == 0
+
+
+def test_one_job_writes_very_many_batches(spark, tmp_path):
+    n = 100_000
+    pages = spark.range(2 * n).select(
+        F.concat(F.lit("jsonl/"), F.sha2((F.col("id") % n).cast("string"), 256)).alias("batch_key"),
+        (F.col("id") + 7).alias("pos"),
+        F.concat(F.lit("f_"), "id").alias("custom_id"),
+        F.encode(F.col("id").cast("string"), "UTF-8").alias("page_bytes"),
+    )
+    containers.write(pages, f"{tmp_path}/part=a")
+    objects = [name for name in os.listdir(f"{tmp_path}/part=a") if name.endswith(".parquet")]
+    assert len(objects) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    located = containers.index(spark, str(tmp_path), f"{tmp_path}/part=a")
+    assert located.count() == n and located.filter("pages <> 2").isEmpty()
+    keys = ["jsonl/" + hashlib.sha256(str(i).encode()).hexdigest() for i in (0, 5, 99_999)]
+    rows = containers.read(spark, str(tmp_path), located.filter(F.col("batch_key").isin(keys)))
+    assert {r["batch_key"] for r in rows.collect()} == set(keys)
+    found = sorted((r["pos"], bytes(r["page_bytes"])) for r in rows.collect())
+    assert found == [(1, b"0"), (1, b"5"), (1, b"99999"), (2, b"100000"), (2, b"100005"), (2, b"199999")]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "batch_key" in plan.split("PushedFilters")[1][:200]
+
+
+def test_containers_of_no_batches(spark, tmp_path):
+    none = spark.createDataFrame([], containers.PAGES)
+    containers.write(none, f"{tmp_path}/part=a")
+    located = containers.index(spark, str(tmp_path), f"{tmp_path}/part=a")
+    assert located.isEmpty() and containers.read(spark, str(tmp_path), located).isEmpty()
+
+
 def test_provider_sees_valid_pages_in_order(stored):
     spark, root, _ = stored
     lines = request_source.read_batches(spark, root)

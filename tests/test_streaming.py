@@ -15,9 +15,9 @@ from pagemill import schemas
 from pagemill.operators import inference, routing, state
 from pagemill.operators import requests as R
 from pagemill.plans import bulk, streams, tables
+from pagemill.sources import containers
 from pagemill.sources import messages as message_source
 from pagemill.sources import pages as page_source
-from pagemill.sources import requests as request_source
 from pagemill.streaming import carry, stages
 from pagemill.streaming.workspace import Workspace
 
@@ -288,7 +288,8 @@ def batches_of(spark, ws):
     stored: dict = {}
     if not planned:
         return []
-    for r in request_source.read_batches(spark, ws.path("batches")).orderBy("line_no").collect():
+    located = ws.read(spark, "containers")
+    for r in containers.read(spark, ws.path("batches"), located).orderBy("pos").collect():
         stored.setdefault(r["batch_key"], []).append(r["custom_id"])
     assert stored == planned
     return sorted(planned.values())
