@@ -45,6 +45,10 @@ BUCKETS = 1 << 20
 LEADERS = 512
 # Classes of words whose numbers are compared before an alignment: an edit changes those of two classes by one at most.
 WORD_CLASSES = 128
+# Edits up to which an alignment goes from edit to edit; beyond them it goes column by column.
+FEW = 24
+# Columns by which the band moves at a time.
+_COLUMNS = 256
 # Elements of the matrix of hashes that is held at a time.
 _MATRIX = 1 << 19
 
@@ -162,6 +166,65 @@ def distance(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
     return None
 
 
+def _places(rows: np.ndarray, wanted: set[int]) -> dict[int, int]:
+    """For each wanted element, a number whose bits say where in ``rows`` it is."""
+    if len(rows) <= 4_096:
+        found: dict[int, int] = {}
+        for i, value in enumerate(rows.tolist()):
+            if value in wanted:
+                found[value] = found.get(value, 0) | 1 << i
+        return found
+    order = np.argsort(rows, kind="stable")
+    values, first = np.unique(rows[order], return_index=True)
+    ends = np.append(first, len(rows))
+    found = {}
+    for n, value in enumerate(values.tolist()):
+        if value in wanted:
+            bits = np.zeros(len(rows), dtype=np.uint8)
+            bits[order[ends[n] : ends[n + 1]]] = 1
+            found[value] = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+    return found
+
+
+def band_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
+    """Edit distance of two sequences if at most ``limit``, for pairs with many edits.
+
+    One column of the band at a time, as two long integers: the rows where the distance goes up and those where it
+    goes down. The band moves by ``_COLUMNS`` columns at a time; rows that leave it above are shifted out, rows
+    that enter below cost an edit each. No path of ``limit`` edits leaves the band.
+    """
+    n, m = len(a), len(b)
+    if abs(n - m) > limit:
+        return None
+    low = high = 0
+    up = down = score = 0
+    for start in range(0, m, _COLUMNS):
+        columns = b[start : start + _COLUMNS].tolist()
+        new_low, new_high = min(max(0, start - limit), high), min(n, start + len(columns) + limit)
+        up, down = up >> (new_low - low), down >> (new_low - low)
+        up |= ((1 << (new_high - high)) - 1) << (high - new_low)
+        score += new_high - high
+        low, high = new_low, new_high
+        size = high - low
+        mask, bottom = (1 << size) - 1, size - 1
+        places = _places(a[low:high], set(columns))
+        for value in columns:
+            equal = places.get(value, 0)
+            same = (((equal & up) + up) ^ up) | equal | down
+            right_up = down | (mask & ~(same | up))
+            right_down = up & same
+            if size:
+                score += (right_up >> bottom & 1) - (right_down >> bottom & 1)
+            else:
+                score += 1
+            right_up = (right_up << 1 | 1) & mask
+            right_down = right_down << 1 & mask
+            up = right_down | (mask & ~(same | right_up))
+            down = right_up & same
+    score += n - high
+    return score if score <= limit else None
+
+
 def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
     """Whether two word sequences align with at most ``1 - similarity`` edits per word of the longer."""
     longer = max(len(a), len(b))
@@ -183,7 +246,9 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
     both = np.minimum(np.bincount(where[: len(a)], minlength=len(values)), np.bincount(where[len(a) :], minlength=len(values)))
     if max(len(a), len(b)) - int(both.sum()) > limit:
         return False
-    return distance(a, b, limit) is not None
+    if limit > FEW and distance(a, b, FEW) is not None:
+        return True
+    return (distance if limit <= FEW else band_distance)(a, b, limit) is not None
 
 
 def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -236,11 +301,16 @@ def _with_weight(rows: DataFrame) -> DataFrame:
     return rows.join(weights, "rep")
 
 
-def _may_align() -> Column:
-    """Whether the edits between a text and a leader can be few enough, by their numbers of words and those of each class."""
+def _lengths_allow() -> Column:
     longer, shorter = F.greatest("n_words", "leader_n_words"), F.least("n_words", "leader_n_words")
+    return shorter >= longer * SIMILARITY - 1e-9
+
+
+def _words_allow() -> Column:
+    """Whether the edits between a text and a leader can be few enough, by their numbers of words of each class."""
+    longer = F.greatest("n_words", "leader_n_words")
     apart = F.expr("aggregate(zip_with(counts, leader_counts, (a, b) -> abs(int(a) - int(b))), 0, (s, x) -> s + x)")
-    return (shorter >= longer * SIMILARITY - 1e-9) & (apart <= 2 * F.floor(longer * (1 - SIMILARITY) + 1e-9))
+    return apart <= 2 * F.floor(longer * (1 - SIMILARITY) + 1e-9)
 
 
 def class_roots(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -264,7 +334,7 @@ def class_roots(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         )
         here = F.expr("get(filter(sketches, (s, i) -> s = leader_sketches[i]), 0) = key")
         pairs = rows.join(first, "key").where(
-            behind & (F.col("label") != F.col("leader_label")) & _may_align() & here
+            behind & (F.col("label") != F.col("leader_label")) & _lengths_allow() & here & _words_allow()
         )
         compared = (
             written(pairs.select(F.col("leader_rep").alias("leader"), "rep"), "pairs")

@@ -32,6 +32,27 @@ def test_distance_within_a_band(a, b, limit):
     assert got == (real if real <= limit else None)
 
 
+@settings(max_examples=400, deadline=None)
+@given(SEQUENCES, SEQUENCES, st.integers(0, 25))
+def test_distance_by_columns(a, b, limit):
+    real = edits(a, b)
+    got = M.band_distance(np.array(a, dtype=np.uint32), np.array(b, dtype=np.uint32), limit)
+    assert got == (real if real <= limit else None)
+
+
+def test_distances_agree_on_long_sequences():
+    rng = np.random.default_rng(3)
+    for size, share in ((900, 0.1), (900, 0.3), (5_000, 0.02), (5_000, 0.15)):
+        a = rng.integers(0, 200, size, dtype=np.uint32)
+        b = np.insert(a, rng.integers(0, size, int(size * share / 3)), 7)
+        b = np.delete(b, rng.integers(0, len(b), int(size * share / 3)))
+        b[rng.random(len(b)) < share / 3] = 9
+        limit = size // 5
+        real = M.distance(a, b, limit)
+        assert M.band_distance(a, b, limit) == real and (real is None) == (share == 0.3)
+        assert M.band_distance(a, rng.integers(0, 200, size, dtype=np.uint32), limit) is None
+
+
 @settings(max_examples=300, deadline=None)
 @given(SEQUENCES, SEQUENCES)
 def test_similar_by_definition(a, b):
