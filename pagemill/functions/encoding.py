@@ -96,12 +96,14 @@ def decompressed(data: bytes | None) -> bytes | None:
 
 
 def gunzip(data: Column) -> Column:
-    """:func:`decompressed` on a column."""
+    """:func:`decompressed` on a column. Only values that are gzip leave the JVM."""
+    packed = is_gzip(data)
 
     def unpack(values: pd.Series) -> pd.Series:
         return values.map(decompressed)
 
-    return F.pandas_udf(unpack, T.BinaryType())(data)
+    unpacked = F.pandas_udf(unpack, T.BinaryType())(F.when(packed, data))
+    return F.when(packed, unpacked).otherwise(data)
 
 
 def decode_page(url: Column) -> Column:

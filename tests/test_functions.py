@@ -57,6 +57,17 @@ def test_broken_gzip_is_left_as_it_is(spark):
     assert [r[0] for r in df.select(encoding.gunzip("page")).collect()] == [broken, b"\x1f\x8b", None]
 
 
+def test_only_gzip_leaves_the_jvm(spark):
+    pages = [b"plain", gzip.compress(b"packed"), None, b"", gzip.compress(b"")]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "id int, page binary")
+    unpacked = df.select("id", encoding.gunzip(F.col("page")).alias("raw"))
+    assert [r["raw"] for r in unpacked.orderBy("id").collect()] == [b"plain", b"packed", None, b"", b""]
+    plan = unpacked._jdf.queryExecution().executedPlan().toString()
+    call = next(line for line in plan.splitlines() if "ArrowEvalPython" in line)
+    # What is sent to Python is null where a page is not gzip, or a column that is.
+    assert "CASE WHEN" in call or "CASE WHEN" in plan.split("ArrowEvalPython", 1)[1]
+
+
 def test_plain_base64_needs_no_data_url(spark):
     df = spark.createDataFrame([("YWJj",), ("data:image/png;base64,YWJj",)], "url string")
     assert [bytes(r[0]) for r in df.select(encoding.decode_page(F.col("url"))).collect()] == [b"abc", b"abc"]
