@@ -95,8 +95,9 @@ def decompressed(data: bytes | None) -> bytes | None:
         return data
 
 
-def gunzip(data: Column) -> Column:
+def gunzip(data: Column | str) -> Column:
     """:func:`decompressed` on a column. Only values that are gzip leave the JVM."""
+    data = F.col(data) if isinstance(data, str) else data
     packed = is_gzip(data)
 
     def unpack(values: pd.Series) -> pd.Series:
