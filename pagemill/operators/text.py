@@ -55,14 +55,15 @@ def expand_entities(tokens: DataFrame, aliases: DataFrame, salts: int = 1) -> Da
     return salted.join(repeated, ["token", "_salt"], "left").drop("_salt")
 
 
-def merged_tokens(docs: DataFrame, id_column: str, text: Column) -> DataFrame:
-    """``token, n, pos_sum`` by document: each distinct token with its number and the sum of its places.
+def entity_counts(docs: DataFrame, aliases: DataFrame, id_column: str, text: Column, salts: int = 1) -> DataFrame:
+    """``entity, n, pos_sum`` by document: each entity with the number of its tokens and the sum of their places.
 
-    Merged before it is shuffled, so that a frequent word costs one row per document.
+    Tokens without an entity are one row with a NULL one. Tokens meet the aliases where they are cut, unless the
+    aliases are too many to be sent there, and are counted by entity before they are shuffled: a document costs as
+    many rows as it has entities, however many words it has.
     """
-    placed = F.transform(X.tokens(text), lambda token, at: F.struct(token.alias("token"), at.cast("long").alias("pos")))
-    rows = docs.select(id_column, F.inline(placed))
-    return rows.groupBy(id_column, "token").agg(F.count("*").alias("n"), F.sum("pos").alias("pos_sum"))
+    found = expand_entities(token_rows(docs, id_column, text), aliases, salts)
+    return found.groupBy(id_column, "entity").agg(F.count("*").alias("n"), F.sum("pos").alias("pos_sum"))
 
 
 def metadata(id_column: str, text: Column, lang: Column) -> Column:

@@ -398,3 +398,15 @@ def test_salted_expansion_changes_nothing(spark):
     plain = sorted(map(tuple, TX.expand_entities(tokens, aliases).select("doc_id", "token", "entity").collect()), key=str)
     salted = sorted(map(tuple, TX.expand_entities(tokens, aliases, 5).select("doc_id", "token", "entity").collect()), key=str)
     assert plain == salted and len(plain) == 200
+
+
+def test_entities_are_counted_before_they_are_shuffled(spark):
+    docs = spark.createDataFrame([(1, "b a b c b"), (2, "c"), (3, ""), (4, None)], "doc_id long, text string")
+    aliases = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "y")], "alias string, canonical string").filter("alias <> 'c'")
+    expected = {(1, "x", 4, 0 + 1 + 2 + 4), (1, None, 1, 3), (2, None, 1, 0)}
+    for salts in (1, 3):
+        found = TX.entity_counts(docs, aliases, "doc_id", F.col("text"), salts)
+        assert {tuple(r) for r in found.collect()} == expected
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        # One aggregate, above the join with the aliases.
+        assert plan.index("Aggregate") < plan.index("Join") and plan.count("Aggregate") == 1
