@@ -410,3 +410,11 @@ def test_entities_are_counted_before_they_are_shuffled(spark):
         plan = found._jdf.queryExecution().optimizedPlan().toString()
         # One aggregate, above the join with the aliases.
         assert plan.index("Aggregate") < plan.index("Join") and plan.count("Aggregate") == 1
+
+
+def test_a_malformed_line_among_many_batches_fails_its_own(spark, tmp_path):
+    good = '{"custom_id":"a_1","body":{"document":{"type":"image_url","image_url":"data:image/jpeg;base64,JVBERi0="},"include_image_base64":true}}'
+    rows = [("x", 1, good), ("x", 2, "{broken"), ("y", 1, good)]
+    spark.createDataFrame(rows, request_source.LINES).write.parquet(f"{tmp_path}/lines")
+    answered = inference.run_provider(request_source.read_lines(spark, f"{tmp_path}/lines"), inference.text_provider).collect()
+    assert {r["batch_key"]: r["error"] for r in answered} == {"x": inference.MALFORMED, "y": None}
