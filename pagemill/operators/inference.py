@@ -10,10 +10,10 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,14 +97,13 @@ def run_provider(lines: DataFrame, provider: Provider, require_pdf: bool = True)
     response, so matching response pages to page ids needs no second shuffle.
     """
 
-    def call(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    def call(key: str | None, lines: list[tuple]) -> tuple:
         began = time.monotonic()
-        ordered = pdf.sort_values("line_no")
         sent, aside, response, error = [], [], None, None
-        if ordered["malformed"].any() or ordered["page"].isna().any():
+        if any(malformed or page is None for _, page, malformed in lines):
             error = MALFORMED
         else:
-            pages = [(i, encoding.decompressed(raw)) for i, raw in zip(ordered["custom_id"], ordered["page"])]
+            pages = [(i, encoding.decompressed(raw)) for i, raw, _ in lines]
             valid = [encoding.starts_as_pdf(page) or not require_pdf for _, page in pages]
             sent = [i for (i, _), ok in zip(pages, valid) if ok]
             aside = [i for (i, _), ok in zip(pages, valid) if not ok]
@@ -115,20 +114,29 @@ def run_provider(lines: DataFrame, provider: Provider, require_pdf: bool = True)
                 check_response(response)
             except Exception as problem:  # the provider is foreign code
                 response, error = None, f"{type(problem).__name__}: {problem}"
-        return pd.DataFrame(
-            {
-                "batch_key": [key[0]],
-                "custom_ids": [sent],
-                "aside": [aside],
-                "response": [response],
-                "error": [error],
-                "seconds": [time.monotonic() - began],
-            }
-        )
+        return key, sent, aside, response, error, time.monotonic() - began
+
+    def calls(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # A batch's lines follow one another, and may go on in the next frame.
+        key, lines = None, []
+        for pdf in batches:
+            answered = []
+            for now, place, *line in zip(pdf["batch_key"], pdf["place"], pdf["custom_id"], pdf["page"], pdf["malformed"]):
+                if place == 1 and lines:
+                    answered.append(call(key, lines))
+                    lines = []
+                key = now
+                lines.append(tuple(line))
+            if answered:
+                yield pd.DataFrame(answered, columns=RESPONSES.names)
+        if lines:
+            yield pd.DataFrame([call(key, lines)], columns=RESPONSES.names)
 
     page = F.col("page") if "page" in lines.columns else encoding.decode_page(F.col("url")).alias("page")
     raw = lines.select("batch_key", "line_no", "custom_id", page, "malformed")
-    return raw.groupBy("batch_key").applyInPandas(call, RESPONSES)
+    # The numbering brings a batch into one task, sorted; where the lines are dealt by batch already, they stay.
+    place = F.row_number().over(Window.partitionBy("batch_key").orderBy("line_no"))
+    return raw.withColumn("place", place).drop("line_no").mapInPandas(calls, RESPONSES)
 
 
 def quarantined(responses: DataFrame) -> DataFrame:

@@ -48,20 +48,38 @@ def index(spark: SparkSession, root: str, folder: str) -> DataFrame:
     return named.groupBy("batch_key", "object").agg(F.count("*").alias("pages"))
 
 
+def located_once(spark: SparkSession, root: str, located: DataFrame, size: int = listing.SLICE_KEYS) -> DataFrame:
+    """``batch_key, object`` of index rows, for every batch one of its objects that are there.
+
+    Objects are named on the driver in slices of about ``size``; batches, of which an object has many, are not.
+    """
+    objects = located.select(F.col("object").alias("s3_key")).distinct().persist()
+    try:
+        n = listing.slices(objects, size)
+        there = [(name,) for i in range(n) for name in listing.existing(spark, root, listing.names_of(objects, i, n))]
+    finally:
+        objects.unpersist()
+    present = F.broadcast(spark.createDataFrame(there, "object string"))
+    return located.join(present, "object", "left_semi").groupBy("batch_key").agg(F.max("object").alias("object"))
+
+
 def read(spark: SparkSession, root: str, located: DataFrame) -> DataFrame:
-    """``batch_key, pos, custom_id, page_bytes`` of the batches of ``located``, index rows of a bounded number of batches.
+    """``batch_key, pos, custom_id, page_bytes`` of the batches of ``located``, index rows whose objects can be named."""
+    return read_located(spark, root, located_once(spark, root, located))
+
+
+def read_located(spark: SparkSession, root: str, once: DataFrame) -> DataFrame:
+    """The same for rows of :func:`located_once`.
 
-    Only their objects are opened.
+    Only their objects are opened, each once. Pages and names meet by batch; where Spark measures the names to be
+    few, pages do not move for it.
     """
-    objects = [row["object"] for row in located.select("object").distinct().collect()]
-    objects = listing.existing(spark, root, objects)
+    objects = [row["object"] for row in once.select("object").distinct().collect()]
     if not objects:
         return spark.createDataFrame([], PAGES)
-    wanted = located.filter(F.col("object").isin(objects)).groupBy("batch_key").agg(F.max("object").alias("object"))
-    keys = [row["batch_key"] for row in wanted.select("batch_key").collect()]
-    stored = spark.read.schema(PAGES).parquet(*listing.paths_of(root, objects)).filter(F.col("batch_key").isin(keys))
-    stored = stored.withColumn("object", listing.key_under(root, F.col("_metadata.file_path")))
-    return stored.join(F.broadcast(wanted), ["batch_key", "object"]).drop("object")
+    stored = spark.read.schema(PAGES).parquet(*listing.paths_of(root, objects))
+    stored = stored.withColumn("_object", listing.key_under(root, F.col("_metadata.file_path")))
+    return stored.join(once, "batch_key").filter("object = _object").drop("object", "_object")
 
 
 def read_all(spark: SparkSession, folder: str) -> DataFrame:

@@ -23,6 +23,7 @@ from pagemill.functions import bodies
 from pagemill.functions import keys as K
 from pagemill.operators import inference, routing, state
 from pagemill.operators import requests as R
+from pagemill.operators.ordinals import shard_of
 from pagemill.sources import containers, listing, messages
 from pagemill.sources import pages as page_source
 from pagemill.sources import responses as response_source
@@ -408,31 +409,29 @@ def flush_waiting(spark: SparkSession, ws: Workspace, source: PageFiles | PageTa
 
 
 def ocr_handler(ws: Workspace, provider: inference.Provider, limits: Limits) -> Handler:
-    """Request batches to responses, in slices of bounded size.
+    """Request batches to responses, in slices of a bounded number of objects.
 
-    Responses are written before anything is derived from them: the provider is called
-    once per batch and micro-batch, not once per output.
+    Every object is opened once, for all of its batches that are asked for. Responses are written before anything is
+    derived from them: the provider is called once per batch and micro-batch, not once per output.
     """
     root = ws.path("batches")
 
-    def one_slice(spark: SparkSession, asked: list[str], located: DataFrame, epoch: int, step: str) -> None:
-        pages = containers.read(spark, root, located.filter(F.col("batch_key").isin(asked)))
-        called = inference.run_provider(containers.as_lines(pages), provider)
-        ws.append(called, "responses", C.STAGE_OCR, epoch, step)
-
     def handle(spark: SparkSession, todo: DataFrame, epoch: int) -> StageResult:
         me = (C.STAGE_OCR, epoch)
         # The index is read once for all slices.
         wanted = todo.select(F.col("s3_key").alias("batch_key"))
-        ws.append(ws.read(spark, "containers").join(wanted, "batch_key", "left_semi"), "located", *me)
+        found = ws.read(spark, "containers").join(wanted, "batch_key", "left_semi")
+        ws.append(containers.located_once(spark, root, found, limits.slice_keys), "located", *me)
         located = ws.read(spark, "located", only=me)
-        n = listing.slices(todo, limits.slice_keys)
+        n = listing.slices(located.select("object").distinct(), limits.slice_keys)
         for i in range(n):
-            one_slice(spark, listing.names_of(todo, i, n), located, epoch, f"slice-{i}")
-        responses = ws.read(spark, "responses", only=me)
+            mine = located.filter(shard_of(F.col("object"), n) == i)
+            called = inference.run_provider(containers.as_lines(containers.read_located(spark, root, mine)), provider)
+            ws.append(called, "responses", *me, f"slice-{i}")
+        responses = ws.read_steps(spark, "responses", me, [f"slice-{i}" for i in range(n)])
         ws.append(inference.quarantined(responses), "quarantine", *me)
         answered, errors = inference.split_errors(responses)
-        response_source.write_responses(answered, ws.path("documents"))
+        response_source.write_responses(answered, ws.part("documents", *me, ENDED))
         ws.append(inference.response_pages(answered), "response_pages", *me)
 
         finished = answered.select(

@@ -56,6 +56,7 @@ CONTAINERS = T.StructType(
         T.StructField("pages", T.LongType()),
     ]
 )
+LOCATED = T.StructType(CONTAINERS.fields[:2])
 RESPONSE_PAGES = T.StructType(
     [
         T.StructField("batch_key", T.StringType()),
@@ -123,7 +124,7 @@ TABLES = {
     "manifest": MANIFEST,
     "runs": RUNS,
     "containers": CONTAINERS,
-    "located": CONTAINERS,
+    "located": LOCATED,
     "responses": inference.RESPONSES,
     "response_pages": RESPONSE_PAGES,
     "quarantine": QUARANTINE,

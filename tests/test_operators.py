@@ -418,3 +418,44 @@ def test_a_malformed_line_among_many_batches_fails_its_own(spark, tmp_path):
     spark.createDataFrame(rows, request_source.LINES).write.parquet(f"{tmp_path}/lines")
     answered = inference.run_provider(request_source.read_lines(spark, f"{tmp_path}/lines"), inference.text_provider).collect()
     assert {r["batch_key"]: r["error"] for r in answered} == {"x": inference.MALFORMED, "y": None}
+
+
+def test_a_provider_meets_every_batch_once_and_whole(spark):
+    # Batches of 1 to 5 lines, frames of 2 lines: most batches go on in another frame.
+    rows = [(f"b{b:03d}", n + 1, f"{b}_{n}", b"%PDF-" + bytes([b, n]), False) for b in range(60) for n in range(b % 5 + 1)]
+    lines = spark.createDataFrame(rows, "batch_key string, line_no int, custom_id string, page binary, malformed boolean")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        answered = inference.run_provider(lines.repartition(7), inference.text_provider).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert {r["batch_key"]: r["custom_ids"] for r in answered} == {
+        f"b{b:03d}": [f"{b}_{n}" for n in range(b % 5 + 1)] for b in range(60)
+    }
+    assert len(answered) == 60 and not any(r["error"] for r in answered)
+
+
+def test_objects_are_as_many_as_tasks_and_not_as_batches(spark, stored, tmp_path):
+    n = 20_000
+    responses = spark.range(n).select(
+        F.concat(F.lit("jsonl/"), "id", F.lit(".jsonl")).alias("batch_key"), F.concat(F.lit('{"n":\n'), "id", F.lit("}")).alias("response")
+    )
+    response_source.write_responses(responses, f"{tmp_path}/documents/part=a")
+    files = [name for _, _, names in os.walk(tmp_path / "documents") for name in names if name.endswith(".parquet")]
+    assert len(files) <= 8
+    read = response_source.read_responses(spark, f"{tmp_path}/documents")
+    assert read.count() == n and read.filter("response_key LIKE '%/77_%'").first()["response"].startswith('{"n":\n77')
+    # One object for each where a consumer wants that.
+    response_source.export_responses(responses.limit(3), f"{tmp_path}/objects")
+    assert len([name for name in os.listdir(tmp_path / "objects") if name.startswith("response_key=")]) == 3
+
+    # The lines of many batches in an object are those of one object per batch.
+    _, root, named = stored
+    pages = spark.createDataFrame(PAGES, "s3_key string, page_no long, page_bytes binary").repartition(5)
+    request_source.write_lines(R.batched_pages(pages, R.page_runs(named)), f"{tmp_path}/lines")
+    assert not [name for name in os.listdir(tmp_path / "lines") if "=" in name]
+    found = request_source.read_lines(spark, f"{tmp_path}/lines")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, request_source.read_batches(spark, root).collect()))
+    texts = {r[0] for r in spark.read.text(f"{root}/*").collect()}
+    assert {r["line"] for r in spark.read.parquet(f"{tmp_path}/lines").collect()} == texts
