@@ -197,6 +197,10 @@ class PageTable:
 
     root: str
 
+    def known(self, spark: SparkSession) -> DataFrame | None:
+        """``s3_key`` of all files, where they are known without being asked for by name."""
+        return page_source.scan_page_table(spark, self.root).select("s3_key").distinct()
+
     def existing(self, spark: SparkSession, names: list[str]) -> list[str]:
         folders = page_source.scan_page_table(spark, self.root).filter(F.col("s3_key").isin(names))
         return sorted(row["s3_key"] for row in folders.select("s3_key").distinct().collect())
@@ -215,6 +219,10 @@ class PageFiles:
 
     root: str
 
+    def known(self, spark: SparkSession) -> DataFrame | None:
+        """Nothing: a bucket is asked by names, and may hold very many others."""
+        return None
+
     def existing(self, spark: SparkSession, names: list[str]) -> list[str]:
         return listing.existing(spark, self.root, names)
 
@@ -239,6 +247,7 @@ def is_file_problem(problem: Exception) -> bool:
 
 
 ENDED = "end"
+ABSENT = "absent"
 FLUSHED = "flushed"
 
 
@@ -291,8 +300,10 @@ def completed_files(written: DataFrame, files: DataFrame, before: DataFrame, wai
 def page_handler(ws: Workspace, source: PageFiles | PageTable, limits: Limits) -> Handler:
     """Page files to request batches.
 
-    Keys are worked through in order, in slices of bounded size, all in the same way: those without an object and
-    those whose file cannot be read are told apart, the others are planned and written. The plan (which page goes
+    Keys without an object are told apart first where the source knows its keys, however many they are. The others
+    are worked through in order, in slices of bounded size, all in the same way: those without an object and
+    those whose file cannot be read are told apart, the others are planned and written. A slice without any object
+    plans and writes nothing. The plan (which page goes
     into which batch) is written first and read back, so that the batches, the state and the announcements all
     follow the same plan and nothing is planned twice.
 
@@ -324,9 +335,15 @@ def page_handler(ws: Workspace, source: PageFiles | PageTable, limits: Limits) -
         rest = planned.filter("NOT full").withColumn("pos", F.col("pos") - first + 1)
         ws.append(rest, "waiting", C.STAGE_PAGES, epoch, step)
 
-    def one_slice(spark: SparkSession, asked: list[str], epoch: int, step: str, waiting: DataFrame) -> DataFrame:
+    def one_slice(spark: SparkSession, asked: list[str], epoch: int, step: str, waiting: DataFrame) -> tuple[str, DataFrame]:
+        """The step that the slice was written as, and the pages that wait after it."""
         names = source.existing(spark, asked)
         checks = {name: NOT_FOUND for name in asked} | dict.fromkeys(names)
+        if not names:
+            # Under another name, so that nothing of a run that broke off counts as this slice's.
+            step = f"{ABSENT}-{step}"
+            ws.append(spark.createDataFrame(list(checks.items()), CHECKS), "checks", C.STAGE_PAGES, epoch, step)
+            return step, waiting
         try:
             plan(spark, names, epoch, step, waiting)
         except Exception as problem:
@@ -338,19 +355,25 @@ def page_handler(ws: Workspace, source: PageFiles | PageTable, limits: Limits) -
             plan(spark, names, epoch, step, waiting)
         ws.append(spark.createDataFrame(list(checks.items()), CHECKS), "checks", C.STAGE_PAGES, epoch, step)
         write_planned(spark, ws, source, sorted({*names, *keys_of(waiting)}), epoch, step)
-        return ws.read(spark, "waiting", only=(C.STAGE_PAGES, epoch), step=step)
+        return step, ws.read(spark, "waiting", only=(C.STAGE_PAGES, epoch), step=step)
 
     def handle(spark: SparkSession, todo: DataFrame, epoch: int) -> StageResult:
         me = (C.STAGE_PAGES, epoch)
         before = waiting_pages(spark, ws, epoch - 1)
         fresh = todo.join(before.select("s3_key"), "s3_key", "left_anti")
+        waiting, steps = before, []
+        known = None if fresh.isEmpty() else source.known(spark)
+        if known is not None:
+            missing = fresh.join(known, "s3_key", "left_anti").select("s3_key", F.lit(NOT_FOUND).alias("error"))
+            ws.append(missing, "checks", *me, ABSENT)
+            steps.append(ABSENT)
+            fresh = fresh.join(known, "s3_key", "left_semi")
         ws.append(listing.ranged_slices(fresh, limits.slice_keys), "slices", *me)
         cut = ws.read(spark, "slices", only=me)
-        waiting, steps = before, []
         for (i,) in sorted(cut.select("slice").distinct().collect()):
             asked = keys_of(cut.filter(F.col("slice") == i))
-            steps.append(f"slice-{i}")
-            waiting = one_slice(spark, asked, epoch, steps[-1], waiting)
+            step, waiting = one_slice(spark, asked, epoch, f"slice-{i}", waiting)
+            steps.append(step)
         due = F.lit(not limits.carry)
         if limits.flush_after is not None:
             due = due | (F.col("since") <= F.lit(limits.clock() - limits.flush_after))

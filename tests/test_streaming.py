@@ -504,3 +504,27 @@ def test_streams_read_tables_of_many_files(spark, tmp_path):
         one = sorted(map(str, query(spark, "/root/testdata/sf0.001").collect()))
         many = sorted(map(str, query(spark, str(tmp_path)).collect()))
         assert one and one == many
+
+
+@pytest.mark.parametrize("table", [True, False])
+def test_keys_without_an_object_plan_nothing(spark, tmp_path, table):
+    root = f"{tmp_path}/stored"
+    pages = spark.createDataFrame([("there", n, b"%PDF-") for n in (1, 2)], "s3_key string, page_no long, page_bytes binary")
+    if table:
+        page_source.write_page_table(pages, root)
+    else:
+        pages.select("page_bytes").coalesce(1).write.parquet(f"{root}/part")
+    source = stages.PageTable(root) if table else stages.PageFiles(root)
+    ws = Workspace(f"{tmp_path}/ws")
+    keys = spark.createDataFrame([(f"absent-{i}",) for i in range(30)] + [("there",)] * table, "s3_key string")
+    bulk.run_pages(ws, source, keys, stages.Limits(max_attempts=1, slice_keys=5))
+    me = (C.STAGE_PAGES, 0)
+    # Thirty absent keys are six slices or more; only the one key that is there is planned.
+    for name in ("manifest", "runs", "containers"):
+        folder = f"{tmp_path}/ws/{name}/writer={me[0]}/epoch=0"
+        assert len([s for s in (os.listdir(folder) if os.path.isdir(folder) else []) if s.startswith("step=slice")]) == int(table)
+    checks = ws.read(spark, "checks", only=me)
+    assert checks.filter("error IS NOT NULL").count() == 30 and checks.count() == 30 + table
+    assert ws.read(spark, "dead_letters").count() == 30
+    done = state.current_state(ws.read(spark, "state")).filter(F.col("status") == C.STATUS_DONE)
+    assert [tuple(r) for r in done.filter(F.col("stage") == C.STAGE_PAGES).select("s3_key", "total_pages").collect()] == [("there", 2)] * table
