@@ -8,10 +8,11 @@ linked if its words align with at most ``1 - SIMILARITY`` edits per word of the
 connected components of links.
 
 Equal texts are one vertex from the start. The texts of one sketch are compared in rounds: first one of them with all
-others, then the next eight with those that are left, and so on, until each has been compared with every other text
-of the sketch, or all that are left are known to be of one class. Each pair is compared once, in the first sketch
-that it shares. Left out are only pairs that are of one class by the links found so far, which change no class, and
-pairs whose numbers of words, in all or by classes of words, differ by more than the edits allow.
+others, then the next sixteen with those that are left. Where texts of different classes are still left, all of them
+are compared, in blocks: every pair of blocks is a group of at most about twice ``BLOCK`` texts, so that a text moves
+once for a block of others and not once for each of them. Each pair is compared once, in the first sketch that it
+shares. Left out are only pairs that are of one class by the links found so far, which change no class, and pairs
+whose numbers of words, in all or by classes of words, differ by more than the edits allow.
 
 A text of fewer than ``K`` words is one k-mer of all its words; texts without words are equal if their
 characters are. Null counts as empty. A row without an id takes the class of the texts equal to its own, or
@@ -40,9 +41,10 @@ LENGTH = 4
 SIMILARITY = 0.8
 # Hash buckets that say which texts may be needed for alignment; their number bounds what is broadcast.
 BUCKETS = 1 << 20
-# Texts of one sketch that its others are compared with at a time: one at first, eight times as many each time
-# after, so that a sketch which many dissimilar texts share is done with in a few rounds.
-LEADERS = 512
+# Texts of one sketch that its others are compared with, round by round, before all that are left are compared.
+ROUNDS = (1, 16)
+# Texts of one sketch in a block.
+BLOCK = 256
 # Classes of words whose numbers are compared before an alignment: an edit changes those of two classes by one at most.
 WORD_CLASSES = 128
 # Edits up to which an alignment goes from edit to edit; beyond them it goes column by column.
@@ -244,9 +246,10 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
     # Words that one side has and the other lacks need an edit each.
     values, where = np.unique(np.concatenate((a, b)), return_inverse=True)
     both = np.minimum(np.bincount(where[: len(a)], minlength=len(values)), np.bincount(where[len(a) :], minlength=len(values)))
-    if max(len(a), len(b)) - int(both.sum()) > limit:
+    least = max(len(a), len(b)) - int(both.sum())
+    if least > limit:
         return False
-    if limit > FEW and distance(a, b, FEW) is not None:
+    if least <= FEW < limit and distance(a, b, FEW) is not None:
         return True
     return (distance if limit <= FEW else band_distance)(a, b, limit) is not None
 
@@ -277,7 +280,38 @@ def _aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             similar(np.frombuffer(a, dtype=np.uint32), np.frombuffer(b, dtype=np.uint32))
             for a, b in zip(batch["a"], batch["b"])
         ]
-        yield batch[["leader", "rep"]].assign(near=near)
+        yield batch[["leader_label", "label"]].set_axis(["u", "v"], axis=1)[np.asarray(near, dtype=bool)]
+
+
+def _aligned_blocks(group: pd.DataFrame) -> pd.DataFrame:
+    """Links between the classes of one block, or of two blocks, of the texts that share a sketch."""
+    key, low, high = group["key"].iat[0], group["low"].iat[0], group["high"].iat[0]
+    codes = [np.frombuffer(c, dtype=np.uint32) for c in group["codes"]]
+    size, block, label = group["n_words"].to_numpy(), group["block"].to_numpy(), group["label"].to_numpy()
+    sketches_, counts = np.stack(group["sketches"].to_list()), np.stack(group["counts"].to_list()).astype(np.int32)
+    root = {x: x for x in label.tolist()}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    links = []
+    for i in np.flatnonzero(block == low).tolist():
+        js = np.arange(i + 1, len(group)) if low == high else np.flatnonzero(block == high)
+        js = js[label[js] != label[i]]
+        longer = np.maximum(size[js], size[i])
+        js = js[np.minimum(size[js], size[i]) >= longer * SIMILARITY - 1e-9]
+        same = sketches_[js] == sketches_[i]
+        js = js[sketches_[i][same.argmax(axis=1)] == key]
+        edits = np.floor(np.maximum(size[js], size[i]) * (1 - SIMILARITY) + 1e-9)
+        js = js[np.abs(counts[js] - counts[i]).sum(axis=1) <= 2 * edits]
+        for j in js.tolist():
+            a, b = find(int(label[i])), find(int(label[j]))
+            if a != b and similar(codes[i], codes[j]):
+                root[a] = b
+                links.append((label[i], label[j]))
+    return pd.DataFrame(links, columns=["u", "v"], dtype="int64")
 
 
 def _bucket(column: str) -> Column:
@@ -290,17 +324,6 @@ def _open(rows: DataFrame) -> DataFrame:
     return rows.join(mixed, "key")
 
 
-def _with_weight(rows: DataFrame) -> DataFrame:
-    """``rows`` with the number of texts that a text shares sketches with, each as often as it shares one.
-
-    Of many copies of a text with a few edits each, the text itself and those with the fewest edits have the
-    largest weights: most of the others align with them.
-    """
-    sizes = rows.groupBy("key").agg(F.count("*").alias("n"))
-    weights = rows.select("key", "rep").join(sizes, "key").groupBy("rep").agg(F.sum("n").alias("weight"))
-    return rows.join(weights, "rep")
-
-
 def _lengths_allow() -> Column:
     longer, shorter = F.greatest("n_words", "leader_n_words"), F.least("n_words", "leader_n_words")
     return shorter >= longer * SIMILARITY - 1e-9
@@ -313,17 +336,42 @@ def _words_allow() -> Column:
     return apart <= 2 * F.floor(longer * (1 - SIMILARITY) + 1e-9)
 
 
+def _involved(reps: DataFrame) -> DataFrame:
+    """Texts that share sketches, with those sketches as ``keys`` and the number of texts that have them as ``weight``.
+
+    Of many copies of a text with a few edits each, the text itself and those with the fewest edits have the
+    largest weights: most of the others align with them.
+    """
+    members = reps.select("rep", F.explode("sketches").alias("key"))
+    shared = members.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("a"), F.max("rep").alias("b"))
+    own = members.join(shared.where("a != b").select("key", "n"), "key")
+    own = own.groupBy("rep").agg(F.sum("n").alias("weight"), F.collect_set("key").alias("keys"))
+    return reps.select("rep", "n_words", "sketches", "counts").join(own, "rep")
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``block``, once for every pair ``low, high`` of blocks of their sketch that theirs is in."""
+    sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = rows.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return placed.select(*rows.columns, "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+
+
+def _merged(roots: DataFrame, near: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``roots`` after ``near`` has linked classes, and the classes that have a new root."""
+    new = components(near)
+    later = new.select(F.col("id").alias("root"), F.col("root").alias("now"))
+    moved = roots.join(later, "root", "left").select("id", F.coalesce("now", "root").alias("root"))
+    return moved.unionByName(new), new
+
+
 def class_roots(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """``id, root``: the ``rep`` ids that are not the smallest of their class, with the smallest."""
-    reps = nodes.where(F.col("rep").isNotNull())
-    members = reps.select("rep", F.explode("sketches").alias("key"), F.col("rep").alias("label"))
-    rows = written(_with_weight(_open(members)), "open")
-    # Carried along only by texts that share a sketch.
-    traits = reps.select("rep", "n_words", "sketches", "counts")
-    texts = _codes_of(docs, rows.select("rep").distinct())
-    roots, leaders = rows.select(F.col("rep").alias("id"), F.col("rep").alias("root")).limit(0), 1
-    rows = written(rows.join(traits, "rep"), "open")
-    while not rows.isEmpty():
+    involved = written(_involved(nodes.where(F.col("rep").isNotNull())), "involved")
+    texts = _codes_of(docs, involved.select("rep"))
+    rows = involved.select("*", F.explode("keys").alias("key"), F.col("rep").alias("label")).drop("keys")
+    roots = involved.select(F.col("rep").alias("id"), F.col("rep").alias("root")).limit(0)
+    for leaders in ROUNDS:
         # Only as many rows of a sketch as there are leaders pass on to be ranked.
         rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("weight"), "rep"))
         first = rows.withColumn("rank", rank).where(F.col("rank") <= leaders)
@@ -337,21 +385,21 @@ def class_roots(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             behind & (F.col("label") != F.col("leader_label")) & _lengths_allow() & here & _words_allow()
         )
         compared = (
-            written(pairs.select(F.col("leader_rep").alias("leader"), "rep"), "pairs")
-            .join(texts.select(F.col("rep").alias("leader"), F.col("codes").alias("a")), "leader")
+            pairs.select("leader_rep", "leader_label", "rep", "label")
+            .join(texts.select(F.col("rep").alias("leader_rep"), F.col("codes").alias("a")), "leader_rep")
             .join(texts.select("rep", F.col("codes").alias("b")), "rep")
         )
-        near = compared.mapInPandas(_aligned, "leader long, rep long, near boolean").where("near")
-        near = written(near.select(F.col("leader").alias("u"), F.col("rep").alias("v")), "near")
+        roots, new = _merged(roots, compared.mapInPandas(_aligned, "u long, v long"))
         rest = rows.join(first.select("key", F.col("leader_rep").alias("rep")), ["key", "rep"], "left_anti")
-        if not near.isEmpty():
-            roots = components(near.unionByName(roots.select(F.col("root").alias("u"), F.col("id").alias("v"))))
-            rest = rest.join(roots.withColumnRenamed("id", "rep"), "rep", "left")
-            rest = rest.withColumn("label", F.coalesce("root", "rep")).drop("root")
+        rest = rest.join(new.select(F.col("id").alias("label"), "root"), "label", "left")
+        rest = rest.withColumn("label", F.coalesce("root", "label")).drop("root")
         # Texts of one class need no further comparison.
         rows = written(_open(rest), "open")
-        leaders = min(8 * leaders, LEADERS)
-    return roots
+        if rows.isEmpty():
+            return roots
+    blocks = _blocks(rows.drop("weight").join(texts, "rep"))
+    near = blocks.groupBy("key", "low", "high").applyInPandas(_aligned_blocks, "u long, v long")
+    return _merged(roots, near)[0]
 
 
 def _codes_of(docs: DataFrame, involved: DataFrame) -> DataFrame:

@@ -200,3 +200,38 @@ def test_odd_rows(spark, base):
         (8, 8, True), (9, 9, True), (10, 9, False),
     ]
     assert M.classes(docs.where(F.lit(False))).count() == 0
+
+
+def test_components_of_more_edges_than_a_task_holds(spark):
+    pairs = [(int(a), int(b)) for a, b in np.random.default_rng(5).integers(0, 200, (150, 2))] + [(i, i + 1) for i in range(900, 940)]
+    edges = spark.createDataFrame(pairs, "u long, v long").repartition(6)
+    got = {tuple(r) for r in C.components(edges, together=20).collect()}
+    assert got == {tuple(r) for r in C.components(edges).collect()}
+    assert {(i, 900) for i in range(901, 941)} <= got
+
+
+def test_a_passage_that_many_texts_share(spark, monkeypatch):
+    """Texts move in blocks, not with each of their pairs; every pair is compared, and every link is found."""
+    rng = np.random.default_rng(6)
+    passage = [f"p{n}" for n in range(120)]
+    own = [[f"o{i}x{n}" for n in range(int(rng.integers(20, 60)))] for i in range(70)]
+    # Some share more than the passage.
+    own[1::10] = [[*own[0][:10], *o] for o in own[1::10]]
+    texts = [" ".join(o + passage) for o in own]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(M, "BLOCK", 16)
+    sizes = []
+    monkeypatch.setattr(M, "_blocks", lambda rows, f=M._blocks: sizes.append((rows.count(), f(rows).count())) or f(rows))
+    found = {r["doc_id"]: r["class_id"] for r in M.classes(docs).collect()}
+    codes = [M.word_codes(words(t)) for t in texts]
+    sketches = [M.sketches(c) for c in codes]
+    root = list(range(len(texts)))
+    for b in range(len(texts)):
+        for a in range(b):
+            if (sketches[a] == sketches[b]).any() and M.similar(codes[a], codes[b]):
+                x, y = root[a], root[b]
+                root = [min(x, y) if r in (x, y) else r for r in root]
+    assert found == dict(enumerate(root)) and 1 < len(set(root)) < len(texts)
+    # Blocks of a sketch are at most its texts by their number, and not its pairs.
+    (rows, moved), = sizes
+    assert rows < moved <= rows * 5
