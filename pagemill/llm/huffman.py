@@ -78,6 +78,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.dtype = dtype
         self.now: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
@@ -104,7 +105,7 @@ class WordEncoder:
 
     def _merged(self, piece: str) -> list[int]:
         mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-        return [token.id for token in self.tokenizer.model.tokenize(mapped)]
+        return [token.id for token in self.model.tokenize(mapped)]
 
     def _learn_pieces(self, pieces: list[str]) -> None:
         for piece in pieces:
@@ -131,16 +132,16 @@ class WordEncoder:
         split = [_PIECE.findall(t.lower()) if p else None if _ODD.search(t) else t.split() for t, p in zip(texts, plain)]
         pieces = set().union(*(s for s, p in zip(split, plain) if p))
         runs = set().union(*(s for s, p in zip(split, plain) if s and not p)) - pieces
-        fresh = len((pieces | runs) - self.now.keys())
-        if len(self.now) + fresh > CACHE or self.chars > CACHE_CHARS:
+        # difference() goes through the parts of these texts; an operator with keys() goes through the whole cache.
+        new = [pieces.difference(self.now), runs.difference(self.now)]
+        if len(self.now) + sum(map(len, new)) > CACHE or self.chars > CACHE_CHARS:
             # Frequent parts come back from the generation before.
-            self.before, self.now, self.chars = self.now, {}, 0
-        for kind, learn in ((pieces, self._learn_pieces), (runs, self._learn_runs)):
-            new = kind - self.now.keys()
-            self.chars += sum(map(len, new))
-            known = new & self.before.keys()
-            self.now.update((part, self.before[part]) for part in known)
-            learn(list(new - known))
+            self.before, self.now, self.chars, new = self.now, {}, 0, [pieces, runs]
+        for kind, learn in zip(new, (self._learn_pieces, self._learn_runs)):
+            self.chars += sum(map(len, kind))
+            known = {part: self.before[part] for part in kind if part in self.before}
+            self.now.update(known)
+            learn(list(kind.difference(known)))
         at = self.now.__getitem__
         return [self._bytes(self._ids(t)) if s is None else b"".join(map(at, s)) for t, s in zip(texts, split)]
 

@@ -1,4 +1,5 @@
 import heapq
+import time
 import zlib
 
 import numpy as np
@@ -131,3 +132,18 @@ def test_odd_rows(spark, monkeypatch):
     assert np.frombuffer(whole[3], dtype="<u4").tolist() == [*LIBRARY.encode("a b", add_special_tokens=False).ids, 2]
     blocks, book = H.store(docs.where(F.lit(False)), WORD_VOCABULARY, WORD_END)
     assert H.checksums(blocks, book).count() == 0
+
+
+def test_a_text_costs_the_same_whatever_the_cache_holds():
+    own = H.WordEncoder(WORD_VOCABULARY, "<u2")
+    own.encode(["a short text"])
+
+    def seconds():
+        start = time.process_time()
+        for _ in range(50):
+            own.encode(["a short text"])
+        return time.process_time() - start
+
+    empty = seconds()
+    own.now.update((f"part{n}", b"") for n in range(400_000))
+    assert seconds() < 20 * empty + 0.1
