@@ -32,7 +32,7 @@ from pagemill import constants as C
 from pagemill.functions import keys as K
 from pagemill.functions.whole import quotient
 
-DEFAULT_CHUNK = 1 << 17
+DEFAULT_CHUNK = 1 << 14
 DEFAULT_SPAN = 256
 
 Key = tuple[pa.Scalar, ...]

@@ -135,7 +135,7 @@ def stream_mixed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     page_source.write_page_table(D.document_pages(spark, sf_dir), ws.path("pages"))
     source = stages.PageTable(ws.path("pages"))
     limits = stages.Limits(max_bytes=D.MAX_BYTES, max_pages=D.MAX_PAGES, mixed=True, carry=True, slice_keys=10)
-    keys = page_source.scan_page_table(spark, ws.path("pages")).select("s3_key").distinct()
+    keys = page_source.page_table_keys(spark, ws.path("pages"))
     share = F.ntile(LEAST_ARRIVALS).over(W.orderBy("s3_key"))
     listed = ws.path("keys")
     keys.withColumn("share", share).write.parquet(listed)

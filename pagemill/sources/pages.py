@@ -23,9 +23,13 @@ PAGE_TABLE = T.StructType(
     [
         T.StructField("page_no", T.LongType()),
         T.StructField("page_bytes", T.BinaryType()),
+        # Null in tables from before it was stored, and where the page is.
+        T.StructField("n_bytes", T.LongType()),
         T.StructField("s3_key", T.StringType()),
     ]
 )
+# What Spark's reader of whole files gives of a page table's files.
+TABLE_FILES = "path string, modificationTime timestamp, length long, content binary, s3_key string"
 
 PAGES_PER_FILE = 4096
 PAGE_COLUMN = schemas.PAGE_FILE.names[0]
@@ -94,14 +98,15 @@ def write_page_files(pages: DataFrame, order: str, path: str) -> None:
 
 
 def write_page_table(pages: DataFrame, root: str) -> None:
-    """Store ``s3_key, page_no, page_bytes`` with one folder per key.
+    """Store ``s3_key, page_no, page_bytes`` with one folder per key, and how long each page is.
 
     A key is cut into runs of pages, so a large key is written by many tasks, and a run
     goes to one file.
     """
     run = quotient(F.col("page_no"), PAGES_PER_FILE)
     (
-        pages.select(*PAGE_TABLE.names)
+        pages.withColumn("n_bytes", F.octet_length("page_bytes").cast("long"))
+        .select(*PAGE_TABLE.names)
         .repartition("s3_key", run)
         .sortWithinPartitions("s3_key", "page_no")
         .write.mode("overwrite")
@@ -116,6 +121,23 @@ def scan_page_table(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(PAGE_TABLE).parquet(root).select("s3_key", "page_no", "page_bytes")
 
 
+def scan_page_lengths(spark: SparkSession, root: str) -> DataFrame:
+    """``s3_key, page_no, n_bytes`` of a page table, without its pages where their length is stored.
+
+    Pages whose length is not stored are measured; row groups that have none are skipped by their statistics.
+    """
+    stored = spark.read.schema(PAGE_TABLE).parquet(root)
+    known = stored.filter(F.col("n_bytes").isNotNull()).select("s3_key", "page_no", "n_bytes")
+    measured = F.octet_length("page_bytes").cast("long").alias("n_bytes")
+    return known.unionByName(stored.filter(F.col("n_bytes").isNull()).select("s3_key", "page_no", measured))
+
+
+def page_table_keys(spark: SparkSession, root: str) -> DataFrame:
+    """``s3_key`` of every key of a page table. Its files are listed; none is opened."""
+    files = spark.read.format("binaryFile").schema(TABLE_FILES).load(root)
+    return files.select("s3_key").distinct()
+
+
 def pages_per_file(pages: DataFrame) -> DataFrame:
     """Rows per file; on a scan no page data is read, only row counts from the footers."""
     return pages.groupBy("s3_key").agg(F.count("*").alias("total_pages"))
@@ -134,7 +156,7 @@ def stage_pages(
     """
     write_page_table(pages, root)
     # Keys come from what was written: folder names, for which no page is computed again.
-    asked = pages.sparkSession.read.schema(PAGE_TABLE).parquet(root).select("s3_key").distinct()
+    asked = page_table_keys(pages.sparkSession, root)
     staged = asked if keys is None else asked.join(keys, "s3_key", "left_semi")
     events = state.register_absent(staged, log, C.STAGE_PAGES, at)
     messages = staged.select(

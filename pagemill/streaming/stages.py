@@ -12,6 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -199,11 +200,15 @@ class PageTable:
 
     def known(self, spark: SparkSession) -> DataFrame | None:
         """``s3_key`` of all files, where they are known without being asked for by name."""
-        return page_source.scan_page_table(spark, self.root).select("s3_key").distinct()
+        return page_source.page_table_keys(spark, self.root)
 
     def existing(self, spark: SparkSession, names: list[str]) -> list[str]:
-        folders = page_source.scan_page_table(spark, self.root).filter(F.col("s3_key").isin(names))
-        return sorted(row["s3_key"] for row in folders.select("s3_key").distinct().collect())
+        found = page_source.page_table_keys(spark, self.root).filter(F.col("s3_key").isin(names))
+        return sorted(row["s3_key"] for row in found.collect())
+
+    def sizes(self, spark: SparkSession, names: list[str]) -> DataFrame:
+        lengths = page_source.scan_page_lengths(spark, self.root)
+        return R.page_sizes(lengths.filter(F.col("s3_key").isin(names)))
 
     def pages(self, spark: SparkSession, names: list[str]) -> DataFrame:
         return page_source.scan_page_table(spark, self.root).filter(F.col("s3_key").isin(names))
@@ -226,6 +231,9 @@ class PageFiles:
     def existing(self, spark: SparkSession, names: list[str]) -> list[str]:
         return listing.existing(spark, self.root, names)
 
+    def sizes(self, spark: SparkSession, names: list[str]) -> DataFrame:
+        return R.page_sizes(self.pages(spark, names))
+
     def pages(self, spark: SparkSession, names: list[str]) -> DataFrame:
         if not names:
             return spark.createDataFrame([], "s3_key string, page_no long, page_bytes binary")
@@ -272,6 +280,12 @@ def close_waiting(
     write_planned(spark, ws, source, keys_of(rows), epoch, step)
 
 
+def checked(spark: SparkSession, checks: dict[str, str | None]) -> DataFrame:
+    """``s3_key, error`` of a slice's keys, handed over as Arrow: no Python worker starts for it."""
+    columns = {"s3_key": pa.array(checks.keys(), pa.string()), "error": pa.array(checks.values(), pa.string())}
+    return spark.createDataFrame(pa.table(columns), CHECKS).coalesce(1)
+
+
 def keys_of(rows: DataFrame) -> list[str]:
     return sorted(row["s3_key"] for row in rows.select("s3_key").distinct().collect())
 
@@ -314,12 +328,13 @@ def page_handler(ws: Workspace, source: PageFiles | PageTable, limits: Limits) -
     """
 
     def plan(spark: SparkSession, names: list[str], epoch: int, step: str, waiting: DataFrame) -> None:
-        sizes = R.page_sizes(source.pages(spark, names))
+        sizes = source.sizes(spark, names)
         if not limits.mixed:
             members = R.batch_members(sizes, max_bytes=limits.max_bytes, max_pages=limits.max_pages)
             ws.append(R.name_batches(members), "manifest", C.STAGE_PAGES, epoch, step)
             return
         members = R.continued_members(sizes, waiting, limits.shards, limits.max_bytes, limits.max_pages)
+        members = R.name_batches(members, mixed=True)
         known = waiting.select("custom_id", "since", "written")
         members = members.join(known, "custom_id", "left").withColumns(
             {
@@ -327,22 +342,28 @@ def page_handler(ws: Workspace, source: PageFiles | PageTable, limits: Limits) -
                 "written": F.coalesce("written", F.lit(0).cast("long")),
             }
         )
+        # Named where a batch's pages are together already; what is not full gets its name when it is closed.
         ws.append(members, "planned", C.STAGE_PAGES, epoch, step)
         planned = ws.read(spark, "planned", only=(C.STAGE_PAGES, epoch), step=step)
-        ws.append(R.name_batches(planned.filter("full"), mixed=True), "manifest", C.STAGE_PAGES, epoch, step)
+        ws.append(planned.filter("full"), "manifest", C.STAGE_PAGES, epoch, step)
         # At most one batch per shard; its pages are counted from 1 again.
         first = F.min("pos").over(W.partitionBy("shard"))
         rest = planned.filter("NOT full").withColumn("pos", F.col("pos") - first + 1)
         ws.append(rest, "waiting", C.STAGE_PAGES, epoch, step)
 
-    def one_slice(spark: SparkSession, asked: list[str], epoch: int, step: str, waiting: DataFrame) -> tuple[str, DataFrame]:
-        """The step that the slice was written as, and the pages that wait after it."""
-        names = source.existing(spark, asked)
+    def one_slice(
+        spark: SparkSession, asked: list[str], there: bool, epoch: int, step: str, waiting: DataFrame
+    ) -> tuple[str, DataFrame]:
+        """The step that the slice was written as, and the pages that wait after it.
+
+        ``there`` says that all of ``asked`` are known to have an object.
+        """
+        names = asked if there else source.existing(spark, asked)
         checks = {name: NOT_FOUND for name in asked} | dict.fromkeys(names)
         if not names:
             # Under another name, so that nothing of a run that broke off counts as this slice's.
             step = f"{ABSENT}-{step}"
-            ws.append(spark.createDataFrame(list(checks.items()), CHECKS), "checks", C.STAGE_PAGES, epoch, step)
+            ws.append(checked(spark, checks), "checks", C.STAGE_PAGES, epoch, step)
             return step, waiting
         try:
             plan(spark, names, epoch, step, waiting)
@@ -353,7 +374,7 @@ def page_handler(ws: Workspace, source: PageFiles | PageTable, limits: Limits) -
             checks |= bad
             names = [name for name in names if name not in bad]
             plan(spark, names, epoch, step, waiting)
-        ws.append(spark.createDataFrame(list(checks.items()), CHECKS), "checks", C.STAGE_PAGES, epoch, step)
+        ws.append(checked(spark, checks), "checks", C.STAGE_PAGES, epoch, step)
         write_planned(spark, ws, source, sorted({*names, *keys_of(waiting)}), epoch, step)
         return step, ws.read(spark, "waiting", only=(C.STAGE_PAGES, epoch), step=step)
 
@@ -363,16 +384,22 @@ def page_handler(ws: Workspace, source: PageFiles | PageTable, limits: Limits) -
         fresh = todo.join(before.select("s3_key"), "s3_key", "left_anti")
         waiting, steps = before, []
         known = None if fresh.isEmpty() else source.known(spark)
-        if known is not None:
-            missing = fresh.join(known, "s3_key", "left_anti").select("s3_key", F.lit(NOT_FOUND).alias("error"))
-            ws.append(missing, "checks", *me, ABSENT)
-            steps.append(ABSENT)
-            fresh = fresh.join(known, "s3_key", "left_semi")
-        ws.append(listing.ranged_slices(fresh, limits.slice_keys), "slices", *me)
+        if known is None:
+            ws.append(listing.ranged_slices(fresh, limits.slice_keys), "slices", *me)
+        else:
+            # The source is asked once, for those that are there and those that are not.
+            asked = fresh.join(known.withColumn("_there", F.lit(True)), "s3_key", "left").persist()
+            try:
+                missing = asked.filter("_there IS NULL").select("s3_key", F.lit(NOT_FOUND).alias("error"))
+                ws.append(missing, "checks", *me, ABSENT)
+                steps.append(ABSENT)
+                ws.append(listing.ranged_slices(asked.filter("_there"), limits.slice_keys), "slices", *me)
+            finally:
+                asked.unpersist()
         cut = ws.read(spark, "slices", only=me)
         for (i,) in sorted(cut.select("slice").distinct().collect()):
             asked = keys_of(cut.filter(F.col("slice") == i))
-            step, waiting = one_slice(spark, asked, epoch, f"slice-{i}", waiting)
+            step, waiting = one_slice(spark, asked, known is not None, epoch, f"slice-{i}", waiting)
             steps.append(step)
         due = F.lit(not limits.carry)
         if limits.flush_after is not None:
@@ -384,8 +411,8 @@ def page_handler(ws: Workspace, source: PageFiles | PageTable, limits: Limits) -
         if not late.isEmpty():
             close_waiting(spark, ws, source, late, epoch, steps[-1])
         # Bounds of slices may differ from those of a run that broke off: nothing of it may stay.
-        for table in ("manifest", "runs", "containers", "checks"):
-            for step in ws.steps(spark, table, me) - {*steps, FLUSHED}:
+        for table, step in ws.steps(spark, ["manifest", "runs", "containers", "checks"], me):
+            if step not in {*steps, FLUSHED}:
                 ws.append(ws.empty(spark, table), table, *me, step)
         written = ws.read_steps(spark, "manifest", me, steps)
         now = page_source.pages_per_file(written).withColumnRenamed("total_pages", "_now")

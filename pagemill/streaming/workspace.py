@@ -8,6 +8,7 @@ see what its first run wrote: ``read(..., before=...)`` leaves that out.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -101,6 +102,7 @@ WAITING = T.StructType(
 PLANNED = T.StructType(
     [
         *WAITING.fields,
+        T.StructField("batch_key", T.StringType()),
         T.StructField("batch_no", T.LongType()),
         T.StructField("full", T.BooleanType()),
     ]
@@ -177,12 +179,14 @@ class Workspace:
         """Rows that the named steps of a micro-batch wrote; steps that wrote nothing have none."""
         return self._by_step(spark, table, only).filter(F.col("step").isin(steps)).drop("step")
 
-    def steps(self, spark: SparkSession, table: str, only: tuple[str, int]) -> set[str]:
-        """Names of the steps of a micro-batch that have rows."""
-        return {row["step"] for row in self._by_step(spark, table, only).select("step").distinct().collect()}
+    def steps(self, spark: SparkSession, tables: list[str], only: tuple[str, int]) -> set[tuple[str, str]]:
+        """``(table, step)`` for the steps of a micro-batch that have rows, found by one job."""
+        found = [self._by_step(spark, table, only).select(F.lit(table).alias("table"), "step") for table in tables]
+        every = functools.reduce(DataFrame.unionByName, found).distinct()
+        return {(row["table"], row["step"]) for row in every.collect()}
 
     def empty(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.createDataFrame([], TABLES[table])
+        return no_rows(spark, TABLES[table])
 
     def _by_step(self, spark: SparkSession, table: str, only: tuple[str, int]) -> DataFrame:
         folder = f"{self.path(table)}/writer={only[0]}/epoch={only[1]}"
@@ -206,7 +210,7 @@ class Workspace:
         except AnalysisException as problem:
             if "PATH_NOT_FOUND" not in str(problem):
                 raise
-            return spark.createDataFrame([], schema)
+            return no_rows(spark, schema)
 
     def _folds(self, spark: SparkSession) -> tuple[int, dict[str, int]]:
         """Number of the newest finished fold, and the last micro-batch of each writer in it."""
@@ -250,5 +254,11 @@ class Workspace:
         ).parquet(f"{self.path('state_folds')}/fold={fold}")
 
 
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty table that the optimizer knows to be empty, so that nothing runs for it."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(0).filter(F.lit(False)).select(*columns)
+
+
 def _by(writer: str) -> Column:
     return F.coalesce(F.col("writer") == writer, F.lit(False))

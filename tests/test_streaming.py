@@ -19,7 +19,7 @@ from pagemill.sources import containers
 from pagemill.sources import messages as message_source
 from pagemill.sources import pages as page_source
 from pagemill.streaming import carry, stages
-from pagemill.streaming.workspace import Workspace
+from pagemill.streaming.workspace import TABLES, Workspace
 
 
 def write_file(bucket, key, pages):
@@ -528,3 +528,37 @@ def test_keys_without_an_object_plan_nothing(spark, tmp_path, table):
     assert ws.read(spark, "dead_letters").count() == 30
     done = state.current_state(ws.read(spark, "state")).filter(F.col("status") == C.STATUS_DONE)
     assert [tuple(r) for r in done.filter(F.col("stage") == C.STAGE_PAGES).select("s3_key", "total_pages").collect()] == [("there", 2)] * table
+
+
+def test_page_tables_are_planned_by_stored_lengths(spark, tmp_path):
+    root = f"{tmp_path}/stored"
+    stored = [("new/a", 1, b"x", 100), ("new/a", 2, b"xyz", None), ("0123", 1, None, None)]
+    rows = spark.createDataFrame(stored, "s3_key string, page_no long, page_bytes binary, n_bytes long")
+    rows.write.partitionBy("s3_key").parquet(root)
+    # A table from before lengths were stored.
+    rows.limit(2).select(F.lit("old").alias("s3_key"), "page_no", "page_bytes").coalesce(1).write.partitionBy("s3_key").mode("append").parquet(root)
+    found = {(r["s3_key"], r["page_no"]): r["n_bytes"] for r in page_source.scan_page_lengths(spark, root).collect()}
+    assert found == {("new/a", 1): 100, ("new/a", 2): 3, ("0123", 1): None, ("old", 1): 1, ("old", 2): 3}
+    sizes = stages.PageTable(root).sizes(spark, ["new/a", "old"])
+    measured = rows.filter("s3_key = 'new/a' AND page_no = 1").withColumn("page_bytes", F.expr("cast(repeat('x', 100) AS binary)"))
+    expected = R.page_sizes(measured.drop("n_bytes")).first()["size"]
+    assert sizes.count() == 4 and sizes.filter("s3_key = 'new/a' AND page_no = 1").first()["size"] == expected
+
+
+def test_keys_of_a_page_table_are_known_without_opening_it(spark, tmp_path):
+    root = f"{tmp_path}/stored"
+    pages = spark.createDataFrame([("a/b c%+.parquet", 1, b"x"), ("0123", 1, b"y")], "s3_key string, page_no long, page_bytes binary")
+    page_source.write_page_table(pages, root)
+    os.makedirs(f"{root}/s3_key=unreadable")
+    with open(f"{root}/s3_key=unreadable/part-0.parquet", "wb") as f:
+        f.write(b"this is not parquet")
+    source = stages.PageTable(root)
+    assert sorted(r["s3_key"] for r in source.known(spark).collect()) == ["0123", "a/b c%+.parquet", "unreadable"]
+    assert source.existing(spark, ["0123", "123", "a/b c%+.parquet"]) == ["0123", "a/b c%+.parquet"]
+
+
+def test_nothing_runs_for_tables_that_are_not_there(spark, tmp_path):
+    ws = Workspace(str(tmp_path / "ws"))
+    for rows in (ws.read(spark, "state"), ws.read(spark, "waiting", only=(C.STAGE_PAGES, 0)), ws.empty(spark, "runs")):
+        assert rows._jdf.queryExecution().optimizedPlan().toString().startswith("LocalRelation <empty>")
+    assert ws.empty(spark, "runs").dtypes == spark.createDataFrame([], TABLES["runs"]).dtypes
