@@ -132,7 +132,7 @@ def stream_mixed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     Files arrive in the order of their keys, a share at a time, and are worked through in slices.
     """
     ws = Workspace(working_folder(spark, "stream-mixed"))
-    page_source.write_page_table(D.document_pages(spark, sf_dir), ws.path("pages"))
+    page_source.write_page_table(D.document_pages(spark, sf_dir), ws.path("pages"), gathered=True)
     source = stages.PageTable(ws.path("pages"))
     limits = stages.Limits(max_bytes=D.MAX_BYTES, max_pages=D.MAX_PAGES, mixed=True, carry=True, slice_keys=10)
     keys = page_source.page_table_keys(spark, ws.path("pages"))
@@ -158,7 +158,7 @@ def _pipeline(spark: SparkSession, sf_dir: str) -> Workspace:
     ws = Workspace(working_folder(spark, "pipeline"))
     pages = D.pdf_pages(spark, sf_dir)
     events, announced = page_source.stage_pages(
-        pages, ws.path("pages"), ws.read(spark, "state"), clock.from_utc_text(F.lit("2024-01-01"))
+        pages, ws.path("pages"), ws.read(spark, "state"), clock.from_utc_text(F.lit("2024-01-01")), gathered=True
     )
     ws.append(events, "state", "staging", 0)
     # Every file is announced twice, by its key and by a URI, and one key that does not exist is asked for.
@@ -209,7 +209,7 @@ def stream_job_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as messages through a stage whose files do not exist: every key fails."""
     ws = Workspace(working_folder(spark, "stream-letters"))
-    page_source.write_page_table(D.document_pages(spark, sf_dir), ws.path("pages"))
+    page_source.write_page_table(D.document_pages(spark, sf_dir), ws.path("pages"), gathered=True)
     process = stages.page_stage(ws, stages.PageTable(ws.path("pages")), stages.Limits(max_attempts=1))
     incoming = D.as_messages(stream_table(spark, sf_dir, "events"))
     stages.start(incoming, process, ws.path("checkpoint"), "letters").awaitTermination()

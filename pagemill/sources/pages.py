@@ -97,17 +97,17 @@ def write_page_files(pages: DataFrame, order: str, path: str) -> None:
     ).parquet(path)
 
 
-def write_page_table(pages: DataFrame, root: str) -> None:
+def write_page_table(pages: DataFrame, root: str, gathered: bool = False) -> None:
     """Store ``s3_key, page_no, page_bytes`` with one folder per key, and how long each page is.
 
     A key is cut into runs of pages, so a large key is written by many tasks, and a run
-    goes to one file.
+    goes to one file. ``gathered`` pages are in such runs already, as ``with_ordinal`` leaves them:
+    they are written where they are.
     """
     run = quotient(F.col("page_no"), PAGES_PER_FILE)
+    measured = pages.withColumn("n_bytes", F.octet_length("page_bytes").cast("long")).select(*PAGE_TABLE.names)
     (
-        pages.withColumn("n_bytes", F.octet_length("page_bytes").cast("long"))
-        .select(*PAGE_TABLE.names)
-        .repartition("s3_key", run)
+        (measured if gathered else measured.repartition("s3_key", run))
         .sortWithinPartitions("s3_key", "page_no")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -144,17 +144,18 @@ def pages_per_file(pages: DataFrame) -> DataFrame:
 
 
 def stage_pages(
-    pages: DataFrame, root: str, log: DataFrame, at: Column, keys: DataFrame | None = None
+    pages: DataFrame, root: str, log: DataFrame, at: Column, keys: DataFrame | None = None, gathered: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Write page files to the page table, then register and announce them.
 
-    All files of the table are announced, or those of ``keys`` if the table holds others.
+    All files of the table are announced, or those of ``keys`` if the table holds others. ``gathered`` as for
+    :func:`write_page_table`.
 
     Returns the state events and the messages to append, in that order. A key that is
     registered already gets no second event; it is announced again, and the receiving
     stage's skip check decides.
     """
-    write_page_table(pages, root)
+    write_page_table(pages, root, gathered)
     # Keys come from what was written: folder names, for which no page is computed again.
     asked = page_table_keys(pages.sparkSession, root)
     staged = asked if keys is None else asked.join(keys, "s3_key", "left_semi")

@@ -562,3 +562,14 @@ def test_nothing_runs_for_tables_that_are_not_there(spark, tmp_path):
     for rows in (ws.read(spark, "state"), ws.read(spark, "waiting", only=(C.STAGE_PAGES, 0)), ws.empty(spark, "runs")):
         assert rows._jdf.queryExecution().optimizedPlan().toString().startswith("LocalRelation <empty>")
     assert ws.empty(spark, "runs").dtypes == spark.createDataFrame([], TABLES["runs"]).dtypes
+
+
+def test_gathered_pages_are_written_where_they_are(spark, tmp_path):
+    pages = spark.range(30).select(F.lit("k").alias("s3_key"), (F.col("id") + 1).alias("page_no"), F.lit(b"x").alias("page_bytes"))
+    files = {}
+    for gathered in (True, False):
+        root = f"{tmp_path}/{gathered}"
+        page_source.write_page_table(pages.repartition(3), root, gathered)
+        files[gathered] = len([name for name in os.listdir(f"{root}/s3_key=k") if name.startswith("part-")])
+        assert page_source.scan_page_table(spark, root).count() == page_source.scan_page_lengths(spark, root).distinct().count() == 30
+    assert files == {True: 3, False: 1}
